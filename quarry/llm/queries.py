@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import fingerprint, mixing, oracles, pii, sharding, url_filter
+from quarry.llm import decontaminate, fingerprint, mixing, oracles, pii, sharding, url_filter
 from quarry.llm.tables import table
 
 
@@ -12,6 +12,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(table(spark, sf_dir, "pages"))
 
@@ -28,5 +32,5 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op6_url_filter, op7_fingerprint, op8_pii, op9_shards)}
+QUERIES = {f.__name__: f for f in (op2_mix_sources, op4_decontaminate, op6_url_filter, op7_fingerprint, op8_pii, op9_shards)}
 ORACLE_SQL: dict[str, str] = dict(oracles.SQL)
