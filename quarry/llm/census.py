@@ -86,6 +86,8 @@ class Ledger:
         """Documents that hold each of the block's keys, in the order the keys were made."""
         total = np.ones(len(self.keys), dtype=np.uint16)
         for b, counts in zip(answer.column("bucket").to_pylist(), answer.column("counts").to_pylist()):
+            if b is None:
+                continue
             total[self.by_bucket[self.cuts[b] : self.cuts[b + 1]]] = np.frombuffer(counts, dtype=np.uint16)
         return total[self.inverse]
 
@@ -109,7 +111,7 @@ def added(table):
 def census(docs: DataFrame, n_keys: int, make: KeyMaker, only: DataFrame | None = None) -> tuple[DataFrame, int]:
     """Counts per (block, bucket), and the number of buckets.
 
-    docs: (block, doc_id, text). only: (block, ids binary of int64), the documents that count, if not all.
+    docs: (block, doc_id, text). only: (block, chosen), the doc_ids that count, if not all.
     """
     buckets = max(spread(docs.sparkSession), math.ceil(n_keys / BUCKET_KEYS))
 
@@ -138,5 +140,5 @@ def picked(ids: np.ndarray, chosen: pa.Table) -> np.ndarray:
     """True for the first row of every chosen doc_id (ids are sorted)."""
     first = np.ones(len(ids), dtype=bool)
     first[1:] = ids[1:] != ids[:-1]
-    lists = [np.frombuffer(x, dtype=np.int64) for x in chosen.column("ids").to_pylist() if x is not None]
-    return first & np.isin(ids, np.concatenate(lists) if lists else np.zeros(0, np.int64))
+    wanted = chosen.column("chosen").drop_null().combine_chunks().to_numpy(zero_copy_only=False)
+    return first & np.isin(ids, wanted.astype(np.int64))

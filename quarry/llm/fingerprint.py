@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from quarry.llm.storage import saved
 from quarry.llm.tables import hex_sha256, whole
 
-SAMPLES = 12
+SAMPLES = 24
 RANGE_ROWS = 8192
 MOST_RANGES = 1 << 20
 MASK = (1 << 32) - 1

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, fingerprint, mixing, oracles, pii, sharding, url_filter
+from quarry.llm import decontaminate, fingerprint, mixing, ngram_join, oracles, passages, pii, sharding, substring, url_filter
 from quarry.llm.tables import table
 
 
@@ -12,10 +12,18 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_near_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.near_passages(table(spark, sf_dir, "documents"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(table(spark, sf_dir, "pages"))
 
@@ -32,5 +40,9 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op4_decontaminate, op6_url_filter, op7_fingerprint, op8_pii, op9_shards)}
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.joined(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_mix_sources, op3_substring_dedup, op4_decontaminate, op5_near_passages, op6_url_filter, op7_fingerprint, op8_pii, op9_shards, op10_ngram_join)}
 ORACLE_SQL: dict[str, str] = dict(oracles.SQL)
