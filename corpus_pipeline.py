@@ -1,6 +1,58 @@
-STAGES = []
+"""A corpus from raw documents to shards: five stages, each over all that the one before kept."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from quarry.llm import cotraining, decontaminate, mixing, ngram_join, sharding
+from quarry.llm.storage import saved
+from quarry.llm.tables import table
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, fitted on the labels at hand, keeps."""
+    judged = cotraining.classified(docs, table(spark, sf_dir, "labels"))
+    return docs.join(judged.filter("not kept").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least doc_id of every group of near duplicates."""
+    groups = ngram_join.joined(docs).filter("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(groups, "doc_id", "left_semi").select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth stands in the benchmark."""
+    judged = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return docs.join(judged.filter("contaminated").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample with the target weights of source, language and topic."""
+    chosen = mixing.mixed(docs).filter("kept").select("doc_id").distinct()
+    return docs.join(chosen, "doc_id", "left_semi").select(*docs.columns)
+
+
+def cut_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The shard and slot of every document that is left."""
+    return sharding.sharded(docs)
+
+
+STAGES = [
+    ("quality classifier", keep_good),
+    ("n-gram join", keep_one_of_each_group),
+    ("benchmark decontamination", drop_contaminated),
+    ("source mixing", mix_sources),
+    ("sharding", cut_shards),
+]
+
+#: The classifier is fitted by array operations and cannot be said in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage; the documents between stages are kept in the shared folder."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, fingerprint, mixing, ngram_join, oracles, passages, pii, sharding, substring, url_filter
+from quarry.llm import cotraining, decontaminate, fingerprint, mixing, ngram_join, oracles, passages, pii, sharding, substring, url_filter
 from quarry.llm.tables import table
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
@@ -44,5 +48,5 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.joined(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op3_substring_dedup, op4_decontaminate, op5_near_passages, op6_url_filter, op7_fingerprint, op8_pii, op9_shards, op10_ngram_join)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_mix_sources, op3_substring_dedup, op4_decontaminate, op5_near_passages, op6_url_filter, op7_fingerprint, op8_pii, op9_shards, op10_ngram_join)}
 ORACLE_SQL: dict[str, str] = dict(oracles.SQL)
