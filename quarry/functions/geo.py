@@ -127,7 +127,7 @@ def inside(edges: Column, x: Column, y: Column) -> Column:
         F.lit(0),
         lambda n, e: n
         + F.when(
-            ((e["y1"] > y) != (e["y2"] > y)) & (x < (e["x2"] - e["x1"]) * (y - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]), 1
+            ((e["y1"] > y) != (e["y2"] > y)) & (x < F.try_divide((e["x2"] - e["x1"]) * (y - e["y1"]), e["y2"] - e["y1"]) + e["x1"]), 1
         ).otherwise(0),
     )
     return crossings % 2 == 1

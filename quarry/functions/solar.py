@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quarry.functions.geo import staged
 
 
-def stages(seconds: str = "seconds", lat: str = "lat", lon: str = "lon") -> list[dict[str, str]]:
+def stages(seconds: str = "epoch_s", lat: str = "lat", lon: str = "lon") -> list[dict[str, str]]:
     """Column texts from UTC epoch seconds and degrees; plain arithmetic that any SQL engine takes."""
     sin, cos = (lambda x, f=f: f"{f}(radians({x}))" for f in ("sin", "cos"))
     return [
@@ -44,9 +45,11 @@ def stages(seconds: str = "seconds", lat: str = "lat", lon: str = "lon") -> list
     ]
 
 
-def solar_position(df: DataFrame, seconds: str = "seconds", lat: str = "lat", lon: str = "lon") -> DataFrame:
+def solar_position(df: DataFrame, seconds: str = "epoch_s", lat: str = "lat", lon: str = "lon") -> DataFrame:
     """Adds solar_elevation (refraction corrected) and solar_azimuth (clockwise from north), in degrees.
 
     Null time or place gives null; callers leave the time null where it is only imputed.
     """
-    return staged(df, stages(seconds, lat, lon), ["solar_elevation", "solar_azimuth"])
+    done = staged(df, stages(seconds, lat, lon), ["solar_elevation", "solar_azimuth"])
+    # a generator is where predicates stop: pushed further down, one would repeat the whole chain of stages
+    return done.select(*df.columns, F.inline(F.array(F.struct("solar_elevation", "solar_azimuth"))))

@@ -134,7 +134,7 @@ def flag_ledger_agreement(spec: SourceSpec, silver: DataFrame, entries: DataFram
         logged = entries.filter((F.col("source_id") == spec.source_id) & F.col("rule_id").isin(*d.rules) & (F.col("severity") != "warn"))
         logged = logged.select(F.col("source_row_key").alias("k")).distinct().withColumn("b", F.lit(1))
         both = failed.join(logged, "k", "full_outer")
-        parts.append(both.agg(F.count_if("b is null").alias("n_flag_only"), F.count_if("a is null").alias("n_ledger_only")).select(F.lit(d.flag).alias("flag"), "*"))
+        parts.append(both.agg(F.count_if(F.expr("b is null")).alias("n_flag_only"), F.count_if(F.expr("a is null")).alias("n_ledger_only")).select(F.lit(d.flag).alias("flag"), "*"))
     if not parts:
         return silver.sparkSession.createDataFrame([], "flag string, n_flag_only long, n_ledger_only long")
     return reduce(DataFrame.unionByName, parts)

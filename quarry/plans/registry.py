@@ -1,4 +1,523 @@
-"""Named queries and the SQL that must give the same rows."""
+"""Named queries over the given tables, each with the SQL that must give the same rows."""
 
-QUERIES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quarry.functions import clean
+from quarry.functions.civil_time import epoch_seconds, to_local, to_utc
+from quarry.functions.clean import Field
+from quarry.functions.geo import edges_of, grid_to_degrees, grid_to_degrees_stages
+from quarry.functions.solar import solar_position
+from quarry.functions.solar import stages as solar_stages
+from quarry.operators import audit, decode, spatial, stamps, vintages
+from quarry.plans import inputs
+from quarry.plans.inputs import duck, relation
+from quarry.sources import files
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def with_(name_sql: dict[str, str], body: str) -> str:
+    return "with " + ", ".join(f"{n} as ({duck(s)})" for n, s in name_sql.items()) + "\n" + body
+
+
+RAW = {"raw": inputs.RAW_ORDERS}
+COUNTS = {"raw": inputs.RAW_COUNTS}
+POINT = """e as (select *, case when easting_raw in ('-1', '0', '') then null else try_cast(easting_raw as double) end easting,
+  case when northing_raw in ('-1', '0', '') then null else try_cast(northing_raw as double) end northing from raw)"""
+
+
+def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relation(spark, sf_dir, inputs.RAW_ORDERS)
+
+
+def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders cleaned like events with a place, a time and a code."""
+    return raw_orders(spark, sf_dir).withColumnRenamed("prio_raw", "prio").transform(_silver)
+
+
+def _silver(raw: DataFrame) -> DataFrame:
+    return raw.select(
+        "o_orderkey",
+        "o_custkey",
+        "easting_raw",
+        "northing_raw",
+        "date_raw",
+        "time_raw",
+        *clean.sentinel_point("easting_raw", "northing_raw"),
+        *clean.event_time("date_raw", "time_raw"),
+        *clean.audited(raw, "prio", missing=["4"]),
+    )
+
+
+SILVER = f"""{POINT},
+t as (select *, case when date_raw = 'bad' then null else strptime(date_raw, '%d/%m/%Y') end d from e),
+silver as (select o_orderkey, o_custkey, easting_raw, northing_raw, date_raw, time_raw, easting, northing, easting is not null and northing is not null geom_valid,
+  case when time_raw = '' then d else try_strptime(date_raw || ' ' || time_raw, '%d/%m/%Y %H:%M') end datetime_local, d is not null datetime_valid,
+  d is not null and time_raw = '' time_imputed, prio_raw,
+  case when prio_raw in ('-1', '4') then null else try_cast(prio_raw as integer) end prio,
+  case when prio_raw in ('-1', '4') then null else try_cast(prio_raw as integer) end is not null prio_valid from t)"""
+
+
+def silver_sql(body: str) -> str:
+    return with_(RAW, f", {SILVER} {body}").replace("\n,", ",", 1)
+
+
+# ---- cleaning -----------------------------------------------------------------------------------------------
+
+
+@query(with_(RAW, """select o_orderkey, case when number_raw in ('-1', '') then null else try_cast(number_raw as integer) end number,
+  case when easting_raw in ('-1', '') then null else try_cast(easting_raw as double) end easting, date_raw, cast(null as integer) absent from raw"""))
+def clean_numeric_columns(spark, sf_dir):
+    return raw_orders(spark, sf_dir).select(
+        "o_orderkey",
+        clean.numeric("number_raw").alias("number"),
+        clean.numeric("easting_raw", "double").alias("easting"),
+        "date_raw",
+        clean.placeholder("int").alias("absent"),
+    )
+
+
+@query(with_(RAW, """select o_orderkey, case when prio_raw in ('-1', '4') then null else try_cast(prio_raw as integer) end prio,
+  case when number_raw in ('-1', '') then null else try_cast(number_raw as integer) end number, o_orderstatus status, cast(null as integer) weather from raw"""))
+def clean_coded_columns(spark, sf_dir):
+    raw = raw_orders(spark, sf_dir).withColumnsRenamed({"prio_raw": "prio", "number_raw": "number", "o_orderstatus": "status"})
+    missing = clean.missing_codes(relation(spark, sf_dir, inputs.CODEBOOK))
+    manifest = [Field("status", "text"), Field("prio", "coded"), Field("weather", "coded"), Field("number", "numeric", "int"), Field("date_raw", "text")]
+    return raw.select("o_orderkey", *clean.broad(raw, manifest, missing, exclude=["date_raw"]))
+
+
+@query("""select o_orderkey, coalesce(collision_reference, accident_reference) reference, coalesce(price, 0) price from (
+  select o_orderkey, 'c' || o_orderkey collision_reference, null accident_reference, o_totalprice price from orders where year(o_orderdate) >= 1998
+  union all select o_orderkey, null, 'a' || o_orderkey, null from orders where year(o_orderdate) < 1998)""")
+def alias_coalesce_union(spark, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    new = orders.filter(F.year("o_orderdate") >= 1998).select("o_orderkey", F.concat(F.lit("c"), "o_orderkey").alias("collision_reference"), F.col("o_totalprice").alias("price"))
+    old = orders.filter(F.year("o_orderdate") < 1998).select("o_orderkey", F.concat(F.lit("a"), "o_orderkey").alias("accident_reference"))
+    both = files.united([new, old])
+    reference = clean.first_present(both, ["collision_reference", "accident_reference", "collision_ref_no"])
+    return both.select("o_orderkey", reference.alias("reference"), F.coalesce("price", F.lit(0.0)).alias("price"))
+
+
+@query(with_(RAW, """select o_orderkey, prio_raw, case when prio_raw in ('-1', '4') then null else try_cast(prio_raw as integer) end prio,
+  prio_raw not in ('-1', '4') and try_cast(prio_raw as integer) is not null prio_valid, cast(null as varchar) light_raw, cast(null as integer) light, true light_valid from raw"""))
+def audited_code_triple(spark, sf_dir):
+    raw = raw_orders(spark, sf_dir).withColumnRenamed("prio_raw", "priority_old")
+    return raw.select("o_orderkey", *clean.audited(raw, "prio", ["priority_old"], ["4"]), *clean.audited(raw, "light"))
+
+
+@query(with_(RAW, f", {POINT} select o_orderkey, easting, northing, easting is not null and northing is not null geom_valid from e").replace("\n,", ","))
+def sentinel_points(spark, sf_dir):
+    return raw_orders(spark, sf_dir).select("o_orderkey", *clean.sentinel_point("easting_raw", "northing_raw"))
+
+
+@query(with_(COUNTS, """select l_orderkey, l_linenumber, try_cast(easting_raw as integer) easting, try_cast(northing_raw as integer) northing,
+  coalesce(try_cast(easting_raw as integer) between 0 and 700000 and try_cast(northing_raw as integer) between 0 and 1300000, false) geom_valid,
+  volume_raw, try_cast(volume_raw as bigint) volume, coalesce(try_cast(volume_raw as bigint) >= 0, false) volume_valid from raw"""))
+def envelope_points(spark, sf_dir):
+    raw = relation(spark, sf_dir, inputs.RAW_COUNTS)
+    return raw.select("l_orderkey", "l_linenumber", *clean.envelope_point("easting_raw", "northing_raw"), *clean.count_field("volume_raw", "volume"))
+
+
+@query(silver_sql("select o_orderkey, datetime_local, datetime_valid, time_imputed from silver"))
+def event_time_fallback(spark, sf_dir):
+    return raw_orders(spark, sf_dir).select("o_orderkey", *clean.event_time("date_raw", "time_raw"))
+
+
+@query("select l_orderkey || '|' || l_linenumber row_key, l_quantity from lineitem")
+def row_keys(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(clean.row_key("l_orderkey", "l_linenumber").alias("row_key"), "l_quantity")
+
+
+@query(silver_sql("select o_orderkey, easting, northing, datetime_local, prio from silver where geom_valid and datetime_valid and prio_valid"))
+def gold_view(spark, sf_dir):
+    return clean.gold(silver_orders(spark, sf_dir), ["geom_valid", "datetime_valid", "prio_valid"]).select("o_orderkey", "easting", "northing", "datetime_local", "prio")
+
+
+@query("""select distinct lower(trim(p_brand)) variable, code, trim(p_type) label, code = '-1' or lower(trim(p_type)) in
+  ('data missing or out of range', 'unknown', 'not known', 'undefined', 'code deprecated') is_missing
+  from (select p_brand, p_type, case when p_size % 13 = 0 then '-1' when p_size % 11 = 0 then 'n' else cast(p_size as varchar) end code from part) where try_cast(code as integer) is not null""")
+def codebook_from_codelist(spark, sf_dir):
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    size = F.when(F.col("p_size") % 13 == 0, "-1").when(F.col("p_size") % 11 == 0, "n").otherwise(F.col("p_size").cast("string"))
+    return decode.derived_codebook(part.select(F.col("p_brand").alias("variable"), size.alias("code"), F.col("p_type").alias("label")))
+
+
+# ---- audit --------------------------------------------------------------------------------------------------
+
+RULES = (
+    audit.Rule("coord", "geom_valid", "easting,northing", "concat_ws(',', coalesce(easting_raw, ''), coalesce(northing_raw, ''))", "no usable coordinate"),
+    audit.Rule("datetime", "datetime_valid", "date", "date_raw", "no usable date"),
+    audit.Rule("prio", "prio_valid", "prio", "prio_raw", "no usable code"),
+    audit.Rule("time", "time_imputed", "time", "time_raw", "time imputed", warn=True),
+)
+SPEC = audit.SourceSpec(
+    "orders", "o_orderkey", (audit.Dimension("geom_valid", ("coord",)), audit.Dimension("datetime_valid", ("datetime",), 0.02), audit.Dimension("prio_valid", ("prio",), 0.5))
+)
+LEDGER_SQL = """ledger as (
+  select 'coord' rule_id, 'reject_dimension' severity, o_orderkey k, 'easting,northing' column_name, easting_raw || ',' || northing_raw raw_value from silver where not geom_valid
+  union all select 'datetime', 'reject_dimension', o_orderkey, 'date', date_raw from silver where not datetime_valid
+  union all select 'prio', 'reject_dimension', o_orderkey, 'prio', prio_raw from silver where not prio_valid
+  union all select 'time', 'warn', o_orderkey, 'time', time_raw from silver where time_imputed)"""
+
+
+@query(silver_sql(f", {LEDGER_SQL} select 'orders' source_id, k::varchar source_row_key, rule_id, severity, column_name, raw_value from ledger").replace("from t) ,", "from t),"))
+def rejection_ledger(spark, sf_dir):
+    silver = silver_orders(spark, sf_dir)
+    return audit.ledger(silver, "orders", "o_orderkey", RULES).drop("rule_desc", "ingested_at")
+
+
+@query(silver_sql(f", {LEDGER_SQL} select 'orders' source_id, rule_id, severity, count(*) n from ledger group by all").replace("from t) ,", "from t),"))
+def ledger_by_rule(spark, sf_dir):
+    entries = audit.ledger(silver_orders(spark, sf_dir), "orders", "o_orderkey", RULES)
+    return entries.groupBy("source_id", "rule_id", "severity").agg(F.count("*").alias("n"))
+
+
+@query("""select 'lineitem' source_id, n source_rows, n - q bronze_rows, n - q silver_rows, q quarantine_rows, true conserved, q / n quarantine_rate from (
+  select (select count(*) from lineitem) n, (select count(*) from lineitem where l_orderkey % 401 = 0) q)""")
+def conservation_report(spark, sf_dir):
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    good = lineitem.filter("l_orderkey % 401 <> 0")
+    tables = audit.SourceTables(
+        bronze=good,
+        silver=good.select(clean.row_key("l_orderkey", "l_linenumber").alias("row_key")),
+        ledger=good.limit(0),
+        quarantine=lineitem.filter("l_orderkey % 401 = 0"),
+        source_rows=lineitem.groupBy("l_returnflag").count().agg(F.sum("count").alias("source_rows")),
+    )
+    return audit.conservation(audit.SourceSpec("lineitem", "row_key"), tables)
+
+
+@query(silver_sql("""select flag, case when flag = 'datetime_valid' then (select count(*) from silver where not datetime_valid and o_orderkey % 2 = 0) else 0 end n_flag_only,
+  case when flag = 'prio_valid' then (select count(*) from silver where prio_valid and o_orderkey % 500 = 1) else 0 end n_ledger_only
+  from (values ('geom_valid'), ('datetime_valid'), ('prio_valid')) f(flag)"""))
+def flag_ledger_agreement(spark, sf_dir):
+    silver = silver_orders(spark, sf_dir)
+    entries = audit.ledger(silver, "orders", "o_orderkey", RULES)
+    entries = entries.filter("not (rule_id = 'datetime' and cast(source_row_key as bigint) % 2 = 0)")  # lost
+    extra = silver.filter("prio_valid and o_orderkey % 500 = 1").withColumn("prio_valid", F.lit(False))  # invented
+    return audit.flag_ledger_agreement(SPEC, silver, entries.unionByName(audit.ledger(extra, "orders", "o_orderkey", RULES[2:3])))
+
+
+@query(silver_sql("""select *, n_rejected / n_total rate, n_rejected / n_total <= ceiling as "within" from (
+  select 'geom_valid' flag, count(*) n_total, count(*) filter (not geom_valid) n_rejected, 0.05::double ceiling from silver
+  union all select 'datetime_valid', count(*), count(*) filter (not datetime_valid), 0.02 from silver
+  union all select 'prio_valid', count(*), count(*) filter (not prio_valid), 0.5 from silver)"""))
+def reject_rates(spark, sf_dir):
+    return audit.reject_rates(SPEC, silver_orders(spark, sf_dir))
+
+
+@query(silver_sql("select 'silver' tbl, col, n_total, n_present, n_total - n_present n_missing, n_present / n_total rate from (" + " union all ".join(
+    f"select '{c}' col, count(*) n_total, count({c}) n_present from silver" for c in ("easting", "northing", "datetime_local", "prio")) + ")"))
+def completeness_report(spark, sf_dir):
+    return decode.completeness(silver_orders(spark, sf_dir), ["easting", "northing", "datetime_local", "prio"], "silver")
+
+
+@query("""select * from (values ('orders'), ('lineitem'), ('events')) s(source_id) where source_id in ('lineitem') and (select count(*) from region) > 0""")
+def audit_coverage(spark, sf_dir):
+    region = spark.read.parquet(f"{sf_dir}/region.parquet").select("r_regionkey")
+    named = lambda k, n: region.filter(F.col("r_regionkey") == k).select(F.lit(n).alias("source_id"))
+    sources = files.united([named(0, "orders"), named(1, "lineitem"), named(2, "events")])
+    return audit.undecided(sources, named(0, "orders"), files.united([named(2, "events").withColumn("reason", F.lit("clean feed")), named(1, "lineitem").withColumn("reason", F.lit(" "))]))
+
+
+# ---- joins --------------------------------------------------------------------------------------------------
+
+
+@query("""select l_orderkey, l_linenumber, exists (select 1 from orders where o_orderkey = l_orderkey and o_orderkey % 17 <> 0) link_valid from lineitem""")
+def referential_link(spark, sf_dir):
+    line, orders = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("lineitem", "orders"))
+    return stamps.with_link(line.select("l_orderkey", "l_linenumber"), orders.filter("o_orderkey % 17 <> 0"), "l_orderkey", "o_orderkey")
+
+
+@query("""select l_orderkey || '|' || l_linenumber source_row_key, l_orderkey::varchar raw_value from lineitem
+  where l_orderkey not in (select o_orderkey from orders where o_orderkey % 17 <> 0)""")
+def orphans(spark, sf_dir):
+    line, orders = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("lineitem", "orders"))
+    lost = stamps.orphans(line, orders.filter("o_orderkey % 17 <> 0"), "l_orderkey", "o_orderkey")
+    return lost.select(clean.row_key("l_orderkey", "l_linenumber").alias("source_row_key"), F.col("l_orderkey").cast("string").alias("raw_value"))
+
+
+BOOK = {"book": inputs.CODEBOOK}
+
+
+@query(with_(RAW | BOOK, """select o_orderkey, prio_raw prio, o_orderstatus status, p.label prio_label, s.label status_label from raw
+  left join book p on p.variable = 'prio' and p.code = prio_raw left join book s on s.variable = 'status' and s.code = o_orderstatus"""))
+def decode_labels(spark, sf_dir):
+    coded = raw_orders(spark, sf_dir).select("o_orderkey", F.col("prio_raw").alias("prio"), F.col("o_orderstatus").alias("status"))
+    return decode.labelled(coded, relation(spark, sf_dir, inputs.CODEBOOK), ["prio", "status"])
+
+
+@query(with_(RAW | BOOK, """select 'prio' variable, count(*) filter (prio_raw not in (select code from book where variable = 'prio')) n_undecoded from raw
+  union all select 'status', count(*) filter (o_orderstatus not in (select code from book where variable = 'status')) from raw"""))
+def undecoded_codes(spark, sf_dir):
+    coded = raw_orders(spark, sf_dir).select("o_orderkey", F.col("prio_raw").alias("prio"), F.col("o_orderstatus").alias("status"))
+    return decode.undecoded(coded, relation(spark, sf_dir, inputs.CODEBOOK), ["prio", "status"])
+
+
+EDITIONS = {"ed": inputs.EDITIONS}
+
+
+@query(with_(EDITIONS, "select source_id, valid_from, lead(valid_from) over (partition by source_id order by valid_from) valid_to from ed"))
+def vintage_windows(spark, sf_dir):
+    return vintages.chained(relation(spark, sf_dir, inputs.EDITIONS)).select("source_id", "valid_from", "valid_to")
+
+
+@query(with_(EDITIONS, """, w as (select source_id, valid_from, lead(valid_from) over (partition by source_id order by valid_from) valid_to from ed),
+  m as (select *, valid_from <= date '1991-12-31' and (valid_to is null or valid_to > date '1990-01-01') ok, min(valid_from) over (partition by source_id) f from w),
+  n as (select *, bool_or(ok) over (partition by source_id) any_ from m)
+  select source_id, valid_from, valid_to from n where ok or (not any_ and valid_from = f)""").replace("\n,", ",", 1))
+def vintage_selection(spark, sf_dir):
+    windows = vintages.chained(relation(spark, sf_dir, inputs.EDITIONS))
+    return vintages.selected(windows, "temporal", (1990, 1991)).select("source_id", "valid_from", "valid_to")
+
+
+EDGES = {"edges": inputs.AREA_EDGES}
+
+
+def located_sql(points: str, predicate: str) -> str:
+    return f"""hit as (select o_orderkey, area_code from {points} p join edges g on {predicate} and (y1 > northing) != (y2 > northing)
+    and easting < (x2 - x1) * (northing - y1) / (y2 - y1) + x1 group by o_orderkey, area_code having count(*) % 2 = 1),
+  stamp as (select o_orderkey, min(area_code) lad_code from hit group by o_orderkey)"""
+
+
+def points_of(spark, sf_dir):
+    return silver_orders(spark, sf_dir).select("o_orderkey", "o_custkey", "easting", "northing", "datetime_local")
+
+
+@query(with_(RAW | EDGES, f", {SILVER}, {located_sql('silver', 'valid_to is null')} select o_orderkey, lad_code from silver left join stamp using (o_orderkey)").replace("\n,", ",", 1))
+def point_in_polygon_snapshot(spark, sf_dir):
+    stamped = spatial.with_area(points_of(spark, sf_dir), inputs.areas(spark, sf_dir), "o_orderkey", "lad_code")
+    return stamped.select("o_orderkey", "lad_code")
+
+
+DAY = "(valid_from <= datetime_local::date and (valid_to is null or datetime_local::date < valid_to))"
+JULY = "(valid_from <= make_date(year(datetime_local), 7, 1) and (valid_to is null or make_date(year(datetime_local), 7, 1) < valid_to))"
+
+
+@query(with_(RAW | EDGES, f", {SILVER}, {located_sql('silver', DAY)} select o_orderkey, lad_code from silver left join stamp using (o_orderkey)").replace("\n,", ",", 1))
+def point_in_polygon_temporal(spark, sf_dir):
+    day = F.col("datetime_local").cast("date")
+    return spatial.with_area(points_of(spark, sf_dir), inputs.areas(spark, sf_dir), "o_orderkey", "lad_code", "temporal", day).select("o_orderkey", "lad_code")
+
+
+@query(with_(RAW | EDGES, f", {SILVER}, {located_sql('silver', JULY)} select o_orderkey, lad_code from silver left join stamp using (o_orderkey)").replace("\n,", ",", 1))
+def point_in_polygon_midyear(spark, sf_dir):
+    day = vintages.mid_year(F.year("datetime_local"))
+    return spatial.with_area(points_of(spark, sf_dir), inputs.areas(spark, sf_dir), "o_orderkey", "lad_code", "temporal", day).select("o_orderkey", "lad_code")
+
+
+@query("""select n_nationkey, n_nationkey % 3 = 0 geom_valid from nation""")
+def boundary_validity(spark, sf_dir):
+    k = F.col("n_nationkey")
+    p = lambda x, y: F.struct((k % 5 + x).cast("double").alias("x"), (k + y).cast("double").alias("y"))
+    square = F.array(p(0, 0), p(1, 0), p(1, 1), p(0, 1), p(0, 0))
+    open_, bow = F.array(p(0, 0), p(1, 0), p(1, 1), p(0, 1)), F.array(p(0, 0), p(1, 1), p(1, 0), p(0, 1), p(0, 0))
+    rings = F.when(k % 3 == 0, square).when(k % 3 == 1, open_).otherwise(bow)
+    shapes = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", F.array(F.array(rings)).alias("polygons"))
+    return spatial.boundary_validity(shapes.withColumn("edges", edges_of("polygons"))).select("n_nationkey", "geom_valid")
+
+
+def stages_sql(start: str, stages: list[dict[str, str]]) -> str:
+    out, at = [], start
+    for k, stage in enumerate(stages):
+        out.append(f"st{k} as (select *, {', '.join(f'{e} as {n}' for n, e in stage.items())} from {at})")
+        at = f"st{k}"
+    return ", ".join(out)
+
+
+GEO = grid_to_degrees_stages("easting", "northing")
+
+
+@query(with_(RAW, f", {POINT}, {stages_sql('e', GEO)} select o_orderkey, round(lon, 6) lon, round(lat, 6) lat from st{len(GEO) - 1}").replace("\n,", ",", 1))
+def reproject_points(spark, sf_dir):
+    points = raw_orders(spark, sf_dir).select("o_orderkey", *clean.sentinel_point("easting_raw", "northing_raw"))
+    return grid_to_degrees(points).select("o_orderkey", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"))
+
+
+LONDON = "(({}) at time zone 'UTC') at time zone 'Europe/London'"
+
+
+@query(with_({"grid": inputs.GRID, "ev": inputs.PLACED_EVENTS}, f""", cells as (select round(lat * 10)::int a, round(lon * 10)::int b, date_trunc('hour', {LONDON.format('time_utc')}) h,
+    min(case when t2m is null or isnan(t2m) then null else t2m - 273.15 end) t, min(tp * 1000) p from grid group by all)
+  select event_id, round(t, 4) temperature_c, round(p, 4) precipitation_mm from ev left join cells
+  on a = round(lat * 10)::int and b = round(lon * 10)::int and h = date_trunc('hour', {LONDON.format('ts')}) and not time_imputed""").replace("\n,", ",", 1))
+def grid_hour_stamp(spark, sf_dir):
+    grid = relation(spark, sf_dir, inputs.GRID).select(
+        clean.grid_index("lat").alias("lat_idx"),
+        clean.grid_index("lon").alias("lon_idx"),
+        to_local("time_utc").alias("datetime_local"),
+        clean.measured("t2m", offset=-273.15).alias("temperature_c"),
+        clean.measured("tp", scale=1000.0).alias("precipitation_mm"),
+    )
+    events = relation(spark, sf_dir, inputs.PLACED_EVENTS).withColumn("datetime_local", to_local("ts"))
+    stamped = stamps.with_weather(events, grid, ["temperature_c", "precipitation_mm"])
+    return stamped.select("event_id", F.round("temperature_c", 4).alias("temperature_c"), F.round("precipitation_mm", 4).alias("precipitation_mm"))
+
+
+@query("""select vec_id, i // 8 as hour, (i % 8) // 4 as y, i % 4 as x, round(v, 5) v from (
+  select vec_id, unnest(range(0, len(embedding) // 8 * 8)) i, unnest(embedding[:len(embedding) // 8 * 8])::double v from embeddings)""")
+def cube_to_long(spark, sf_dir):
+    """Vectors read as cubes of hours, two rows and four columns."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    hours = F.floor(F.size("embedding") / 8).cast("int")
+    cubes = vectors.select(
+        "vec_id",
+        F.sequence(F.lit(0), hours - 1).alias("times"),
+        F.array(F.lit(0), F.lit(1)).alias("lats"),
+        F.array(*(F.lit(k) for k in range(4))).alias("lons"),
+        F.slice("embedding", F.lit(1), hours * 8).alias("v"),
+        F.transform(F.slice("embedding", F.lit(1), hours * 8), lambda _: F.col("vec_id")).alias("id"),
+    )
+    rows = files.cube_rows(cubes, ["v", "id"])
+    return rows.select(F.col("id").alias("vec_id"), F.col("time_utc").alias("hour"), F.col("lat").alias("y"), F.col("lon").alias("x"), F.round(F.col("v").cast("double"), 5).alias("v"))
+
+
+@query("""select n_nationkey, 'd' || n_regionkey division, n_name || i title, cast('2023-0' || i || '-01' as date) holiday_date, case when i = 2 then 'moved' else '' end notes,
+  case when i = 1 then true end bunting from nation, (values (1), (2)) v(i)""")
+def json_flatten(spark, sf_dir):
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    text = F.format_string(
+        '{"d%d": {"division": "d%d", "events": [{"title": "%s1", "date": "2023-01-01", "bunting": true}, {"title": "%s2", "date": "2023-02-01", "notes": "moved"}]}}',
+        "n_regionkey", "n_regionkey", "n_name", "n_name",
+    )
+    rows = files.calendar_days(files.holidays(nation.select(text.alias("j")), "j"))
+    key = nation.select("n_nationkey", "n_name")
+    return rows.join(key, F.col("title").substr(F.lit(1), F.length("title") - 1) == F.col("n_name")).select("n_nationkey", "division", "title", "holiday_date", "notes", "bunting")
+
+
+AREA_OF = f"case when o_orderkey % 23 = 0 then null else {inputs.code('c_nationkey', 1)} end"
+
+
+@query(with_({"hol": inputs.HOLIDAYS}, f""", o as (select o_orderkey, case when o_orderkey % 71 = 0 then null else o_orderdate::date end d, {AREA_OF} lad_code from orders join customer on o_custkey = c_custkey),
+  z as (select *, case when lad_code[1] in ('E', 'W') then 'england-and-wales' when lad_code[1] = 'S' then 'scotland' when lad_code[1] = 'N' then 'northern-ireland' end dv from o),
+  c as (select division, min(year(holiday_date)) a, max(year(holiday_date)) b from hol group by division)
+  select o_orderkey, lad_code, case when year(d) between a and b then exists (select 1 from hol h where h.division = dv and h.holiday_date = d) end is_bank_holiday
+  from z left join c on dv = division""").replace("\n,", ",", 1))
+def calendar_tristate(spark, sf_dir):
+    orders = relation(spark, sf_dir, f"select o_orderkey, case when o_orderkey % 71 = 0 then null else o_orderdate end as day, {AREA_OF} as lad_code from {{orders}} join {{customer}} on o_custkey = c_custkey")
+    return stamps.with_holiday(orders, relation(spark, sf_dir, inputs.HOLIDAYS), "lad_code", "day").select("o_orderkey", "lad_code", "is_bank_holiday")
+
+
+@query("""select o_orderkey, case when o_orderkey % 5 = 0 then o_totalprice * 2 else o_totalprice end price from orders""")
+def update_from_match(spark, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", F.col("o_totalprice").alias("price"))
+    match = orders.filter("o_orderkey % 5 = 0").select("o_orderkey", (F.col("price") * 2).alias("price"))
+    return stamps.overwritten(orders, match, "o_orderkey", "price").select("o_orderkey", "price")
+
+
+SOLAR = solar_stages("epoch_s", "lat", "lon")
+SUN_SQL = f"""ev2 as (select *, case when not time_imputed then date_diff('second', timestamp '1970-01-01', ts)::double end as epoch_s from ev), {stages_sql('ev2', SOLAR)},
+  sun as (select event_id, user_id, ts, lat, lon, value, time_imputed, solar_elevation, solar_azimuth from st{len(SOLAR) - 1})"""
+
+
+def sun(spark, sf_dir):
+    events = relation(spark, sf_dir, inputs.PLACED_EVENTS)
+    seconds = F.when(~F.col("time_imputed"), epoch_seconds(F.col("ts")).cast("double"))
+    return solar_position(events.withColumn("epoch_s", seconds))
+
+
+def sun_sql(body: str) -> str:
+    return with_({"ev": inputs.PLACED_EVENTS}, f", {SUN_SQL} {body}").replace("\n,", ",", 1)
+
+
+@query(sun_sql("select event_id, round(solar_elevation, 4) elevation, round(solar_azimuth, 3) azimuth from sun"))
+def solar_position_of_events(spark, sf_dir):
+    return sun(spark, sf_dir).select("event_id", F.round("solar_elevation", 4).alias("elevation"), F.round("solar_azimuth", 3).alias("azimuth"))
+
+
+@query(with_({"ev": inputs.PLACED_EVENTS}, """select event_id, ts + interval 270 day local_time, ((ts + interval 270 day) at time zone 'Europe/London') at time zone 'UTC' utc_time,
+  ((ts + interval 180 day) at time zone 'UTC') at time zone 'Europe/London' summer_time from ev"""))
+def civil_time(spark, sf_dir):
+    events = relation(spark, sf_dir, inputs.PLACED_EVENTS)
+    local = F.col("ts") + F.expr("interval 270 days")
+    return events.select("event_id", local.alias("local_time"), to_utc(local).alias("utc_time"), to_local(F.col("ts") + F.expr("interval 180 days")).alias("summer_time"))
+
+
+# ---- published analyses ---------------------------------------------------------------------------------------
+
+
+@query(with_(RAW | EDGES | {"counts": inputs.RAW_COUNTS}, f""", {SILVER}, {located_sql('silver', 'valid_to is null')},
+  crashes as (select 'R' || (o_custkey % 22) road_name, lad_code, count(*) n_events from silver join stamp using (o_orderkey) where prio_valid group by all),
+  traffic as (select road_name, {inputs.code('(l_partkey % 25)', 1)} lad_code, sum(try_cast(volume_raw as bigint) * link_length_km) daily_vkm, count(distinct l_partkey) n_points
+    from counts where year = 1997 and coalesce(try_cast(volume_raw as bigint) >= 0, false) group by all)
+  select road_name, lad_code, n_events, round(daily_vkm, 2) daily_vkm, n_points, round(n_events / nullif(daily_vkm * 365 / 1e6, 0), 4) rate
+  from traffic join crashes using (road_name, lad_code)""").replace("\n,", ",", 1))
+def exposure_rate(spark, sf_dir):
+    """Events per million vehicle-kilometres by road and area."""
+    events = clean.gold(silver_orders(spark, sf_dir), ["prio_valid"]).select("o_orderkey", "o_custkey", "easting", "northing")
+    stamp = spatial.area_stamp(events, inputs.areas(spark, sf_dir), "o_orderkey").withColumnRenamed("area_code", "lad_code")
+    crashes = events.join(stamp, "o_orderkey").groupBy(F.concat(F.lit("R"), F.col("o_custkey") % 22).alias("road_name"), "lad_code").agg(F.count("*").alias("n_events"))
+    counts = relation(spark, sf_dir, inputs.RAW_COUNTS).filter("year = 1997")
+    area = F.expr(inputs.code("(l_partkey % 25)", 1))
+    counts = counts.select("road_name", area.alias("lad_code"), "l_partkey", "link_length_km", *clean.count_field("volume_raw", "volume"))
+    traffic = clean.gold(counts, ["volume_valid"]).groupBy("road_name", "lad_code").agg(F.sum(F.col("volume") * F.col("link_length_km")).alias("daily_vkm"), F.countDistinct("l_partkey").alias("n_points"))
+    rate = F.try_divide(F.col("n_events").cast("double"), F.col("daily_vkm") * 365 / 1e6)
+    both = traffic.join(crashes, ["road_name", "lad_code"])
+    return both.select("road_name", "lad_code", "n_events", F.round("daily_vkm", 2).alias("daily_vkm"), "n_points", F.round(rate, 4).alias("rate")).orderBy(F.desc("rate"), "road_name", "lad_code")
+
+
+@query(sun_sql(""", v as (select *, 1 + user_id % 8 code from sun), d as (select s.event_id, o.event_id other_id, round(180 - abs(abs(s.solar_azimuth - (o.code * 45) % 360) - 180), 3) off_axis,
+  round(s.solar_elevation, 3) elevation from sun s join v o on s.user_id = o.user_id and s.event_id <> o.event_id where s.solar_elevation between 0 and 10 and o.event_id % 4 = 0)
+  select * from d where off_axis <= 30 order by off_axis, event_id, other_id limit 200""").replace(f"from st{len(SOLAR) - 1}) ,", f"from st{len(SOLAR) - 1}),"))
+def glare_pairs(spark, sf_dir):
+    """Low sun within 30 degrees of another event's heading; the 200 closest."""
+    low = sun(spark, sf_dir).filter(F.col("solar_elevation").between(0, 10)).select("event_id", "user_id", "solar_azimuth", "solar_elevation")
+    heading = relation(spark, sf_dir, inputs.PLACED_EVENTS).filter("event_id % 4 = 0").select(F.col("event_id").alias("other_id"), "user_id", clean.bearing(1 + F.col("user_id") % 8).alias("heading"))
+    pairs = low.join(heading, "user_id").filter("event_id <> other_id")
+    off = F.round(clean.angle_between(F.col("solar_azimuth"), F.col("heading")), 3)
+    return pairs.select("event_id", "other_id", off.alias("off_axis"), F.round("solar_elevation", 3).alias("elevation")).filter("off_axis <= 30").orderBy("off_axis", "event_id", "other_id").limit(200)
+
+
+@query(sun_sql("select count(*) n from sun where solar_elevation between 0 and 10 and solar_azimuth between 60 and 120"))
+def low_sun_count(spark, sf_dir):
+    return sun(spark, sf_dir).filter(F.col("solar_elevation").between(0, 10) & F.col("solar_azimuth").between(60, 120)).agg(F.count("*").alias("n"))
+
+
+@query(with_(RAW | EDGES | {"hol": inputs.HOLIDAYS}, f""", {SILVER}, {located_sql('silver', 'valid_to is null')},
+  one as (select * from silver join stamp using (o_orderkey) where geom_valid and datetime_valid and prio_valid order by datetime_local, o_orderkey limit 1),
+  cv as (select division, min(year(holiday_date)) a, max(year(holiday_date)) b from hol group by division),
+  z as (select *, case when lad_code[1] in ('E', 'W') then 'england-and-wales' when lad_code[1] = 'S' then 'scotland' when lad_code[1] = 'N' then 'northern-ireland' end dv from one)
+  select o_orderkey, datetime_local, prio, lad_code, case when year(datetime_local) between a and b then exists (select 1 from hol h where h.division = dv and h.holiday_date = datetime_local::date) end is_bank_holiday
+  from z left join cv on dv = division""").replace("\n,", ",", 1))
+def unified_record(spark, sf_dir):
+    """The earliest valid event that lies in an area, with all its stamps."""
+    good = clean.gold(silver_orders(spark, sf_dir), ["geom_valid", "datetime_valid", "prio_valid"])
+    stamped = spatial.with_area(good, inputs.areas(spark, sf_dir), "o_orderkey", "lad_code").filter("lad_code is not null")
+    first = stamped.orderBy("datetime_local", "o_orderkey").limit(1)
+    return stamps.with_holiday(first, relation(spark, sf_dir, inputs.HOLIDAYS), "lad_code", "datetime_local").select("o_orderkey", "datetime_local", "prio", "lad_code", "is_bank_holiday")
+
+
+LINE = "case when o_orderkey % 103 = 0 then cast(o_orderkey as string) || ',' || o_orderstatus when o_orderkey % 107 = 0 then cast(o_orderkey as string) || ',a,b,c' else cast(o_orderkey as string) || ',' || o_orderstatus || ',' || o_orderpriority end"
+
+
+@query(f"""with l as (select {LINE} line from orders), n as (select line, len(line) - len(replace(line, ',', '')) c from l)
+  select line, c = 2 loaded, case when c = 2 then split_part(line, ',', 1) end a, case when c = 2 then split_part(line, ',', 3) end p from n""")
+def csv_quarantine(spark, sf_dir):
+    lines = relation(spark, sf_dir, f"select {LINE} as line from {{orders}}")
+    good, bad = files.split_lines(lines, "line", ["a", "s", "p"], "orders")
+    loaded = good.select(F.concat_ws(",", "a", "s", "p").alias("line"), F.lit(True).alias("loaded"), "a", "p")
+    return files.united([loaded, bad.select(F.col("raw_text").alias("line"), F.lit(False).alias("loaded"))])
+
+
+@query()
+def provenance_row(spark, sf_dir):
+    """Versions and parameters, with the number of rows they stand for."""
+    n = spark.read.parquet(f"{sf_dir}/orders.parquet").agg(F.count("*").alias("n_orders"))
+    return audit.provenance(spark, "0.1.0", 1, {"years": [1995, 2001], "mode": "snapshot"}).join(n, F.lit(True))
