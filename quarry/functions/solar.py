@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from quarry.functions.geo import staged
 
 
+def clamped(x: str) -> str:
+    """Within -1 and 1; null stays null, as greatest() and least() would not have it."""
+    return f"case when {x} > 1 then 1.0 when {x} < -1 then -1.0 else {x} end"
+
+
 def stages(seconds: str = "epoch_s", lat: str = "lat", lon: str = "lon") -> list[dict[str, str]]:
     """Column texts from UTC epoch seconds and degrees; plain arithmetic that any SQL engine takes."""
     sin, cos = (lambda x, f=f: f"{f}(radians({x}))" for f in ("sin", "cos"))
@@ -29,9 +34,11 @@ def stages(seconds: str = "epoch_s", lat: str = "lat", lon: str = "lon") -> list
         },
         {"s_t": f"mod(mod(s_min + s_eot + 4 * {lon}, 1440.0) + 1440.0, 1440.0)"},
         {"s_h": "case when s_t / 4 < 0 then s_t / 4 + 180 else s_t / 4 - 180 end"},
-        {"s_z": f"acos(greatest(-1.0, least(1.0, {sin(lat)} * sin(s_decl) + {cos(lat)} * cos(s_decl) * {cos('s_h')})))"},
+        {"s_cosz": f"{sin(lat)} * sin(s_decl) + {cos(lat)} * cos(s_decl) * {cos('s_h')}"},
+        {"s_z": f"acos({clamped('s_cosz')})"},
         {"s_up": "90 - degrees(s_z)", "s_den": f"{cos(lat)} * sin(s_z)"},
-        {"s_ratio": f"case when abs(s_den) < 1e-12 then null else greatest(-1.0, least(1.0, ({sin(lat)} * cos(s_z) - sin(s_decl)) / s_den)) end"},
+        {"s_rel": f"case when abs(s_den) < 1e-12 then null else ({sin(lat)} * cos(s_z) - sin(s_decl)) / s_den end"},
+        {"s_ratio": clamped("s_rel")},
         {
             "s_tan": "tan(radians(s_up))",
             "solar_azimuth": "case when s_h > 0 then mod(degrees(acos(s_ratio)) + 180, 360.0) else mod(540 - degrees(acos(s_ratio)), 360.0) end",

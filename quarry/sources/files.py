@@ -31,7 +31,9 @@ def csv_bronze(spark: SparkSession, paths: Sequence[str], source_id: str, multi_
         parts.append(reader.csv(path))
     both = united(parts)
     good = both.filter(F.col(BAD).isNull()).drop(BAD)
-    bad = both.filter(F.col(BAD).isNotNull()).select(F.lit(source_id).alias("source_id"), F.col(BAD).alias("raw_text"), F.lit("malformed line").alias("reason"), F.current_timestamp().alias("ingested_at"))
+    # Spark refuses to read the corrupt record alone, so another column is looked at along with it
+    other = next(c for c in both.columns if c != BAD)
+    bad = both.filter(F.col(BAD).isNotNull() & (F.length(F.concat_ws("", other, BAD)) >= 0)).select(F.lit(source_id).alias("source_id"), F.col(BAD).alias("raw_text"), F.lit("malformed line").alias("reason"), F.current_timestamp().alias("ingested_at"))
     return good, bad
 
 
