@@ -23,18 +23,17 @@ def csv_bronze(spark: SparkSession, paths: Sequence[str], source_id: str, multi_
 
     columnPruning is off: with it, a query of few columns would not see that a line is malformed.
     """
-    parts = []
+    good, bad = [], []
     for path in paths:
         names = csv_header(spark, path)
         schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, BAD]])
         reader = spark.read.schema(schema).options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD, columnPruning=False, multiLine=multi_line)
-        parts.append(reader.csv(path))
-    both = united(parts)
-    good = both.filter(F.col(BAD).isNull()).drop(BAD)
-    # Spark refuses to read the corrupt record alone, so another column is looked at along with it
-    other = next(c for c in both.columns if c != BAD)
-    bad = both.filter(F.col(BAD).isNotNull() & (F.length(F.concat_ws("", other, BAD)) >= 0)).select(F.lit(source_id).alias("source_id"), F.col(BAD).alias("raw_text"), F.lit("malformed line").alias("reason"), F.current_timestamp().alias("ingested_at"))
-    return good, bad
+        rows = reader.csv(path)
+        good.append(rows.filter(F.col(BAD).isNull()).drop(BAD))
+        # Spark refuses to read the corrupt record alone, so another column is looked at along with it
+        lost = rows.filter(F.col(BAD).isNotNull() & (F.length(F.concat_ws("", names[0], BAD)) >= 0))
+        bad.append(lost.select(F.lit(source_id).alias("source_id"), F.col(BAD).alias("raw_text"), F.lit("malformed line").alias("reason"), F.current_timestamp().alias("ingested_at")))
+    return united(good), united(bad)
 
 
 def csv_source_rows(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
