@@ -15,13 +15,15 @@ among any so many plus one of the words of each, taken in one common order, ther
 - Documents with one set of shingles are one row from the start. Of the documents with a word in common each
   is first verified against one of them; what is then in one component needs no more pairs. Only words
   whose documents still lie in several components give pairs among those components, so that no link is lost.
+  There the join itself compares parity sketches of single bits, two for each shingle: pairs too far apart
+  for a link never leave it.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.census import Ledger, blocks_of, census, ordered, picked
@@ -31,8 +33,9 @@ from quarry.llm.wordscan import BLANKS, Words, batches, byte_table, distinct, mi
 
 SIZE = 5
 TABLE = byte_table(BLANKS)
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 KEYS_PER_BYTE = 0.15
+MOST_BITS = 16
 LIMITS = np.array([int((2 ** (2 * k + 1)) ** 0.5) for k in range(31)], dtype=np.int64)  # largest size of band k
 
 
@@ -84,15 +87,25 @@ class Sketches:
             self.sketch = np.concatenate([self.sketch, number])
             self.doc = np.concatenate([self.doc, self.doc[few]])
             self.allowed = np.concatenate([self.allowed, self.allowed[few]])
+            self.band = np.concatenate([self.band, self.band[few]])
 
-    def prefixes(self, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Keys to meet by, and their texts: the rarest words of each sketch, but for those nobody else has."""
+    def prefixes(self, count: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Keys to meet by, their texts, ranks and bands: the rarest words of each sketch, but for those nobody else has."""
         order = np.lexsort((self.key, count, self.sketch))
         sketch = self.sketch[order]
         begin = np.searchsorted(sketch, np.arange(len(self.doc)))
         rank = np.arange(len(sketch)) - begin[sketch]
         chosen = order[(rank <= self.allowed[sketch]) & (count[order] >= 2)]
-        return self.key[chosen], self.doc[self.sketch[chosen]]
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = rank
+        return self.key[chosen], self.doc[self.sketch[chosen]], place[chosen], self.band[self.sketch[chosen]]
+
+
+def parity(tokens: np.ndarray, band: int) -> np.ndarray:
+    """One bit for about half a shingle: the parity of the hashes that fall on it, as 64-bit words."""
+    bits = 1 << min(max(band + 1, 6), MOST_BITS)
+    odd = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -122,14 +135,45 @@ def candidates(table, answer, buckets: int):
     values, doc = sets(texts)
     sketches = Sketches(values, doc, len(texts))
     count = Ledger(sketches.key, sketches.doc[sketches.sketch], buckets).told(answer)
-    keys, of = sketches.prefixes(count)
+    keys, of, rank, band = sketches.prefixes(count)
     order = np.argsort(of, kind="stable")
-    keys, of = keys[order], of[order]
+    keys, of, rank, band = keys[order], of[order], rank[order], band[order]
     some = np.unique(of)
     a, b = np.searchsorted(of, some), np.searchsorted(of, some, "right")
     c, d = np.searchsorted(doc, some), np.searchsorted(doc, some, "right")
-    lists = lambda v, lo, hi: pa.array([v[i:j].view(np.int64) for i, j in zip(lo, hi)], pa.list_(pa.int64()))
-    return pa.table({"doc_id": pa.array(ids[some], pa.int64()), "n": pa.array(d - c, pa.int64()), "keys": lists(keys, a, b), "tokens": lists(values, c, d)})
+    lists = lambda v, lo, hi: pa.array([v[i:j] for i, j in zip(lo, hi)], pa.list_(pa.int64()))
+    own = np.searchsorted(LIMITS, d - c, "left")
+    bits = [[parity(values[i:j], k + up) for i, j, k in zip(c, d, own)] for up in (0, 1)]
+    return pa.table(
+        {
+            "doc_id": pa.array(ids[some], pa.int64()),
+            "n": pa.array(d - c, pa.int64()),
+            "keys": lists(keys.view(np.int64), a, b),
+            "ranks": lists(rank, a, b),
+            "ups": lists(band - np.repeat(own, b - a), a, b),
+            "bits": pa.array(bits[0], pa.list_(pa.int64())),
+            "bits_up": pa.array(bits[1], pa.list_(pa.int64())),
+            "tokens": lists(values.view(np.int64), c, d),
+        }
+    )
+
+
+FOUND = "doc_id long, n long, keys array<long>, ranks array<long>, ups array<long>, bits array<long>, bits_up array<long>, tokens array<long>"
+
+
+def may_link(n: str, rank: str, other_n: str, other_rank: str) -> Column:
+    """Sizes allow a link, and the word stands early enough in both orders for a difference these sizes allow.
+
+    Of linked sets some shared word has a rank of at most the difference in both sketches, so others need not lead to the pair.
+    """
+    a, b = F.col(n), F.col(other_n)
+    early = F.floor((a + b) / 7) >= F.greatest(rank, other_rank)
+    return (4 * a >= 3 * b) & (4 * b >= 3 * a) & early
+
+
+def near(a: str, b: str, most: Column) -> Column:
+    """The Hamming distance of two parity sketches, which the symmetric difference is never below, is small enough."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x) <= most
 
 
 def linked(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -143,26 +187,32 @@ def linked(pairs: DataFrame, found: DataFrame) -> DataFrame:
 
 def links_of(found: DataFrame) -> DataFrame:
     """Links among distinct sets that suffice for the components."""
-    keys = saved(found.select("doc_id", "n", F.explode("keys").alias("key")), "keys")
+    each = found.select("doc_id", "n", F.explode(F.arrays_zip("keys", "ranks", "ups")).alias("x"))
+    keys = saved(each.select("doc_id", "n", F.col("x.keys").alias("key"), F.col("x.ranks").alias("rank"), F.col("x.ups").alias("up")), "keys")
     label = keys.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("component")).limit(0)
     links = tested = None
     for turn in range(STAR_ROUNDS + 1):
-        own = keys if turn == 0 else keys.join(label, keys.doc_id == label.node, "left").select("doc_id", "n", "key", F.coalesce("component", "doc_id").alias("component"))
+        own = keys if turn == 0 else keys.join(label, keys.doc_id == label.node, "left").select("doc_id", "n", "key", "rank", "up", F.coalesce("component", "doc_id").alias("component"))
         if turn:
             open_ = own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
             own = saved(own.join(open_, "key"), "open")
         if turn < STAR_ROUNDS:
-            rank = F.col("doc_id") if turn == 0 else F.xxhash64("doc_id", F.lit(turn))
-            lead = own.groupBy("key").agg(F.min_by("doc_id", rank).alias("lead")) if turn else own.groupBy("key").agg(F.min("doc_id").alias("lead"))
-            pairs = own.join(lead, "key").filter("doc_id <> lead")
+            # the document in which the word stands first, so that has the fewest rarer ones, is most like the others
+            # in a later round another one, by hash
+            first = F.col("rank") if turn == 0 else F.xxhash64("doc_id", F.lit(turn))
+            lead = own.groupBy("key").agg(F.min(F.struct(first.alias("first"), "doc_id", "n", "rank")).alias("l"))
+            lead = lead.select("key", F.col("l.doc_id").alias("lead"), F.col("l.n").alias("lead_n"), F.col("l.rank").alias("lead_rank"))
+            pairs = own.join(lead, "key").filter("doc_id <> lead").filter(may_link("n", "rank", "lead_n", "lead_rank"))
             if turn:
                 heads = label.select(F.col("node").alias("lead"), F.col("component").alias("of_lead"))
                 pairs = pairs.join(heads, "lead", "left").filter(F.col("component") != F.coalesce("of_lead", "lead"))
             pairs = pairs.select(F.least("lead", "doc_id").alias("a"), F.greatest("lead", "doc_id").alias("b")).distinct()
         else:
-            one, two = own.alias("one"), own.alias("two")
+            sketched = own.join(found.select("doc_id", "bits", "bits_up"), "doc_id")
+            sketched = sketched.select("doc_id", "n", "key", "rank", "component", F.when(F.col("up") == 0, F.col("bits")).otherwise(F.col("bits_up")).alias("bits"))
+            one, two = sketched.alias("one"), sketched.alias("two")
             fits = (F.col("one.key") == F.col("two.key")) & (F.col("one.component") != F.col("two.component")) & (F.col("one.doc_id") < F.col("two.doc_id"))
-            fits &= (4 * F.col("one.n") >= 3 * F.col("two.n")) & (4 * F.col("two.n") >= 3 * F.col("one.n"))
+            fits &= may_link("one.n", "one.rank", "two.n", "two.rank") & near("one.bits", "two.bits", F.floor((F.col("one.n") + F.col("two.n")) / 7))
             pairs = one.join(two, fits).select(F.col("one.doc_id").alias("a"), F.col("two.doc_id").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -192,7 +242,7 @@ def joined(docs: DataFrame) -> DataFrame:
     answers, buckets = census(dealt, int(n_bytes * KEYS_PER_BYTE) + 1, words_of, chosen)
     both = answers.unionByName(chosen, allowMissingColumns=True)
     found = dealt.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(
-        lambda table, answer: candidates(table, answer, buckets), "doc_id long, n long, keys array<long>, tokens array<long>"
+        lambda table, answer: candidates(table, answer, buckets), FOUND
     )
     label = components(links_of(saved(found, "candidates")))
     known = classes.join(label, classes["first"] == label.node, "left").select("n_shingles", "h1", "h2", F.coalesce("component", "first").alias("component_id"))
