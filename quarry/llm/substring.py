@@ -28,9 +28,10 @@ from quarry.llm.wordscan import batches, mix
 
 LENGTH = 50
 GRAM = 20
-HOT = 500
+HOT = 5000
+HOT_WINDOWS = 1 << 17
 KEYS_PER_BYTE = 0.066
-BUCKET_BYTES = 6 << 20
+BUCKET_BYTES = 3 << 20
 _BASE = 0xD6E8FEB86659FD93
 _M64 = (1 << 64) - 1
 
@@ -122,20 +123,32 @@ def shared_segments(key, table, answer, buckets, targets, hot):
         own = some[a:b]
         data = b"".join(texts[d][s : s + n + LENGTH - 1] for d, s, n in zip(doc[own].tolist(), starts[own].tolist(), counts[own].tolist()))
         rows.append((int(target[a]), None, None, block, ids[doc[own]].astype(np.int64).tobytes(), starts[own].tobytes(), counts[own].astype(np.int32).tobytes(), data))
-    windows: dict[bytes, list[tuple[int, int]]] = {}
     many = np.flatnonzero(total > hot)
-    for d, s, n in zip(doc[many].tolist(), starts[many].tolist(), counts[many].tolist()):
-        text, i = texts[d], int(ids[d])
-        for k in range(s, s + n):
-            windows.setdefault(text[k : k + LENGTH], []).append((i, k))
-    for win, places in windows.items():
-        pairs = np.array(places, dtype=np.int64)
-        rows.append((None, win, int(pairs[:, 0].min()), block, pairs[:, 0].tobytes(), pairs[:, 1].tobytes(), None, None))
+    for part in np.array_split(many, int(counts[many].sum()) // HOT_WINDOWS + 1):
+        rows += [(None, win, least, block, own.tobytes(), at.tobytes(), None, None) for win, least, own, at in single_windows(texts, ids, doc[part], starts[part], counts[part])]
     types = [pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
     names = ["bucket", "win", "least", "block", "ids", "starts", "counts", "data"]
     return pa.table({n: pa.array([r[k] for r in rows], t) for k, (n, t) in enumerate(zip(names, types))})
 
 
+def single_windows(texts: list[bytes], ids: np.ndarray, doc: np.ndarray, starts: np.ndarray, counts: np.ndarray):
+    """Distinct windows of some segments: bytes, least doc_id, and the doc_ids and starts of all places."""
+    if not len(doc):
+        return
+    data = b"".join(texts[d][s : s + n + LENGTH - 1] for d, s, n in zip(doc.tolist(), starts.tolist(), counts.tolist()))
+    segment = np.repeat(np.arange(len(doc)), counts)
+    step = np.arange(len(segment)) - np.repeat(np.cumsum(counts) - counts, counts)
+    size = counts + LENGTH - 1
+    place = (np.cumsum(size) - size)[segment] + step
+    _, first, number = np.unique(rolling(np.frombuffer(data, dtype=np.uint8), LENGTH)[place], return_index=True, return_inverse=True)
+    own, at = ids[doc[segment]].astype(np.int64), (starts[segment] + step).astype(np.int64)
+    order = np.argsort(number, kind="stable")
+    cuts = np.append(np.searchsorted(number[order], np.arange(len(first))), len(order))
+    for k, f in enumerate(place[first].tolist()):
+        places = order[cuts[k] : cuts[k + 1]]
+        yield data[f : f + LENGTH], int(own[places].min()), own[places], at[places]
+
+
 def equal_windows(table):
     """One bucket: runs of windows that an earlier document also has, by block."""
     unique: dict[bytes, int] = {}
