@@ -1,0 +1,216 @@
+"""PII, URL filter, mixing, sharding and fingerprints against plain Python."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import DATA
+from quarry.llm import fingerprint, mixing, pii, sharding, url_filter
+from quarry.llm.tables import table
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, spans string, h long, seg int, rng int"
+
+
+def docs(spark, rows):
+    return spark.createDataFrame([(i, t, None, None, None, "x", 1, 2, 3) for i, t in rows], DOCS)
+
+
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(d):
+    return sum(sum(map(int, str(2 * int(c)))) if i % 2 else int(c) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+def base_spans(text):
+    out = []
+    for kind, p in BASE.items():
+        for m in re.finditer(p, text):
+            d = re.sub("[^0-9]", "", m[0])
+            ok = {"email": lambda: True, "ip": lambda: all(int(x) <= 255 for x in m[0].split(".")), "card": lambda: 16 <= len(d) <= 19 and luhn(d), "phone": lambda: 8 <= len(d) <= 15}[kind]()
+            if ok:
+                out.append(f"{kind}:{m.start()}:{m.end()}")
+    return out
+
+
+TEXTS = [
+    None,
+    "",
+    "write to é.b_c+d@mail-1.example.co.uk. and x@y a@b.c_e@f.g 😀 q@r.s",
+    "1.2.3.4 256.1.1.1 1.2.3.4.5.6.7.8 001.02.3.255 1.2.3",
+    "card 4539 1488 0343 6467 and 4539-1488-0343-6467  4539  1488 0343 6467 4539148803436468 00000000000000000000",
+    "call +1 (743) 555-3824, +44 20 7946 0958. +1 2 +123456789012345678",
+    "IBAN GB82 WEST 1234 5698 7654 32 and GB82WEST12345698765433",
+    'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" beside 24be64439e3e49cf46b2d7c90f3602a3d0b907ff',
+    "9" * 20000 + "a" * 20000 + "@" + "b." * 8000,
+    "1 " * 20000,
+]
+
+
+def test_pii_equals_plain_regexes(spark):
+    got = {r.doc_id: r for r in pii.digest(docs(spark, enumerate(TEXTS))).collect()}
+    for i, t in enumerate(TEXTS):
+        want = base_spans(t or "")
+        assert got[i].base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest(), (i, want, got[i].spans)
+        assert got[i].n_card == sum(x.startswith("card") for x in want)
+        assert [s for s in got[i].spans.split(",") if s and s.split(":")[0] in BASE] == want
+    assert "iban:5:32" in got[6].spans and got[6].spans.count("iban") == 1
+    assert got[7].spans.count("secret") == 1  # the word before it decides
+    assert pii.digest(docs(spark, [])).count() == 0
+
+
+def test_pii_on_the_table(spark):
+    rows = {r.doc_id: r.base_sha256 for r in pii.digest(table(spark, DATA, "documents")).collect()}
+    for r in table(spark, DATA, "documents").collect():
+        assert rows[r.doc_id] == hashlib.sha256(",".join(base_spans(r.text or "")).encode()).hexdigest()
+
+
+URLS = ["http://Spam-Farm.Example.ORG/en/1?x", "https://a.example.com/en/2", "https://www.example.com/en/", "http://b.net/es/#t", "http://com", "no scheme", None, "x://h?q/es/", "http://casino.org", "ftp://example.com"]
+
+
+@pytest.mark.parametrize("bits", [1 << 21, 0])
+def test_url_filter(spark, bits, monkeypatch):
+    monkeypatch.setattr(url_filter.build, "__defaults__", (bits,))
+    pages = spark.createDataFrame([(i, u, True, 1) for i, u in enumerate(URLS)] + [(0, URLS[0], False, 2)], "page_id int, url string, listed boolean, seg int")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judged(pages).collect()}
+    assert got[0] == ("spam-farm.example.org", "/en/1", None, "block")
+    assert got[1] == ("a.example.com", "/en/2", "example.com/en/", "block")
+    assert got[2] == ("www.example.com", "/en/", "www.example.com/en/", "allow")
+    assert got[3] == ("b.net", "/es/", "net/es/", "block")
+    assert got[4] == ("com", "", None, "allow")
+    assert got[5] == got[6] == ("", "", None, "allow")
+    assert got[7] == ("h", "", None, "allow")
+    assert got[8] == ("casino.org", "", None, "block")
+    assert url_filter.judged(pages).count() == len(URLS) + 1
+    assert url_filter.judged(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("keys", [0, 300])
+def test_cascade_is_exact_over_its_universe(spark, keys, monkeypatch):
+    if keys:
+        monkeypatch.setattr(url_filter, "SEGMENT_KEYS", keys)
+    universe = spark.range(20000).select(F.concat(F.lit("host"), "id").alias("key"), (F.col("id") % 17 == 0).alias("listed"))
+    cascade = url_filter.build(universe)
+    assert len(cascade.shapes) >= 2 and (cascade.literal is None) == bool(keys)
+    wrong = url_filter.lookup(universe.withColumnRenamed("listed", "truth"), "key", cascade).filter("listed <> truth")
+    assert wrong.count() == 0
+    assert url_filter.build(universe.limit(0)).shapes == []
+
+
+def test_mixing_reaches_the_targets(spark):
+    rows = [(i, "w " * (i % 50), ("en", "fr", None)[i % 3], "big" if i % 3 else "small", None, None, 0, 0, 0) for i in range(3000)]
+    df = spark.createDataFrame(rows, DOCS)
+    got = mixing.mixed(df).collect()
+    assert len(got) == 3000 and {r.lang for r in got} == {"", "en", "fr"}
+    cells = {}
+    for r in got:
+        assert 0 <= r.probability <= 1 and r.kept == (mixed_chance(r.doc_id) < r.probability)
+        cells.setdefault((r.source, r.lang, r.topic), [0, r.weight])[0] += r.tokens
+    share = Counter()
+    for (s, _, _), (n, w) in cells.items():
+        share[s] += n * w
+    tokens = Counter()
+    for (s, _, _), (n, _) in cells.items():
+        tokens[s] += n
+    norm = sum(math.sqrt(n) for n in tokens.values())
+    for s, n in tokens.items():
+        assert abs(share[s] / sum(share.values()) - math.sqrt(n) / norm) < 0.02
+    kept = sum(r.tokens for r in got if r.kept) / sum(tokens.values())
+    assert abs(kept - mixing.RATE) < 0.06
+    assert mixing.mixed(df.limit(0)).count() == 0
+    assert mixing.mixed(df.filter("doc_id % 50 = 0")).count() == 60  # no tokens at all
+
+
+def mixed_chance(doc_id):
+    return int(hashlib.md5(f"{doc_id}:{mixing.SEED}".encode()).hexdigest()[:13], 16) / (1 << 52)
+
+
+def best_capacity(sizes, shards):
+    def need(c):
+        n, room = 1, c
+        for s in sizes:
+            if s > c:
+                return shards + 1
+            if s > room:
+                n, room = n + 1, c
+            room -= s
+        return n
+
+    lo, hi = 1, sum(sizes)
+    while lo < hi:
+        mid = (lo + hi) // 2
+        lo, hi = (lo, mid) if need(mid) <= shards else (mid + 1, hi)
+    return lo
+
+
+@pytest.mark.parametrize("nodes, hot", [(4096, 0), (8, 0), (8, 400)])
+def test_smallest_capacity(spark, nodes, hot):
+    groups = spark.range(700).select(F.xxhash64("id").alias("h"), (F.pmod(F.hash("id"), F.lit(100)) + 1 + F.when(F.col("id") == 5, hot * 100).otherwise(0)).cast("long").alias("bytes"))
+    rows = sorted((r.h, r.bytes) for r in groups.collect())
+    capacity, cuts = sharding.cut_points(groups, 8, nodes)
+    assert capacity == best_capacity([b for _, b in rows], 8)
+    loads = Counter()
+    for h, b in rows:
+        loads[sum(h >= c for c in cuts)] += b
+    assert max(loads.values()) <= capacity and len(cuts) <= 7
+
+
+def test_shards(spark):
+    rows = [(i, None if i % 7 == 0 else f"é{i % 90}" * (i % 13)) for i in range(500)] + [(3, "é3" * 3)]
+    got = sharding.sharded(docs(spark, rows)).collect()
+    assert len(got) == 501
+    texts = {i: (t or "") for i, t in rows}
+    where = {}
+    for r in got:
+        body = texts[r.doc_id].encode()
+        assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(body) + 1, zlib.crc32(body), "bytes", None)
+        assert where.setdefault(body, r.shard) == r.shard
+    for s in {r.shard for r in got}:
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+    assert sharding.sharded(docs(spark, [])).count() == 0
+
+
+def edited_of(rows):
+    order = sorted(rows, key=lambda r: -r[0])
+    out = {}
+    for k, (i, t) in enumerate(order):
+        t, nxt = t or "", order[(k + 1) % len(order)][1] or ""
+        n = len(t) // 3
+        out[i] = (t[: len(t) - n] + nxt[:n], order[(k + 1) % len(order)][0])
+    return out
+
+
+def test_fingerprints(spark):
+    rows = [(i * 3, " ".join(f"w{(i // 2) * 7 + k}" for k in range(i * 5))) for i in range(40)] + [(1000, None), (1001, "  \n"), (1002, "😀 b 😀 c")]
+    got = {r.doc_id: r for r in fingerprint.fingerprints(docs(spark, rows)).collect()}
+    edited = edited_of(rows)
+    assert len(got) == len(rows)
+    for i, t in rows:
+        r = got[i]
+        assert r.n_chars == len(t or "") and r.edited_sha256 == hashlib.sha256(edited[i][0].encode()).hexdigest()
+        same = lambda a, b: sum(a[k : k + 8] == b[k : k + 8] for k in range(0, len(a), 8)) / fingerprint.SAMPLES
+        assert r.near_edited == same(r.fingerprint, r.edited_fingerprint)
+        assert r.near_next == same(r.fingerprint, got[edited[i][1]].fingerprint)
+    assert got[1000].fingerprint == got[1001].fingerprint
+    assert fingerprint.fingerprints(docs(spark, [])).count() == 0
+    one = fingerprint.fingerprints(docs(spark, [(5, "a b c d e f")])).first()
+    assert one.near_next == 1.0
+
+
+def test_fingerprint_rate_is_generalised_jaccard(spark):
+    a, b = Counter({f"t{k}": 1 + k % 4 for k in range(60)}), Counter({f"t{k}": 1 + k % 3 for k in range(20, 80)})
+    true = sum(min(a[t], b[t]) for t in a | b) / sum(max(a[t], b[t]) for t in a | b)
+    pair = spark.createDataFrame([(1, " ".join(a.elements()), " ".join(b.elements()))], "k int, body string, edited string")
+    n = 300
+    row = fingerprint.signatures(pair, ["k"], n).first()
+    assert abs(sum(row[f"s{i}"] == row[f"e_s{i}"] for i in range(n)) / n - true) < 0.1
