@@ -194,7 +194,7 @@ def test_cartesian_windows():
     rnd = random.Random(2)
     value = np.array([rnd.randrange(40) for _ in range(120)], dtype=np.uint64)
     doc = np.repeat([0, 1], 60)
-    got = {int(m): (int(a), int(b)) for m, a, b in zip(*passages.compact_windows(value, doc, 7))}
+    got = {int(m): (int(a), int(b)) for m, a, b in zip(*passages.compact_windows(value, passages.Frame(doc, 7)))}
     for lo in range(0, 120):
         for hi in range(lo + 7, 121):
             if doc[lo] == doc[hi - 1]:
