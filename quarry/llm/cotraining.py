@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from quarry.llm.wordscan import BLANKS, NON_WORDS, Words, batches, byte_table, mix, texts_of
 
-LABELLED = 8000
-UNLABELLED = 4000
+LABELLED = 6000
+UNLABELLED = 3000
 ROUNDS = 3
 SURE = 0.97
 HELD_OUT = 4  # every fourth labelled document is set aside

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.storage import saved
+from quarry.llm.storage import removed, saved
 from quarry.llm.tables import whole
 
 MARGINS = ("source", "lang", "topic")
@@ -54,19 +54,21 @@ def fitted(cells: DataFrame, margins=MARGINS, rounds: int = ROUNDS, power: float
         norm = sums.agg(F.sum(F.pow("have", F.lit(power))).alias("norm"), F.sum("have").alias("all"))
         n, everything = norm.first() or (None, None)
         aims[m] = saved(sums.select(m, (F.pow("have", F.lit(power)) / F.lit(n or 1.0) * F.lit(everything or 0.0)).alias("aim")), f"aim-{m}")
-    fit = cells.withColumn("weight", F.col("tokens").cast("double"))
+    first = fit = cells.withColumn("weight", F.col("tokens").cast("double"))
     for _ in range(rounds):
         for m in margins:
             scale = fit.groupBy(m).agg(F.sum("weight").alias("now")).join(aims[m], m).select(m, F.try_divide("aim", "now").alias("scale"))
-            fit = fit.join(scale, m).withColumn("weight", F.col("weight") * F.coalesce("scale", F.lit(1.0))).drop("scale")
-        fit = saved(fit, "fit")
+            # kept after every margin: the weights are read twice in the next one, and plans must not double each time
+            new = saved(fit.join(scale, m).withColumn("weight", F.col("weight") * F.coalesce("scale", F.lit(1.0))).drop("scale"), "fit")
+            if fit is not first:
+                removed(fit)
+            fit = new
     return fit.withColumn("ratio", F.coalesce(F.try_divide("weight", F.col("tokens").cast("double")), F.lit(0.0)))
 
 
 def calibrated(fit: DataFrame, rate: float = RATE, rounds: int = CAP_ROUNDS) -> DataFrame:
     """Cells with `probability`: the ratio times a common factor, at most 1, so that the rate of tokens stays."""
     goal = (fit.agg(F.sum("tokens")).first()[0] or 0) * rate
-    factor = 1.0
     factor = rate
     for _ in range(rounds):
         capped = F.col("ratio") * F.lit(factor) >= 1
