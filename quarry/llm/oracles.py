@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from quarry.llm import mixing, url_filter
+from quarry.llm.decontaminate import WINDOW
 
 
 def url_sql() -> str:
@@ -69,28 +70,39 @@ def mix_sql() -> str:
     from doc join (select source, lang, topic, ratio from ratio) using (source, lang, topic), factor_{m.CAP_ROUNDS}"""
 
 
-def spans_sql(kind: str, pattern: str, valid: str, text: str = "body") -> str:
-    """List of kind:start:stop of the valid matches: gaps and matches alternate."""
-    hits = f"regexp_extract_all({text}, '{pattern}')"
-    gaps = f"list_transform(string_split_regex({text}, '{pattern}'), lambda g: length(g))"
-    return f"""(select coalesce(string_agg('{kind}:' || s || ':' || (s + length(x)), ',' order by i), '') as said, count(*) as n from (
-        select i, hits[i] x, list_sum(gaps[:i]) + coalesce(list_sum(list_transform(hits[:i - 1], lambda h: length(h))), 0) s
-        from (select unnest(range(1, len({hits}) + 1)) i, {hits} hits, {gaps} gaps)) where {valid})"""
+def contamination_sql() -> str:
+    upper, lower = url_filter.UPPER, url_filter.LOWER
+    words = f"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"""
+    with b as (select item_id::varchar item, {words} w from benchmark),
+    pattern as (select distinct item, least(len(w), {WINDOW}) size, array_to_string(w[i:i + {WINDOW - 1}], ' ') said
+                from (select *, unnest(range(1, greatest(2, len(w) - {WINDOW - 2}))) i from b where len(w) > 0)),
+    d as (select doc_id, {words} w from documents),
+    place as (select doc_id, size, unnest(range(1, len(w) - size + 2)) i, w from d, (select distinct size from pattern) where len(w) >= size),
+    found as (select doc_id, i, size, item from place join pattern using (size) where array_to_string(w[i:i + size - 1], ' ') = said),
+    hits as (select doc_id, count(distinct j) n from (select doc_id, unnest(range(i, i + size)) j from found) group by doc_id),
+    items as (select doc_id, count(*) n, string_agg(item, ',' order by item) said from (select distinct doc_id, item from found) group by doc_id)
+    select doc_id, len(w) n_words, coalesce(hits.n, 0) n_hit, coalesce(items.n, 0) n_items, sha256(coalesce(said, '')) items_sha256,
+           coalesce(hits.n, 0) > 0 and 20 * coalesce(hits.n, 0) >= len(w) contaminated
+    from d left join hits using (doc_id) left join items using (doc_id)"""
 
 
-def pii_sql() -> str:
-    digits = "regexp_replace(x, '[^0-9]', '', 'g')"
-    luhn = f"""(list_sum(list_transform(range(0, length({digits})), lambda k: case when k % 2 = 0 then substr({digits}, length({digits}) - k, 1)::int
-        else (substr({digits}, length({digits}) - k, 1)::int * 2) // 10 + (substr({digits}, length({digits}) - k, 1)::int * 2) % 10 end)) % 10 = 0)"""
-    byte = "0*(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
-    base = {
-        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
-        "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", f"regexp_full_match(x, '{byte}\\.{byte}\\.{byte}\\.{byte}')"),
-        "card": (r"[0-9]([\x20-]?[0-9])+", f"length({digits}) between 16 and 19 and {luhn}"),
-        "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", f"length({digits}) between 8 and 15"),
-    }
-    each = ", ".join(f"{spans_sql(k, p, v)} as {k}" for k, (p, v) in base.items())
-    return each
+def groups_sql() -> str:
+    upper, lower = url_filter.UPPER, url_filter.LOWER
+    return f"""
+    with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^ \\x09-\\x0D]+') w from documents),
+    s as materialized (select distinct doc_id, array_to_string(w[i:i + 4], ' ') g from (select *, unnest(range(1, greatest(2, len(w) - 3))) i from d where len(w) > 0)),
+    n as materialized (select doc_id, count(*) n from s group by doc_id),
+    pair as (select a.doc_id a, b.doc_id b, count(*) c from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+    link as materialized (select a, b from pair join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 75 * (x.n + y.n - c)),
+    reach as (select a, b from link union select r.a, l.b from reach r join link l on r.b = l.a)
+    select doc_id, coalesce(n, 0) n_shingles, least(doc_id, coalesce((select min(b) from reach where a = doc_id), doc_id)) component_id
+    from documents left join n using (doc_id)"""
 
 
-SQL = {"op2_mix_sources": mix_sql(), "op6_url_filter": url_sql()}
+SQL = {
+    "op2_mix_sources": mix_sql(),
+    "op4_decontaminate": contamination_sql(),
+    "op6_url_filter": url_sql(),
+    "op10_ngram_join": groups_sql(),
+}

@@ -17,7 +17,7 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring.deduplicated(table(spark, sf_dir, "documents"))
+    return substring.deduplicated(table(spark, sf_dir, "documents")).drop("removed_spans")
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
