@@ -22,6 +22,8 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    # Spark deletes the shuffle files of a finished step once the driver's JVM has collected what refers to them
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

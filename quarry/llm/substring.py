@@ -28,7 +28,7 @@ from quarry.llm.wordscan import batches, mix
 
 LENGTH = 50
 GRAM = 20
-HOT = 5000
+HOT = 50_000  # segments of one anchor that a bucket takes: about 3 MB of text
 HOT_WINDOWS = 1 << 17
 KEYS_PER_BYTE = 0.066
 BUCKET_BYTES = 3 << 20

@@ -108,7 +108,7 @@ def test_cascade_is_exact_over_its_universe(spark, keys, monkeypatch):
 
 
 def test_mixing_reaches_the_targets(spark):
-    rows = [(i, "w " * (i % 50), ("en", "fr", None)[i % 3], "big" if i % 3 else "small", None, None, 0, 0, 0) for i in range(3000)]
+    rows = [(i, "w " * (i % 50), ("en", "fr", None)[i % 3], "big" if i % 5 else "small", None, None, 0, 0, 0) for i in range(3000)]
     df = spark.createDataFrame(rows, DOCS)
     got = mixing.mixed(df).collect()
     assert len(got) == 3000 and {r.lang for r in got} == {"", "en", "fr"}
