@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from quarry.llm.storage import spread
 from quarry.llm.wordscan import texts_of
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 6 << 20
 BUCKET_KEYS = 1 << 21
 MOST = 65535
 
