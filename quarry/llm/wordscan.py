@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 _M64 = (1 << 64) - 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
