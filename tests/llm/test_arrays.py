@@ -190,6 +190,40 @@ def test_passages_are_found_and_verified(spark):
     assert passages.near_passages(docs(spark, [])).count() == 0
 
 
+def linked_passages(spark, rows):
+    return {(r.doc_id, r.other_id) for r in passages.near_passages(docs(spark, rows)).collect()}
+
+
+def test_passages_meet_every_earlier_holder(spark):
+    rnd = random.Random(21)
+    part = [words(rnd, 30, 9000) for _ in range(8)]
+    rows, wanted = [], set()
+    for k, p in enumerate(part):  # three holders of a line too short for a passage come before the two that share one
+        rows += [(10 * k + j, words(rnd, 60, 90000) + " " + p + " " + words(rnd, 60, 90000)) for j in range(3)]
+        whole = words(rnd, 25, 90000) + " " + p + " " + words(rnd, 25, 90000)
+        rows += [(10 * k + j, words(rnd, 60, 90000) + " " + whole + " " + words(rnd, 60, 90000)) for j in (3, 4)]
+        wanted.add((10 * k + 4, 10 * k + 3))
+    got = linked_passages(spark, rows)
+    assert got <= wanted and len(got) >= 7
+
+
+def test_passages_after_an_earlier_copy_in_the_document(spark):
+    rnd = random.Random(22)
+    rows = []
+    for k in range(8):
+        p = words(rnd, 70, 90000)
+        rows.append((2 * k, words(rnd, 60, 90000) + " " + p))
+        rows.append((2 * k + 1, p + " " + words(rnd, 200, 90000) + " " + p))
+    got = passages.near_passages(docs(spark, rows)).collect()
+    both = Counter(r.doc_id for r in got if r.start < 60) & Counter(r.doc_id for r in got if r.start > 200)
+    assert len(both) >= 7
+
+
+def test_passages_of_runs(spark):
+    rows = [(k, words(random.Random(k), 60, 9000) + " same" * (3000 + k)) for k in range(3)]
+    assert {(1, 0), (2, 0)} <= linked_passages(spark, rows)
+
+
 def test_cartesian_windows():
     rnd = random.Random(2)
     value = np.array([rnd.randrange(40) for _ in range(120)], dtype=np.uint64)
