@@ -224,6 +224,22 @@ def test_passages_of_runs(spark):
     assert {(1, 0), (2, 0)} <= linked_passages(spark, rows)
 
 
+def test_passages_end_at_a_long_unshared_middle(spark):
+    rnd = random.Random(23)
+    rows = []
+    for k in range(8):
+        head, tail = words(rnd, 200, 90000), words(rnd, 200, 90000)
+        rows += [(2 * k + j, f"{head} {words(rnd, 200, 90000)} {tail}") for j in (0, 1)]
+    text = {i: t.split() for i, t in rows}
+    shingles = lambda i, s, n: {tuple(text[i][k : k + 5]) for k in range(s, s + n - 4)}
+    got = passages.near_passages(docs(spark, rows)).collect()
+    for r in got:
+        a, b = shingles(r.doc_id, r.start, r.n_words), shingles(r.other_id, r.other_start, r.other_n_words)
+        assert abs(len(a & b) / len(a | b) - r.similarity) < 1e-9 and r.similarity >= 0.75
+        assert r.start + r.n_words <= 200 or r.start >= 400
+    assert len({(r.doc_id, r.start < 200) for r in got}) >= 14
+
+
 def test_cartesian_windows():
     rnd = random.Random(2)
     value = np.array([rnd.randrange(40) for _ in range(120)], dtype=np.uint64)
