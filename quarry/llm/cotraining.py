@@ -5,8 +5,9 @@ Two views of a document are classified apart: its text (words, and how words end
 view labels the unlabelled documents it is sure of for the other one. The views are then calibrated on
 labelled documents set aside, combined, and every document is scored.
 
-Only fitting is done on a sample, of at most LABELLED labelled and UNLABELLED other documents, chosen by the
-hash of doc_id; it is gathered as packed features and fitted with array operations. Scoring covers all documents.
+Labelled documents are sampled, at most LABELLED by the hash of doc_id, and gathered as packed features. The others
+stay on Spark, all of them: each pass sums up the gradient, and a bound of the curvature, of every document
+that the other view is sure of, and a view is fitted to the labelled sample and these sums. Scoring covers all.
 """
 
 from __future__ import annotations
@@ -18,11 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.storage import removed, saved
 from quarry.llm.wordscan import BLANKS, NON_WORDS, Words, batches, byte_table, mix, texts_of
 
-LABELLED = 6000
-UNLABELLED = 3000
+LABELLED = 8000
 ROUNDS = 3
+PASSES = 2  # over the unlabelled documents in a round
 SURE = 0.97
 HELD_OUT = 4  # every fourth labelled document is set aside
 WORD_BITS = 18
@@ -108,8 +110,12 @@ class Sparse:
     def back(self, r: np.ndarray) -> np.ndarray:
         return np.bincount(self.feature, r[self.row], minlength=self.size)
 
-    def usual(self, least: int) -> np.ndarray:
-        return np.bincount(self.feature, minlength=self.size) >= least
+    def norms(self) -> np.ndarray:
+        return np.bincount(self.row, minlength=self.n)
+
+    def held(self) -> np.ndarray:
+        """How many rows have a feature."""
+        return np.bincount(self.feature, minlength=self.size)
 
 
 class Dense:
@@ -122,22 +128,51 @@ class Dense:
     def back(self, r):
         return self.rows.T @ r
 
-    def usual(self, least):
-        return np.ones(self.size, dtype=bool)
+    def norms(self):
+        return self.rows.sum(axis=1)  # no feature is below 0
+
+    def held(self):
+        return np.full(self.size, np.inf)
+
+
+@dataclass
+class Pool:
+    """Sums over the unlabelled documents that take part in fitting a view, where its weights are those of `at`.
+
+    slope and bend: gradient, and a bound of the curvature, per feature and for the bias, which comes last; held:
+    documents that have the feature; n: all.
+    """
+
+    slope: np.ndarray
+    bend: np.ndarray
+    held: np.ndarray
+    n: float
+    at: View
 
 
-def fit(x, y: np.ndarray, weight: np.ndarray, steps: int = 150, ridge: float = 0.3) -> View:
-    """Logistic regression by steps scaled per feature; weight is 0 for rows that take no part."""
-    use = x.usual(max(3, x.n // 1000))
+def fit(x, y: np.ndarray, weight: np.ndarray, pool: Pool | None = None, steps: int = 150, ridge: float = 0.3) -> View:
+    """Logistic regression by steps scaled per feature; weight is 0 for rows that take no part.
+
+    The documents of the pool have one weight, 1, or less where they would outweigh the rows.
+    """
+    n, held = x.n, x.held()
+    if pool is not None and pool.n:
+        share = min(1.0, weight.sum() / pool.n)
+        n, held = n + share * pool.n, held + share * pool.held
+        slope, bend, at = share * pool.slope, share * pool.bend, np.append(pool.at.weights, pool.at.bias)
+    else:
+        slope = bend = at = np.zeros(x.size + 1)
+    use = held >= max(3, n // 1000)
     w, bias = np.zeros(x.size), 0.0
     seen, seen_bias = np.full(x.size, 1e-6), 1e-6
     for _ in range(steps):
         r = (sigmoid(x.times(w) + bias) - y) * weight
-        g = (x.back(r) + ridge * w) * use
+        g = (x.back(r) + slope[:-1] + bend[:-1] * (w - at[:-1]) + ridge * w) * use
+        g_bias = r.sum() + slope[-1] + bend[-1] * (bias - at[-1])
         seen += g * g
-        seen_bias += r.sum() ** 2
+        seen_bias += g_bias**2
         w -= 0.3 * g / np.sqrt(seen)
-        bias -= 0.3 * r.sum() / np.sqrt(seen_bias)
+        bias -= 0.3 * g_bias / np.sqrt(seen_bias)
     return View(w.astype(np.float32), float(bias))
 
 
@@ -168,34 +203,72 @@ class Model:
         return sigmoid(t), sigmoid(m), sigmoid(self.mix[0] * t + self.mix[1] * m + self.mix[2])
 
 
-def co_train(text: Sparse, meta: Dense, label: np.ndarray, rounds: int = ROUNDS, sure: float = SURE) -> Model | None:
-    """label: 1 good, 0 bad, -1 unknown. None if a class is missing."""
-    known = np.flatnonzero(label >= 0)
+def told(sides: tuple, past: list, sure: float) -> list[np.ndarray]:
+    """Labels of unlabelled documents for the text view and the other: 1, 0, or -1 where nothing is sure."""
+    labels = [np.full(x.n, -1) for x in sides]
+    for views in past:
+        p = [sigmoid(v.calibrated(x.times(v.weights) + v.bias)) for x, v in zip(sides, views)]
+        for own, other in ((0, 1), (1, 0)):
+            free = labels[other] < 0
+            labels[other] = np.where(free & (p[own] >= sure), 1, np.where(free & (p[own] <= 1 - sure), 0, labels[other]))
+    return labels
+
+
+SUMS = [3 * (TEXT_SIZE + 1), 3 * (META_SIZE + 1)]
+
+
+def partial_sums(tables, shared):
+    """Slope, bend and held of both views, over the documents of a partition, in one row."""
+    past, views, sure = shared.value
+    total = [np.zeros(n) for n in SUMS]
+    for batch in tables:
+        if not batch.num_rows:
+            continue
+        text = Sparse([np.frombuffer(r, np.int32) for r in batch.column("text").to_pylist()])
+        meta = Dense(np.frombuffer(b"".join(batch.column("meta").to_pylist()), np.float32).reshape(-1, META_SIZE))
+        for t, x, v, y in zip(total, (text, meta), views, told((text, meta), past, sure)):
+            part = (y >= 0).astype(float)
+            r = (sigmoid(x.times(v.weights) + v.bias) - (y == 1)) * part
+            bend = 0.25 * (x.norms() + 1) * part  # x x' is never above |x| diag(x)
+            t += np.concatenate([z for u in (r, bend, part) for z in (x.back(u), [u.sum()])])
+    yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(total).tobytes()], pa.binary())], ["sums"])
+
+
+def pooled(others: DataFrame, past: list, views: list, sure: float) -> list[Pool | None]:
+    """Sums for both views over all unlabelled documents."""
+    shared = others.sparkSession.sparkContext.broadcast((past, views, sure))
+    rows = others.select("text", "meta").mapInArrow(lambda t: partial_sums(t, shared), "sums binary")
+    sums = rows.rdd.map(lambda r: np.frombuffer(r.sums)).treeAggregate(0.0, np.add, np.add)
+    if np.ndim(sums) == 0:
+        return [None, None]
+    parts = [np.split(t, 3) for t in np.split(sums, [SUMS[0]])]
+    return [Pool(slope, bend, held[:-1], float(held[-1]), v) for (slope, bend, held), v in zip(parts, views)]
+
+
+def co_train(text: Sparse, meta: Dense, label: np.ndarray, others: DataFrame | None = None, rounds: int = ROUNDS, sure: float = SURE) -> Model | None:
+    """label: 1 good, 0 bad; others: packed features of the unlabelled documents. None if a class is missing."""
     aside = np.zeros(len(label), dtype=bool)
-    aside[known[::HELD_OUT]] = True
-    for part in (label[aside], label[(label >= 0) & ~aside]):
+    aside[::HELD_OUT] = True
+    for part in (label[aside], label[~aside]):
         if not (0 < (part == 1).sum() < len(part)):
             return None
-    views = []
-    told = [np.where(aside, -1, label), np.where(aside, -1, label)]
-    for turn in range(rounds + 1):
-        views = []
-        for x, y in zip((text, meta), told):
-            view = fit(x, (y == 1).astype(float), (y >= 0).astype(float))
-            raw = x.times(view.weights) + view.bias
-            view.scale, view.shift = line([raw[aside]], label[aside] == 1)
-            views.append((view, sigmoid(view.calibrated(raw))))
-        if turn == rounds:
-            break
-        for own, other in ((0, 1), (1, 0)):
-            p = views[own][1]
-            free = (told[other] < 0) & ~aside
-            told[other] = np.where(free & (p >= sure), 1, np.where(free & (p <= 1 - sure), 0, told[other]))
-    raw_t = text.times(views[0][0].weights) + views[0][0].bias
-    raw_m = meta.times(views[1][0].weights) + views[1][0].bias
-    t, m = views[0][0].calibrated(raw_t), views[1][0].calibrated(raw_m)
+
+    def fitted(pools: list) -> list[View]:
+        views = [fit(x, (label == 1).astype(float), (~aside).astype(float), pool) for x, pool in zip((text, meta), pools)]
+        for x, v in zip((text, meta), views):
+            v.scale, v.shift = line([(x.times(v.weights) + v.bias)[aside]], label[aside] == 1)
+        return views
+
+    views, past = fitted([None, None]), []
+    for _ in range(rounds if others is not None else 0):
+        past.append(views)
+        for _ in range(PASSES):
+            views = fitted(pooled(others, past, views, sure))
+    raw_t = text.times(views[0].weights) + views[0].bias
+    raw_m = meta.times(views[1].weights) + views[1].bias
+    t, m = views[0].calibrated(raw_t), views[1].calibrated(raw_m)
     beta = line([t[aside], m[aside]], label[aside] == 1)
-    model = Model(views[0][0], views[1][0], beta, 0.5)
+    model = Model(views[0], views[1], beta, 0.5)
     good = model.scores(raw_t[aside & (label == 1)], raw_m[aside & (label == 1)])[2]
     model.threshold = float(min(0.5, np.quantile(good, 1 - CLEAN_KEPT)))
     return model
@@ -216,23 +289,23 @@ def packed(tables):
         )
 
 
-def sample(docs: DataFrame, labels: DataFrame, labelled: int, unlabelled: int):
-    """Features of at most so many labelled and other documents; the ids sent are bounded by the same numbers."""
+def sample(docs: DataFrame, labels: DataFrame, labelled: int):
+    """Features and labels of at most so many labelled documents, and the packed features of all without a label."""
     judged = labels.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("toxic").alias("t"))
     judged = judged.filter("doc_id is not null and q is not null")
     good = (F.col("q") == 1) & (F.coalesce("t", F.lit(0)) == 0)
     ids = docs.select("doc_id").distinct()
     mark = F.xxhash64("doc_id", F.lit("sample"))
     known = ids.join(judged, "doc_id").select("doc_id", good.cast("int").alias("label")).orderBy(mark, "doc_id").limit(labelled)
-    other = ids.join(judged, "doc_id", "left_anti").select("doc_id", F.lit(-1).alias("label")).orderBy(mark, "doc_id").limit(unlabelled)
-    chosen = known.unionByName(other)
-    rows = docs.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    rows = docs.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"])
+    others = docs.join(judged.select("doc_id"), "doc_id", "left_anti").withColumn("label", F.lit(-1))
     type_ = docs.schema["doc_id"].dataType.simpleString()
-    found = rows.mapInArrow(packed, f"doc_id {type_}, label int, text binary, meta binary").collect()
+    schema = f"doc_id {type_}, label int, text binary, meta binary"
+    found = rows.mapInArrow(packed, schema).collect()
     found.sort(key=lambda r: r.doc_id)
     text = Sparse([np.frombuffer(r.text, np.int32).astype(np.int64) for r in found])
     meta = Dense(np.array([np.frombuffer(r.meta, np.float32) for r in found]).reshape(len(found), META_SIZE))
-    return text, meta, np.array([r.label for r in found], dtype=np.int64)
+    return text, meta, np.array([r.label for r in found], dtype=np.int64), others.select("doc_id", "label", "text", "source", "lang", "n_chars").mapInArrow(packed, schema)
 
 
 def score(tables, shared):
@@ -249,17 +322,23 @@ def score(tables, shared):
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, (p, q, s, kept))], ["doc_id", "p_text", "p_meta", "score", "kept"])
 
 
-def classified(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabelled: int = UNLABELLED) -> DataFrame:
+def classified(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> DataFrame:
     """One row per document: doc_id, p_text, p_meta, score, kept.
 
     Good documents are those labelled of quality 1 and not toxic. Null text, source and language count as
     empty, a null length as that of the text. Labels of documents that are not there, or without a quality,
     count for nothing; of several labels of one document the worse holds. Without labels of both classes
-    everything is kept with score 1. Repeated rows are scored again; an empty table gives an empty result.
+    everything is kept with score 1. Repeated rows are scored again, and without a label take part again; an empty
+    table gives an empty result.
     Only doc_id, text, source, lang and n_chars are read.
     """
     docs = docs.select("doc_id", "text", "source", "lang", F.col("n_chars").cast("long").alias("n_chars"))
-    model = co_train(*sample(docs, labels, labelled, unlabelled))
+    text, meta, label, others = sample(docs, labels, labelled)
+    model = None
+    if len(np.unique(label)) == 2:
+        others = saved(others, "features")
+        model = co_train(text, meta, label, others)
+        removed(others)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # TEXT_SIZE + META_SIZE numbers
     type_ = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(lambda t: score(t, shared), f"doc_id {type_}, p_text double, p_meta double, score double, kept boolean")

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import DATA
 from quarry.llm import components, cotraining, decontaminate, ngram_join, passages, substring
@@ -263,6 +264,31 @@ def test_classifier_on_held_out_labels(spark):
     assert len(scored) == 1000 and both.kept[good].mean() > 0.97 and both.kept[~good].mean() < 0.35
 
 
+def test_every_unlabelled_document_takes_part(spark):
+    rnd = random.Random(31)
+    good = [f"good{k}" for k in range(20)]
+    bad = [f"BAD!{k}" for k in range(20)]
+    n = 3400  # more than were sampled once
+    rows = [(k, " ".join(rnd.choices(good if k % 2 else bad, k=30))) for k in range(n + 200)]
+    # labels only of the first 200
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(200)], "doc_id long, quality int, toxic int")
+    df = docs(spark, rows).withColumn("source", F.when(F.col("doc_id") % 2 == 1, "a").otherwise("b"))
+    text, meta, label, others = cotraining.sample(df, labels, cotraining.LABELLED)
+    assert len(label) == 200 and others.count() == n
+    y, weight = (label == 1).astype(float), np.ones(200)
+    views = [cotraining.fit(x, y, weight) for x in (text, meta)]
+    sure = 0.8
+    pools = cotraining.pooled(others, [views], views, sure)
+    assert [p.n for p in pools] == [n, n]
+    # the sums are those of the rows taken together
+    got = others.collect()
+    x = cotraining.Sparse([np.frombuffer(r.text, np.int32) for r in got])
+    wanted = np.array([r.doc_id % 2 for r in got])
+    slope = x.back(cotraining.sigmoid(x.times(views[0].weights) + views[0].bias) - wanted)
+    assert np.allclose(pools[0].slope[:-1], slope)
+    assert np.abs(cotraining.fit(text, y, weight, pools[0]).weights - views[0].weights).max() > 0
+
+
 def test_classifier_without_labels_and_with_nulls(spark):
     df = docs(spark, [(1, None), (2, ""), (3, "a"), (3, "a")])
     labels = spark.createDataFrame([(7, 1, None), (None, 0, 0), (1, None, 1)], "doc_id long, quality int, toxic int")
