@@ -485,6 +485,24 @@ def glare_pairs(spark, sf_dir):
     return pairs.select("event_id", "other_id", off.alias("off_axis"), F.round("solar_elevation", 3).alias("elevation")).filter("off_axis <= 30").orderBy("off_axis", "event_id", "other_id").limit(200)
 
 
+@query(sun_sql(""", v as (select *, 1 + user_id % 8 code from sun), d as (select s.event_id, o.event_id other_id, round(180 - abs(abs(s.solar_azimuth - (o.code * 45) % 360) - 180), 3) off_axis,
+  round(s.solar_elevation, 3) elevation from sun s join v o on s.user_id = o.user_id and s.event_id <> o.event_id where s.solar_elevation between 0 and 10)
+  select * from d where off_axis <= 30 order by off_axis, event_id, other_id limit 200""").replace(f"from st{len(SOLAR) - 1}) ,", f"from st{len(SOLAR) - 1}),"))
+def glare_pairs_of_all_events(spark, sf_dir):
+    """As glare_pairs, over the headings of all events.
+
+    A heading is that of the user, so the 200 closest pairs are among those of the 200 closest events that have
+    another event of their user; only these are joined.
+    """
+    low = sun(spark, sf_dir).filter(F.col("solar_elevation").between(0, 10)).select("event_id", "user_id", "solar_azimuth", "solar_elevation")
+    events = relation(spark, sf_dir, inputs.PLACED_EVENTS).select(F.col("event_id").alias("other_id"), "user_id")
+    several = events.groupBy("user_id").agg(F.min("other_id").alias("a"), F.max("other_id").alias("b")).filter("a < b").select("user_id")
+    off = F.round(clean.angle_between(F.col("solar_azimuth"), clean.bearing(1 + F.col("user_id") % 8)), 3)
+    closest = low.withColumn("off_axis", off).filter("off_axis <= 30").join(several, "user_id").orderBy("off_axis", "event_id").limit(200)
+    pairs = closest.join(events, "user_id").filter("event_id <> other_id")
+    return pairs.select("event_id", "other_id", "off_axis", F.round("solar_elevation", 3).alias("elevation")).orderBy("off_axis", "event_id", "other_id").limit(200)
+
+
 @query(sun_sql("select count(*) n from sun where solar_elevation between 0 and 10 and solar_azimuth between 60 and 120"))
 def low_sun_count(spark, sf_dir):
     return sun(spark, sf_dir).filter(F.col("solar_elevation").between(0, 10) & F.col("solar_azimuth").between(60, 120)).agg(F.count("*").alias("n"))

@@ -41,3 +41,8 @@ def test_query(spark, duck, name):
     want = duck.sql(registry.ORACLE_SQL[name])
     assert sorted(df.columns) == sorted(want.columns)
     assert got == rows(want.columns, want.fetchall())
+
+
+def test_glare_pairs_take_the_headings_of_all_events(spark):
+    others = {r.other_id % 4 for r in registry.QUERIES["glare_pairs_of_all_events"](spark, DATA).collect()}
+    assert others == {0, 1, 2, 3}
