@@ -197,13 +197,12 @@ def linked_passages(spark, rows):
 
 def test_passages_meet_every_earlier_holder(spark):
     rnd = random.Random(21)
-    part = [words(rnd, 30, 9000) for _ in range(8)]
     rows, wanted = [], set()
-    for k, p in enumerate(part):  # three holders of a line too short for a passage come before the two that share one
-        rows += [(10 * k + j, words(rnd, 60, 90000) + " " + p + " " + words(rnd, 60, 90000)) for j in range(3)]
-        whole = words(rnd, 25, 90000) + " " + p + " " + words(rnd, 25, 90000)
-        rows += [(10 * k + j, words(rnd, 60, 90000) + " " + whole + " " + words(rnd, 60, 90000)) for j in (3, 4)]
-        wanted.add((10 * k + 4, 10 * k + 3))
+    for k in range(8):  # six holders of halves too short for a passage come before the two that share the whole
+        halves = words(rnd, 40, 90000), words(rnd, 40, 90000)
+        rows += [(10 * k + j, words(rnd, 60, 90000) + " " + halves[j % 2] + " " + words(rnd, 60, 90000)) for j in range(6)]
+        rows += [(10 * k + j, words(rnd, 60, 90000) + " " + " ".join(halves) + " " + words(rnd, 60, 90000)) for j in (6, 7)]
+        wanted.add((10 * k + 7, 10 * k + 6))
     got = linked_passages(spark, rows)
     assert got <= wanted and len(got) >= 7
 
@@ -229,16 +228,16 @@ def test_passages_end_at_a_long_unshared_middle(spark):
     rnd = random.Random(23)
     rows = []
     for k in range(8):
-        head, tail = words(rnd, 200, 90000), words(rnd, 200, 90000)
-        rows += [(2 * k + j, f"{head} {words(rnd, 200, 90000)} {tail}") for j in (0, 1)]
+        head, tail = words(rnd, 400, 90000), words(rnd, 400, 90000)
+        rows += [(2 * k + j, f"{head} {words(rnd, 250, 90000)} {tail}") for j in (0, 1)]
     text = {i: t.split() for i, t in rows}
     shingles = lambda i, s, n: {tuple(text[i][k : k + 5]) for k in range(s, s + n - 4)}
     got = passages.near_passages(docs(spark, rows)).collect()
     for r in got:
         a, b = shingles(r.doc_id, r.start, r.n_words), shingles(r.other_id, r.other_start, r.other_n_words)
         assert abs(len(a & b) / len(a | b) - r.similarity) < 1e-9 and r.similarity >= 0.75
-        assert r.start + r.n_words <= 200 or r.start >= 400
-    assert len({(r.doc_id, r.start < 200) for r in got}) >= 14
+        assert r.start + r.n_words <= 400 or r.start >= 650
+    assert len({(r.doc_id, r.start < 400) for r in got}) >= 14
 
 
 def test_cartesian_windows():
