@@ -8,7 +8,8 @@ hold too. A census answers that with little traffic:
 2. a bucket adds the counts up and returns, packed in the same order, how many documents hold each key;
 3. the block makes its keys again and lays the counts beside them.
 
-A key that a third of all documents hold is sent once per block. 32 bits of a key stand beside its bucket,
+A key that a third of all documents hold is sent once per block. A block has a row for each bucket in which it
+has keys, so there are never more rows than keys, however many blocks and buckets a corpus has. 32 bits of a key stand beside its bucket,
 and buckets hold about BUCKET_KEYS keys however large the corpus, so keys are confused with a chance of
 BUCKET_KEYS / 2^32; that can only raise a count, never hide a shared key.
 """
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from quarry.llm.storage import spread
 from quarry.llm.wordscan import texts_of
 
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 2 << 20
 BUCKET_KEYS = 1 << 21
 MOST = 65535
 
@@ -65,15 +66,18 @@ class Ledger:
         self.inverse[order] = number
         self.keys = k[new_key]
         self.counts = np.bincount(number[new_pair], minlength=len(self.keys)) if len(k) else np.zeros(0, np.int64)
-        bucket = (self.keys & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)
+        bucket = ((self.keys & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)).astype(np.int64)
         self.by_bucket = np.argsort(bucket, kind="stable")
-        self.cuts = np.searchsorted(bucket[self.by_bucket], np.arange(buckets + 1, dtype=np.uint64))
-        self.buckets = buckets
+        own = bucket[self.by_bucket]
+        cuts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.zeros(0, np.int64)
+        ends = np.append(cuts[1:], len(own))
+        #: buckets that hold a key of the block, and where their keys stand in by_bucket
+        self.ranges = dict(zip(own[cuts].tolist(), zip(cuts.tolist(), ends.tolist())))
 
     def packed(self) -> pa.Table:
         high = (self.keys >> np.uint64(32)).astype(np.uint32)
         counts = np.minimum(self.counts, MOST).astype(np.uint16)
-        parts = [(b, self.by_bucket[self.cuts[b] : self.cuts[b + 1]]) for b in range(self.buckets) if self.cuts[b] < self.cuts[b + 1]]
+        parts = [(b, self.by_bucket[i:j]) for b, (i, j) in self.ranges.items()]
         return pa.table(
             {
                 "bucket": pa.array([b for b, _ in parts], pa.int32()),
@@ -88,7 +92,8 @@ class Ledger:
         for b, counts in zip(answer.column("bucket").to_pylist(), answer.column("counts").to_pylist()):
             if b is None:
                 continue
-            total[self.by_bucket[self.cuts[b] : self.cuts[b + 1]]] = np.frombuffer(counts, dtype=np.uint16)
+            i, j = self.ranges[b]
+            total[self.by_bucket[i:j]] = np.frombuffer(counts, dtype=np.uint16)
         return total[self.inverse]
 
 

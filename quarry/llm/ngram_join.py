@@ -16,7 +16,7 @@ among any so many plus one of the words of each, taken in one common order, ther
   is first verified against one of them; what is then in one component needs no more pairs. Only words
   whose documents still lie in several components give pairs among those components, so that no link is lost.
   There the join itself compares parity sketches of single bits, two for each shingle: pairs too far apart
-  for a link never leave it.
+  for a link never leave it, and others leave it once.
 """
 
 from __future__ import annotations
@@ -28,12 +28,13 @@ from pyspark.sql import functions as F
 
 from quarry.llm.census import Ledger, blocks_of, census, ordered, picked
 from quarry.llm.components import components
-from quarry.llm.storage import saved
+from quarry.llm.storage import removed, saved
 from quarry.llm.wordscan import BLANKS, Words, batches, byte_table, distinct, mix, texts_of
 
 SIZE = 5
 TABLE = byte_table(BLANKS)
 STAR_ROUNDS = 2
+LISTED_KEYS = 512
 KEYS_PER_BYTE = 0.15
 MOST_BITS = 16
 LIMITS = np.array([int((2 ** (2 * k + 1)) ** 0.5) for k in range(31)], dtype=np.int64)  # largest size of band k
@@ -79,6 +80,7 @@ class Sketches:
         place = mix((bits[first] << np.uint64(40)) + part[first] + np.uint64(1))
         self.key, self.sketch = mix(word ^ place), sketch[first]
         parts = np.bincount(self.sketch, minlength=len(self.doc))
+        self.kind = np.zeros(len(self.doc), dtype=np.int64)
         few = np.flatnonzero(parts - self.allowed < 1)  # these also go by single shingles
         if len(few):
             chosen = np.isin(sketch, few)
@@ -88,9 +90,10 @@ class Sketches:
             self.doc = np.concatenate([self.doc, self.doc[few]])
             self.allowed = np.concatenate([self.allowed, self.allowed[few]])
             self.band = np.concatenate([self.band, self.band[few]])
+            self.kind = np.concatenate([self.kind, np.ones(len(few), dtype=np.int64)])
 
     def prefixes(self, count: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Keys to meet by, their texts, ranks and bands: the rarest words of each sketch, but for those nobody else has."""
+        """Keys to meet by, their texts, ranks, bands and kinds: the rarest words of each sketch, but for those nobody else has."""
         order = np.lexsort((self.key, count, self.sketch))
         sketch = self.sketch[order]
         begin = np.searchsorted(sketch, np.arange(len(self.doc)))
@@ -98,7 +101,8 @@ class Sketches:
         chosen = order[(rank <= self.allowed[sketch]) & (count[order] >= 2)]
         place = np.empty(len(order), dtype=np.int64)
         place[order] = rank
-        return self.key[chosen], self.doc[self.sketch[chosen]], place[chosen], self.band[self.sketch[chosen]]
+        own = self.sketch[chosen]
+        return self.key[chosen], self.doc[own], place[chosen], self.band[own], self.kind[own]
 
 
 def parity(tokens: np.ndarray, band: int) -> np.ndarray:
@@ -135,9 +139,9 @@ def candidates(table, answer, buckets: int):
     values, doc = sets(texts)
     sketches = Sketches(values, doc, len(texts))
     count = Ledger(sketches.key, sketches.doc[sketches.sketch], buckets).told(answer)
-    keys, of, rank, band = sketches.prefixes(count)
+    keys, of, rank, band, kind = sketches.prefixes(count)
     order = np.argsort(of, kind="stable")
-    keys, of, rank, band = keys[order], of[order], rank[order], band[order]
+    keys, of, rank, band, kind = (x[order] for x in (keys, of, rank, band, kind))
     some = np.unique(of)
     a, b = np.searchsorted(of, some), np.searchsorted(of, some, "right")
     c, d = np.searchsorted(doc, some), np.searchsorted(doc, some, "right")
@@ -150,7 +154,7 @@ def candidates(table, answer, buckets: int):
             "n": pa.array(d - c, pa.int64()),
             "keys": lists(keys.view(np.int64), a, b),
             "ranks": lists(rank, a, b),
-            "ups": lists(band - np.repeat(own, b - a), a, b),
+            "sorts": lists(band - np.repeat(own, b - a) + 2 * kind, a, b),
             "bits": pa.array(bits[0], pa.list_(pa.int64())),
             "bits_up": pa.array(bits[1], pa.list_(pa.int64())),
             "tokens": lists(values.view(np.int64), c, d),
@@ -158,7 +162,7 @@ def candidates(table, answer, buckets: int):
     )
 
 
-FOUND = "doc_id long, n long, keys array<long>, ranks array<long>, ups array<long>, bits array<long>, bits_up array<long>, tokens array<long>"
+FOUND = "doc_id long, n long, keys array<long>, ranks array<long>, sorts array<long>, bits array<long>, bits_up array<long>, tokens array<long>"
 
 
 def may_link(n: str, rank: str, other_n: str, other_rank: str) -> Column:
@@ -185,17 +189,19 @@ def linked(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return both.select("a", "b", F.col("n_a"), F.col("n_b"), common.alias("common")).filter("100 * common >= 75 * (n_a + n_b - common)").select("a", "b")
 
 
-def links_of(found: DataFrame) -> DataFrame:
-    """Links among distinct sets that suffice for the components."""
-    each = found.select("doc_id", "n", F.explode(F.arrays_zip("keys", "ranks", "ups")).alias("x"))
-    keys = saved(each.select("doc_id", "n", F.col("x.keys").alias("key"), F.col("x.ranks").alias("rank"), F.col("x.ups").alias("up")), "keys")
+def links_of(found: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Links among distinct sets that suffice for the components, and the tables to remove once they are known."""
+    each = found.select("doc_id", "n", F.explode(F.arrays_zip("keys", "ranks", "sorts")).alias("x"))
+    keys = saved(each.select("doc_id", "n", F.col("x.keys").alias("key"), F.col("x.ranks").alias("rank"), F.col("x.sorts").alias("sort")), "keys")
     label = keys.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("component")).limit(0)
     links = tested = None
+    spent = [keys]
     for turn in range(STAR_ROUNDS + 1):
-        own = keys if turn == 0 else keys.join(label, keys.doc_id == label.node, "left").select("doc_id", "n", "key", "rank", "up", F.coalesce("component", "doc_id").alias("component"))
+        own = keys if turn == 0 else keys.join(label, keys.doc_id == label.node, "left").select("doc_id", "n", "key", "rank", "sort", F.coalesce("component", "doc_id").alias("component"))
         if turn:
             open_ = own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
             own = saved(own.join(open_, "key"), "open")
+            spent.append(own)
         if turn < STAR_ROUNDS:
             # the document in which the word stands first, so that has the fewest rarer ones, is most like the others
             # in a later round another one, by hash
@@ -209,10 +215,15 @@ def links_of(found: DataFrame) -> DataFrame:
             pairs = pairs.select(F.least("lead", "doc_id").alias("a"), F.greatest("lead", "doc_id").alias("b")).distinct()
         else:
             sketched = own.join(found.select("doc_id", "bits", "bits_up"), "doc_id")
-            sketched = sketched.select("doc_id", "n", "key", "rank", "component", F.when(F.col("up") == 0, F.col("bits")).otherwise(F.col("bits_up")).alias("bits"))
+            sketched = sketched.select("doc_id", "n", "key", "rank", "sort", "component", F.when(F.col("sort") % 2 == 0, F.col("bits")).otherwise(F.col("bits_up")).alias("bits"))
+            # of the words of one sort a pair leaves the join with the first in common order, which has the lowest
+            # rank on both sides; very long lists stay out, distinct() does for them
+            lists = own.groupBy("doc_id", "sort").agg(F.sort_array(F.collect_list(F.struct("rank", "key")))["key"].alias("all"))
+            sketched = sketched.join(lists.filter(F.size("all") <= LISTED_KEYS), ["doc_id", "sort"], "left")
             one, two = sketched.alias("one"), sketched.alias("two")
             fits = (F.col("one.key") == F.col("two.key")) & (F.col("one.component") != F.col("two.component")) & (F.col("one.doc_id") < F.col("two.doc_id"))
             fits &= may_link("one.n", "one.rank", "two.n", "two.rank") & near("one.bits", "two.bits", F.floor((F.col("one.n") + F.col("two.n")) / 7))
+            fits &= F.coalesce(F.get(F.array_intersect("one.all", "two.all"), F.lit(0)) == F.col("one.key"), F.lit(True))
             pairs = one.join(two, fits).select(F.col("one.doc_id").alias("a"), F.col("two.doc_id").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -220,9 +231,11 @@ def links_of(found: DataFrame) -> DataFrame:
         tested = pairs if tested is None else tested.unionByName(pairs)
         new = saved(linked(pairs, found), "links")
         links = new if links is None else links.unionByName(new)
+        spent += [pairs, new]
         if turn < STAR_ROUNDS:
             label = components(links)
-    return links
+            spent.append(label)
+    return links, spent
 
 
 def joined(docs: DataFrame) -> DataFrame:
@@ -231,19 +244,23 @@ def joined(docs: DataFrame) -> DataFrame:
     A text without words has no shingle and is linked with nothing; null counts as such. With fewer than
     five words the whole sequence is the one shingle. Documents with equal sets are linked; repeated rows give
     repeated results (rows that differ under one doc_id are told apart by their sets only, the first text in
-    order standing for the doc_id). An empty table gives an empty result. Only doc_id and text are read.
+    order standing for the doc_id). A row without doc_id takes the component of a document with the same set, else
+    null, and links no others. An empty table gives an empty result. doc_id is an integer; only it and text are read.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = saved(docs.mapInArrow(profiles, "doc_id long, n_shingles long, h1 long, h2 long"), "profiles")
-    classes = rows.filter("n_shingles > 0").groupBy("n_shingles", "h1", "h2").agg(F.min("doc_id").alias("first"))
+    classes = rows.filter("n_shingles > 0 and doc_id is not null").groupBy("n_shingles", "h1", "h2").agg(F.min("doc_id").alias("first"))
     classes = saved(classes, "classes")
-    dealt, blocks, n_bytes = blocks_of(docs)
+    dealt, blocks, n_bytes = blocks_of(docs.filter("doc_id is not null"))
     chosen = classes.select(F.pmod(F.xxhash64(F.col("first")), F.lit(blocks)).cast("int").alias("block"), F.col("first").alias("chosen"))
     answers, buckets = census(dealt, int(n_bytes * KEYS_PER_BYTE) + 1, words_of, chosen)
     both = answers.unionByName(chosen, allowMissingColumns=True)
     found = dealt.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(
         lambda table, answer: candidates(table, answer, buckets), FOUND
     )
-    label = components(links_of(saved(found, "candidates")))
+    found = saved(found, "candidates")
+    links, spent = links_of(found)
+    label = components(links)
+    removed(found, *spent)
     known = classes.join(label, classes["first"] == label.node, "left").select("n_shingles", "h1", "h2", F.coalesce("component", "first").alias("component_id"))
     return rows.join(known, ["n_shingles", "h1", "h2"], "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

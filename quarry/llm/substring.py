@@ -277,7 +277,9 @@ def deduplicated(docs: DataFrame, hot: int = HOT) -> DataFrame:
     cold = shared.filter("bucket is not null").select("bucket", "block", "ids", "starts", "counts", "data")
     hits = cold.groupBy("bucket").applyInArrow(equal_windows, HITS)
     common = shared.filter("win is not null").select("win", "least", "block", "ids", "starts")
-    first = common.groupBy("win").agg(F.min("least").alias("first"))
+    held = F.octet_length("ids") > 8  # more than one place in the block
+    first = common.groupBy("win").agg(F.min("least").alias("first"), F.count("*").alias("n"), F.bool_or(held).alias("held"))
+    first = first.filter("n > 1 or held").select("win", "first")
     hits = hits.unionByName(common.join(first, "win").mapInArrow(hot_hits, HITS))
     type_ = dealt.schema["doc_id"].dataType.simpleString()
     return dealt.groupBy("block").cogroup(hits.groupBy("block")).applyInArrow(remaining, RESULT.format(type_))
