@@ -6,7 +6,7 @@
 2. The other segments, with the bytes their windows cover, meet in a bucket by anchor, so equal windows meet.
    Each bucket sorts the suffixes that begin a window (two-stage sorting), and equal neighbours, those with a
    common prefix of 50 bytes, form the groups in which a later document loses what an earlier one has.
-3. Anchors of more than HOT documents are not gathered: their windows are cut out one by one, equal ones are
+3. Anchors with more text than HOT units of it are not gathered: their windows are cut out one by one, equal ones are
    reduced to the least doc_id within each block and then by partial aggregates, and joined back.
 4. Hits return to the block of their document, which merges them and hashes what remains.
 """
@@ -24,11 +24,14 @@ from pyspark.sql import functions as F
 from quarry.llm.census import Ledger, blocks_of, census, ordered
 from quarry.llm.storage import saved, spread
 from quarry.llm.suffixes import common_prefixes, suffix_array
+from quarry.llm.tables import hex_sha256, whole
 from quarry.llm.wordscan import batches, mix
 
 LENGTH = 50
 GRAM = 20
-HOT = 50_000  # segments of one anchor that a bucket takes: about 3 MB of text
+UNIT = 64  # windows of one anchor in one document that count as one unit of text
+HOT = 1 << 15  # units of one anchor that a bucket takes: less than 4 MB of text
+PIECE = 1 << 12  # windows of a segment; longer ones are cut
 HOT_WINDOWS = 1 << 17
 KEYS_PER_BYTE = 0.066
 BUCKET_BYTES = 3 << 20
@@ -88,7 +91,9 @@ def segments(texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
             continue
         value, own = least[at], doc[at]
         new = np.concatenate([[True], (value[1:] != value[:-1]) | (own[1:] != own[:-1])])
-        first = np.flatnonzero(new)
+        begins = np.flatnonzero(new)
+        steps = np.arange(len(at)) - np.repeat(begins, np.diff(np.append(begins, len(at))))
+        first = np.flatnonzero(steps % PIECE == 0)
         keys.append(value[first])
         docs.append(own[first] + lo)
         starts.append(at[first] - begin[own[first]])
@@ -99,8 +104,23 @@ def segments(texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
     return tuple(np.concatenate(x) for x in (keys, docs, starts, counts))
 
 
+def weighed(keys: np.ndarray, doc: np.ndarray, counts: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and texts for the census, so that it counts text: more than UNIT windows of one anchor in one text stand
+    for further texts, which come last."""
+    if not len(keys):
+        return keys, doc
+    order = np.lexsort((doc, keys))
+    k, d = keys[order], doc[order]
+    begins = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (d[1:] != d[:-1])]))
+    extra = (np.add.reduceat(counts[order], begins) - 1) // UNIT
+    more = np.repeat(begins, extra)
+    nth = np.arange(len(more)) - np.repeat(np.cumsum(extra) - extra, extra)
+    return np.concatenate([keys, k[more]]), np.concatenate([doc, d[more] + n_texts * (1 + nth)])
+
+
 def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    return segments(texts)[:2]
+    keys, doc, _, counts = segments(texts)
+    return weighed(keys, doc, counts, len(texts))
 
 
 SHARED = "bucket int, win binary, least long, block int, ids binary, starts binary, counts binary, data binary"
@@ -111,7 +131,7 @@ def shared_segments(key, table, answer, buckets, targets, hot):
     """Segments whose anchor other documents hold, packed by bucket; windows of hot anchors one by one."""
     ids, texts = ordered(table)
     keys, doc, starts, counts = segments(texts)
-    total = Ledger(keys, doc, buckets).told(answer)
+    total = Ledger(*weighed(keys, doc, counts, len(texts)), buckets).told(answer)[: len(keys)]
     block = key[0].as_py()
     rows = []
     some = np.flatnonzero((total >= 2) & (total <= hot))
@@ -264,10 +284,16 @@ def deduplicated(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, removed_spans (start, stop, ..).
 
     Texts are UTF-8 bytes, null the empty text. A string may occur twice within one document without loss.
-    doc_id is an integer; it names a document, so rows with an equal doc_id lose nothing to each other. An empty
-    table gives an empty result. Only doc_id and text are read.
+    doc_id is an integer; it names a document, so rows with an equal doc_id lose nothing to each other. A row without
+    doc_id stands in no order: it loses nothing, and nothing is lost to it. An empty table gives an empty result.
+    Only doc_id and text are read.
     """
     dealt, _, n_bytes = blocks_of(docs.select("doc_id", "text").filter("doc_id is not null"))
+    body = whole("text")
+    nameless = docs.filter("doc_id is null").select(
+        "doc_id", F.octet_length(body).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
+        hex_sha256(body).alias("kept_sha256"), F.array().cast("array<long>").alias("removed_spans"),
+    )
     answers, buckets = census(dealt, int(n_bytes * KEYS_PER_BYTE) + 1, anchors)
     targets = max(spread(docs.sparkSession), math.ceil(n_bytes * KEYS_PER_BYTE * 65 / 4 / BUCKET_BYTES))
     shared = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
@@ -282,4 +308,5 @@ def deduplicated(docs: DataFrame, hot: int = HOT) -> DataFrame:
     first = first.filter("n > 1 or held").select("win", "first")
     hits = hits.unionByName(common.join(first, "win").mapInArrow(hot_hits, HITS))
     type_ = dealt.schema["doc_id"].dataType.simpleString()
-    return dealt.groupBy("block").cogroup(hits.groupBy("block")).applyInArrow(remaining, RESULT.format(type_))
+    named = dealt.groupBy("block").cogroup(hits.groupBy("block")).applyInArrow(remaining, RESULT.format(type_))
+    return named.unionByName(nameless)
