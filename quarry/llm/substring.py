@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.census import Ledger, blocks_of, census, ordered
-from quarry.llm.storage import saved, spread
+from quarry.llm.storage import removed, saved, spread
 from quarry.llm.suffixes import common_prefixes, suffix_array
 from quarry.llm.tables import hex_sha256, whole
 from quarry.llm.wordscan import batches, mix
@@ -306,7 +306,9 @@ def deduplicated(docs: DataFrame, hot: int = HOT) -> DataFrame:
     held = F.octet_length("ids") > 8  # more than one place in the block
     first = common.groupBy("win").agg(F.min("least").alias("first"), F.count("*").alias("n"), F.bool_or(held).alias("held"))
     first = first.filter("n > 1 or held").select("win", "first")
-    hits = hits.unionByName(common.join(first, "win").mapInArrow(hot_hits, HITS))
+    # kept, so that neither the segments nor their shuffle files are there when the texts are dealt again
+    hits = saved(hits.unionByName(common.join(first, "win").mapInArrow(hot_hits, HITS)), "hits")
+    removed(shared)
     type_ = dealt.schema["doc_id"].dataType.simpleString()
     named = dealt.groupBy("block").cogroup(hits.groupBy("block")).applyInArrow(remaining, RESULT.format(type_))
     return named.unionByName(nameless)
