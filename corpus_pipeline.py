@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarry.llm import cotraining, decontaminate, mixing, ngram_join, sharding
 from quarry.llm.storage import saved
@@ -10,31 +11,55 @@ from quarry.llm.tables import table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier, fitted on the labels at hand, keeps."""
+    """Documents that the quality classifier, fitted on the labels at hand, keeps; all columns stay.
+
+    Rows without doc_id are kept, as no verdict can be told to them; rows that repeat a doc_id go if one of them is
+    rejected. Without labels of both classes everything is kept. An empty table gives an empty one.
+    """
     judged = cotraining.classified(docs, table(spark, sf_dir, "labels"))
-    return docs.join(judged.filter("not kept").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(judged.filter("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of every group of near duplicates."""
-    groups = ngram_join.joined(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(groups, "doc_id", "left_semi").select(*docs.columns)
+    """The document with the least doc_id of every group of near duplicates; all columns stay.
+
+    Texts without words are in no group and stay, as do rows without doc_id. Of rows that repeat a doc_id and a text
+    one stays; rows of one doc_id with different texts stay or go together. An empty table gives an empty one.
+    """
+    groups = ngram_join.joined(docs)
+    ids = groups.groupBy("doc_id").agg(F.bool_and(F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))).alias("least"), F.count("*").alias("n"))
+    ids = saved(ids.filter("doc_id is not null and (not least or n > 1)"), "grouped")
+    once = docs.join(ids.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    again = docs.join(ids.filter("least").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    return once.unionByName(again.dropDuplicates(["doc_id", "text"]))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than a twentieth stands in the benchmark."""
+    """Documents of which less than a twentieth stands in the benchmark; all columns stay.
+
+    Rows without doc_id or text are kept; rows that repeat a doc_id go if one of them is contaminated. An empty
+    benchmark drops nothing, an empty table gives an empty one.
+    """
     judged = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(judged.filter("contaminated").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(judged.filter("contaminated").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample with the target weights of source, language and topic."""
+    """A sample with the target weights of source, language and topic; all columns stay.
+
+    The doc_id alone draws the lot, so rows that repeat one share their fate unless their cells differ, when one
+    kept row keeps all. Rows without doc_id can draw none and are left out. An empty table gives an empty one.
+    """
     chosen = mixing.mixed(docs).filter("kept").select("doc_id").distinct()
     return docs.join(chosen, "doc_id", "left_semi").select(*docs.columns)
 
 
 def cut_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The shard and slot of every document that is left."""
+    """The shard and slot of every document that is left.
+
+    Null texts count as empty; rows without doc_id and repeated rows get slots of their own. An empty table gives
+    an empty one.
+    """
     return sharding.sharded(docs)
 
 
