@@ -12,6 +12,7 @@ that the other view is sure of, and a view is fitted to the labelled sample and
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.storage import removed, saved
+from quarry.llm.storage import removed, saved, spread
 from quarry.llm.wordscan import BLANKS, NON_WORDS, Words, batches, byte_table, mix, texts_of
 
 LABELLED = 8000
@@ -100,8 +101,8 @@ class Sparse:
     """Rows of feature numbers, each present or not; features of few rows are left out when fitting."""
 
     def __init__(self, rows: list[np.ndarray]):
-        self.row = np.repeat(np.arange(len(rows)), [len(r) for r in rows]) if rows else np.zeros(0, np.int64)
-        self.feature = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+        self.row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows]) if rows else np.zeros(0, np.int32)
+        self.feature = np.concatenate(rows) if rows else np.zeros(0, np.int32)
         self.n, self.size = len(rows), TEXT_SIZE
 
     def times(self, w: np.ndarray) -> np.ndarray:
@@ -234,13 +235,26 @@ def partial_sums(tables, shared):
     yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(total).tobytes()], pa.binary())], ["sums"])
 
 
+def added(tables):
+    """The sum of the rows of a partition, in one row; none for an empty partition."""
+    total = None
+    for batch in tables:
+        for row in batch.column("sums").to_pylist():
+            total = np.frombuffer(row) if total is None else total + np.frombuffer(row)
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+
 def pooled(others: DataFrame, past: list, views: list, sure: float) -> list[Pool | None]:
     """Sums for both views over all unlabelled documents."""
     shared = others.sparkSession.sparkContext.broadcast((past, views, sure))
     rows = others.select("text", "meta").mapInArrow(lambda t: partial_sums(t, shared), "sums binary")
-    sums = rows.rdd.map(lambda r: np.frombuffer(r.sums)).treeAggregate(0.0, np.add, np.add)
-    if np.ndim(sums) == 0:
+    # added up on executors, a few partitions first, so that one row of fixed size reaches the driver
+    few = rows.repartition(max(1, math.isqrt(spread(others.sparkSession)))).mapInArrow(added, "sums binary")
+    row = few.repartition(1).mapInArrow(added, "sums binary").first()
+    if row is None:
         return [None, None]
+    sums = np.frombuffer(row.sums)
     parts = [np.split(t, 3) for t in np.split(sums, [SUMS[0]])]
     return [Pool(slope, bend, held[:-1], float(held[-1]), v) for (slope, bend, held), v in zip(parts, views)]
 
@@ -303,7 +317,7 @@ def sample(docs: DataFrame, labels: DataFrame, labelled: int):
     schema = f"doc_id {type_}, label int, text binary, meta binary"
     found = rows.mapInArrow(packed, schema).collect()
     found.sort(key=lambda r: r.doc_id)
-    text = Sparse([np.frombuffer(r.text, np.int32).astype(np.int64) for r in found])
+    text = Sparse([np.frombuffer(r.text, np.int32) for r in found])
     meta = Dense(np.array([np.frombuffer(r.meta, np.float32) for r in found]).reshape(len(found), META_SIZE))
     return text, meta, np.array([r.label for r in found], dtype=np.int64), others.select("doc_id", "label", "text", "source", "lang", "n_chars").mapInArrow(packed, schema)
 
