@@ -5,8 +5,8 @@ Two views of a document are classified apart: its text (words, and how words end
 view labels the unlabelled documents it is sure of for the other one. The views are then calibrated on
 labelled documents set aside, combined, and every document is scored.
 
-Labelled documents are sampled, at most LABELLED by the hash of doc_id, and gathered as packed features. The others
-stay on Spark, all of them: each pass sums up the gradient, and a bound of the curvature, of every document
+Labelled documents are sampled, at most LABELLED by the hash of doc_id, and gathered as packed features. The others,
+those with a label beyond the sample included, stay on Spark, all of them: each pass sums up the gradient, and a bound of the curvature, of every document
 that the other view is sure of, and a view is fitted to the labelled sample and these sums. Scoring covers all.
 """
 
@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -293,8 +294,11 @@ def columns_of(batch) -> tuple[list[bytes], np.ndarray]:
     return texts, meta_features(texts, *(batch.column(c).to_pylist() for c in ("source", "lang", "n_chars")))
 
 
-def packed(tables):
+def packed(tables, without=None):
+    """Packed features; documents of the broadcast `without` are left out."""
     for batch in tables:
+        if without is not None:
+            batch = batch.filter(pc.invert(pc.is_in(batch.column("doc_id"), without.value)))
         texts, meta = columns_of(batch)
         rows = [f.astype(np.int32).tobytes() for f in text_features(texts)]
         yield pa.RecordBatch.from_arrays(
@@ -303,8 +307,15 @@ def packed(tables):
         )
 
 
+def docs_type(name: str) -> pa.DataType | None:
+    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}.get(name)
+
+
 def sample(docs: DataFrame, labels: DataFrame, labelled: int):
-    """Features and labels of at most so many labelled documents, and the packed features of all without a label."""
+    """Features and labels of at most so many labelled documents, and the packed features of all others.
+
+    The texts of the others are not dealt for that: the ids of the sample, at most `labelled`, go to them.
+    """
     judged = labels.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("toxic").alias("t"))
     judged = judged.filter("doc_id is not null and q is not null")
     good = (F.col("q") == 1) & (F.coalesce("t", F.lit(0)) == 0)
@@ -312,14 +323,15 @@ def sample(docs: DataFrame, labels: DataFrame, labelled: int):
     mark = F.xxhash64("doc_id", F.lit("sample"))
     known = ids.join(judged, "doc_id").select("doc_id", good.cast("int").alias("label")).orderBy(mark, "doc_id").limit(labelled)
     rows = docs.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"])
-    others = docs.join(judged.select("doc_id"), "doc_id", "left_anti").withColumn("label", F.lit(-1))
+    others = docs.withColumn("label", F.lit(-1)).select("doc_id", "label", "text", "source", "lang", "n_chars")
     type_ = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {type_}, label int, text binary, meta binary"
     found = rows.mapInArrow(packed, schema).collect()
     found.sort(key=lambda r: r.doc_id)
     text = Sparse([np.frombuffer(r.text, np.int32) for r in found])
     meta = Dense(np.array([np.frombuffer(r.meta, np.float32) for r in found]).reshape(len(found), META_SIZE))
-    return text, meta, np.array([r.label for r in found], dtype=np.int64), others.select("doc_id", "label", "text", "source", "lang", "n_chars").mapInArrow(packed, schema)
+    without = docs.sparkSession.sparkContext.broadcast(pa.array([r.doc_id for r in found], docs_type(type_)))
+    return text, meta, np.array([r.label for r in found], dtype=np.int64), others.mapInArrow(lambda t: packed(t, without), schema)
 
 
 def score(tables, shared):
