@@ -167,7 +167,13 @@ def angle_between(a: Column, b: Column) -> Column:
     return 180 - F.abs(F.abs(a - b) - 180)
 
 
+MOST_VARIABLES = 10_000
+
+
 def missing_codes(codebook: DataFrame) -> dict[str, list[str]]:
-    """Codes marked missing, per variable. A codebook is a lookup of about a thousand rows."""
+    """Codes marked missing, per variable. A codebook is a lookup of about a thousand rows; a much larger one is refused."""
     rows = codebook.filter("is_missing").groupBy("variable").agg(F.sort_array(F.collect_set("code")).alias("codes"))
-    return {r.variable: list(r.codes) for r in rows.limit(10_000).collect()}
+    found = rows.limit(MOST_VARIABLES + 1).collect()
+    if len(found) > MOST_VARIABLES:
+        raise ValueError(f"codebook of more than {MOST_VARIABLES} variables")
+    return {r.variable: list(r.codes) for r in found}

@@ -33,7 +33,7 @@ def stages(seconds: str = "epoch_s", lat: str = "lat", lon: str = "lon") -> list
             f" - 0.5 * s_y * s_y * {sin('4 * s_l')} - 1.25 * s_e * s_e * {sin('2 * s_m')})"
         },
         {"s_t": f"mod(mod(s_min + s_eot + 4 * {lon}, 1440.0) + 1440.0, 1440.0)"},
-        {"s_h": "case when s_t / 4 < 0 then s_t / 4 + 180 else s_t / 4 - 180 end"},
+        {"s_h": "s_t / 4 - 180"},
         {"s_cosz": f"{sin(lat)} * sin(s_decl) + {cos(lat)} * cos(s_decl) * {cos('s_h')}"},
         {"s_z": f"acos({clamped('s_cosz')})"},
         {"s_up": "90 - degrees(s_z)", "s_den": f"{cos(lat)} * sin(s_z)"},

@@ -1,13 +1,13 @@
 """One build: raw tables in, audited and enriched tables out.
 
-Frames stay lazy until they are written. Every source gives bronze, silver, ledger and an independent count; the
-checks run over all of them before the provenance row is written, and the first that fails stops the build.
+Frames stay lazy until they are written. Every source gives bronze, silver and ledger, and from files also a
+quarantine and an independent count; the checks run over all of them before the provenance row is written, and the first that fails stops the build.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +22,11 @@ from quarry.sources import files
 
 @dataclass
 class Inputs:
-    """Raw frames: all-text events, vehicles and counts; boundaries with polygons and validity; cubes; holidays."""
+    """Raw frames: all-text events, vehicles and counts; boundaries with polygons and validity; cubes; holidays.
+
+    quarantine and source_rows, by source: lines set apart, and records counted by a second read. `from_csv` fills
+    both; without them the check of conservation starts at bronze.
+    """
 
     events: DataFrame
     vehicles: DataFrame
@@ -31,6 +35,15 @@ class Inputs:
     cubes: DataFrame | None = None
     holidays: DataFrame | None = None
     codebook: DataFrame | None = None
+    quarantine: dict[str, DataFrame] = field(default_factory=dict)
+    source_rows: dict[str, DataFrame] = field(default_factory=dict)
+
+
+def from_csv(spark: SparkSession, paths: dict[str, Sequence[str]], multi_line: bool = False, **others) -> Inputs:
+    """Inputs whose events, vehicles and counts are read from files; `others` are the remaining fields."""
+    read = {n: files.csv_bronze(spark, p, n, multi_line) for n, p in paths.items()}
+    counted = {n: files.csv_source_rows(spark, p, multi_line) for n, p in paths.items()}
+    return Inputs(**{n: good for n, (good, _) in read.items()}, **others, quarantine={n: bad for n, (_, bad) in read.items()}, source_rows=counted)
 
 
 EVENT_RULES = (
@@ -134,9 +147,10 @@ def build(spark: SparkSession, inputs: Inputs, path: str, years: Sequence[int],
     silver["counts"] = keep("counts", spatial.with_area(counts, areas, "count_key", "lad_code", mode, vintages.mid_year("year")))
     plan = (("events", EVENTS, EVENT_RULES), ("vehicles", VEHICLES, VEHICLE_RULES), ("counts", COUNTS, COUNT_RULES))
     ledger = files.united([audit.ledger(silver[n], spec.source_id, spec.key, rules) for n, spec, rules in plan])
-    files.write_audit(ledger, f"{path}/data_quality_log")
+    files.write_audit(ledger, f"{path}/data_quality_log", [spec.source_id for _, spec, _ in plan])
     written["data_quality_log"] = spark.read.parquet(f"{path}/data_quality_log")
-    checks = [(spec, audit.SourceTables(bronze[n], silver[n], written["data_quality_log"])) for n, spec, _ in plan]
+    apart = {n: keep(f"{n}_quarantine", df) for n, df in inputs.quarantine.items()}
+    checks = [(spec, audit.SourceTables(bronze[n], silver[n], written["data_quality_log"], apart.get(n), inputs.source_rows.get(n))) for n, spec, _ in plan]
     keep("ingest_report", files.united(audit.run_checks(checks, ceiling)))
     keep("completeness", decode.completeness(silver["events"], ["easting", "datetime_local", "severity", "lad_code", "temperature_c"], "events"))
     keep("build_meta", audit.provenance(spark, "0.1.0", 1, {"years": list(years), "mode": mode}))

@@ -386,7 +386,9 @@ def cube_to_long(spark, sf_dir):
         F.transform(F.slice("embedding", F.lit(1), hours * 8), lambda _: F.col("vec_id")).alias("id"),
     )
     rows = files.cube_rows(cubes, ["v", "id"])
-    return rows.select(F.col("id").alias("vec_id"), F.col("time_utc").alias("hour"), F.col("lat").alias("y"), F.col("lon").alias("x"), F.round(F.col("v").cast("double"), 5).alias("v"))
+    v = F.col("v").cast("double")
+    rounded = F.when((F.round(v, 5) == 0) & (v < 0), F.lit(-0.0)).otherwise(F.round(v, 5))  # zero keeps its sign, as in the SQL
+    return rows.select(F.col("id").alias("vec_id"), F.col("time_utc").alias("hour"), F.col("lat").alias("y"), F.col("lon").alias("x"), rounded.alias("v"))
 
 
 @query("""select n_nationkey, 'd' || n_regionkey division, n_name || i title, cast('2023-0' || i || '-01' as date) holiday_date, case when i = 2 then 'moved' else '' end notes,

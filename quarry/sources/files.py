@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,34 +22,47 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
 def csv_bronze(spark: SparkSession, paths: Sequence[str], source_id: str, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
     """(bronze, quarantine): every column as text, files united by name; lines that do not fit the header set apart.
 
-    columnPruning is off: with it, a query of few columns would not see that a line is malformed.
+    Lines are read as text and split, so that any choice of columns sees which are malformed. Lines that repeat the
+    header are taken for headers; the independent count tells if there were any. Records with line ends in quotes
+    (multi_line) are parsed as a whole file and kept on disk, as Spark tells malformed ones only in a full read.
     """
     good, bad = [], []
     for path in paths:
         names = csv_header(spark, path)
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, BAD]])
-        reader = spark.read.schema(schema).options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD, columnPruning=False, multiLine=multi_line)
-        rows = reader.csv(path)
-        good.append(rows.filter(F.col(BAD).isNull()).drop(BAD))
-        # Spark refuses to read the corrupt record alone, so another column is looked at along with it
-        lost = rows.filter(F.col(BAD).isNotNull() & (F.length(F.concat_ws("", names[0], BAD)) >= 0))
-        bad.append(lost.select(F.lit(source_id).alias("source_id"), F.col(BAD).alias("raw_text"), F.lit("malformed line").alias("reason"), F.current_timestamp().alias("ingested_at")))
+        if multi_line:
+            schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, BAD]])
+            reader = spark.read.schema(schema).options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD, columnPruning=False, multiLine=True)
+            rows = reader.csv(path).persist(StorageLevel.DISK_ONLY)
+            fits = rows.filter(F.col(BAD).isNull()).drop(BAD)
+            lost = rows.filter(F.col(BAD).isNotNull()).select(F.lit(source_id).alias("source_id"), F.col(BAD).alias("raw_text"), F.lit("malformed line").alias("reason"))
+        else:
+            lines = spark.read.text(path)
+            head = lines.limit(1).first()
+            rows = lines.filter((F.length(F.trim("value")) > 0) & (F.col("value") != F.lit(head[0] if head else "")))
+            fits, lost = split_lines(rows, "value", names, source_id)
+        good.append(fits)
+        bad.append(lost.withColumn("ingested_at", F.current_timestamp()))
     return united(good), united(bad)
 
 
-def csv_source_rows(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Records by a second read path: non-empty lines less one header per file."""
-    lines = spark.read.text(list(paths)).filter("length(trim(value)) > 0").groupBy(F.input_file_name().alias("file")).count()
-    return lines.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("source_rows"))
+def csv_source_rows(spark: SparkSession, paths: Sequence[str], multi_line: bool = False) -> DataFrame:
+    """Records by a second read path: non-empty lines less one header per file; line ends in quotes do not count."""
+    if multi_line:
+        whole = spark.read.text(list(paths), wholetext=True).select(F.input_file_name().alias("file"), F.regexp_replace("value", r'"[^"]*"', "q").alias("value"))
+        lines = whole.select("file", F.explode(F.split("value", r"\r?\n")).alias("value"))
+    else:
+        lines = spark.read.text(list(paths)).select(F.input_file_name().alias("file"), "value")
+    counts = lines.filter("length(trim(value)) > 0").groupBy("file").count()
+    return counts.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("source_rows"))
 
 
 def split_lines(lines: DataFrame, column: str, names: Sequence[str], source_id: str) -> tuple[DataFrame, DataFrame]:
     """csv_bronze for lines that are already rows: (bronze, quarantine)."""
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, BAD]])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
-    parsed = lines.select(F.col(column).alias("line"), F.from_csv(column, schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options).alias("r"))
+    schema = ", ".join(f"`{n}` string" for n in [*names, BAD])
+    parsed = lines.select(F.col(column).alias("line"), F.from_csv(column, schema, options).alias("r"))
     bad = F.col("r").isNull() | F.col(f"r.{BAD}").isNotNull()
-    good = parsed.filter(~bad).select(*(F.col(f"r.{n}").alias(n) for n in names))
+    good = parsed.filter(~bad).select(*(F.col(f"r.`{n}`").alias(n) for n in names))
     return good, parsed.filter(bad).select(F.lit(source_id).alias("source_id"), F.col("line").alias("raw_text"), F.lit("malformed line").alias("reason"))
 
 
@@ -58,12 +72,12 @@ def united(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 POSITION = "array<double>"
-GEO = "struct<features: array<struct<properties: map<string,string>, geometry: struct<type: string, coordinates: string>>>>"
+GEO = "features array<struct<properties: map<string,string>, geometry: struct<type: string, coordinates: string>>>"
 
 
 def geojson_features(spark: SparkSession, path: str, code: str, name: str, vintage: str) -> DataFrame:
     """One row per feature: area_code, area_name, vintage, polygons (array of rings of (x, y) per polygon)."""
-    whole = spark.read.text(path, wholetext=True).select(F.from_json("value", GEO.removeprefix("struct<")[:-1]).alias("d"))
+    whole = spark.read.text(path, wholetext=True).select(F.from_json("value", GEO).alias("d"))
     rows = whole.select(F.explode("d.features").alias("f"))
     points = "array<array<array<array<double>>>>"
     many = F.from_json(F.col("f.geometry.coordinates"), points)
@@ -128,8 +142,17 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_audit(df: DataFrame, path: str) -> None:
-    """Replace the rows of the sources in `df` in a shared audit table, and leave other sources alone."""
+def write_audit(df: DataFrame, path: str, sources: Sequence[str] = ()) -> None:
+    """Replace the rows of `sources`, and of those in `df`, in a shared audit table; other sources are left alone.
+
+    A source without a row in `df` has none afterwards: its partition of an earlier build is deleted.
+    """
+    spark = df.sparkSession
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for source in sources:
+        name = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(source)
+        old = jvm.org.apache.hadoop.fs.Path(f"{path}/source_id={name}")
+        old.getFileSystem(hadoop).delete(old, True)
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_id").parquet(path)
 
 

@@ -54,3 +54,23 @@ def test_build_stops_and_leaves_no_provenance(spark, tmp_path):
     with pytest.raises(audit.RejectRateError):
         build.build(spark, inputs(spark, bad_severity=20), str(tmp_path), [2023], "temporal", ceiling=0.1)
     assert not (tmp_path / "build_meta").exists()
+
+
+def test_build_from_files_stops_at_lost_and_malformed_lines(spark, tmp_path):
+    frames = inputs(spark)
+    paths = {}
+    for name in ("events", "vehicles", "counts"):
+        df = getattr(frames, name)
+        lines = [",".join(df.columns), *(",".join(r) for r in df.collect())]
+        paths[name] = tmp_path / f"{name}.csv"
+        paths[name].write_text("\n".join(lines) + "\n")
+    made = lambda **x: build.from_csv(spark, {n: [str(p)] for n, p in paths.items()}, boundaries=frames.boundaries, codebook=frames.codebook, **x)
+    t = build.build(spark, made(), str(tmp_path / "good"), [2023], ceiling=0.1)
+    assert t["events"].count() == 61 and t["events_quarantine"].count() == 0
+    lost = made()
+    lost.events = lost.events.filter("accident_index <> 'c5'")  # a row that vanishes between the file and bronze
+    with pytest.raises(audit.ConservationError):
+        build.build(spark, lost, str(tmp_path / "lost"), [2023], ceiling=0.1)
+    paths["events"].write_text(paths["events"].read_text() + "c98,1\nc99,2\n")
+    with pytest.raises(audit.QuarantineRateError):
+        build.build(spark, made(), str(tmp_path / "bad"), [2023], ceiling=0.1)

@@ -120,16 +120,33 @@ def test_provenance(spark):
 
 def test_csv_quarantine_and_counts(spark, tmp_path):
     a, b = tmp_path / "a.csv", tmp_path / "b.csv"
-    a.write_text("x,y,z\n1,2,3\n4,5\n4,5\n7,8,9\n")
-    b.write_text('y,w\n"q, r",2\n1,2,3\n')
+    a.write_text('id,street,km,lanes\n"k 1","High, St",0.5,2\nk2,"Mill, Ln"\nk2,"Mill, Ln"\n\nk3,Dock Rd,1.25,\n')
+    b.write_text("street,toll\nPier,no\nQuay,yes,maybe\n")
     good, bad = files.csv_bronze(spark, [str(a), str(b)], "src")
-    assert set(good.columns) == {"x", "y", "z", "w"}
-    assert sorted(str(r.y) for r in good.select("y").collect()) == ["2", "8", "q, r"]  # pruned read
+    assert set(good.columns) == {"id", "street", "km", "lanes", "toll"}
+    assert sorted(r.street for r in good.select("street").collect()) == ["Dock Rd", "High, St", "Pier"]  # pruned read
     assert good.count() == 3 and bad.count() == 3
-    assert sorted(r.raw_text for r in bad.collect()) == ["1,2,3", "4,5", "4,5"]
+    assert sorted(r.raw_text for r in bad.select("raw_text").collect()) == ["Quay,yes,maybe", 'k2,"Mill, Ln"', 'k2,"Mill, Ln"']
     assert files.csv_source_rows(spark, [str(a), str(b)]).first().source_rows == 6
 
 
+def test_csv_records_over_lines(spark, tmp_path):
+    a = tmp_path / "a.csv"
+    a.write_text('id,note\n1,"two\nlines"\n2,one\n3\n')
+    good, bad = files.csv_bronze(spark, [str(a)], "src", multi_line=True)
+    assert good.count() == 2 and bad.count() == 1
+    assert sorted(r.note for r in good.select("note").collect()) == ["one", "two\nlines"]
+    assert files.csv_source_rows(spark, [str(a)], multi_line=True).first().source_rows == 3
+
+
+def test_audit_rows_of_a_source_go_with_the_next_build(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    rows = lambda *ids: spark.createDataFrame([(i, "r") for i in ids], "source_id string, rule string")
+    files.write_audit(rows("a", "b", "c"), path, ["a", "b"])
+    files.write_audit(rows("a"), path, ["a", "b"])
+    assert sorted(r.source_id for r in spark.read.parquet(path).collect()) == ["a", "c"]
+
+
 def test_geojson(spark, tmp_path):
     ring = [[0, 0], [1, 0], [1, 1], [0, 0]]
     feature = lambda kind, c, k: {"type": "Feature", "properties": {"LAD24CD": k, "LAD24NM": "n" + k}, "geometry": {"type": kind, "coordinates": c}}
