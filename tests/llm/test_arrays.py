@@ -68,6 +68,30 @@ def test_substrings(spark, hot):
     assert got[94][1] == 50 and got[92][1] == 0 and got[95][1] == 0  # repeats within one document stay
 
 
+def test_rows_without_doc_id_stay(spark):
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    rows = docs(spark, [(None, text), (4, text), (5, text)])
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in substring.deduplicated(rows).collect()}
+    assert got == {None: (len(text), 0, 0), 4: (len(text), 0, 0), 5: (len(text), len(text), 1)}
+    assert sorted((str(r.doc_id), r.component_id) for r in ngram_join.joined(rows).collect()) == [("4", 4), ("5", 4), ("None", 4)]
+
+
+def test_anchors_are_weighed_by_their_text():
+    keys, doc = np.array([7, 7, 9], np.uint64), np.array([0, 0, 1])
+    k, d = substring.weighed(keys, doc, np.array([substring.UNIT, substring.UNIT, 5]), 2)
+    assert k.tolist() == [7, 7, 9, 7] and len({x for x, y in zip(d.tolist(), k.tolist()) if y == 7}) == 2
+    _, texts, _, counts = substring.segments([b"=" * 20_000])
+    assert counts.sum() == 20_000 - substring.LENGTH + 1 and counts.max() <= substring.PIECE and set(texts.tolist()) == {0}
+
+
+def test_passages_lie_where_tokens_are_shared():
+    shared = np.zeros(400, dtype=bool)
+    shared[100:120] = True  # too short for a passage
+    shared[200:260] = True
+    start, stop = passages.sections(shared, np.repeat([0, 1], 200))
+    assert len(start) == 1 and start[0] >= 200 and 246 <= stop[0] <= 280
+
+
 def test_substrings_of_nothing_and_of_repeated_rows(spark):
     assert substring.deduplicated(docs(spark, [])).count() == 0
     assert [r.n_removed for r in substring.deduplicated(docs(spark, [(1, "q" * 80), (1, "q" * 80)])).collect()] == [0, 0]
