@@ -19,7 +19,13 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])"
-SECRET = r"(?<![A-Za-z0-9])[0-9a-f]{32,128}+(?![A-Za-z0-9])"
+# Credentials whose issuers publish their form, and any other run of at least 16 with a digit and a letter.
+ISSUED = (
+    r"(?<![A-Za-z0-9_])(?:(?:AKIA|ASIA)[0-9A-Z]{16}+(?![A-Za-z0-9_])|gh[pousr]_[A-Za-z0-9]{36,}+|xox[abprs]-[A-Za-z0-9-]{10,}+"
+    r"|AIza[A-Za-z0-9_-]{35}+|eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+|-----BEGIN[A-Z\x20]{0,24}PRIVATE\x20KEY-----)"
+)
+RUN = r"(?<![A-Za-z0-9_])(?=[A-Za-z_]*+[0-9])(?=[0-9_]*+[A-Za-z])[A-Za-z0-9_]{16,}+"
+SECRET = f"{ISSUED}|{RUN}"
 BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 IP_VALID = rf"^{BYTE}\.{BYTE}\.{BYTE}\.{BYTE}$"
 JOINED = ""  # stands for a blank or hyphen between two digits
@@ -33,7 +39,7 @@ CONTEXT = {
     "secret": "token|key|secret|password|credential",
 }
 PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.8, "secret": 0.4}
-BONUS, WINDOW, THRESHOLD = 0.2, 32, 0.5
+BONUS, FORM, WINDOW, THRESHOLD = 0.2, 0.3, 32, 0.5
 
 Span = "struct<start:int,stop:int,said:string>"
 
@@ -122,11 +128,18 @@ def confirmed(kind: str, text: Column) -> Column:
 
 
 def scored(kind: str, spans: Column, text: Column) -> Column:
-    """Adds kind and score: the kind's prior, more if a context word stands within WINDOW characters before."""
+    """Adds kind and score: the kind's prior, more if a context word stands within WINDOW characters on either side.
+
+    A credential in a published form scores more too; any other run of characters needs a context word.
+    """
 
     def one(s: Column) -> Column:
-        before = F.lower(F.substring(text, F.greatest(s["start"] - WINDOW + 1, F.lit(1)), F.least(s["start"], F.lit(WINDOW))))
-        score = F.lit(PRIOR[kind]) + F.when(before.rlike(CONTEXT[kind]), BONUS).otherwise(0.0)
+        before = F.substring(text, F.greatest(s["start"] - WINDOW + 1, F.lit(1)), F.least(s["start"], F.lit(WINDOW)))
+        after = F.substring(text, s["stop"] + 1, F.lit(WINDOW))
+        near = F.lower(F.concat(before, F.lit("\n"), after))
+        score = F.lit(PRIOR[kind]) + F.when(near.rlike(CONTEXT[kind]), BONUS).otherwise(0.0)
+        if kind == "secret":
+            score = score + F.when(s["said"].rlike(f"^(?:{ISSUED})"), FORM).otherwise(0.0)
         return F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), score.alias("score"))
 
     return F.transform(spans, one)
@@ -152,7 +165,7 @@ def listed(spans: Column) -> Column:
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """The report per document: counts of base kinds, a digest of the base spans, and all spans."""
+    """The report per document: counts of base kinds, a digest of the base spans, all spans, and whether there are any."""
     rows = pii_spans(docs)
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
@@ -162,4 +175,5 @@ def digest(docs: DataFrame) -> DataFrame:
         F.sha2(F.encode(listed(base), "UTF-8"), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
         F.concat_ws(",", F.transform("spans", lambda s: F.format_number(s["score"], 1))).alias("scores"),
+        (F.size("spans") > 0).alias("has_pii"),
     )
