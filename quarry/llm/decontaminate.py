@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.storage import removed, saved
 from quarry.llm.wordscan import NON_WORDS, Words, batches, byte_table, texts_of
 
 WINDOW = 13
@@ -114,12 +115,13 @@ class Matcher:
         return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
-def windows(text: bytes | None, size: int = WINDOW) -> list[bytes]:
+def windows(text: bytes | None, size: int = WINDOW) -> Iterator[bytes]:
     """All windows of an item; one window if it has fewer words, none if it has no word."""
     words = Words([text or b""], TABLE)
     n = int(words.counts[0]) if len(words.counts) else 0
     raw = words.bytes
-    return [b" " + raw[words.starts[i] : words.ends[min(i + size, n) - 1]].tobytes() + b" " for i in range(max(1, n - size + 1) if n else 0)]
+    for i in range(max(1, n - size + 1) if n else 0):
+        yield b" " + raw[words.starts[i] : words.ends[min(i + size, n) - 1]].tobytes() + b" "
 
 
 def occurrences(texts: list[bytes], matcher: Matcher, length: np.ndarray):
@@ -167,7 +169,7 @@ def scan(tables, shared, first: bool, last: bool) -> Iterator[pa.RecordBatch]:
         for n, r, found in occurrences(texts_of(batch.column("text")), matcher, length):
             n_words.append(n)
             runs.append(r)
-            names.append({x for k in found for x in items[k]})
+            names.append({x for k in found for x in items[k] if x is not None})
         if not first:
             runs = [a + b for a, b in zip(batch.column("runs").to_pylist(), runs)]
             names = [set(a) | b for a, b in zip(batch.column("items").to_pylist(), names)]
@@ -189,7 +191,10 @@ def scan(tables, shared, first: bool, last: bool) -> Iterator[pa.RecordBatch]:
 
 
 def pattern_blocks(benchmark: DataFrame, window: int, limit: int = PATTERN_BYTES) -> Iterator[tuple[list[bytes], list[list[str]]]]:
-    """Distinct patterns with the ids of their items, in blocks of at most `limit` bytes (an item stays whole)."""
+    """Distinct patterns with the ids of their items, in blocks of `limit` bytes and one pattern at most.
+
+    Items come one by one; the windows of an item, and equal ones of several, may stand in more than one block.
+    """
     patterns: dict[bytes, list[str]] = {}
     size = 0
     rows = benchmark.select(F.col("item_id").cast("string").alias("item"), F.encode("text", "UTF-8").alias("text")).orderBy("item")
@@ -199,9 +204,9 @@ def pattern_blocks(benchmark: DataFrame, window: int, limit: int = PATTERN_BYTES
             size += 0 if own else len(p)
             if item not in own[-1:]:
                 own.append(item)
-        if size > limit:
-            yield list(patterns), list(patterns.values())
-            patterns, size = {}, 0
+            if size > limit:
+                yield list(patterns), list(patterns.values())
+                patterns, size = {}, 0
     if patterns:
         yield list(patterns), list(patterns.values())
 
@@ -210,18 +215,29 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
     A null text has no words, and no hit; nor has an item without words any window. Equal windows of several
-    items count for all of them; repeated documents are judged again. Empty tables give an empty result, or
-    no hits. Only doc_id, text and item_id are read.
+    items count for all of them; an item without item_id hits words but is not counted or listed; repeated
+    documents are judged again. Empty tables give an empty result, or no hits. Only doc_id, text and item_id are read.
+
+    The driver holds two blocks of patterns at most, the one in use and the one that follows; with more than one,
+    every pass but the last is written before the next begins.
     """
     rows = docs.select("doc_id", "text")
     type_ = rows.schema["doc_id"].dataType.simpleString()
-    blocks = list(pattern_blocks(benchmark, window)) or [([], [])]
-    for k, block in enumerate(blocks):
-        shared = docs.sparkSession.sparkContext.broadcast(block)  # at most PATTERN_BYTES, and the last item's
-        first, last = k == 0, k == len(blocks) - 1
+    blocks = pattern_blocks(benchmark, window)
+    block, first, carried = next(blocks, ([], [])), True, None
+    while True:
+        following = next(blocks, None)
+        last = following is None
+        shared = docs.sparkSession.sparkContext.broadcast(block)  # PATTERN_BYTES and one pattern at most
         schema = (REPORT if last else CARRIED).format(type_)
         rows = rows.mapInArrow(lambda t, shared=shared, first=first, last=last: scan(t, shared, first, last), schema)
-    return rows
+        if last:
+            return rows
+        rows = saved(rows, "contamination")
+        shared.destroy()
+        if carried is not None:
+            removed(carried)
+        block, first, carried = following, False, rows
 
 
 CARRIED = "doc_id {}, text string, runs array<int>, items array<string>"

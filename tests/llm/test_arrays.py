@@ -133,6 +133,18 @@ def test_decontamination(spark, limit, monkeypatch):
     assert len(none) == 3 and not any(r.contaminated for r in none)
 
 
+def test_benchmark_blocks_are_bounded_and_items_may_lack_an_id(spark):
+    rnd = random.Random(6)
+    bench = spark.createDataFrame([(None, "one two three"), (3, words(rnd, 400)), (4, "one two three")], "item_id long, text string")
+    blocks = list(decontaminate.pattern_blocks(bench, 13, 500))
+    longest = max(len(p) for block, _ in blocks for p in block)
+    assert len(blocks) > 3 and all(sum(map(len, block)) <= 500 + longest for block, _ in blocks)
+    got = decontaminate.contaminated(docs(spark, [(1, "one two three four")]), bench).first()
+    assert (got.n_hit, got.n_items, got.items_sha256) == (3, 1, hashlib.sha256(b"4").hexdigest())
+    only = decontaminate.contaminated(docs(spark, [(1, "one two three four")]), bench.filter("item_id is null")).first()
+    assert (only.n_hit, only.n_items, only.contaminated) == (3, 0, True)
+
+
 def brute_groups(rows):
     sets = {}
     for i, t in rows:
