@@ -9,8 +9,10 @@ counted within the row, exploded, and reduced by partial aggregates to one row p
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from quarry.llm.tables import hex_sha256, whole
 
 SAMPLES = 24
 RANGE_ROWS = 8192
-MOST_RANGES = 1 << 20
+MOST_RANGES = 1 << 16
 MASK = (1 << 32) - 1
 
 
@@ -101,27 +103,42 @@ def shown(samples: list[Column]) -> Column:
     return F.concat(*(F.lpad(F.lower(F.hex(s)), 8, "0") for s in samples))
 
 
+def cuts(rows: DataFrame, ranges: int) -> list[int]:
+    """Values of doc_id, ascending and distinct, that cut the rows into at most `ranges` ranges of about equal length."""
+    shares = [k / ranges for k in range(1, ranges)]
+    found = rows.agg(F.percentile_approx(F.col("doc_id").cast("long"), shares, max(10_000, 4 * ranges))).first()[0] if shares else None
+    return sorted(set(found or []))
+
+
+def place(value: Column, bounds: list[int]) -> Column:
+    """How many of the ascending bounds are at most the value: first among every step-th one, then within the step."""
+    step = max(1, math.isqrt(len(bounds)))
+    coarse, fine = (F.lit(np.array(b, dtype=np.int64)) if b else F.array().cast("array<bigint>") for b in (bounds[::step], bounds))
+    passed = F.size(F.filter(coarse, lambda b: b <= value)).cast("long")
+    start = F.greatest(passed - 1, F.lit(0)) * step
+    inside = F.size(F.filter(F.slice(fine, (start + 1).cast("int"), F.lit(step)), lambda b: b <= value))
+    return F.when(value.isNotNull(), start + inside)
+
+
 def in_order(docs: DataFrame) -> DataFrame:
     """Rows in descending doc_id, in ranges: rng and rn name a row, next_rng and next_rn the one that follows.
 
     Columns: rng, rn, next_rng, next_rn, doc_id, body, next_body. The last row is followed by the first. Rows of
-    one doc_id follow each other by text. One shuffle deals the texts by range; only the first text of every
+    one doc_id follow each other by text; rows without doc_id come last, by a hash of the text in ranges of their
+    own. Ranges are cut at quantiles of doc_id. One shuffle deals the texts by range; only the first text of every
     range crosses ranges.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", whole("text").alias("body"))
-    n, low, high = rows.agg(F.count("*"), F.min("doc_id"), F.max("doc_id")).first()
-    low, high = (low or 0), (high or 0)
-    ranges = min(MOST_RANGES, max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), n // RANGE_ROWS))
-    width = max(1, -(-(high - low + 1) // ranges))
-    rows = rows.withColumn("rng", F.floor((F.col("doc_id") - low) / width).cast("long"))
+    ranges = min(MOST_RANGES, max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), rows.count() // RANGE_ROWS))
+    rows = rows.withColumn("rng", F.coalesce(place(F.col("doc_id"), cuts(rows, ranges)), -1 - F.crc32(F.encode("body", "UTF-8")) % ranges))
     heads = rows.groupBy("rng").agg(F.max("doc_id").alias("doc_id"))
     line = F.lead(F.struct("rng", "doc_id")).over(Window.orderBy(F.desc("rng")))
     top = F.first(F.struct("rng", "doc_id")).over(Window.orderBy(F.desc("rng")))
     follows = heads.select("rng", F.coalesce(line, top).alias("after"))
     follows = F.broadcast(follows.select(F.col("rng").alias("of"), F.col("after.rng").alias("next_rng"), F.col("after.doc_id").alias("next_id")))
-    # at most MOST_RANGES rows of three numbers are sent
-    first = rows.drop("rng").join(follows, F.col("doc_id") == F.col("next_id"))
+    # at most 2 * MOST_RANGES rows of three numbers are sent
+    first = rows.join(follows, (F.col("rng") == F.col("next_rng")) & F.col("doc_id").eqNullSafe(F.col("next_id")))
     first = first.groupBy("of", "next_rng").agg(F.min("body").alias("head"))
     by = Window.partitionBy("rng").orderBy(F.desc("doc_id"), "body")
     rows = rows.select("*", F.row_number().over(by).alias("rn"), F.lead("body").over(by).alias("after"))
@@ -143,9 +160,10 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
 
     The edited text swaps the last third for the beginning of the next document. A null text counts as the
     empty one; texts without words all have the fingerprint of emptiness. A repeated row follows its twin. An
-    empty table gives an empty result. Only doc_id and text are read; doc_id must not be null.
+    empty table gives an empty result. Rows without doc_id follow all others. Only doc_id, an integer, and text
+    are read.
     """
-    rows = in_order(docs.filter("doc_id is not null"))
+    rows = in_order(docs)
     n = F.length("body")
     cut = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring("body", F.lit(1), n - cut), F.substring("next_body", F.lit(1), cut))
