@@ -510,6 +510,30 @@ def low_sun_count(spark, sf_dir):
     return sun(spark, sf_dir).filter(F.col("solar_elevation").between(0, 10) & F.col("solar_azimuth").between(60, 120)).agg(F.count("*").alias("n"))
 
 
+# The SQL takes the sun's direction as a vector, written by hand: it shares no text with the expressions it checks.
+@query(with_({"ev": inputs.PLACED_EVENTS}, """, p as (select radians(lat) la, lon, floor(epoch(ts)) s from ev where not time_imputed and event_id % 5 = 0),
+  t as (select *, (s / 86400 - 10957.5) / 36525 t, (s % 86400) / 240 turn from p),
+  q as (select *, radians(280.46646 + 36000.76983 * t + 0.0003032 * t * t) l, radians(357.52911 + 35999.05029 * t - 0.0001537 * t * t) m,
+    0.016708634 - 0.000042037 * t - 0.0000001267 * t * t e, radians(125.04 - 1934.136 * t) om, (84381.448 - 46.815 * t - 0.00059 * t * t + 0.001813 * t * t * t) / 3600 tilt from t),
+  r as (select *, radians(tilt + 0.00256 * cos(om)) ob,
+    l + radians((1.914602 - 0.004817 * t - 0.000014 * t * t) * sin(m) + (0.019993 - 0.000101 * t) * sin(2 * m) + 0.000289 * sin(3 * m) - 0.00569 - 0.00478 * sin(om)) lam from q),
+  d as (select *, sin(ob) * sin(lam) sd, tan(ob / 2) * tan(ob / 2) y from r),
+  h as (select *, sqrt(1 - sd * sd) cd, radians(turn + lon - 180) + y * sin(2 * l) - 2 * e * sin(m) + 4 * e * y * sin(m) * cos(2 * l) - y * y / 2 * sin(4 * l) - 1.25 * e * e * sin(2 * m) h from d),
+  v as (select degrees(asin(sin(la) * sd + cos(la) * cd * cos(h))) up, (degrees(atan2(-cd * sin(h), cos(la) * sd - sin(la) * cd * cos(h))) + 360) % 360 az from h),
+  w as (select az, up + case when up > 85 then 0 when up > 5 then 58.1 / tan(radians(up)) - 0.07 / tan(radians(up)) ** 3 + 0.000086 / tan(radians(up)) ** 5
+    when up > -0.575 then 1735 - 518.2 * up + 103.4 * up ** 2 - 12.79 * up ** 3 + 0.711 * up ** 4 else -20.772 / tan(radians(up)) end / 3600 el from v)
+  select count(*) n, round(sum(el), 3) elevation_sum, round(sum(az), 2) azimuth_sum from w where el between 0 and 15 and az between 45 and 135""").replace("\n,", ",", 1))
+def low_eastern_sun_clear(spark, sf_dir):
+    """Events under a low sun in the east in clear weather: code 1 of five that the events carry."""
+    clear = sun(spark, sf_dir).filter(1 + F.col("event_id") % 5 == 1)
+    low = clear.filter(F.col("solar_elevation").between(0, 15) & F.col("solar_azimuth").between(45, 135))
+    return low.agg(
+        F.count("*").alias("n"),
+        F.round(F.sum("solar_elevation"), 3).alias("elevation_sum"),
+        F.round(F.sum("solar_azimuth"), 2).alias("azimuth_sum"),
+    )
+
+
 @query(with_(RAW | EDGES | {"hol": inputs.HOLIDAYS}, f""", {SILVER}, {located_sql('silver', 'valid_to is null')},
   one as (select * from silver join stamp using (o_orderkey) where geom_valid and datetime_valid and prio_valid order by datetime_local, o_orderkey limit 1),
   cv as (select division, min(year(holiday_date)) a, max(year(holiday_date)) b from hol group by division),
