@@ -67,6 +67,15 @@ PLACED_EVENTS = """
 select event_id, user_id, ts, value, cast(50 + (user_id % 90) / 10.0 as double) as lat, cast(-6 + (user_id % 80) / 10.0 as double) as lon, event_id % 11 = 0 as time_imputed
 from {events}"""
 
+PLACED_ORDERS = """
+select o_orderkey as event_id, o_custkey as user_id, cast(o_orderdate as {ntz}) + (interval '1' hour) * cast(o_orderkey % 24 as int) as ts, o_totalprice as value,
+  cast(50 + (o_custkey % 90) / 10.0 as double) as lat, cast(-6 + (o_custkey % 80) / 10.0 as double) as lon, o_orderkey % 11 = 0 as time_imputed
+from {orders}"""
+
+EVENT_HOLIDAYS = """
+select distinct case user_id % 3 when 0 then 'england-and-wales' when 1 then 'scotland' else 'northern-ireland' end as division, cast(ts as date) as holiday_date
+from {events} where event_id % 97 = 0"""
+
 GRID = """
 select cast(50 + (user_id % 90) / 10.0 as double) as lat, cast(-6 + (user_id % 80) / 10.0 as double) as lon,
   cast(substr(cast(ts as string), 1, 13) || ':00:00' as {ntz}) as time_utc,
@@ -86,7 +95,7 @@ select * from (values
   ('status', 'F', 'Filled', false), ('status', 'O', 'Open', false)) as c(variable, code, label, is_missing)"""
 
 EDITIONS = """
-select n_regionkey, 'region-' || cast(n_regionkey as string) as source_id, cast(cast(1990 + n_nationkey as string) || '-04-01' as date) as valid_from from {nation}"""
+select distinct 'customer-' || cast(o_custkey as string) as source_id, cast(o_orderdate as date) as valid_from from {orders}"""
 
 
 def relation(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:

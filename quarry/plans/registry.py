@@ -12,7 +12,6 @@ from quarry.functions.civil_time import epoch_seconds, to_local, to_utc
 from quarry.functions.clean import Field
 from quarry.functions.geo import edges_of, grid_to_degrees, grid_to_degrees_stages
 from quarry.functions.solar import solar_position
-from quarry.functions.solar import stages as solar_stages
 from quarry.operators import audit, decode, spatial, stamps, vintages
 from quarry.plans import inputs
 from quarry.plans.inputs import duck, relation
@@ -229,12 +228,15 @@ def completeness_report(spark, sf_dir):
     return decode.completeness(silver_orders(spark, sf_dir), ["easting", "northing", "datetime_local", "prio"], "silver")
 
 
-@query("""select * from (values ('orders'), ('lineitem'), ('events')) s(source_id) where source_id in ('lineitem') and (select count(*) from region) > 0""")
+@query("""select distinct 'user-' || user_id source_id from events where user_id not in (select user_id from events where event_type = 'purchase' and value > 95)
+  and user_id not in (select user_id from events where event_type = 'error' and value > 97 and event_id % 3 <> 0)""")
 def audit_coverage(spark, sf_dir):
-    region = spark.read.parquet(f"{sf_dir}/region.parquet").select("r_regionkey")
-    named = lambda k, n: region.filter(F.col("r_regionkey") == k).select(F.lit(n).alias("source_id"))
-    sources = files.united([named(0, "orders"), named(1, "lineitem"), named(2, "events")])
-    return audit.undecided(sources, named(0, "orders"), files.united([named(2, "events").withColumn("reason", F.lit("clean feed")), named(1, "lineitem").withColumn("reason", F.lit(" "))]))
+    """Every user is a source: audited after a large purchase, exempt after a bad error unless the reason is blank."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("source_id", F.concat(F.lit("user-"), "user_id"))
+    specs = events.filter("event_type = 'purchase' and value > 95").select("source_id")
+    reason = F.when(F.col("event_id") % 3 == 0, F.lit(" ")).otherwise(F.col("event_type"))
+    excused = events.filter("event_type = 'error' and value > 97").select("source_id", reason.alias("reason"))
+    return audit.undecided(events.select("source_id").distinct(), specs, excused)
 
 
 # ---- joins --------------------------------------------------------------------------------------------------
@@ -280,12 +282,12 @@ def vintage_windows(spark, sf_dir):
 
 
 @query(with_(EDITIONS, """, w as (select source_id, valid_from, lead(valid_from) over (partition by source_id order by valid_from) valid_to from ed),
-  m as (select *, valid_from <= date '1991-12-31' and (valid_to is null or valid_to > date '1990-01-01') ok, min(valid_from) over (partition by source_id) f from w),
+  m as (select *, valid_from <= date '1997-12-31' and (valid_to is null or valid_to > date '1996-01-01') ok, min(valid_from) over (partition by source_id) f from w),
   n as (select *, bool_or(ok) over (partition by source_id) any_ from m)
   select source_id, valid_from, valid_to from n where ok or (not any_ and valid_from = f)""").replace("\n,", ",", 1))
 def vintage_selection(spark, sf_dir):
     windows = vintages.chained(relation(spark, sf_dir, inputs.EDITIONS))
-    return vintages.selected(windows, "temporal", (1990, 1991)).select("source_id", "valid_from", "valid_to")
+    return vintages.selected(windows, "temporal", (1996, 1997)).select("source_id", "valid_from", "valid_to")
 
 
 EDGES = {"edges": inputs.AREA_EDGES}
@@ -323,15 +325,40 @@ def point_in_polygon_midyear(spark, sf_dir):
     return spatial.with_area(points_of(spark, sf_dir), inputs.areas(spark, sf_dir), "o_orderkey", "lad_code", "temporal", day).select("o_orderkey", "lad_code")
 
 
-@query("""select n_nationkey, n_nationkey % 3 = 0 geom_valid from nation""")
+QUAD = "cast(k % 89 as double) x1, cast(k * 31 % 97 as double) y1, cast(k * 17 % 83 as double) x2, cast(k * 7 % 79 as double) y2, cast(k * 13 % 73 as double) x3, cast(k * 29 % 71 as double) y3, cast(k * 11 % 67 as double) x4, cast(k * 19 % 61 as double) y4"
+
+
+# The SQL finds a crossing by where along both sides it lies, not by turns.
+@query(f"""with q as (select k, {QUAD} from (select distinct o_orderkey k from orders)),
+  c as (select *, (x2 - x1) * (y4 - y3) - (y2 - y1) * (x4 - x3) d, (x3 - x2) * (y1 - y4) - (y3 - y2) * (x1 - x4) e from q),
+  m as (select k, k % 7 = 0 and (x1 <> x4 or y1 <> y4) gap, coalesce(((x3 - x1) * (y4 - y3) - (y3 - y1) * (x4 - x3)) / nullif(d, 0) between 1e-12 and 1 - 1e-12 and ((x3 - x1) * (y2 - y1) - (y3 - y1) * (x2 - x1)) / nullif(d, 0) between 1e-12 and 1 - 1e-12, false)
+    or coalesce(((x4 - x2) * (y1 - y4) - (y4 - y2) * (x1 - x4)) / nullif(e, 0) between 1e-12 and 1 - 1e-12 and ((x4 - x2) * (y3 - y2) - (y4 - y2) * (x3 - x2)) / nullif(e, 0) between 1e-12 and 1 - 1e-12, false) crossed from c)
+  select k o_orderkey, not gap and not crossed geom_valid from m""")
 def boundary_validity(spark, sf_dir):
-    k = F.col("n_nationkey")
-    p = lambda x, y: F.struct((k % 5 + x).cast("double").alias("x"), (k + y).cast("double").alias("y"))
-    square = F.array(p(0, 0), p(1, 0), p(1, 1), p(0, 1), p(0, 0))
-    open_, bow = F.array(p(0, 0), p(1, 0), p(1, 1), p(0, 1)), F.array(p(0, 0), p(1, 1), p(1, 0), p(0, 1), p(0, 0))
-    rings = F.when(k % 3 == 0, square).when(k % 3 == 1, open_).otherwise(bow)
-    shapes = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", F.array(F.array(rings)).alias("polygons"))
-    return spatial.boundary_validity(shapes.withColumn("edges", edges_of("polygons"))).select("n_nationkey", "geom_valid")
+    """Four-sided rings from the keys of orders: every seventh is open, many cross themselves."""
+    quads = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("k")).distinct().selectExpr("k", *QUAD.split(", "))
+    p = lambda i: F.struct(F.col(f"x{i}").alias("x"), F.col(f"y{i}").alias("y"))
+    corners = F.array(p(1), p(2), p(3), p(4))
+    ring = F.when(F.col("k") % 7 == 0, corners).otherwise(F.concat(corners, F.array(p(1))))
+    shapes = quads.select(F.col("k").alias("o_orderkey"), F.array(F.array(ring)).alias("polygons"))
+    return spatial.boundary_validity(shapes.withColumn("edges", edges_of("polygons"))).select("o_orderkey", "geom_valid")
+
+
+@query("""select 'A' || o_orderkey area_code, 'area ' || o_custkey area_name, '2024' vintage, case when o_orderkey % 2 = 1 then 2 else 1 end n_polygons,
+  case when o_orderkey % 2 = 1 then 8 else 4 end n_points, case when o_orderkey % 2 = 1 then 2 else 1 end * (4.0 * (o_custkey % 1000) + 2.5)::double x_sum from orders""")
+def geojson_areas(spark, sf_dir):
+    """Features read from GeoJSON text, a polygon or two each."""
+    x = F.col("o_custkey") % 1000
+    ring = F.format_string("[[[%d,1],[%d.5,1],[%d,2.25],[%d,1]]]", x, x + 2, x, x)
+    many = F.col("o_orderkey") % 2 == 1
+    shape = F.when(many, F.format_string('"MultiPolygon","coordinates":[%s,%s]', ring, ring)).otherwise(F.format_string('"Polygon","coordinates":%s', ring))
+    text = F.format_string(
+        '{"type":"FeatureCollection","features":[{"type":"Feature","properties":{"CD":"A%d","NM":"area %d"},"geometry":{"type":%s}}]}', "o_orderkey", "o_custkey", shape
+    )
+    rows = files.geojson_rows(spark.read.parquet(f"{sf_dir}/orders.parquet").select(text.alias("value")), "CD", "NM", "2024")
+    points = F.flatten(F.flatten("polygons"))
+    total = F.aggregate(points, F.lit(0.0), lambda n, q: n + q["x"])
+    return rows.select("area_code", "area_name", "vintage", F.size("polygons").alias("n_polygons"), F.size(points).alias("n_points"), total.alias("x_sum"))
 
 
 def stages_sql(start: str, stages: list[dict[str, str]]) -> str:
@@ -391,17 +418,17 @@ def cube_to_long(spark, sf_dir):
     return rows.select(F.col("id").alias("vec_id"), F.col("time_utc").alias("hour"), F.col("lat").alias("y"), F.col("lon").alias("x"), rounded.alias("v"))
 
 
-@query("""select n_nationkey, 'd' || n_regionkey division, n_name || i title, cast('2023-0' || i || '-01' as date) holiday_date, case when i = 2 then 'moved' else '' end notes,
-  case when i = 1 then true end bunting from nation, (values (1), (2)) v(i)""")
+@query("""select 'd' || o_custkey % 5 division, o_orderkey || '-' || i title, (o_orderdate + to_days(i - 1))::date holiday_date, case when i = 2 then 'moved' else '' end notes,
+  case when i = 1 then true end bunting from orders, (values (1), (2)) v(i)""")
 def json_flatten(spark, sf_dir):
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    """Calendars of two days each, nested as JSON text."""
+    day = F.to_date("o_orderdate")
     text = F.format_string(
-        '{"d%d": {"division": "d%d", "events": [{"title": "%s1", "date": "2023-01-01", "bunting": true}, {"title": "%s2", "date": "2023-02-01", "notes": "moved"}]}}',
-        "n_regionkey", "n_regionkey", "n_name", "n_name",
+        '{"d%d": {"division": "d%d", "events": [{"title": "%d-1", "date": "%s", "bunting": true}, {"title": "%d-2", "date": "%s", "notes": "moved"}]}}',
+        F.col("o_custkey") % 5, F.col("o_custkey") % 5, "o_orderkey", day.cast("string"), "o_orderkey", F.date_add(day, 1).cast("string"),
     )
-    rows = files.calendar_days(files.holidays(nation.select(text.alias("j")), "j"))
-    key = nation.select("n_nationkey", "n_name")
-    return rows.join(key, F.col("title").substr(F.lit(1), F.length("title") - 1) == F.col("n_name")).select("n_nationkey", "division", "title", "holiday_date", "notes", "bunting")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(text.alias("j"))
+    return files.calendar_days(files.holidays(orders, "j")).select("division", "title", "holiday_date", "notes", "bunting")
 
 
 AREA_OF = f"case when o_orderkey % 23 = 0 then null else {inputs.code('c_nationkey', 1)} end"
@@ -424,19 +451,28 @@ def update_from_match(spark, sf_dir):
     return stamps.overwritten(orders, match, "o_orderkey", "price").select("o_orderkey", "price")
 
 
-SOLAR = solar_stages("epoch_s", "lat", "lon")
-SUN_SQL = f"""ev2 as (select *, case when not time_imputed then date_diff('second', timestamp '1970-01-01', ts)::double end as epoch_s from ev), {stages_sql('ev2', SOLAR)},
-  sun as (select event_id, user_id, ts, lat, lon, value, time_imputed, solar_elevation, solar_azimuth from st{len(SOLAR) - 1})"""
-
-
-def sun(spark, sf_dir):
-    events = relation(spark, sf_dir, inputs.PLACED_EVENTS)
+# The SQL takes the sun's direction as a vector, written by hand: it shares no text with the expressions it checks.
+SUN_SQL = """sun1 as (select *, radians(lat) la, case when not time_imputed then floor(epoch(ts)) end s from ev),
+  sun2 as (select *, (s / 86400 - 10957.5) / 36525 t, (s % 86400) / 240 turn from sun1),
+  sun3 as (select *, radians(280.46646 + 36000.76983 * t + 0.0003032 * t * t) l, radians(357.52911 + 35999.05029 * t - 0.0001537 * t * t) m,
+    0.016708634 - 0.000042037 * t - 0.0000001267 * t * t e, radians(125.04 - 1934.136 * t) om, (84381.448 - 46.815 * t - 0.00059 * t * t + 0.001813 * t * t * t) / 3600 tilt from sun2),
+  sun4 as (select *, radians(tilt + 0.00256 * cos(om)) ob,
+    l + radians((1.914602 - 0.004817 * t - 0.000014 * t * t) * sin(m) + (0.019993 - 0.000101 * t) * sin(2 * m) + 0.000289 * sin(3 * m) - 0.00569 - 0.00478 * sin(om)) lam from sun3),
+  sun5 as (select *, sin(ob) * sin(lam) sd, tan(ob / 2) * tan(ob / 2) y from sun4),
+  sun6 as (select *, sqrt(1 - sd * sd) cd, radians(turn + lon - 180) + y * sin(2 * l) - 2 * e * sin(m) + 4 * e * y * sin(m) * cos(2 * l) - y * y / 2 * sin(4 * l) - 1.25 * e * e * sin(2 * m) h from sun5),
+  sun7 as (select *, degrees(asin(sin(la) * sd + cos(la) * cd * cos(h))) up, (degrees(atan2(-cd * sin(h), cos(la) * sd - sin(la) * cd * cos(h))) + 360) % 360 solar_azimuth from sun6),
+  sun as (select event_id, user_id, ts, lat, lon, value, time_imputed, solar_azimuth, up + case when up > 85 then 0 when up > 5 then 58.1 / tan(radians(up)) - 0.07 / tan(radians(up)) ** 3 + 0.000086 / tan(radians(up)) ** 5
+    when up > -0.575 then 1735 - 518.2 * up + 103.4 * up ** 2 - 12.79 * up ** 3 + 0.711 * up ** 4 else -20.772 / tan(radians(up)) end / 3600 solar_elevation from sun7)"""
+
+
+def sun(spark, sf_dir, placed=inputs.PLACED_EVENTS):
+    events = relation(spark, sf_dir, placed)
     seconds = F.when(~F.col("time_imputed"), epoch_seconds(F.col("ts")).cast("double"))
     return solar_position(events.withColumn("epoch_s", seconds))
 
 
-def sun_sql(body: str) -> str:
-    return with_({"ev": inputs.PLACED_EVENTS}, f", {SUN_SQL} {body}").replace("\n,", ",", 1)
+def sun_sql(body: str, placed: str = inputs.PLACED_EVENTS) -> str:
+    return with_({"ev": placed}, f", {SUN_SQL} {body}").replace("\n,", ",", 1)
 
 
 @query(sun_sql("select event_id, round(solar_elevation, 4) elevation, round(solar_azimuth, 3) azimuth from sun"))
@@ -477,7 +513,7 @@ def exposure_rate(spark, sf_dir):
 
 @query(sun_sql(""", v as (select *, 1 + user_id % 8 code from sun), d as (select s.event_id, o.event_id other_id, round(180 - abs(abs(s.solar_azimuth - (o.code * 45) % 360) - 180), 3) off_axis,
   round(s.solar_elevation, 3) elevation from sun s join v o on s.user_id = o.user_id and s.event_id <> o.event_id where s.solar_elevation between 0 and 10 and o.event_id % 4 = 0)
-  select * from d where off_axis <= 30 order by off_axis, event_id, other_id limit 200""").replace(f"from st{len(SOLAR) - 1}) ,", f"from st{len(SOLAR) - 1}),"))
+  select * from d where off_axis <= 30 order by off_axis, event_id, other_id limit 200"""))
 def glare_pairs(spark, sf_dir):
     """Low sun within 30 degrees of another event's heading; the 200 closest."""
     low = sun(spark, sf_dir).filter(F.col("solar_elevation").between(0, 10)).select("event_id", "user_id", "solar_azimuth", "solar_elevation")
@@ -489,7 +525,7 @@ def glare_pairs(spark, sf_dir):
 
 @query(sun_sql(""", v as (select *, 1 + user_id % 8 code from sun), d as (select s.event_id, o.event_id other_id, round(180 - abs(abs(s.solar_azimuth - (o.code * 45) % 360) - 180), 3) off_axis,
   round(s.solar_elevation, 3) elevation from sun s join v o on s.user_id = o.user_id and s.event_id <> o.event_id where s.solar_elevation between 0 and 10)
-  select * from d where off_axis <= 30 order by off_axis, event_id, other_id limit 200""").replace(f"from st{len(SOLAR) - 1}) ,", f"from st{len(SOLAR) - 1}),"))
+  select * from d where off_axis <= 30 order by off_axis, event_id, other_id limit 200"""))
 def glare_pairs_of_all_events(spark, sf_dir):
     """As glare_pairs, over the headings of all events.
 
@@ -505,24 +541,24 @@ def glare_pairs_of_all_events(spark, sf_dir):
     return pairs.select("event_id", "other_id", "off_axis", F.round("solar_elevation", 3).alias("elevation")).orderBy("off_axis", "event_id", "other_id").limit(200)
 
 
+@query(sun_sql(""", d as (select l_orderkey, l_linenumber, l_suppkey % 9 direction, round(180 - abs(abs(solar_azimuth - l_suppkey % 9 * 45 % 360) - 180), 3) off_axis, round(solar_elevation, 3) elevation
+  from sun join lineitem on l_orderkey = event_id where solar_elevation between 0 and 10 and l_suppkey % 9 > 0) select * from d where off_axis <= 30""", inputs.PLACED_ORDERS))
+def glare_of_vehicles(spark, sf_dir):
+    """Every line of an order under a low sun that heads within 30 degrees of it; direction 0 is parked."""
+    low = sun(spark, sf_dir, inputs.PLACED_ORDERS).filter(F.col("solar_elevation").between(0, 10)).select("event_id", "solar_azimuth", "solar_elevation")
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", (F.col("l_suppkey") % 9).alias("direction")).filter("direction > 0")
+    off = F.round(clean.angle_between(F.col("solar_azimuth"), clean.bearing("direction")), 3)
+    both = lines.join(low, F.col("l_orderkey") == F.col("event_id"))
+    return both.select("l_orderkey", "l_linenumber", "direction", off.alias("off_axis"), F.round("solar_elevation", 3).alias("elevation")).filter("off_axis <= 30")
+
+
 @query(sun_sql("select count(*) n from sun where solar_elevation between 0 and 10 and solar_azimuth between 60 and 120"))
 def low_sun_count(spark, sf_dir):
     return sun(spark, sf_dir).filter(F.col("solar_elevation").between(0, 10) & F.col("solar_azimuth").between(60, 120)).agg(F.count("*").alias("n"))
 
 
-# The SQL takes the sun's direction as a vector, written by hand: it shares no text with the expressions it checks.
-@query(with_({"ev": inputs.PLACED_EVENTS}, """, p as (select radians(lat) la, lon, floor(epoch(ts)) s from ev where not time_imputed and event_id % 5 = 0),
-  t as (select *, (s / 86400 - 10957.5) / 36525 t, (s % 86400) / 240 turn from p),
-  q as (select *, radians(280.46646 + 36000.76983 * t + 0.0003032 * t * t) l, radians(357.52911 + 35999.05029 * t - 0.0001537 * t * t) m,
-    0.016708634 - 0.000042037 * t - 0.0000001267 * t * t e, radians(125.04 - 1934.136 * t) om, (84381.448 - 46.815 * t - 0.00059 * t * t + 0.001813 * t * t * t) / 3600 tilt from t),
-  r as (select *, radians(tilt + 0.00256 * cos(om)) ob,
-    l + radians((1.914602 - 0.004817 * t - 0.000014 * t * t) * sin(m) + (0.019993 - 0.000101 * t) * sin(2 * m) + 0.000289 * sin(3 * m) - 0.00569 - 0.00478 * sin(om)) lam from q),
-  d as (select *, sin(ob) * sin(lam) sd, tan(ob / 2) * tan(ob / 2) y from r),
-  h as (select *, sqrt(1 - sd * sd) cd, radians(turn + lon - 180) + y * sin(2 * l) - 2 * e * sin(m) + 4 * e * y * sin(m) * cos(2 * l) - y * y / 2 * sin(4 * l) - 1.25 * e * e * sin(2 * m) h from d),
-  v as (select degrees(asin(sin(la) * sd + cos(la) * cd * cos(h))) up, (degrees(atan2(-cd * sin(h), cos(la) * sd - sin(la) * cd * cos(h))) + 360) % 360 az from h),
-  w as (select az, up + case when up > 85 then 0 when up > 5 then 58.1 / tan(radians(up)) - 0.07 / tan(radians(up)) ** 3 + 0.000086 / tan(radians(up)) ** 5
-    when up > -0.575 then 1735 - 518.2 * up + 103.4 * up ** 2 - 12.79 * up ** 3 + 0.711 * up ** 4 else -20.772 / tan(radians(up)) end / 3600 el from v)
-  select count(*) n, round(sum(el), 3) elevation_sum, round(sum(az), 2) azimuth_sum from w where el between 0 and 15 and az between 45 and 135""").replace("\n,", ",", 1))
+@query(sun_sql("""select count(*) n, round(sum(solar_elevation), 3) elevation_sum, round(sum(solar_azimuth), 2) azimuth_sum from sun
+  where event_id % 5 = 0 and solar_elevation between 0 and 15 and solar_azimuth between 45 and 135"""))
 def low_eastern_sun_clear(spark, sf_dir):
     """Events under a low sun in the east in clear weather: code 1 of five that the events carry."""
     clear = sun(spark, sf_dir).filter(1 + F.col("event_id") % 5 == 1)
@@ -548,6 +584,35 @@ def unified_record(spark, sf_dir):
     return stamps.with_holiday(first, relation(spark, sf_dir, inputs.HOLIDAYS), "lad_code", "datetime_local").select("o_orderkey", "datetime_local", "prio", "lad_code", "is_bank_holiday")
 
 
+SPOT = "cast((user_id % 80) * 8750 + 100 as double) as easting, cast((user_id % 90) * 14440 + 70 as double) as northing"
+
+
+@query(with_({"ev": inputs.PLACED_EVENTS, "grid": inputs.GRID, "hol": inputs.EVENT_HOLIDAYS} | EDGES, f""", {SUN_SQL}, spot as (select *, {LONDON.format('ts')} local_ts, {SPOT} from sun),
+  hit as (select event_id, area_code from spot join edges on valid_to is null and (y1 > northing) != (y2 > northing) and easting < (x2 - x1) * (northing - y1) / (y2 - y1) + x1 group by all having count(*) % 2 = 1),
+  area as (select event_id, min(area_code) lad_code from hit group by 1),
+  cells as (select round(lat * 10)::int ca, round(lon * 10)::int cb, date_trunc('hour', {LONDON.format('time_utc')}) ch, min(case when t2m is null or isnan(t2m) then null else t2m - 273.15 end) ct, min(tp * 1000) cp from grid group by all),
+  z as (select *, case when lad_code[1] in ('E', 'W') then 'england-and-wales' when lad_code[1] = 'S' then 'scotland' when lad_code[1] = 'N' then 'northern-ireland' end dv from spot left join area using (event_id)),
+  cv as (select division, min(year(holiday_date)) y1, max(year(holiday_date)) y2 from hol group by division)
+  select event_id, local_ts datetime_local, lad_code, round(ct, 4) temperature_c, round(cp, 4) precipitation_mm, round(solar_elevation, 4) elevation, round(solar_azimuth, 3) azimuth,
+    case when year(local_ts) between y1 and y2 then exists (select 1 from hol where hol.division = dv and holiday_date = local_ts::date) end is_bank_holiday
+  from z left join cells on ca = round(lat * 10)::int and cb = round(lon * 10)::int and ch = date_trunc('hour', local_ts) and not time_imputed left join cv on cv.division = dv""").replace("\n,", ",", 1))
+def unified_records(spark, sf_dir):
+    """Every event with all its stamps: area, weather, sun and calendar."""
+    grid = relation(spark, sf_dir, inputs.GRID).select(
+        clean.grid_index("lat").alias("lat_idx"),
+        clean.grid_index("lon").alias("lon_idx"),
+        to_local("time_utc").alias("datetime_local"),
+        clean.measured("t2m", offset=-273.15).alias("temperature_c"),
+        clean.measured("tp", scale=1000.0).alias("precipitation_mm"),
+    )
+    events = sun(spark, sf_dir).selectExpr("*", *SPOT.split(", ")).withColumn("datetime_local", to_local("ts"))
+    placed = spatial.with_area(events, inputs.areas(spark, sf_dir), "event_id", "lad_code")
+    stamped = stamps.with_weather(placed, grid, ["temperature_c", "precipitation_mm"])
+    known = stamps.with_holiday(stamped, relation(spark, sf_dir, inputs.EVENT_HOLIDAYS), "lad_code", "datetime_local")
+    rounded = [F.round(c, n).alias(a) for c, n, a in (("temperature_c", 4, "temperature_c"), ("precipitation_mm", 4, "precipitation_mm"), ("solar_elevation", 4, "elevation"), ("solar_azimuth", 3, "azimuth"))]
+    return known.select("event_id", "datetime_local", "lad_code", *rounded, "is_bank_holiday")
+
+
 LINE = "case when o_orderkey % 103 = 0 then cast(o_orderkey as string) || ',' || o_orderstatus when o_orderkey % 107 = 0 then cast(o_orderkey as string) || ',a,b,c' else cast(o_orderkey as string) || ',' || o_orderstatus || ',' || o_orderpriority end"
 
 
@@ -560,8 +625,8 @@ def csv_quarantine(spark, sf_dir):
     return files.united([loaded, bad.select(F.col("raw_text").alias("line"), F.lit(False).alias("loaded"))])
 
 
-@query()
+@query("""select '0.1.0' "version", 1 schema_version, '{"mode": "snapshot", "years": [1995, 2001]}' parameters, count(*) n_orders from orders""")
 def provenance_row(spark, sf_dir):
-    """Versions and parameters, with the number of rows they stand for."""
+    """Versions and parameters, with the number of rows they stand for; all but the time of the build."""
     n = spark.read.parquet(f"{sf_dir}/orders.parquet").agg(F.count("*").alias("n_orders"))
-    return audit.provenance(spark, "0.1.0", 1, {"years": [1995, 2001], "mode": "snapshot"}).join(n, F.lit(True))
+    return audit.provenance(spark, "0.1.0", 1, {"years": [1995, 2001], "mode": "snapshot"}).drop("built_at_utc").join(n, F.lit(True))

@@ -76,8 +76,12 @@ GEO = "features array<struct<properties: map<string,string>, geometry: struct<ty
 
 
 def geojson_features(spark: SparkSession, path: str, code: str, name: str, vintage: str) -> DataFrame:
-    """One row per feature: area_code, area_name, vintage, polygons (array of rings of (x, y) per polygon)."""
-    whole = spark.read.text(path, wholetext=True).select(F.from_json("value", GEO).alias("d"))
+    return geojson_rows(spark.read.text(path, wholetext=True), code, name, vintage)
+
+
+def geojson_rows(texts: DataFrame, code: str, name: str, vintage: str) -> DataFrame:
+    """One row per feature of the texts in `value`: area_code, area_name, vintage, polygons (array of rings of (x, y) per polygon)."""
+    whole = texts.select(F.from_json("value", GEO).alias("d"))
     rows = whole.select(F.explode("d.features").alias("f"))
     points = "array<array<array<array<double>>>>"
     many = F.from_json(F.col("f.geometry.coordinates"), points)
