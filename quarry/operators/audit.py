@@ -43,6 +43,10 @@ class RejectRateError(QualityError):
     """Too many rows fail a dimension."""
 
 
+class CoverageError(QualityError):
+    """A source is neither audited nor exempt."""
+
+
 @dataclass(frozen=True)
 class Rule:
     """A flag and what the ledger says where it is FALSE (or, for a warning, where it is TRUE)."""

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import clean
@@ -22,8 +22,10 @@ from quarry.sources import files
 
 @dataclass
 class Inputs:
-    """Raw frames: all-text events, vehicles and counts; boundaries with polygons and validity; cubes; holidays.
+    """Raw frames: all-text events, vehicles, casualties and counts; boundaries with polygons and validity; cubes; holidays.
 
+    upper: a second layer of boundaries, shaped like the first. manifest: further columns of the events to clean by kind.
+    extra: sources that are kept as they are; each needs a reason in `exempt`, or the build stops.
     quarantine and source_rows, by source: lines set apart, and records counted by a second read. `from_csv` fills
     both; without them the check of conservation starts at bronze.
     """
@@ -35,12 +37,17 @@ class Inputs:
     cubes: DataFrame | None = None
     holidays: DataFrame | None = None
     codebook: DataFrame | None = None
+    casualties: DataFrame | None = None
+    upper: DataFrame | None = None
+    manifest: Sequence[clean.Field] = ()
+    extra: dict[str, DataFrame] = field(default_factory=dict)
+    exempt: dict[str, str] = field(default_factory=lambda: {"codebook": "a lookup, checked to be unique when it is read"})
     quarantine: dict[str, DataFrame] = field(default_factory=dict)
     source_rows: dict[str, DataFrame] = field(default_factory=dict)
 
 
 def from_csv(spark: SparkSession, paths: dict[str, Sequence[str]], multi_line: bool = False, **others) -> Inputs:
-    """Inputs whose events, vehicles and counts are read from files; `others` are the remaining fields."""
+    """Inputs whose events, vehicles, counts and casualties, as far as named, are read from files; `others` are the remaining fields."""
     read = {n: files.csv_bronze(spark, p, n, multi_line) for n, p in paths.items()}
     counted = {n: files.csv_source_rows(spark, p, multi_line) for n, p in paths.items()}
     return Inputs(**{n: good for n, (good, _) in read.items()}, **others, quarantine={n: bad for n, (_, bad) in read.items()}, source_rows=counted)
@@ -53,6 +60,13 @@ EVENT_RULES = (
     audit.Rule("event_time", "time_imputed", "time", "time_raw", "time imputed", warn=True),
 )
 VEHICLE_RULES = (audit.Rule("vehicle_orphan", "link_valid", "event_id", "event_id", "no such event"),)
+CASUALTY_RULES = (
+    audit.Rule("casualty_orphan", "link_valid", "event_id", "event_id", "no such event"),
+    audit.Rule("casualty_vehicle", "vehicle_valid", "vehicle_reference", "vehicle_key", "no such vehicle"),
+    audit.Rule("casualty_severity", "severity_valid", "severity", "severity_raw", "no usable severity"),
+)
+AREA_RULES = (audit.Rule("area_shape", "geom_valid", "polygons", "cast(size(polygons) as string)", "no valid rings"),)
+DAY_RULES = (audit.Rule("holiday_date", "date_valid", "holiday_date", "division", "no usable date"),)
 COUNT_RULES = (
     audit.Rule("count_coord", "geom_valid", "easting,northing", "concat_ws(',', coalesce(easting_raw, ''), coalesce(northing_raw, ''))", "outside the envelope"),
     audit.Rule("count_volume", "volume_valid", "volume", "volume_raw", "no usable volume"),
@@ -61,10 +75,37 @@ EVENTS = audit.SourceSpec(
     "events", "event_id", (audit.Dimension("geom_valid", ("event_coord",)), audit.Dimension("datetime_valid", ("event_datetime",)), audit.Dimension("severity_valid", ("event_severity",)))
 )
 VEHICLES = audit.SourceSpec("vehicles", "vehicle_key", (audit.Dimension("link_valid", ("vehicle_orphan",)),))
+CASUALTIES = audit.SourceSpec(
+    "casualties",
+    "casualty_key",
+    (audit.Dimension("link_valid", ("casualty_orphan",)), audit.Dimension("vehicle_valid", ("casualty_vehicle",)), audit.Dimension("severity_valid", ("casualty_severity",))),
+)
+AREAS, UPPER = (audit.SourceSpec(n, "area_key", (audit.Dimension("geom_valid", ("area_shape",)),)) for n in ("boundaries", "upper"))
+WEATHER = audit.SourceSpec("cubes", "cell_key")
+DAYS = audit.SourceSpec("holidays", "day_key", (audit.Dimension("date_valid", ("holiday_date",)),))
 COUNTS = audit.SourceSpec("counts", "count_key", (audit.Dimension("geom_valid", ("count_coord",)), audit.Dimension("volume_valid", ("count_volume",))))
 
 
-def events_silver(raw: DataFrame, missing: dict[str, list[str]]) -> DataFrame:
+EVENT_COLUMNS = {
+    "event_id", "easting_raw", "northing_raw", "date_raw", "time_raw", "road_name", "easting", "northing", "geom_valid", "datetime_local", "datetime_valid",
+    "time_imputed", "severity", "severity_raw", "severity_valid", "date", "time",
+}
+
+
+PLAN = (
+    (EVENTS, EVENT_RULES),
+    (VEHICLES, VEHICLE_RULES),
+    (CASUALTIES, CASUALTY_RULES),
+    (COUNTS, COUNT_RULES),
+    (AREAS, AREA_RULES),
+    (UPPER, AREA_RULES),
+    (WEATHER, ()),
+    (DAYS, DAY_RULES),
+)
+
+
+def events_silver(raw: DataFrame, missing: dict[str, list[str]], manifest: Sequence[clean.Field] = ()) -> DataFrame:
+    """Events with a place, a time and a severity, and the manifest's other columns by their kinds."""
     key = clean.first_present(raw, ["event_id", "collision_index", "accident_index"])
     return raw.select(
         key.alias("event_id"),
@@ -76,6 +117,7 @@ def events_silver(raw: DataFrame, missing: dict[str, list[str]]) -> DataFrame:
         *clean.sentinel_point("easting", "northing"),
         *clean.event_time("date", "time"),
         *clean.audited(raw, "severity", ["accident_severity", "collision_severity"], missing.get("severity", ())),
+        *clean.broad(raw, manifest, missing, EVENT_COLUMNS),
     )
 
 
@@ -88,6 +130,31 @@ def vehicles_silver(raw: DataFrame, events: DataFrame) -> DataFrame:
     return stamps.with_link(keyed, events.select(F.col("event_id").alias("parent")), "event_id", "parent")
 
 
+def casualties_silver(raw: DataFrame, events: DataFrame, vehicles: DataFrame, missing: dict[str, list[str]]) -> DataFrame:
+    """Linked to their event and to the vehicle they were in or hit by."""
+    keyed = raw.select(
+        clean.first_present(raw, ["event_id", "collision_index", "accident_index"]).alias("event_id"),
+        "vehicle_reference",
+        "casualty_reference",
+        *clean.audited(raw, "severity", ["casualty_severity"], missing.get("casualty_severity", ())),
+    )
+    keyed = keyed.withColumn("vehicle_key", clean.row_key("event_id", "vehicle_reference")).withColumn("casualty_key", clean.row_key("vehicle_key", "casualty_reference"))
+    linked = stamps.with_link(keyed, events.select(F.col("event_id").alias("parent")), "event_id", "parent")
+    return stamps.with_link(linked, vehicles.select(F.col("vehicle_key").alias("parent")), "vehicle_key", "parent", "vehicle_valid")
+
+
+def areas_silver(raw: DataFrame) -> DataFrame:
+    """Boundaries with their edges and whether their rings are closed and free of crossings."""
+    keyed = raw.withColumn("area_key", clean.row_key("area_code", F.coalesce(F.col("valid_from").cast("string"), F.lit(""))))
+    return spatial.boundary_validity(keyed.withColumn("edges", edges_of("polygons")))
+
+
+def areas_used(silver: DataFrame, source_id: str, mode: str, years: Sequence[int]) -> DataFrame:
+    """Valid areas of the editions that the build needs."""
+    windows = vintages.selected(clean.gold(silver, ["geom_valid"]).withColumn("source_id", F.lit(source_id)), mode, (min(years), max(years)))
+    return windows.select("area_code", "valid_from", "valid_to", "edges")
+
+
 def counts_silver(raw: DataFrame) -> DataFrame:
     return raw.select(
         clean.row_key("count_point_id", "year").alias("count_key"),
@@ -103,8 +170,12 @@ def counts_silver(raw: DataFrame) -> DataFrame:
 
 
 def weather_silver(cubes: DataFrame) -> DataFrame:
-    rows = files.cube_rows(cubes, ["t2m", "tp"])
+    return weather_cells(files.cube_rows(cubes, ["t2m", "tp"]))
+
+
+def weather_cells(rows: DataFrame) -> DataFrame:
     return rows.select(
+        clean.row_key("lat", "lon", "time_utc").alias("cell_key"),
         clean.grid_index("lat").alias("lat_idx"),
         clean.grid_index("lon").alias("lon_idx"),
         to_local("time_utc").alias("datetime_local"),
@@ -113,45 +184,81 @@ def weather_silver(cubes: DataFrame) -> DataFrame:
     )
 
 
-def enriched(silver: DataFrame, inputs: Inputs, areas: DataFrame, mode: str) -> DataFrame:
+def with_areas(points: DataFrame, layers: dict[str, DataFrame | None], key: str, mode: str, day: Column) -> DataFrame:
+    """The code of each layer's area as a column; a layer that is not given leaves its column null."""
+    for name, areas in layers.items():
+        points = points.withColumn(name, clean.placeholder("string")) if areas is None else spatial.with_area(points, areas, key, name, mode, day)
+    return points
+
+
+def enriched(silver: DataFrame, layers: dict[str, DataFrame | None], weather: DataFrame | None, holidays: DataFrame | None, mode: str) -> DataFrame:
     """All stamps in one plan; each keeps the row count. A source that is not given leaves its columns null."""
-    out = spatial.with_area(silver, areas, "event_id", "lad_code", mode, F.col("datetime_local").cast("date"))
+    out = with_areas(silver, layers, "event_id", mode, F.col("datetime_local").cast("date"))
     out = grid_to_degrees(out)
-    if inputs.cubes is None:
+    if weather is None:
         out = out.withColumns({c: clean.placeholder("double") for c in ("temperature_c", "precipitation_mm")})
     else:
-        out = stamps.with_weather(out, weather_silver(inputs.cubes), ["temperature_c", "precipitation_mm"])
+        out = stamps.with_weather(out, weather, ["temperature_c", "precipitation_mm"])
     exact = F.when(~F.col("time_imputed"), epoch_seconds(to_utc(F.col("datetime_local"))).cast("double"))
     out = solar_position(out.withColumn("epoch_s", exact)).drop("epoch_s")
-    if inputs.holidays is None:
+    if holidays is None:
         return out.withColumn("is_bank_holiday", clean.placeholder("boolean"))
-    return stamps.with_holiday(out, inputs.holidays, "lad_code", "datetime_local")
+    return stamps.with_holiday(out, holidays, "lad_code", "datetime_local")
 
 
 def build(spark: SparkSession, inputs: Inputs, path: str, years: Sequence[int], mode: str = "snapshot", ceiling: float | None = None) -> dict[str, DataFrame]:
     """Write all tables under `path`, check them, then write the provenance row; running again gives the same tables."""
     missing = clean.missing_codes(inputs.codebook) if inputs.codebook is not None else {}
-    windows = vintages.selected(inputs.boundaries.withColumn("source_id", F.lit("areas")), mode, (min(years), max(years)))
-    areas = windows.withColumn("edges", edges_of("polygons")).select("area_code", "valid_from", "valid_to", "edges")
     written: dict[str, DataFrame] = {}
+    bronze: dict[str, DataFrame] = {}
+    silver: dict[str, DataFrame] = {}
+    counted = dict(inputs.source_rows)
 
     def keep(name: str, df: DataFrame) -> DataFrame:
         files.write_table(df, f"{path}/{name}")
         written[name] = spark.read.parquet(f"{path}/{name}")
         return written[name]
 
-    bronze = {n: keep(f"{n}_raw", getattr(inputs, n)) for n in ("events", "vehicles", "counts")}
-    silver = {"events": keep("events", enriched(events_silver(bronze["events"], missing), inputs, areas, mode))}
+    sources = ("events", "vehicles", "casualties", "counts", "boundaries", "upper", "cubes", "holidays", "codebook")
+    given = {n: df for n in sources if (df := getattr(inputs, n)) is not None} | inputs.extra
+    if inputs.cubes is not None:
+        given["cubes"] = files.cube_rows(inputs.cubes, ["t2m", "tp"])
+        counted.setdefault("cubes", files.cube_source_rows(inputs.cubes))
+    for name, df in given.items():
+        bronze[name] = keep(f"{name}_raw", df)
+
+    layers: dict[str, DataFrame | None] = {}
+    for name, column in (("boundaries", "lad_code"), ("upper", "ctyua_code")):
+        if name in bronze:
+            silver[name] = keep(name, areas_silver(bronze[name]))
+        layers[column] = areas_used(silver[name], name, mode, years) if name in silver else None
+    if "cubes" in bronze:
+        silver["cubes"] = keep("weather", weather_cells(bronze["cubes"]))
+    if "holidays" in bronze:
+        days = bronze["holidays"].withColumn("day_key", clean.row_key("division", F.coalesce(F.col("holiday_date").cast("string"), F.lit(""))))
+        silver["holidays"] = keep("holidays", days.withColumn("date_valid", F.col("holiday_date").isNotNull()))
+    events = events_silver(bronze["events"], missing, inputs.manifest)
+    silver["events"] = keep("events", enriched(events, layers, silver.get("cubes"), silver.get("holidays"), mode))
     silver["vehicles"] = keep("vehicles", vehicles_silver(bronze["vehicles"], silver["events"]))
-    counts = counts_silver(bronze["counts"])
-    silver["counts"] = keep("counts", spatial.with_area(counts, areas, "count_key", "lad_code", mode, vintages.mid_year("year")))
-    plan = (("events", EVENTS, EVENT_RULES), ("vehicles", VEHICLES, VEHICLE_RULES), ("counts", COUNTS, COUNT_RULES))
-    ledger = files.united([audit.ledger(silver[n], spec.source_id, spec.key, rules) for n, spec, rules in plan])
-    files.write_audit(ledger, f"{path}/data_quality_log", [spec.source_id for _, spec, _ in plan])
+    if "casualties" in bronze:
+        silver["casualties"] = keep("casualties", casualties_silver(bronze["casualties"], silver["events"], silver["vehicles"], missing))
+    silver["counts"] = keep("counts", with_areas(counts_silver(bronze["counts"]), layers, "count_key", mode, vintages.mid_year("year")))
+    if inputs.codebook is not None:
+        coded = ["severity", *(f.name for f in inputs.manifest if f.kind == "coded" and f.name in silver["events"].columns)]
+        keep("events_labelled", decode.labelled(silver["events"], inputs.codebook, coded))
+
+    plan = [(spec, rules) for spec, rules in PLAN if spec.source_id in silver]
+    names = lambda found: spark.createDataFrame([(n,) for n in found], "source_id string")
+    excused = spark.createDataFrame(list(inputs.exempt.items()), "source_id string, reason string")
+    left = [r.source_id for r in audit.undecided(names(given), names(spec.source_id for spec, _ in plan), excused).collect()]  # of the names above
+    if left:
+        raise audit.CoverageError(f"neither audited nor exempt: {sorted(left)}")
+    ledger = files.united([audit.ledger(silver[spec.source_id], spec.source_id, spec.key, rules) for spec, rules in plan if rules])
+    files.write_audit(ledger, f"{path}/data_quality_log", [spec.source_id for spec, _ in plan])
     written["data_quality_log"] = spark.read.parquet(f"{path}/data_quality_log")
     apart = {n: keep(f"{n}_quarantine", df) for n, df in inputs.quarantine.items()}
-    checks = [(spec, audit.SourceTables(bronze[n], silver[n], written["data_quality_log"], apart.get(n), inputs.source_rows.get(n))) for n, spec, _ in plan]
-    keep("ingest_report", files.united(audit.run_checks(checks, ceiling)))
+    tables = lambda n: audit.SourceTables(bronze[n], silver[n], written["data_quality_log"], apart.get(n), counted.get(n))
+    keep("ingest_report", files.united(audit.run_checks([(spec, tables(spec.source_id)) for spec, _ in plan], ceiling)))
     keep("completeness", decode.completeness(silver["events"], ["easting", "datetime_local", "severity", "lad_code", "temperature_c"], "events"))
     keep("build_meta", audit.provenance(spark, "0.1.0", 1, {"years": list(years), "mode": mode}))
     return written

@@ -2,7 +2,9 @@ from datetime import date, datetime
 
 import pytest
 
-from quarry.functions.clean import gold
+from pyspark.sql import functions as F
+
+from quarry.functions.clean import Field, gold
 from quarry.operators import audit
 from quarry.plans import build
 
@@ -41,7 +43,7 @@ def test_build_is_complete_enriched_and_repeatable(spark, tmp_path):
     assert ("events", "cx", "event_coord") in log and ("vehicles", "lost|1", "vehicle_orphan") in log and ("counts", "99|2023", "count_coord") in log
     assert t["data_quality_log"].count() == len(log)
     assert gold(t["vehicles"], ["link_valid"]).count() == 100
-    assert t["build_meta"].count() == 1 and t["ingest_report"].count() == 3
+    assert t["build_meta"].count() == 1 and t["ingest_report"].count() == 6
     rates = build.exposure_rates(t, 2023).collect()
     assert [(x.road_name, x.lad_code, x.n_points) for x in rates] == []  # counted in the new edition, events in the old one
     snap = build.build(spark, inputs(spark), str(tmp_path / "snap"), [2023], "snapshot", ceiling=0.1)
@@ -74,3 +76,45 @@ def test_build_from_files_stops_at_lost_and_malformed_lines(spark, tmp_path):
     paths["events"].write_text(paths["events"].read_text() + "c98,1\nc99,2\n")
     with pytest.raises(audit.QuarantineRateError):
         build.build(spark, made(), str(tmp_path / "bad"), [2023], ceiling=0.1)
+
+
+def test_build_audits_every_source(spark, tmp_path):
+    made = inputs(spark)
+    made.upper = made.boundaries.filter("valid_to is not null").replace({"E01": "E10"}, subset=["area_code"])
+    made.casualties = spark.createDataFrame(
+        [(f"c{i}", "0", "1", "3") for i in range(60)] + [("c1", "7", "2", "3"), ("lost", "1", "1", "x")],
+        "accident_index string, vehicle_reference string, casualty_reference string, casualty_severity string",
+    )
+    made.events = made.events.withColumn("road_type", F.lit("6")).withColumn("speed", F.lit("40"))
+    made.manifest = [Field("road_type", "coded"), Field("speed", "numeric", "int")]
+    made.codebook = made.codebook.union(spark.createDataFrame([("road_type", "6", "Single carriageway", False)], made.codebook.schema))
+    t = build.build(spark, made, str(tmp_path / "a"), [2023], "temporal", ceiling=0.1)
+    c = {r.casualty_key: (r.link_valid, r.vehicle_valid, r.severity_valid) for r in t["casualties"].collect()}
+    assert c["c1|0|1"] == (True, True, True) and c["c1|7|2"] == (True, False, True) and c["lost|1|1"] == (False, True, False)
+    log = {(x.source_id, x.source_row_key, x.rule_id) for x in t["data_quality_log"].filter("source_id = 'casualties'").collect()}
+    assert log == {("casualties", "c1|7|2", "casualty_vehicle"), ("casualties", "lost|1|1", "casualty_orphan"), ("casualties", "lost|1|1", "casualty_severity")}
+    e = t["events_labelled"].filter("event_id = 'c1'").first()
+    assert (e.lad_code, e.ctyua_code, e.speed, e.road_type_label) == ("E01", "E10", 40, "Single carriageway")
+    report = {r.source_id: r for r in t["ingest_report"].collect()}
+    assert set(report) == {"events", "vehicles", "casualties", "counts", "boundaries", "upper", "cubes", "holidays"}
+    assert report["cubes"].source_rows == 2 == report["cubes"].silver_rows
+    assert t["weather"].count() == 2
+
+
+def test_build_stops_at_a_source_nobody_decided_on(spark, tmp_path):
+    made = inputs(spark)
+    made.extra = {"signals": spark.range(3)}
+    with pytest.raises(audit.CoverageError, match="signals"):
+        build.build(spark, made, str(tmp_path / "a"), [2023], ceiling=0.1)
+    assert not (tmp_path / "a" / "build_meta").exists()
+    made.exempt = made.exempt | {"signals": "kept as read"}
+    assert build.build(spark, made, str(tmp_path / "b"), [2023], ceiling=0.1)["signals_raw"].count() == 3
+
+
+def test_invalid_boundaries_are_logged_and_stamp_nothing(spark, tmp_path):
+    made = inputs(spark)
+    bow = [[[(440000.0, 500000.0), (449000.0, 540000.0), (449000.0, 500000.0), (440000.0, 540000.0), (440000.0, 500000.0)]]]
+    made.boundaries = made.boundaries.union(spark.createDataFrame([("A00", date(2010, 1, 1), None, bow)], AREA))
+    t = build.build(spark, made, str(tmp_path), [2023], "snapshot", ceiling=0.5)
+    assert {r.lad_code for r in t["events"].collect()} == {"E02", None}
+    assert [r.source_row_key for r in t["data_quality_log"].filter("source_id = 'boundaries'").collect()] == ["A00|2010-01-01"]
