@@ -2,8 +2,9 @@
 
 Atomic groups are the rows of one text, ordered by the hash of the text. A capacity is feasible if greedy
 filling needs no more than the given number of shards; the smallest one is found by binary search. Group
-sizes stay distributed: the driver sees sums over at most NODES hash ranges, on which a capacity is surely
-feasible, surely not, or undecided; ranges in which an undecided cut may fall are split again until none is left.
+sizes stay distributed: the driver sees sums over hash ranges, on which a capacity is surely feasible, surely
+not, or undecided; ranges in which an undecided cut may fall are split again, the heaviest first, until none is
+left. A pass brings at most 1.25 * NODES sums; ranges that no undecided cut can reach are added up between passes.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from quarry.llm.tables import whole
 
 SHARDS = 8
 NODES = 4096
+SPLIT = 64  # ranges split in one pass, so that the condition stays short
 SLOT_ROWS = 50_000
 LOW, HIGH = -(1 << 63), (1 << 63) - 1
 
@@ -59,7 +61,7 @@ def smallest(edges, atomic, largest, shards: int) -> tuple[int, int]:
 
 
 def ranged(groups: DataFrame, ranges: list[tuple[int, int, int]]) -> list:
-    """Sums over parts of hash ranges (first, last, width); bounded by NODES rows in all."""
+    """Sums over parts of hash ranges (first, last, width); at most one row per part."""
     pieces = [
         F.when(F.col("h").between(lo, hi), F.concat_ws(":", F.lit(str(k)), F.floor((F.col("h").cast("decimal(38,0)") - F.lit(lo).cast("decimal(38,0)")) / F.lit(w).cast("decimal(38,0)")).cast("string")))
         for k, (lo, hi, w) in enumerate(ranges)
@@ -74,6 +76,23 @@ def ranged(groups: DataFrame, ranges: list[tuple[int, int, int]]) -> list:
     )
 
 
+def merged(parts: list[tuple], reach: set[int], split: set[int], finer: list[tuple]) -> list[tuple]:
+    """Parts in order of hash: split ones replaced by finer ones, runs that no undecided cut can reach as one part."""
+    out: list[tuple] = []
+    at = 0
+    for k, p in enumerate(parts):
+        if k in split:
+            while at < len(finer) and finer[at][0] <= p[1]:
+                out.append(finer[at])
+                at += 1
+        elif out and k - 1 not in reach and k > 0 and k not in reach:
+            q = out[-1]
+            out[-1] = (q[0], p[1], q[2] + p[2], max(q[3], p[3]), q[4] + p[4])
+        else:
+            out.append(p)
+    return out
+
+
 def cut_points(groups: DataFrame, shards: int = SHARDS, nodes: int = NODES) -> tuple[int, list[int]]:
     """The smallest feasible capacity and the first hash of every shard but the first.
 
@@ -89,22 +108,16 @@ def cut_points(groups: DataFrame, shards: int = SHARDS, nodes: int = NODES) -> t
         largest = np.array([p[3] for p in parts], dtype=np.int64)
         atomic = np.array([p[4] == 1 for p in parts])
         may, must = smallest(edges, atomic, largest, shards)
-        unsure: set[int] = set()
+        reach: set[int] = set()
         for (i, _), (_, j) in zip(greedy(edges, atomic, largest, may, shards)[2], greedy(edges, atomic, largest, must, shards)[2]):
-            unsure.update(k for k in range(i, j + 1) if not atomic[k])
+            reach.update(range(i, j + 1))
+        unsure = [k for k in reach if not atomic[k]]
         if not unsure:
             break
-        room = max(2, nodes // len(unsure))
-        again = [(parts[k][0], parts[k][1], max(1, -(-(parts[k][1] - parts[k][0] + 1) // room))) for k in sorted(unsure)]
-        runs: list[tuple[int, int, int]] = []
-        for lo, hi, w in again:  # neighbours are read as one range, so that the condition stays short
-            if runs and len(runs) > 64:
-                runs[-1] = (runs[-1][0], hi, max(runs[-1][2], w))
-            else:
-                runs.append((lo, hi, w))
-        finer = [tuple(r)[1:] for r in ranged(groups, runs)]
-        covered = lambda p: any(lo <= p[0] and p[1] <= hi for lo, hi, _ in runs)
-        parts = sorted([p for p in parts if not covered(p)] + finer)
+        split = sorted(unsure, key=lambda k: (-parts[k][2], k))[: max(1, min(SPLIT, nodes // 4))]
+        room = max(2, nodes // len(split))
+        finer = ranged(groups, [(parts[k][0], parts[k][1], -(-(parts[k][1] - parts[k][0] + 1) // room)) for k in split])
+        parts = merged(parts, reach, set(split), [tuple(r)[1:] for r in finer])
     cuts, at = [], 0
     while True:
         i = int(np.searchsorted(edges, at + must, "right")) - 1

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -186,6 +187,23 @@ def test_smallest_capacity(spark, nodes, hot):
     assert max(loads.values()) <= capacity and len(cuts) <= 7
 
 
+def test_sums_that_reach_the_driver_are_bounded(spark, monkeypatch):
+    rnd = random.Random(5)
+    sizes = [int(rnd.paretovariate(1.1) * 10) for _ in range(3000)]
+    sizes[700] = sum(sizes) // 2  # a third of all bytes
+    hashes = sorted({rnd.getrandbits(64) - (1 << 63) for _ in sizes})
+    groups = spark.createDataFrame(list(zip(hashes, sizes)), "h long, bytes long")
+    seen, plain = [], sharding.ranged
+    monkeypatch.setattr(sharding, "ranged", lambda g, r: seen.append(plain(g, r)) or seen[-1])
+    for shards in (8, 40):
+        capacity, cuts = sharding.cut_points(groups, shards, 64)
+        lo = best_capacity(sizes, shards)
+        assert capacity == lo
+        bounds = [hashes[0], *cuts, 1 << 63]
+        assert max(sum(b for h, b in zip(hashes, sizes) if x <= h < y) for x, y in zip(bounds, bounds[1:])) <= lo and len(cuts) < shards
+    assert max(len(s) for s in seen[1:]) <= 80 and len(seen) > 2
+
+
 def test_shards(spark):
     rows = [(i, None if i % 7 == 0 else f"é{i % 90}" * (i % 13)) for i in range(500)] + [(3, "é3" * 3)]
     got = sharding.sharded(docs(spark, rows)).collect()
