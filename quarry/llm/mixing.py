@@ -42,18 +42,44 @@ def chance(key: Column, seed: str = SEED) -> Column:
     return F.conv(F.substring(F.md5(F.concat(key.cast("string"), F.lit(f":{seed}"))), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
-def fitted(cells: DataFrame, margins=MARGINS, rounds: int = ROUNDS, power: float = POWER) -> DataFrame:
-    """Cells with a column `ratio`. Target shares are tokens to the power, normalised, per margin.
-
+def aim_of(sums: DataFrame, margin: str, power: float, target: DataFrame | None) -> DataFrame:
+    """(margin, aim): the tokens that each value shall have. Targets (value, share) are normalised over the values present."""
+    if target is None:
+        return sums.select(margin, "have", F.pow("have", F.lit(power)).alias("share"))
+    given = target.groupBy(F.col("value").alias(margin)).agg(F.sum("share").cast("double").alias("share"))
+    return sums.join(given, margin, "left").select(margin, "have", F.greatest(F.coalesce("share", F.lit(0.0)), F.lit(0.0)).alias("share"))
+
+
+def margin_errors(fit: DataFrame, aims: dict[str, DataFrame]) -> DataFrame:
+    """(margin, value, aim, now, error): how far each value of a margin is from its aim, as a part of the whole."""
+    rows = None
+    for m, aim in aims.items():
+        part = fit.groupBy(m).agg(F.sum("weight").alias("now")).join(aim, m)
+        part = part.select(F.lit(m).alias("margin"), F.col(m).alias("value"), "aim", "now", F.abs(F.col("aim") - F.col("now")).alias("error"))
+        rows = part if rows is None else rows.unionByName(part)
+    whole_of = rows.groupBy("margin").agg(F.sum("aim").alias("all"))
+    return rows.join(whole_of, "margin").select("margin", "value", "aim", "now", F.coalesce(F.try_divide("error", "all"), F.lit(0.0)).alias("error"))
+
+
+def fitted(
+    cells: DataFrame, margins=MARGINS, rounds: int = ROUNDS, power: float = POWER, targets: dict[str, DataFrame] | None = None, tolerance: float | None = None
+) -> DataFrame:
+    """Cells with a column `ratio`. Target shares are those given per margin, else tokens to the power, normalised.
+
+    targets: by margin, (value, share). Values without a share, or with a null or negative one, get none, so their
+    documents go; shares of values that the corpus lacks go to the others in proportion; repeated values add up.
+    With a tolerance, rounds end once no value of any margin is farther from its aim than that part of all tokens.
     Sums per margin value are partial aggregates, so a source with a third of all rows costs no more than another.
     """
     total = F.sum("tokens").cast("double")
     aims = {}
     for m in margins:
         sums = cells.groupBy(m).agg(total.alias("have"))
-        norm = sums.agg(F.sum(F.pow("have", F.lit(power))).alias("norm"), F.sum("have").alias("all"))
-        n, everything = norm.first() or (None, None)
-        aims[m] = saved(sums.select(m, (F.pow("have", F.lit(power)) / F.lit(n or 1.0) * F.lit(everything or 0.0)).alias("aim")), f"aim-{m}")
+        shares = aim_of(sums, m, power, (targets or {}).get(m))
+        n, everything = shares.agg(F.sum("share").alias("norm"), F.sum("have").alias("all")).first() or (None, None)
+        if everything and not n:
+            raise ValueError(f"no value of {m} in the corpus has a share of its target")
+        aims[m] = saved(shares.select(m, (F.col("share") / F.lit(n or 1.0) * F.lit(everything or 0.0)).alias("aim")), f"aim-{m}")
     first = fit = cells.withColumn("weight", F.col("tokens").cast("double"))
     for _ in range(rounds):
         for m in margins:
@@ -63,6 +89,8 @@ def fitted(cells: DataFrame, margins=MARGINS, rounds: int = ROUNDS, power: float
             if fit is not first:
                 removed(fit)
             fit = new
+        if tolerance is not None and (margin_errors(fit, aims).agg(F.max("error")).first()[0] or 0.0) <= tolerance:
+            break
     return fit.withColumn("ratio", F.coalesce(F.try_divide("weight", F.col("tokens").cast("double")), F.lit(0.0)))
 
 
@@ -82,19 +110,20 @@ def calibrated(fit: DataFrame, rate: float = RATE, rounds: int = CAP_ROUNDS) ->
     return fit.withColumn("probability", F.least(F.lit(1.0), F.col("ratio") * F.lit(factor)))
 
 
-def mixed(docs: DataFrame, rate: float = RATE) -> DataFrame:
+def mixed(docs: DataFrame, rate: float = RATE, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS, tolerance: float | None = None) -> DataFrame:
     """One row per document: doc_id, source, lang, topic, tokens, weight, probability, kept.
 
     Null source or language counts as the empty name; null or empty text has no tokens, belongs to the topic
     of short notes and takes its cell's probability. Rows with one doc_id share their fate. An empty table
     gives an empty result. Only doc_id, text, source and lang are read.
+    targets, rounds and tolerance are those of `fitted`.
     """
     text = whole("text")
     rows = docs.select("doc_id", whole("source").alias("source"), whole("lang").alias("lang"), tokens_of(text).alias("tokens"), text.alias("body"))
     rows = rows.select("doc_id", "source", "lang", topic_of(F.col("body"), F.col("tokens")).alias("topic"), "tokens")
     rows = saved(rows, "tokens")
     cells = saved(rows.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")), "cells")
-    odds = calibrated(fitted(cells), rate).select(*MARGINS, "ratio", "probability")
+    odds = calibrated(fitted(cells, rounds=rounds, targets=targets, tolerance=tolerance), rate).select(*MARGINS, "ratio", "probability")
     return rows.join(odds, list(MARGINS)).select(
         "doc_id",
         *MARGINS,

@@ -153,6 +153,21 @@ def test_mixing_reaches_the_targets(spark):
     assert mixing.mixed(df.filter("doc_id % 50 = 0")).count() == 60  # no tokens at all
 
 
+def test_mixing_to_given_targets(spark):
+    rows = [(s, lg, "prose", n) for s, lg, n in (("a", "en", 100), ("a", "de", 300), ("b", "en", 500), ("b", "de", 50), ("c", "en", 50))]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
+    share = lambda *r: spark.createDataFrame(r, "value string, share double")
+    targets = {"source": share(("a", 1.0), ("a", 1.0), ("b", 6.0), ("gone", 5.0)), "lang": share(("en", 0.5), ("de", 0.5))}
+    fit = mixing.fitted(cells, rounds=60, targets=targets, tolerance=1e-6).collect()
+    weight = {(r.source, r.lang): r.weight for r in fit}
+    assert abs(weight["a", "en"] + weight["a", "de"] - 250) < 0.01 and abs(weight["b", "en"] + weight["b", "de"] - 750) < 0.01
+    assert abs(weight["a", "en"] + weight["b", "en"] - 500) < 0.01 and weight["c", "en"] == 0
+    odds = weight["a", "en"] * weight["b", "de"] / (weight["a", "de"] * weight["b", "en"])
+    assert abs(odds - 100 * 50 / (300 * 500)) < 1e-9  # fitting keeps the odds of the cells
+    with pytest.raises(ValueError, match="source"):
+        mixing.fitted(cells, targets={"source": share(("gone", 1.0))})
+
+
 def mixed_chance(doc_id):
     return int(hashlib.md5(f"{doc_id}:{mixing.SEED}".encode()).hexdigest()[:13], 16) / (1 << 52)
 
