@@ -1,3 +1,4 @@
+import math
 import random
 from datetime import date, datetime
 
@@ -90,3 +91,46 @@ def test_solar_anchors(spark):
     assert abs(winter.solar_elevation - 15.1) < 0.5 and abs(winter.solar_azimuth - 180) < 2
     assert abs(summer.solar_elevation - 61.9) < 0.5 and abs(summer.solar_azimuth - 180) < 4
     assert none.solar_elevation is None and none.solar_azimuth is None
+
+
+def published_inverse(e, n):
+    """Grid to degrees by the published iteration on the meridian arc, then Cartesian shift and iteration on the latitude."""
+    a, b, f0 = 6377563.396, 6356256.909, 0.9996012717
+    p0, l0 = math.radians(49), math.radians(-2)
+    e2, nn = 1 - b * b / a / a, (a - b) / (a + b)
+
+    def arc(p):
+        d, t = p - p0, p + p0
+        return b * f0 * (
+            (1 + nn + 1.25 * nn**2 + 1.25 * nn**3) * d
+            - (3 * nn + 3 * nn**2 + 2.625 * nn**3) * math.sin(d) * math.cos(t)
+            + 1.875 * (nn**2 + nn**3) * math.sin(2 * d) * math.cos(2 * t)
+            - 35 / 24 * nn**3 * math.sin(3 * d) * math.cos(3 * t)
+        )
+
+    p = p0 + (n + 100000) / (a * f0)
+    while abs(n + 100000 - arc(p)) > 1e-6:
+        p += (n + 100000 - arc(p)) / (a * f0)
+    w = 1 - e2 * math.sin(p) ** 2
+    v, r = a * f0 / math.sqrt(w), a * f0 * (1 - e2) / w**1.5
+    h, t, d, sec = v / r - 1, math.tan(p), e - 400000, 1 / math.cos(p)
+    lat = p - d**2 * t / (2 * r * v) + d**4 * t / (24 * r * v**3) * (5 + 3 * t**2 + h - 9 * t**2 * h) - d**6 * t / (720 * r * v**5) * (61 + 90 * t**2 + 45 * t**4)
+    lon = l0 + d * sec / v - d**3 * sec / (6 * v**3) * (v / r + 2 * t**2) + d**5 * sec / (120 * v**5) * (5 + 28 * t**2 + 24 * t**4)
+    v = a / math.sqrt(1 - e2 * math.sin(lat) ** 2)
+    x, y, z = v * math.cos(lat) * math.cos(lon), v * math.cos(lat) * math.sin(lon), v * (1 - e2) * math.sin(lat)
+    rx, ry, rz = (math.radians(s / 3600) for s in (0.1502, 0.2470, 0.8421))
+    k = 1 - 20.4894e-6
+    x, y, z = 446.448 + k * x - rz * y + ry * z, -125.157 + rz * x + k * y - rx * z, 542.060 - ry * x + rx * y + k * z
+    a, b = 6378137.0, 6356752.314245
+    e2, q = 1 - b * b / a / a, math.hypot(x, y)
+    lat = math.atan2(z, q * (1 - e2))
+    for _ in range(10):
+        lat = math.atan2(z + e2 * a / math.sqrt(1 - e2 * math.sin(lat) ** 2) * math.sin(lat), q)
+    return math.degrees(math.atan2(y, x)), math.degrees(lat)
+
+
+def test_reprojection_equals_the_published_iteration(spark):
+    pts = [(x * 1000.0 + 17, y * 1000.0 + 29) for x in range(80, 660, 60) for y in range(10, 1220, 110)]
+    for r in grid_to_degrees(spark.createDataFrame(pts, "easting double, northing double")).collect():
+        lon, lat = published_inverse(r.easting, r.northing)
+        assert abs(r.lon - lon) < 1e-6 and abs(r.lat - lat) < 1e-6  # a tenth of a metre
