@@ -167,4 +167,15 @@ def write_sorted_csv(df: DataFrame, path: str, order: Sequence[str]) -> None:
 def write_months(df: DataFrame, path: str, time: str) -> None:
     """Grid rows by year and month, ordered in time within each file."""
     rows = df.withColumn("year", F.year(time)).withColumn("month", F.month(time))
-    rows.repartition("year", "month").sortWithinPartitions(time).write.mode("overwrite").partitionBy("year", "month").parquet(path)
+    rows.repartition("year", "month").sortWithinPartitions("year", "month", time).write.mode("overwrite").partitionBy("year", "month").parquet(path)
+
+
+def merge_months(months: Sequence[DataFrame], metrics: Sequence[str], path: str) -> None:
+    """Monthly cubes as one grid on the time axis, whichever name it has in each: cells by year and month, ordered in time.
+
+    The table is replaced as a whole; months that share an hour keep the cells of both.
+    """
+    if not months:
+        raise ValueError("no months to merge")
+    axis = lambda c: next(n for n in ("times", "valid_time", "time") if n in c.columns)
+    write_months(united([cube_rows(c, metrics, axis(c)) for c in months]), path, "time_utc")

@@ -200,3 +200,16 @@ def test_derived_codebook(spark):
     src = spark.createDataFrame([(" Road ", "1", "One"), ("road", "1", "One"), ("road", "x", "No"), ("road", "9", "Unknown"), ("road", "-1", "z")], "variable string, code string, label string")
     rows = decode.derived_codebook(src).collect()
     assert [(r.variable, r.code, r.is_missing) for r in rows] == [("road", "-1", True), ("road", "1", False), ("road", "9", True)]
+
+
+def test_months_merge_whatever_their_time_axis_is_called(spark, tmp_path):
+    day = lambda m, d: datetime(2023, m, d, 6)
+    month = lambda name, times, v: spark.createDataFrame([(times, [50.0], [1.0, 2.0], v)], f"{name} array<timestamp_ntz>, lats array<double>, lons array<double>, t double")
+    cube = lambda name, times, v: month(name, times, 0.0).withColumn("t", F.array(*(F.lit(x) for x in v)))
+    feb, jan = cube("valid_time", [day(2, 3), day(2, 1)], [5.0, 6.0, 7.0, 8.0]), cube("time", [day(1, 9)], [1.0, 2.0])
+    for _ in range(2):
+        files.merge_months([feb, jan], ["t"], str(tmp_path / "grid"))
+    got = spark.read.parquet(str(tmp_path / "grid"))
+    assert sorted((r.month, r.time_utc.day, r.lon, r.t) for r in got.collect()) == [(1, 9, 1.0, 1.0), (1, 9, 2.0, 2.0), (2, 1, 1.0, 7.0), (2, 1, 2.0, 8.0), (2, 3, 1.0, 5.0), (2, 3, 2.0, 6.0)]
+    in_file = spark.read.parquet(str(tmp_path / "grid" / "year=2023" / "month=2")).coalesce(1).collect()
+    assert [r.time_utc for r in in_file] == sorted(r.time_utc for r in in_file)
