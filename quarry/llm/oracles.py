@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarry.llm import mixing, url_filter
+from quarry.llm import centroids, fim, mixing, url_filter
 from quarry.llm.decontaminate import WINDOW
 
 
@@ -100,9 +100,46 @@ def groups_sql() -> str:
     from documents left join n using (doc_id)"""
 
 
+def centroids_sql() -> str:
+    m = centroids
+    parts = [
+        f"""v as materialized (select vec_id, list_transform(embedding, lambda x: floor({m.SCALE} * x::double)::bigint) v from embeddings
+      where len(embedding) = {m.DIMS} and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = {m.DIMS})""",
+        f"c0 as (select row_number() over (order by h) - 1 c, v cv from (select v, sha256('{m.SEED}:' || vec_id) h from v order by h limit {m.K}))",
+    ]
+    for r in range(m.ROUNDS + 1):
+        far = "list_sum(list_transform(range(1, len(v) + 1), lambda i: (v[i] - cv[i]) * (v[i] - cv[i])))::bigint"
+        parts.append(f"a{r} as materialized (select vec_id, v, arg_min(c, (d, c)) c, min(d) d from (select vec_id, v, c, {far} d from v, c{r}) group by vec_id, v)")
+        if r < m.ROUNDS:
+            parts.append(
+                f"""s{r} as (select c, i, floor_div c_i from (select c, i, (sum(x) - (((sum(x) % count(*)) + count(*)) % count(*))) // count(*) floor_div
+        from (select c, unnest(v)::hugeint x, unnest(range(1, len(v) + 1)) i from a{r}) group by c, i))"""
+            )
+            parts.append(f"c{r + 1} as materialized (select c, coalesce(n, cv) cv from c{r} left join (select c, list(c_i::bigint order by i) n from s{r} group by c) using (c))")
+    return f"""with {", ".join(parts)}
+    select vec_id, c::integer as cluster, d distance, (sum(d) over (partition by c))::bigint cluster_inertia, (sum(d) over ())::bigint inertia,
+      sha256(array_to_string(cv, ',')) centroid_sha256 from a{m.ROUNDS} join c{m.ROUNDS} using (c)"""
+
+
+def fim_sql() -> str:
+    p, s, m = fim.PREFIX, fim.SUFFIX, fim.MIDDLE
+    number = lambda k: f"('0x' || substr(h, {8 * k + 1}, 8))::bigint"
+    return f"""
+    with d as (select doc_id, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') w, sha256('1:' || doc_id) h from documents),
+    k as (select doc_id, t, w, len(w) n, {", ".join(f"{number(i)} h{i + 1}" for i in range(4))} from d),
+    c as (select *, least(h1 % (n + 1), h2 % (n + 1)) a, greatest(h1 % (n + 1), h2 % (n + 1)) b,
+      case when t = '' or contains(t, '{p}') or contains(t, '{s}') or contains(t, '{m}') or h3 % 100 >= 90 then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end form from k),
+    x as (select *, array_to_string(w[1:a], '') pre, array_to_string(w[a + 1:b], '') mid, array_to_string(w[b + 1:], '') suf from c)
+    select doc_id, n, form, case when form <> 'plain' then length(pre) end prefix_chars, case when form <> 'plain' then length(mid) end middle_chars,
+      sha256(case form when 'psm' then '{p}' || pre || '{s}' || suf || '{m}' || mid when 'spm' then '{s}' || suf || '{p}' || pre || '{m}' || mid else t end) output_sha256,
+      sha256(t) restored_sha256 from x"""
+
+
 SQL = {
     "op2_mix_sources": mix_sql(),
     "op4_decontaminate": contamination_sql(),
     "op6_url_filter": url_sql(),
     "op10_ngram_join": groups_sql(),
+    "op12_centroids": centroids_sql(),
+    "op13_fill_in_middle": fim_sql(),
 }
