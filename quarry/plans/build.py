@@ -146,7 +146,7 @@ def casualties_silver(raw: DataFrame, events: DataFrame, vehicles: DataFrame, mi
 def areas_silver(raw: DataFrame) -> DataFrame:
     """Boundaries with their edges and whether their rings are closed and free of crossings."""
     keyed = raw.withColumn("area_key", clean.row_key("area_code", F.coalesce(F.col("valid_from").cast("string"), F.lit(""))))
-    return spatial.boundary_validity(keyed.withColumn("edges", edges_of("polygons")))
+    return spatial.boundary_validity(keyed.withColumn("edges", edges_of("polygons")), "area_key")
 
 
 def areas_used(silver: DataFrame, source_id: str, mode: str, years: Sequence[int]) -> DataFrame:

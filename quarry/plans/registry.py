@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from quarry.functions import clean
 from quarry.functions.civil_time import epoch_seconds, to_local, to_utc
 from quarry.functions.clean import Field
-from quarry.functions.geo import edges_of, grid_to_degrees, grid_to_degrees_stages
+from quarry.functions.geo import grid_to_degrees, grid_to_degrees_stages
 from quarry.functions.solar import solar_position
 from quarry.operators import audit, decode, spatial, stamps, vintages
 from quarry.plans import inputs
@@ -328,20 +330,73 @@ def point_in_polygon_midyear(spark, sf_dir):
 QUAD = "cast(k % 89 as double) x1, cast(k * 31 % 97 as double) y1, cast(k * 17 % 83 as double) x2, cast(k * 7 % 79 as double) y2, cast(k * 13 % 73 as double) x3, cast(k * 29 % 71 as double) y3, cast(k * 11 % 67 as double) x4, cast(k * 19 % 61 as double) y4"
 
 
-# The SQL finds a crossing by where along both sides it lies, not by turns.
-@query(f"""with q as (select k, {QUAD} from (select distinct o_orderkey k from orders)),
-  c as (select *, (x2 - x1) * (y4 - y3) - (y2 - y1) * (x4 - x3) d, (x3 - x2) * (y1 - y4) - (y3 - y2) * (x1 - x4) e from q),
-  m as (select k, k % 7 = 0 and (x1 <> x4 or y1 <> y4) gap, coalesce(((x3 - x1) * (y4 - y3) - (y3 - y1) * (x4 - x3)) / nullif(d, 0) between 1e-12 and 1 - 1e-12 and ((x3 - x1) * (y2 - y1) - (y3 - y1) * (x2 - x1)) / nullif(d, 0) between 1e-12 and 1 - 1e-12, false)
-    or coalesce(((x4 - x2) * (y1 - y4) - (y4 - y2) * (x1 - x4)) / nullif(e, 0) between 1e-12 and 1 - 1e-12 and ((x4 - x2) * (y3 - y2) - (y4 - y2) * (x3 - x2)) / nullif(e, 0) between 1e-12 and 1 - 1e-12, false) crossed from c)
-  select k o_orderkey, not gap and not crossed geom_valid from m""")
+def validity_sql(rings: str, name: str) -> str:
+    """Faults by brute force over pairs of sides; `rings` gives k, p, r and pts, a list of {x, y}. Crossings are found by where along both sides they lie, not by turns."""
+    at = "((x1 - ax1) * {v}y - (y1 - ay1) * {v}x) / nullif(d, 0)"
+    along = {"t": at.format(v="q"), "u": at.format(v="w")}
+    return f"""with ring as ({rings}),
+  clean as (select k, p, r, list_filter(pts, lambda q, i: i = 1 or q <> pts[i - 1]) c, pts[1] = pts[-1] closed from ring),
+  good as (select *, len(c) >= 4 and closed fine from clean),
+  side as materialized (select k, p, r, len(c) - 1 m, unnest(range(1, len(c))) i, c[i].x x1, c[i].y y1, c[i + 1].x x2, c[i + 1].y y2 from good where fine),
+  pair as (select a.k, a.p = b.p and a.r = b.r same, abs(a.i - b.i) in (1, a.m - 1) nb, a.x1 ax1, a.y1 ay1, a.x2 ax2, a.y2 ay2, b.x1, b.y1, b.x2, b.y2, a.x2 - a.x1 wx, a.y2 - a.y1 wy, b.x2 - b.x1 qx, b.y2 - b.y1 qy,
+    (a.x2 - a.x1) * (b.y2 - b.y1) - (a.y2 - a.y1) * (b.x2 - b.x1) d from side a join side b on a.k = b.k and (a.p, a.r, a.i) < (b.p, b.r, b.i)
+    and least(a.x1, a.x2) <= greatest(b.x1, b.x2) and least(b.x1, b.x2) <= greatest(a.x1, a.x2) and least(a.y1, a.y2) <= greatest(b.y1, b.y2) and least(b.y1, b.y2) <= greatest(a.y1, a.y2)),
+  met as (select *, d = 0 and (x1 - ax1) * wy = (y1 - ay1) * wx inline, {along['t']} t, {along['u']} u from pair),
+  kind as (select k, case when t > 1e-12 and t < 1 - 1e-12 and u > 1e-12 and u < 1 - 1e-12 then 'crossing'
+    when inline and (least(greatest(ax1, ax2), greatest(x1, x2)) > greatest(least(ax1, ax2), least(x1, x2)) or least(greatest(ay1, ay2), greatest(y1, y2)) > greatest(least(ay1, ay2), least(y1, y2))) then 'overlap'
+    when same and not nb and (inline or (t between -1e-12 and 1 + 1e-12 and u between -1e-12 and 1 + 1e-12)) then 'self-touch' end fault from met),
+  crossed as materialized (select distinct k, fault from kind where fault is not null),
+  within as (select v.k, v.p, v.r, s.p q, s.r o, count(*) filter ((s.y1 > v.y1) <> (s.y2 > v.y1) and v.x1 < (s.x2 - s.x1) * (v.y1 - s.y1) / nullif(s.y2 - s.y1, 0) + s.x1) % 2 = 1 inner_
+    from side v join side s on v.k = s.k and (v.p <> s.p or v.r <> s.r) where v.i = 1 and v.k not in (select k from crossed) group by all),
+  judged as (select k, p, r, q, coalesce(bool_or(o = 0 and inner_), false) shell, coalesce(bool_or(o > 0 and inner_), false) hole from within group by all),
+  fault as (select k, case when r > 0 and q = p and hole then 'nested holes' when r > 0 and q = p and not shell then 'hole outside' when r = 0 and q <> p and shell and not hole then 'nested shells' end f from judged
+    union all select k, fault from crossed union all select k, 'ring' from good where not fine)
+  select k {name}, count(distinct f) = 0 geom_valid, coalesce(string_agg(distinct f, ',' order by f), '') faults from (select distinct k from ring) left join fault using (k) group by k"""
+
+
+@query(validity_sql(f"select k, 0 p, 0 r, case when k % 7 = 0 then pts else pts || pts[1:1] end pts from (select k, [{{'x': x1, 'y': y1}}, {{'x': x2, 'y': y2}}, {{'x': x3, 'y': y3}}, {{'x': x4, 'y': y4}}] pts from (select k, {QUAD} from (select distinct o_orderkey k from orders)))", "o_orderkey"))
 def boundary_validity(spark, sf_dir):
-    """Four-sided rings from the keys of orders: every seventh is open, many cross themselves."""
+    """Four-sided rings from the keys of orders: every seventh is open, many cross or touch themselves."""
     quads = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("k")).distinct().selectExpr("k", *QUAD.split(", "))
     p = lambda i: F.struct(F.col(f"x{i}").alias("x"), F.col(f"y{i}").alias("y"))
     corners = F.array(p(1), p(2), p(3), p(4))
     ring = F.when(F.col("k") % 7 == 0, corners).otherwise(F.concat(corners, F.array(p(1))))
-    shapes = quads.select(F.col("k").alias("o_orderkey"), F.array(F.array(ring)).alias("polygons"))
-    return spatial.boundary_validity(shapes.withColumn("edges", edges_of("polygons"))).select("o_orderkey", "geom_valid")
+    shapes_ = quads.select(F.col("k").alias("o_orderkey"), F.array(F.array(ring)).alias("polygons"))
+    return spatial.boundary_validity(shapes_, "o_orderkey").select("o_orderkey", "geom_valid", F.array_join("geom_faults", ",").alias("faults"))
+
+
+# Rings about a middle, by polygon and ring: first component, corners, radius, middle; components move the corners in and out, and the middle.
+AROUND = ((0, 0, 1, 16, 100, 0), (0, 1, 17, 8, 30, 40), (0, 2, 25, 8, 20, -40), (1, 0, 33, 12, 40, 150), (2, 0, 45, 16, 25, -40))
+
+
+def around(start: int, n: int, radius: int, middle: int) -> list[tuple[str, str]]:
+    """SQL of the corners: directions are rounded so that both engines reckon with the same numbers."""
+    e = lambda k: f"cast(embedding[{k}] as double)"
+    at = []
+    for j in range(n):
+        turn = 2 * math.pi * j / n
+        far = f"({radius} * (1 + {e(start + j)}))"
+        at.append((f"{middle} + 60 * {e(start)} + {far} * {round(math.cos(turn), 4)!r}", f"40 * {e(start + 1)} + {far} * {round(math.sin(turn), 4)!r}"))
+    return [*at, at[0]]
+
+
+def around_sql(p: int, r: int, *ring: int) -> str:
+    return f"select vec_id k, {p} p, {r} r, [{', '.join(f'{{x: {x}, y: {y}}}' for x, y in around(*ring))}] pts from embeddings where len(embedding) >= 60"
+
+
+@query(validity_sql(" union all ".join(around_sql(*ring) for ring in AROUND), "vec_id"))
+def shapes_of_vectors(spark, sf_dir):
+    """Three polygons, one with two holes, around which the components of a vector shift corners and middles; some cross, lie outside or within each other."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").filter("size(embedding) >= 60")
+    point = lambda x, y: F.struct(F.expr(zero_based(x)).alias("x"), F.expr(zero_based(y)).alias("y"))
+    rings = {(p, r): F.array(*(point(x, y) for x, y in around(*ring))) for p, r, *ring in AROUND}
+    polygons = [F.array(*(ring for (p, _), ring in rings.items() if p == k)) for k in sorted({p for p, _ in rings})]
+    judged = spatial.boundary_validity(vectors.select("vec_id", F.array(*polygons).alias("polygons")), "vec_id")
+    return judged.select("vec_id", "geom_valid", F.array_join("geom_faults", ",").alias("faults"))
+
+
+def zero_based(sql: str) -> str:
+    return re.sub(r"embedding\[(\d+)\]", lambda m: f"embedding[{int(m[1]) - 1}]", sql)
 
 
 @query("""select 'A' || o_orderkey area_code, 'area ' || o_custkey area_name, '2024' vintage, case when o_orderkey % 2 = 1 then 2 else 1 end n_polygons,
@@ -500,8 +555,8 @@ def civil_time(spark, sf_dir):
 def exposure_rate(spark, sf_dir):
     """Events per million vehicle-kilometres by road and area."""
     events = clean.gold(silver_orders(spark, sf_dir), ["prio_valid"]).select("o_orderkey", "o_custkey", "easting", "northing")
-    stamp = spatial.area_stamp(events, inputs.areas(spark, sf_dir), "o_orderkey").withColumnRenamed("area_code", "lad_code")
-    crashes = events.join(stamp, "o_orderkey").groupBy(F.concat(F.lit("R"), F.col("o_custkey") % 22).alias("road_name"), "lad_code").agg(F.count("*").alias("n_events"))
+    placed = spatial.with_area(events, inputs.areas(spark, sf_dir), "o_orderkey", "lad_code").filter("lad_code is not null")
+    crashes = placed.groupBy(F.concat(F.lit("R"), F.col("o_custkey") % 22).alias("road_name"), "lad_code").agg(F.count("*").alias("n_events"))
     counts = relation(spark, sf_dir, inputs.RAW_COUNTS).filter("year = 1997")
     area = F.expr(inputs.code("(l_partkey % 25)", 1))
     counts = counts.select("road_name", area.alias("lad_code"), "l_partkey", "link_length_km", *clean.count_field("volume_raw", "volume"))

@@ -2,6 +2,7 @@ import math
 import random
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from quarry.functions.civil_time import epoch_seconds
@@ -67,11 +68,124 @@ def test_no_areas(spark):
     assert spatial.with_area(pts, areas(spark, []), "id", "lad").first().lad is None
 
 
-def test_boundary_validity(spark):
-    bow = [(0.0, 0.0), (1.0, 1.0), (1.0, 0.0), (0.0, 1.0), (0.0, 0.0)]
-    rows = [("ok", None, None, [[square(0, 0, 1)]]), ("open", None, None, [[square(0, 0, 1)[:4]]]), ("bow", None, None, [[bow]]), ("none", None, None, None)]
-    got = {r.area_code: r.geom_valid for r in spatial.boundary_validity(areas(spark, rows)).collect()}
-    assert got == {"ok": True, "open": False, "bow": False, "none": False}
+BOW = [(0.0, 0.0), (1.0, 1.0), (1.0, 0.0), (0.0, 1.0), (0.0, 0.0)]
+SPIKE = [(0.0, 0.0), (4.0, 0.0), (6.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0), (0.0, 0.0)]
+EIGHT = [(0.0, 0.0), (2.0, 2.0), (4.0, 0.0), (4.0, 4.0), (2.0, 2.0), (0.0, 4.0), (0.0, 0.0)]
+DIP = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (2.0, 0.0), (0.0, 4.0), (0.0, 0.0)]
+DIAMOND = [(1.0, 5.0), (5.0, 1.0), (9.0, 5.0), (5.0, 9.0), (1.0, 5.0)]
+SHAPES = {
+    "one square": ([[square(0, 0, 10)]], []),
+    "open": ([[square(0, 0, 10)[:4]]], ["ring"]),
+    "too short": ([[[(0.0, 0.0), (1.0, 1.0), (0.0, 0.0)]]], ["ring"]),
+    "not a number": ([[[(0.0, 0.0), (float("nan"), 1.0), (1.0, 1.0), (0.0, 0.0)]]], ["ring"]),
+    "one point over and over": ([[[(1.0, 1.0)] * 5]], ["ring"]),
+    "repeated vertices": ([[[(0.0, 0.0), (0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (4.0, 4.0), (0.0, 0.0)]]], []),
+    "bow": ([[BOW]], ["crossing"]),
+    "spike": ([[SPIKE]], ["overlap", "self-touch"]),
+    "eight": ([[EIGHT]], ["self-touch"]),
+    "vertex on a side": ([[DIP]], ["self-touch"]),
+    "hole": ([[square(0, 0, 10), square(2, 2, 3)]], []),
+    "hole outside": ([[square(0, 0, 10), square(20, 2, 3)]], ["hole outside"]),
+    "hole across the shell": ([[square(0, 0, 10), square(8, 2, 5)]], ["crossing"]),
+    "hole touches the shell": ([[square(0, 0, 10), [(0.0, 5.0), (3.0, 3.0), (3.0, 7.0), (0.0, 5.0)]]], []),
+    "hole through a corner": ([[square(0, 0, 10), [(5.0, 5.0), (15.0, 15.0), (5.0, 12.0), (5.0, 5.0)]]], ["crossing"]),
+    "hole in a hole": ([[square(0, 0, 10), square(2, 2, 6), square(3, 3, 2)]], ["nested holes"]),
+    "hole about its shell": ([[square(2, 2, 3), square(0, 0, 10)]], ["hole outside"]),
+    "shells apart": ([[square(0, 0, 10)], [square(20, 0, 10)]], []),
+    "shells meet at a corner": ([[square(0, 0, 10)], [square(10, 10, 10)]], []),
+    "shells with a common side": ([[square(0, 0, 10)], [square(10, 0, 10)]], ["crossing", "overlap"]),
+    "shell in a shell": ([[square(0, 0, 10)], [square(2, 2, 3)]], ["nested shells"]),
+    "shells cross at a corner": ([[square(0, 0, 10)], [[(5.0, 5.0), (10.0, 10.0), (15.0, 5.0), (10.0, 2.0), (5.0, 5.0)]]], ["crossing"]),
+    "island in a hole": ([[square(0, 0, 10), square(1, 1, 8)], [square(3, 3, 2)]], []),
+    "island that touches its hole": ([[square(0, 0, 10), square(1, 1, 8)], [DIAMOND]], []),
+    "null": (None, ["empty"]),
+    "no polygon": ([], ["empty"]),
+    "no ring": ([[]], ["empty"]),
+}
+
+
+def test_every_kind_of_fault(spark):
+    rows = [(k, None, None, shape) for k, (shape, _) in SHAPES.items()] + [(None, None, None, [[BOW]]), ("bow", None, None, [[BOW]]), ("bow", None, None, [[square(0, 0, 1)]])]
+    got = spatial.boundary_validity(spark.createDataFrame(rows, AREA)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        want = ["crossing"] if r.area_code is None else SHAPES[r.area_code][1]
+        if r.area_code == "bow" and len(r.polygons[0][0]) == 5 and r.polygons[0][0][1].y == 0:
+            want = []  # another shape under the same key
+        assert (r.area_code, r.geom_faults, r.geom_valid) == (r.area_code, want, not want)
+    assert spatial.boundary_validity(spark.createDataFrame([], AREA)).count() == 0
+
+
+def test_a_long_ring_is_judged_without_comparing_all_its_sides(spark):
+    n = 20_000
+    at = lambda i: 1000 + 30 * math.sin(40 * 2 * math.pi * i / n)
+    ring = [(at(i) * math.cos(2 * math.pi * i / n), at(i) * math.sin(2 * math.pi * i / n)) for i in range(n)]
+    bent = [*ring]
+    bent[500], bent[503] = bent[503], bent[500]
+    rows = [("good", None, None, [[[*ring, ring[0]], square(-5, -5, 9)]]), ("bent", None, None, [[[*bent, bent[0]]]])]
+    assert {r.area_code: r.geom_faults for r in spatial.boundary_validity(spark.createDataFrame(rows, AREA)).collect()} == {"good": [], "bent": ["crossing"]}
+
+
+def random_areas(spark, rnd, n=40):
+    rows = []
+    for k in range(n):
+        cx, cy, r = rnd.uniform(-50_000, 150_000), rnd.uniform(-50_000, 150_000), rnd.choice([3_000, 20_000, 90_000])
+        turns = sorted(rnd.random() * 2 * math.pi for _ in range(rnd.choice([5, 40, 200])))
+        ring = [(cx + r * rnd.uniform(0.3, 1) * math.cos(t), cy + r * rnd.uniform(0.3, 1) * math.sin(t)) for t in turns]
+        rings = [[*ring, ring[0]]]
+        if k % 4 == 0:  # along the sides of tiles
+            cx, cy = round(cx, -4), round(cy, -4)
+            rings = [square(cx, cy, rnd.choice([10_000, 30_000])), square(cx + 2_500, cy + 2_500, 5_000)]
+        start = date(2000 + rnd.randrange(10), 1 + rnd.randrange(12), 1)
+        rows.append((f"Z{rnd.randrange(99):02}", start, None if k % 2 else date(start.year + rnd.randrange(1, 8), 6, 1), [rings]))
+    return areas(spark, [*rows, rows[0]])
+
+
+@pytest.mark.parametrize("tile", [10_000, 3_000])
+@pytest.mark.parametrize("mode", ["snapshot", "temporal"])
+def test_covers_equal_brute_force(spark, mode, tile):
+    rnd = random.Random(tile)
+    zones = random_areas(spark, rnd)
+    at = lambda step, lo, hi: rnd.choice([rnd.uniform(-150_000, 250_000), float(step) * rnd.randrange(lo, hi)])
+    pts = [(i, at(10_000, -15, 25), at(5_000, -30, 50), date(2000 + rnd.randrange(16), 5, 17)) for i in range(1500)]
+    pts += [(1501, None, 1.0, date(2001, 1, 1)), (1502, float("nan"), 1.0, None), (1503, 0.0, 0.0, None)]
+    points = spark.createDataFrame(pts, "id int, easting double, northing double, day date")
+    day = F.col("day") if mode == "temporal" else None
+    got = {r.id: r.lad for r in spatial.with_area(points, zones, "id", "lad", mode, day, tile).collect()}
+    assert got == {r.id: r.lad for r in spatial.with_area_brute(points, zones, "id", "lad", mode, day).collect()}
+    assert len(got) == len(pts) and len(set(got.values())) > 5
+
+
+def test_points_of_one_key_are_stamped_each(spark):
+    zones = areas(spark, [("A", date(2000, 1, 1), None, [[square(0, 0, 100)]])])
+    pts = spark.createDataFrame([("k", 5.0, 5.0), ("k", 500.0, 5.0), (None, 5.0, 5.0), ("k", 5.0, 5.0)], "id string, easting double, northing double")
+    assert sorted((r.id or "", r.lad or "") for r in spatial.with_area(pts, zones, "id", "lad").collect()) == [("", "A"), ("k", ""), ("k", "A"), ("k", "A")]
+
+
+def test_tiles_inside_an_area_carry_no_edges_and_others_their_own(spark):
+    ring = [(x * 10.0, 0.0) for x in range(20_001)] + [(200_000.0, 200_000.0), (0.0, 200_000.0), (0.0, 0.0)]
+    cells = spatial.cover(areas(spark, [("A", date(2000, 1, 1), None, [[ring]])])).select("tx", "ty", F.size("edges").alias("n")).collect()
+    assert sum(c.n == 0 for c in cells) >= 18 * 18  # the inner tiles
+    assert max(c.n for c in cells) < 1100 and sum(c.n for c in cells) < 2.1 * 20_003  # a side between two tiles goes to both
+
+
+def test_no_job_runs_while_a_stamp_is_planned(spark):
+    zones, pts = random_areas(spark, random.Random(1)), spark.createDataFrame([(1, 5.0, 5.0)], "id int, easting double, northing double")
+    spark.sparkContext.setJobGroup("planning", "no job may run")
+    spatial.with_area(pts, zones, "id", "lad", "temporal", F.lit(date(2005, 1, 1)))
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("planning")) == []
+    spark.sparkContext.setJobGroup("", "")
+
+
+def test_many_editions_cost_a_point_no_more_candidates(spark):
+    editions = [(f"E{k:02}", date(1960 + k, 1, 1), date(1961 + k, 1, 1) if k < 49 else None, [[square(0, 0, 5_000)]]) for k in range(50)]
+    zones = areas(spark, editions)
+    days = [(k, 50.0, 50.0, date(1960 + k, 7, 1)) for k in range(50)]
+    pts = spark.createDataFrame(days, "id int, easting double, northing double, day date")
+    assert {r.id: r.lad for r in spatial.with_area(pts, zones, "id", "lad", "temporal", F.col("day")).collect()} == {k: f"E{k:02}" for k in range(50)}
+    assert spatial.with_area(pts.withColumn("day", F.lit(date(1950, 1, 1))), zones, "id", "lad", "temporal", F.col("day")).filter("lad is not null").count() == 0
+    wide = areas(spark, [(f"W{k}", date(1960, 1, 1) if k % 2 else date(1900 + k, 1, 1), None, [[square(0, 0, 5_000)]]) for k in range(100)])
+    assert len(wide.sparkSession.range(1).select(spatial.periods(wide).alias("p")).first().p) <= spatial.MOST_PERIODS
 
 
 def test_edition_chain_and_selection(spark):
