@@ -680,6 +680,45 @@ def csv_quarantine(spark, sf_dir):
     return files.united([loaded, bad.select(F.col("raw_text").alias("line"), F.lit(False).alias("loaded"))])
 
 
+@query("""with d as (select doc_id, coalesce(text, '') t, coalesce(source, '') s from documents)
+  select doc_id::varchar doc_id, doc_id % 11 <> 0 loaded, case when doc_id % 11 <> 0 then s end source, len(t) - len(replace(t, chr(10), '')) n_breaks,
+  sha256(case when doc_id % 11 <> 0 then t else doc_id || ',"' || replace(t, '"', '""') || '"' end) text_sha256 from d""")
+def csv_records_of_documents(spark, sf_dir):
+    """Documents written as quoted CSV, with their own line ends and quotes, and read back; every eleventh lacks a column and is set apart as it stands."""
+    quoted = F.concat(F.lit('"'), F.replace(F.coalesce("text", F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    fields = F.when(F.col("doc_id") % 11 == 0, F.concat_ws(",", "doc_id", quoted)).otherwise(F.concat_ws(",", "doc_id", quoted, F.coalesce("source", F.lit(""))))
+    path = files.scratch(spark, "csv")
+    spark.read.parquet(f"{sf_dir}/documents.parquet").select(fields.alias("value")).write.text(path)
+    good, bad = files.csv_bronze(spark, [path], "documents", multi_line=True, names=["doc_id", "text", "source"])
+    breaks = lambda c: (F.length(c) - F.length(F.replace(c, F.lit("\n"), F.lit("")))).cast("long")
+    text = F.coalesce("text", F.lit(""))
+    loaded = good.select("doc_id", F.lit(True).alias("loaded"), F.coalesce("source", F.lit("")).alias("source"), breaks(text).alias("n_breaks"), F.sha2(text, 256).alias("text_sha256"))
+    raw = F.col("raw_text")
+    apart = bad.select(F.substring_index(raw, ",", 1).alias("doc_id"), F.lit(False).alias("loaded"), F.lit(None).cast("string").alias("source"), breaks(raw).alias("n_breaks"), F.sha2(raw, 256).alias("text_sha256"))
+    return loaded.unionByName(apart)
+
+
+@query("""select 'V' || vec_id area_code, 'ring {' || vec_id || '"}' area_name, len(embedding) // 2 + 1 n_points,
+  round(list_sum(list_transform(embedding[1:len(embedding) // 2 * 2], lambda x: round(x::double * 1000))) + round(embedding[1]::double * 1000) + round(embedding[2]::double * 1000)) total
+  from embeddings where len(embedding) >= 6""")
+def geojson_features_of_vectors(spark, sf_dir):
+    """Vectors written as rings of whole coordinates, 50 to a collection, with braces and quotes in their names, and read back feature by feature."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").filter("size(embedding) >= 6")
+    whole = F.transform("embedding", lambda x: F.round(x.cast("double") * 1000).cast("long").cast("string"))
+    n = F.floor(F.size("embedding") / 2).cast("int")
+    corner = lambda k: F.concat(F.lit("["), F.get("v", 2 * k), F.lit(","), F.get("v", 2 * k + 1), F.lit("]"))
+    ring = F.array_join(F.transform(F.concat(F.sequence(F.lit(0), n - 1), F.array(F.lit(0))), corner), ",")
+    text = F.concat(F.lit('{"type":"Feature","properties":{"CD":"V'), "vec_id", F.lit('","NM":"ring {'), "vec_id", F.lit('\\"}"},"geometry":{"type":"Polygon","coordinates":[['), ring, F.lit("]]}}"))
+    features = vectors.select("vec_id", "embedding", whole.alias("v")).select(F.floor(F.col("vec_id") / 50).alias("part"), text.alias("feature"))
+    listed = F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list("feature"), ","), F.lit("]}"))
+    path = files.scratch(spark, "geojson")
+    features.groupBy("part").agg(listed.alias("value")).select("value").write.text(path)
+    rows = files.geojson_features(spark, path, "CD", "NM", "2024")
+    points = F.flatten(F.flatten("polygons"))
+    total = F.aggregate(points, F.lit(0.0), lambda n, q: n + q["x"] + q["y"])
+    return rows.select("area_code", "area_name", F.size(points).cast("long").alias("n_points"), F.round(total).alias("total"))
+
+
 @query("""select '0.1.0' "version", 1 schema_version, '{"mode": "snapshot", "years": [1995, 2001]}' parameters, count(*) n_orders from orders""")
 def provenance_row(spark, sf_dir):
     """Versions and parameters, with the number of rows they stand for; all but the time of the build."""

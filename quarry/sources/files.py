@@ -2,68 +2,115 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from quarry.sources import places
 
 BAD = "_bad"
+QUARANTINE = ("source_id", "raw_text", "reason", "file", "line")
 
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
     """Names in the first line of a file; the line alone is read."""
     line = spark.read.text(path).limit(1).first()
-    return [c.strip().strip('"') for c in line[0].lstrip("﻿").split(",")] if line else []
+    return [c.strip().strip('"') for c in line[0].lstrip("\ufeff").split(",")] if line else []
 
 
-def csv_bronze(spark: SparkSession, paths: Sequence[str], source_id: str, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(bronze, quarantine): every column as text, files united by name; lines that do not fit the header set apart.
+def csv_bronze(spark: SparkSession, paths: Sequence[str], source_id: str, multi_line: bool = False, names: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(bronze, quarantine): every column as text, files united by name; records that do not fit the header set apart.
 
-    Lines are read as text and split, so that any choice of columns sees which are malformed. Lines that repeat the
-    header are taken for headers; the independent count tells if there were any. Records with line ends in quotes
-    (multi_line) are parsed as a whole file and kept on disk, as Spark tells malformed ones only in a full read.
+    The header is the first line of each file, or `names` if files have none; later lines that repeat it are data. Blank lines
+    do not count. Quarantined records keep their file and the line, from 1, on which they begin, so equal ones stay apart. A quote within a quoted
+    field is doubled. multi_line: fields in quotes may hold line ends. However large a file, its splits are read by
+    many tasks; whether a line begins within quotes is told by the quotes before it.
     """
     good, bad = [], []
     for path in paths:
-        names = csv_header(spark, path)
+        known = list(names) if names else csv_header(spark, path)
+        lines, records = csv_lines(spark, path), None
         if multi_line:
-            schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, BAD]])
-            reader = spark.read.schema(schema).options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD, columnPruning=False, multiLine=True)
-            rows = reader.csv(path).persist(StorageLevel.DISK_ONLY)
-            fits = rows.filter(F.col(BAD).isNull()).drop(BAD)
-            lost = rows.filter(F.col(BAD).isNotNull()).select(F.lit(source_id).alias("source_id"), F.col(BAD).alias("raw_text"), F.lit("malformed line").alias("reason"))
+            records = csv_records(lines, names is None)
         else:
-            lines = spark.read.text(path)
-            head = lines.limit(1).first()
-            rows = lines.filter((F.length(F.trim("value")) > 0) & (F.col("value") != F.lit(head[0] if head else "")))
-            fits, lost = split_lines(rows, "value", names, source_id)
+            records = without_header(lines) if names is None else lines
+            records = records.select("file", "block", "seq", tidy("value").alias("value")).filter("length(trim(value)) > 0")
+        never_closed = places.occurrences(F.col("value"), '"') % 2 == 1 if multi_line else F.lit(False)  # the last record of its file
+        fits, lost = split_lines(records, "value", known, source_id, never_closed)
         good.append(fits)
-        bad.append(lost.withColumn("ingested_at", F.current_timestamp()))
-    return united(good), united(bad)
+        if multi_line:
+            bad.append(lost.select(*QUARANTINE))
+        else:
+            bad.append(places.numbered(lines, lost).select(*QUARANTINE))
+    return united(good), united(bad).withColumn("ingested_at", F.current_timestamp())
+
+
+def csv_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    return places.placed(spark, paths)
+
 
+def tidy(value: str) -> Column:
+    """Without the carriage return of a line's end, and the mark of byte order."""
+    return F.regexp_replace(F.regexp_replace(value, r"\r$", ""), "^\ufeff", "")
 
-def csv_source_rows(spark: SparkSession, paths: Sequence[str], multi_line: bool = False) -> DataFrame:
-    """Records by a second read path: non-empty lines less one header per file; line ends in quotes do not count."""
+
+def without_header(lines: DataFrame) -> DataFrame:
+    """Lines but the first of each file. The places of first lines, one per file, are broadcast."""
+    first = lines.filter("block = 0").groupBy("file").agg(F.min("seq").alias("seq"))
+    return lines.join(F.broadcast(first), ["file", "seq"], "left_anti").select(*lines.columns)
+
+
+def csv_records(lines: DataFrame, header: bool = True) -> DataFrame:
+    """(file, line, value): records, joined again where quotes hold line ends; blank ones and headers left out.
+
+    Lines of records of one line are not moved to make records, only to be counted; lines of others meet by record.
+    """
+    known = places.running(lines.withColumn("quotes", places.occurrences(F.col("value"), '"')), opened=F.col("quotes"), line=F.lit(1))
+    known = known.withColumn("begins", F.col("opened") % 2 == 0).withColumn("ends", (F.col("opened") + F.col("quotes")) % 2 == 0)
+    known = known.withColumn("line", F.col("line") + 1)
+    alone = known.filter("begins and ends").select("file", "line", "value")
+    parts = places.running(known.filter("not (begins and ends)"), record=F.col("begins").cast("int"))
+    parts = parts.withColumn("record", F.col("record") + F.col("begins").cast("int"))
+    whole = parts.groupBy("file", "record").agg(F.sort_array(F.collect_list(F.struct("line", "value"))).alias("parts"))
+    whole = whole.select("file", F.col("parts")[0]["line"].alias("line"), F.array_join(F.transform("parts", lambda p: p["value"]), "\n").alias("value"))
+    rows = alone.unionByName(whole).select("file", "line", tidy("value").alias("value")).filter("length(trim(value)) > 0")
+    return rows.filter("line > 1") if header else rows
+
+
+def csv_source_rows(spark: SparkSession, paths: Sequence[str], multi_line: bool = False, header: bool = True) -> DataFrame:
+    """Records by a second read path, without parsing or joining any: lines that are not blank and begin outside of quotes, less a header per file."""
+    lines = csv_lines(spark, paths)
     if multi_line:
-        whole = spark.read.text(list(paths), wholetext=True).select(F.input_file_name().alias("file"), F.regexp_replace("value", r'"[^"]*"', "q").alias("value"))
-        lines = whole.select("file", F.explode(F.split("value", r"\r?\n")).alias("value"))
+        # A split counts both ways, as if it began within quotes and not; the splits before it say which holds.
+        within = Window.partitionBy("file", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+        quotes = places.occurrences(F.col("value"), '"')
+        odd = F.coalesce(F.sum(quotes).over(within), F.lit(0)) % 2
+        filled = F.length(F.trim(tidy("value"))) > 0
+        counted = lines.select("file", "block", quotes.alias("quotes"), odd.alias("odd"), filled.alias("filled"))
+        ways = counted.groupBy("file", "block").agg(F.sum("quotes").alias("quotes"), F.count_if(F.expr("filled and odd = 0")).alias("outside"), F.count_if(F.expr("filled and odd = 1")).alias("inside"))
+        earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+        turned = F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2
+        counts = ways.select("file", F.when(turned == 0, F.col("outside")).otherwise(F.col("inside")).alias("n"))
+        counts = counts.groupBy("file").agg(F.sum("n").alias("count"))
     else:
-        lines = spark.read.text(list(paths)).select(F.input_file_name().alias("file"), "value")
-    counts = lines.filter("length(trim(value)) > 0").groupBy("file").count()
-    return counts.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("source_rows"))
+        counts = lines.filter(F.length(F.trim(tidy("value"))) > 0).groupBy("file").count()
+    return counts.agg(F.coalesce(F.sum(F.col("count") - int(header)), F.lit(0)).alias("source_rows"))
 
 
-def split_lines(lines: DataFrame, column: str, names: Sequence[str], source_id: str) -> tuple[DataFrame, DataFrame]:
-    """csv_bronze for lines that are already rows: (bronze, quarantine)."""
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
+def split_lines(lines: DataFrame, column: str, names: Sequence[str], source_id: str, broken: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(bronze, quarantine) of records that are already rows, `broken` ones apart; quarantined ones keep the other columns of `lines`."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD, "escape": '"', "multiLine": "true"}
     schema = ", ".join(f"`{n}` string" for n in [*names, BAD])
-    parsed = lines.select(F.col(column).alias("line"), F.from_csv(column, schema, options).alias("r"))
-    bad = F.col("r").isNull() | F.col(f"r.{BAD}").isNotNull()
+    others = [c for c in lines.columns if c != column]
+    broken = F.lit(False) if broken is None else broken
+    parsed = lines.select(*others, F.col(column).alias("line_"), F.from_csv(column, schema, options).alias("r"), broken.alias("broken_"))
+    bad = F.col("broken_") | F.col("r").isNull() | F.col(f"r.{BAD}").isNotNull()
     good = parsed.filter(~bad).select(*(F.col(f"r.`{n}`").alias(n) for n in names))
-    return good, parsed.filter(bad).select(F.lit(source_id).alias("source_id"), F.col("line").alias("raw_text"), F.lit("malformed line").alias("reason"))
+    return good, parsed.filter(bad).select(F.lit(source_id).alias("source_id"), F.col("line_").alias("raw_text"), F.lit("malformed line").alias("reason"), *others)
 
 
 def united(parts: Sequence[DataFrame]) -> DataFrame:
@@ -75,8 +122,40 @@ POSITION = "array<double>"
 GEO = "features array<struct<properties: map<string,string>, geometry: struct<type: string, coordinates: string>>>"
 
 
-def geojson_features(spark: SparkSession, path: str, code: str, name: str, vintage: str) -> DataFrame:
-    return geojson_rows(spark.read.text(path, wholetext=True), code, name, vintage)
+def geojson_features(spark: SparkSession, paths: str | Sequence[str], code: str, name: str, vintage: str) -> DataFrame:
+    """One row per feature, as geojson_rows; each feature is parsed on its own, however long the file or its only line."""
+    one = F.concat(F.lit('{"features":['), F.col("feature"), F.lit("]}")).alias("value")
+    return geojson_rows(features_of(spark, paths).select(one), code, name, vintage)
+
+
+#: What may stand before a brace: text without braces, and whole strings.
+BEFORE_BRACE = r'^(?:[^{"]|"(?:[^"\\]|\\.)*+")*+'
+
+
+def closings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Pieces of JSON text up to each closing brace: file, block, seq, value, ended (the brace is not in a string), opens.
+
+    Whether a piece begins within a string is told by the quotes before it in the file. Braces in strings do not count.
+    """
+    pieces = places.placed(spark, paths, "}")
+    plain = pieces.withColumn("plain", F.regexp_replace("value", r"\\.", ""))  # an escaped sign is never split from its backslash
+    known = places.running(plain.withColumn("quotes", places.occurrences(F.col("plain"), '"')), marks=F.col("quotes"))
+    bare = F.concat(F.when(F.col("marks") % 2 == 1, '"').otherwise(""), F.col("plain"))
+    bare = F.regexp_replace(F.regexp_replace(bare, '"[^"]*"', ""), '"[^"]*$', "")
+    return known.select("file", "block", "seq", "value", ((F.col("marks") + F.col("quotes")) % 2 == 0).alias("ended"), places.occurrences(bare, "{").alias("opens"))
+
+
+def features_of(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(file, feature): the text of each object that stands directly in a list of the outermost object and is a feature."""
+    deep = places.running(closings(spark, paths), depth=F.col("opens") - F.col("ended").cast("int"))
+    after = F.col("depth") + F.col("opens") - F.col("ended").cast("int")
+    deep = deep.withColumn("last", F.col("ended") & (after == 1)).filter("opens > 0 or depth > 1")
+    told = places.running(deep, number=F.col("last").cast("int"))
+    whole = told.groupBy("file", "number").agg(F.max("last").alias("last"), F.sort_array(F.collect_list(F.struct("block", "seq", "depth", "value"))).alias("parts"))
+    text = F.concat(F.array_join(F.transform("parts", lambda p: p["value"]), "}"), F.lit("}"))
+    text = F.when(F.col("parts")[0]["depth"] == 0, F.regexp_replace(text, BEFORE_BRACE + r"\{", "")).otherwise(text)
+    cut = whole.filter("last").select("file", F.regexp_replace(text, BEFORE_BRACE, "").alias("feature"))
+    return cut.filter(F.get_json_object("feature", "$.type") == "Feature")
 
 
 def geojson_rows(texts: DataFrame, code: str, name: str, vintage: str) -> DataFrame:
@@ -92,10 +171,13 @@ def geojson_rows(texts: DataFrame, code: str, name: str, vintage: str) -> DataFr
     return rows.select(F.col("f.properties")[code].alias("area_code"), F.col("f.properties")[name].alias("area_name"), F.lit(vintage).alias("vintage"), polygons.alias("polygons"))
 
 
-def geojson_source_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Features counted without reading their content."""
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(F.json_array_length(F.get_json_object("value", "$.features")).alias("n")).agg(F.sum("n").cast("long").alias("source_rows"))
+def geojson_source_rows(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Features counted by a second path: occurrences of the member that marks one, without cutting, joining or parsing any.
+
+    A text that says the same within a string has escaped quotes and does not count; an object among the properties of a feature that calls itself one does.
+    """
+    n = F.regexp_count("value", F.lit(r'"type"\s*:\s*"Feature"'))
+    return places.placed(spark, paths, "}").agg(F.coalesce(F.sum(n).cast("long"), F.lit(0)).alias("source_rows"))
 
 
 CALENDAR = "map<string, struct<division: string, events: array<struct<title: string, date: string, notes: string, bunting: boolean>>>>"
@@ -141,6 +223,17 @@ def lookup(spark: SparkSession, path: str) -> DataFrame:
     return rows
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the folder that all executors share; a session in one process may lack one and gets a temporary folder."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 def write_table(df: DataFrame, path: str) -> None:
     """Replace a table; running again gives the same table."""
     df.write.mode("overwrite").parquet(path)
