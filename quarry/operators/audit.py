@@ -129,19 +129,28 @@ def conservation(spec: SourceSpec, tables: SourceTables) -> DataFrame:
 
 
 def flag_ledger_agreement(spec: SourceSpec, silver: DataFrame, entries: DataFrame) -> DataFrame:
-    """(flag, n_flag_only, n_ledger_only) per dimension that has rules; warnings do not count."""
-    parts = []
-    for d in spec.dimensions:
-        if not d.rules:
-            continue
-        failed = silver.filter(~F.col(d.flag)).select(F.col(spec.key).cast("string").alias("k")).distinct().withColumn("a", F.lit(1))
-        logged = entries.filter((F.col("source_id") == spec.source_id) & F.col("rule_id").isin(*d.rules) & (F.col("severity") != "warn"))
-        logged = logged.select(F.col("source_row_key").alias("k")).distinct().withColumn("b", F.lit(1))
-        both = failed.join(logged, "k", "full_outer")
-        parts.append(both.agg(F.count_if(F.expr("b is null")).alias("n_flag_only"), F.count_if(F.expr("a is null")).alias("n_ledger_only")).select(F.lit(d.flag).alias("flag"), "*"))
-    if not parts:
-        return silver.sparkSession.createDataFrame([], "flag string, n_flag_only long, n_ledger_only long")
-    return reduce(DataFrame.unionByName, parts)
+    """(flag, n_flag_only, n_ledger_only) per dimension that has rules, all in one join; warnings do not count."""
+    ruled = [d for d in spec.dimensions if d.rules]
+    spark = silver.sparkSession
+    if not ruled:
+        return spark.createDataFrame([], "flag string, n_flag_only long, n_ledger_only long")
+    failing = F.array_compact(F.array(*(F.when(~F.col(d.flag), F.lit(d.flag)) for d in ruled)))
+    failed = silver.select(F.coalesce(F.col(spec.key).cast("string"), F.lit("")).alias("k"), F.col(spec.key).isNull().alias("null_key"), F.explode(failing).alias("flag"))
+    flag_of = F.create_map(*(F.lit(x) for d in ruled for r in d.rules for x in (r, d.flag)))
+    logged = entries.filter((F.col("source_id") == spec.source_id) & (F.col("severity") != "warn"))
+    logged = logged.select(F.coalesce("source_row_key", F.lit("")).alias("k"), F.col("source_row_key").isNull().alias("null_key"), F.try_element_at(flag_of, "rule_id").alias("flag")).filter("flag is not null")
+    both = failed.withColumn("a", F.lit(True)).withColumn("b", F.lit(False)).unionByName(logged.withColumn("a", F.lit(False)).withColumn("b", F.lit(True)))
+    keys = both.groupBy("flag", "k", "null_key").agg(F.max("a").alias("a"), F.max("b").alias("b"))
+    counts = keys.groupBy("flag").agg(F.count_if(F.expr("a and not b")).alias("n_flag_only"), F.count_if(F.expr("b and not a")).alias("n_ledger_only"))
+    flags = spark.createDataFrame([(d.flag,) for d in ruled], "flag string")
+    return flags.join(counts, "flag", "left").select("flag", F.coalesce("n_flag_only", F.lit(0)).alias("n_flag_only"), F.coalesce("n_ledger_only", F.lit(0)).alias("n_ledger_only"))
+
+
+def limit_of(dimension: Dimension, ceiling: float | None = None) -> float:
+    """The share of rows that may fail: the dimension's own, or the build's, or REJECT_CEILING. Zero counts as given."""
+    if dimension.ceiling is not None:
+        return dimension.ceiling
+    return REJECT_CEILING if ceiling is None else ceiling
 
 
 def reject_rates(spec: SourceSpec, silver: DataFrame, ceiling: float | None = None) -> DataFrame:

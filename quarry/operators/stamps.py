@@ -32,9 +32,10 @@ def with_weather(points: DataFrame, grid: DataFrame, metrics: list[str], time: s
     """Adds the metrics of the point's 0.1 degree cell and local hour; null without a cell, or if the time is imputed.
 
     grid: lat_idx, lon_idx, datetime_local and metrics. The two hours that share a local hour in autumn give
-    the least of each metric on its own.
+    the least of each metric on its own. A grid that files.write_grid wrote has its hours as a column and its cells in buckets, and is not moved.
     """
-    cells = grid.groupBy("lat_idx", "lon_idx", hour_key(F.col("datetime_local")).alias("_hour")).agg(*(F.min(m).alias(m) for m in metrics))
+    own_hour = F.col("hour") if "hour" in grid.columns else hour_key(F.col("datetime_local"))
+    cells = grid.groupBy("lat_idx", "lon_idx", own_hour.alias("_hour")).agg(*(F.min(m).alias(m) for m in metrics))
     cells = cells.withColumnsRenamed({"lat_idx": "_lat", "lon_idx": "_lon"})
     hour = hour_key(F.col(time))
     if imputed:

@@ -1,7 +1,6 @@
-"""One build: raw tables in, audited and enriched tables out.
+"""The road-event build: seven declared sources, composed by the contract of any source.
 
-Frames stay lazy until they are written. Every source gives bronze, silver and ledger, and from files also a
-quarantine and an independent count; the checks run over all of them before the provenance row is written, and the first that fails stops the build.
+A user's source joins by being listed in `Inputs.sources`; nothing here or in the contract changes for it.
 """
 
 from __future__ import annotations
@@ -16,7 +15,9 @@ from quarry.functions import clean
 from quarry.functions.civil_time import epoch_seconds, to_local, to_utc
 from quarry.functions.geo import edges_of, grid_to_degrees
 from quarry.functions.solar import solar_position
-from quarry.operators import audit, decode, spatial, stamps, vintages
+from quarry.operators import audit, spatial, stamps, vintages
+from quarry.plans import contract
+from quarry.plans.contract import Context, Source, SourceResult
 from quarry.sources import files
 
 
@@ -24,10 +25,10 @@ from quarry.sources import files
 class Inputs:
     """Raw frames: all-text events, vehicles, casualties and counts; boundaries with polygons and validity; cubes; holidays.
 
-    upper: a second layer of boundaries, shaped like the first. manifest: further columns of the events to clean by kind.
-    extra: sources that are kept as they are; each needs a reason in `exempt`, or the build stops.
-    quarantine and source_rows, by source: lines set apart, and records counted by a second read. `from_csv` fills
-    both; without them the check of conservation starts at bronze.
+    upper: a second layer of boundaries, shaped like the first. manifest: columns to clean by kind, of the events, or of each
+    table by name as files.manifest reads them. sources: further declared sources. extra: sources that are kept as they are; each needs a
+    reason in `exempt`, or the build stops. quarantine and source_rows, by source: records set apart, and records counted by a second
+    read; `from_csv` fills both, and without them the check of conservation starts at bronze.
     """
 
     events: DataFrame
@@ -39,7 +40,8 @@ class Inputs:
     codebook: DataFrame | None = None
     casualties: DataFrame | None = None
     upper: DataFrame | None = None
-    manifest: Sequence[clean.Field] = ()
+    manifest: Sequence[clean.Field] | dict[str, Sequence[clean.Field]] = ()
+    sources: Sequence[Source] = ()
     extra: dict[str, DataFrame] = field(default_factory=dict)
     exempt: dict[str, str] = field(default_factory=lambda: {"codebook": "a lookup, checked to be unique when it is read"})
     quarantine: dict[str, DataFrame] = field(default_factory=dict)
@@ -86,65 +88,65 @@ DAYS = audit.SourceSpec("holidays", "day_key", (audit.Dimension("date_valid", ("
 COUNTS = audit.SourceSpec("counts", "count_key", (audit.Dimension("geom_valid", ("count_coord",)), audit.Dimension("volume_valid", ("count_volume",))))
 
 
+INDEX = ("event_id", "collision_index", "accident_index")
+YEAR = ("collision_year", "accident_year")
+REFERENCE = ("collision_ref_no", "collision_reference", "accident_reference")
+#: Columns that are derived below, under any of their names; the manifest's loop leaves them out.
 EVENT_COLUMNS = {
-    "event_id", "easting_raw", "northing_raw", "date_raw", "time_raw", "road_name", "easting", "northing", "geom_valid", "datetime_local", "datetime_valid",
-    "time_imputed", "severity", "severity_raw", "severity_valid", "date", "time",
+    *INDEX, "easting_raw", "northing_raw", "date_raw", "time_raw", "road_name", "easting", "northing", "location_easting_osgr", "location_northing_osgr", "geom_valid",
+    "datetime_local", "datetime_valid", "time_imputed", "severity", "severity_raw", "severity_valid", "accident_severity", "collision_severity", "date", "time",
+    "lon", "lat",
 }
-
-
-PLAN = (
-    (EVENTS, EVENT_RULES),
-    (VEHICLES, VEHICLE_RULES),
-    (CASUALTIES, CASUALTY_RULES),
-    (COUNTS, COUNT_RULES),
-    (AREAS, AREA_RULES),
-    (UPPER, AREA_RULES),
-    (WEATHER, ()),
-    (DAYS, DAY_RULES),
-)
+CHILD_COLUMNS = {*INDEX, *YEAR, *REFERENCE, "vehicle_reference", "casualty_reference", "casualty_severity", "severity"}
+VOLUMES = ("pedal_cycles", "two_wheeled_motor_vehicles", "cars_and_taxis", "buses_and_coaches", "lgvs", "all_hgvs")
+COUNT_TEXTS = ("region_name", "local_authority_name", "road_name", "road_type", "start_junction_road_name", "end_junction_road_name", "estimation_method", "estimation_method_detailed")
 
 
 def events_silver(raw: DataFrame, missing: dict[str, list[str]], manifest: Sequence[clean.Field] = ()) -> DataFrame:
     """Events with a place, a time and a severity, and the manifest's other columns by their kinds."""
-    key = clean.first_present(raw, ["event_id", "collision_index", "accident_index"])
+    easting, northing = (clean.first_present(raw, [c, f"location_{c}_osgr"]) for c in ("easting", "northing"))
     return raw.select(
-        key.alias("event_id"),
-        F.col("easting").alias("easting_raw"),
-        F.col("northing").alias("northing_raw"),
+        clean.first_present(raw, INDEX).alias("event_id"),
+        easting.alias("easting_raw"),
+        northing.alias("northing_raw"),
         F.col("date").alias("date_raw"),
         F.col("time").alias("time_raw"),
         clean.first_present(raw, ["road_name"]).alias("road_name"),
-        *clean.sentinel_point("easting", "northing"),
+        *clean.sentinel_point(easting, northing),
         *clean.event_time("date", "time"),
         *clean.audited(raw, "severity", ["accident_severity", "collision_severity"], missing.get("severity", ())),
         *clean.broad(raw, manifest, missing, EVENT_COLUMNS),
     )
 
 
-def vehicles_silver(raw: DataFrame, events: DataFrame) -> DataFrame:
-    keyed = raw.select(
-        clean.first_present(raw, ["event_id", "collision_index", "accident_index"]).alias("event_id"),
-        "vehicle_reference",
-        clean.coded("direction_to").alias("direction_to"),
-    ).withColumn("vehicle_key", clean.row_key("event_id", "vehicle_reference"))
+def child_columns(raw: DataFrame, manifest: Sequence[clean.Field], missing: dict[str, list[str]]) -> list[Column]:
+    """Identity of a child row under whichever names its year has, and every other column of the manifest by its kind."""
+    return [
+        clean.first_present(raw, INDEX).alias("event_id"),
+        clean.first_present(raw, YEAR).alias("event_year"),
+        clean.first_present(raw, REFERENCE).alias("event_reference"),
+        F.col("vehicle_reference"),
+        *clean.broad(raw, manifest, missing, CHILD_COLUMNS),
+    ]
+
+
+def vehicles_silver(raw: DataFrame, events: DataFrame, missing: dict[str, list[str]] | None = None, manifest: Sequence[clean.Field] = ()) -> DataFrame:
+    own = list(manifest) if any(f.name == "direction_to" for f in manifest) else [*manifest, clean.Field("direction_to", "coded")]
+    keyed = raw.select(*child_columns(raw, own, missing or {})).withColumn("vehicle_key", clean.row_key("event_id", "vehicle_reference"))
     return stamps.with_link(keyed, events.select(F.col("event_id").alias("parent")), "event_id", "parent")
 
 
-def casualties_silver(raw: DataFrame, events: DataFrame, vehicles: DataFrame, missing: dict[str, list[str]]) -> DataFrame:
+def casualties_silver(raw: DataFrame, events: DataFrame, vehicles: DataFrame, missing: dict[str, list[str]], manifest: Sequence[clean.Field] = ()) -> DataFrame:
     """Linked to their event and to the vehicle they were in or hit by."""
-    keyed = raw.select(
-        clean.first_present(raw, ["event_id", "collision_index", "accident_index"]).alias("event_id"),
-        "vehicle_reference",
-        "casualty_reference",
-        *clean.audited(raw, "severity", ["casualty_severity"], missing.get("casualty_severity", ())),
-    )
+    severity = clean.audited(raw, "severity", ["casualty_severity"], missing.get("casualty_severity", ()))
+    keyed = raw.select(*child_columns(raw, manifest, missing), "casualty_reference", *severity)
     keyed = keyed.withColumn("vehicle_key", clean.row_key("event_id", "vehicle_reference")).withColumn("casualty_key", clean.row_key("vehicle_key", "casualty_reference"))
     linked = stamps.with_link(keyed, events.select(F.col("event_id").alias("parent")), "event_id", "parent")
     return stamps.with_link(linked, vehicles.select(F.col("vehicle_key").alias("parent")), "vehicle_key", "parent", "vehicle_valid")
 
 
 def areas_silver(raw: DataFrame) -> DataFrame:
-    """Boundaries with their edges and whether their rings are closed and free of crossings."""
+    """Boundaries with their edges, and the faults of their shapes."""
     keyed = raw.withColumn("area_key", clean.row_key("area_code", F.coalesce(F.col("valid_from").cast("string"), F.lit(""))))
     return spatial.boundary_validity(keyed.withColumn("edges", edges_of("polygons")), "area_key")
 
@@ -156,16 +158,23 @@ def areas_used(silver: DataFrame, source_id: str, mode: str, years: Sequence[int
 
 
 def counts_silver(raw: DataFrame) -> DataFrame:
+    """Traffic counts: typed identifiers with their texts, place, and every volume with the text it was read from; volume is the headline, all motor vehicles."""
+    have = {c.lower() for c in raw.columns}
+    number = lambda c, t: F.col(c).try_cast(t) if c in have else clean.placeholder(t)
+    others = [x for v in VOLUMES for x in (clean.first_present(raw, [v]).alias(f"{v}_raw"), number(v, "bigint").alias(v))]
     return raw.select(
         clean.row_key("count_point_id", "year").alias("count_key"),
-        "count_point_id",
+        F.col("count_point_id").alias("count_point_id_raw"),
+        F.col("year").alias("year_raw"),
+        F.col("count_point_id").try_cast("int").alias("count_point_id"),
         F.col("year").try_cast("int").alias("year"),
-        "road_name",
-        F.col("link_length_km").try_cast("double").alias("link_length_km"),
+        *(clean.first_present(raw, [c]).alias(c) for c in COUNT_TEXTS),
+        number("link_length_km", "double").alias("link_length_km"),
         F.col("easting").alias("easting_raw"),
         F.col("northing").alias("northing_raw"),
         *clean.envelope_point("easting", "northing"),
-        *clean.count_field("volume", "volume"),
+        *clean.count_field(clean.first_present(raw, ["all_motor_vehicles", "volume"]), "volume"),
+        *others,
     )
 
 
@@ -206,62 +215,92 @@ def enriched(silver: DataFrame, layers: dict[str, DataFrame | None], weather: Da
     return stamps.with_holiday(out, holidays, "lad_code", "datetime_local")
 
 
+LAYERS = {"lad_code": "boundaries", "ctyua_code": "upper"}
+
+
+def layers_of(context: Context) -> dict[str, DataFrame | None]:
+    mode, years = context.parameters["mode"], context.parameters["years"]
+    return {column: None if context.silver(n) is None else areas_used(context.silver(n), n, mode, years) for column, n in LAYERS.items()}
+
+
+def cleaned(manifest: Sequence[clean.Field], *derived: str) -> dict[str, str]:
+    """Columns whose completeness is reported: those derived, and the coded and numeric ones of the manifest."""
+    return {c: "derived" for c in derived} | {f.name: f.kind for f in sorted(manifest, key=lambda f: f.name) if f.kind in ("coded", "numeric")}
+
+
+def coded(manifest: Sequence[clean.Field], *derived: str) -> list[str]:
+    return [*derived, *sorted(f.name for f in manifest if f.kind == "coded")]
+
+
+def sources_of(inputs: Inputs) -> list[Source]:
+    """The build's sources as declarations: those of the inputs that are given, the user's, and those kept as they are."""
+    manifest = inputs.manifest if isinstance(inputs.manifest, dict) else {"events": inputs.manifest}
+    own = lambda n: manifest.get(n, ())
+
+    def result(name: str, bronze: DataFrame, silver, **more) -> SourceResult:
+        return SourceResult(bronze, silver, quarantine=inputs.quarantine.get(name), **{"source_rows": inputs.source_rows.get(name)} | more)
+
+    def areas(name: str):
+        def make(c: Context) -> SourceResult:
+            start = f"{min(c.parameters['years'])}-01-01"
+
+            def advice(found: dict) -> list[str]:
+                first = found["first_day"]
+                late = c.parameters["mode"] == "temporal" and first is not None and str(first) > start
+                return [f"{name}: years from {start[:4]}, but the earliest edition begins on {first}"] if late else []
+
+            return result(name, getattr(inputs, name), areas_silver, measured={"first_day": F.min("valid_from")}, advice=advice)
+
+        return make
+
+    def cubes(c: Context) -> SourceResult:
+        return result("cubes", files.cube_rows(inputs.cubes, ["t2m", "tp"]), weather_cells, source_rows=inputs.source_rows.get("cubes", files.cube_source_rows(inputs.cubes)))
+
+    def days(c: Context) -> SourceResult:
+        keyed = lambda b: b.withColumn("day_key", clean.row_key("division", F.coalesce(F.col("holiday_date").cast("string"), F.lit(""))))
+        return result("holidays", inputs.holidays, lambda b: keyed(b).withColumn("date_valid", F.col("holiday_date").isNotNull()))
+
+    def events(c: Context) -> SourceResult:
+        fields = own("events")
+        silver = lambda b: enriched(events_silver(b, c.missing, fields), layers_of(c), c.silver("cubes"), c.silver("holidays"), c.parameters["mode"])
+        derived = ("easting", "northing", "datetime_local", "severity", "lad_code", "ctyua_code", "temperature_c", "precipitation_mm", "solar_elevation", "is_bank_holiday")
+        return result("events", inputs.events, silver, cleaned=cleaned(fields, *derived), coded=coded(fields, "severity"))
+
+    def vehicles(c: Context) -> SourceResult:
+        fields = own("vehicles")
+        silver = lambda b: vehicles_silver(b, c.silver("events"), c.missing, fields)
+        return result("vehicles", inputs.vehicles, silver, cleaned={"direction_to": "coded"} | cleaned(fields), coded=sorted({"direction_to", *coded(fields)}))
+
+    def casualties(c: Context) -> SourceResult:
+        fields = own("casualties")
+        silver = lambda b: casualties_silver(b, c.silver("events"), c.silver("vehicles"), c.missing, fields)
+        return result("casualties", inputs.casualties, silver, cleaned=cleaned(fields, "severity"), coded=coded(fields, "severity"))
+
+    def counts(c: Context) -> SourceResult:
+        silver = lambda b: with_areas(counts_silver(b), layers_of(c), "count_key", c.parameters["mode"], vintages.mid_year("year"))
+        return result("counts", inputs.counts, silver, cleaned={x: "numeric" for x in ("easting", "northing", "link_length_km", "volume", *VOLUMES)})
+
+    stamped = ("boundaries", "upper", "cubes", "holidays")
+    declared = [
+        Source("boundaries", areas("boundaries"), AREAS, AREA_RULES),
+        Source("upper", areas("upper"), UPPER, AREA_RULES),
+        Source("cubes", cubes, WEATHER, table="weather"),
+        Source("holidays", days, DAYS, DAY_RULES),
+        Source("events", events, EVENTS, EVENT_RULES, needs=stamped),
+        Source("vehicles", vehicles, VEHICLES, VEHICLE_RULES, needs=("events",)),
+        Source("casualties", casualties, CASUALTIES, CASUALTY_RULES, needs=("events", "vehicles")),
+        Source("counts", counts, COUNTS, COUNT_RULES, needs=stamped[:2]),
+    ]
+    kept = dict(inputs.extra) | ({"codebook": inputs.codebook} if inputs.codebook is not None else {})
+    as_it_is = lambda df: lambda c: SourceResult(df)
+    extras = [Source(n, as_it_is(df), exempt=inputs.exempt.get(n, "")) for n, df in kept.items()]
+    return [*(s for s in declared if getattr(inputs, s.source_id) is not None), *inputs.sources, *extras]
+
+
 def build(spark: SparkSession, inputs: Inputs, path: str, years: Sequence[int], mode: str = "snapshot", ceiling: float | None = None) -> dict[str, DataFrame]:
-    """Write all tables under `path`, check them, then write the provenance row; running again gives the same tables."""
+    """Write, check and publish all tables under `path`; running again gives the same tables, and a run that fails changes none."""
     missing = clean.missing_codes(inputs.codebook) if inputs.codebook is not None else {}
-    written: dict[str, DataFrame] = {}
-    bronze: dict[str, DataFrame] = {}
-    silver: dict[str, DataFrame] = {}
-    counted = dict(inputs.source_rows)
-
-    def keep(name: str, df: DataFrame) -> DataFrame:
-        files.write_table(df, f"{path}/{name}")
-        written[name] = spark.read.parquet(f"{path}/{name}")
-        return written[name]
-
-    sources = ("events", "vehicles", "casualties", "counts", "boundaries", "upper", "cubes", "holidays", "codebook")
-    given = {n: df for n in sources if (df := getattr(inputs, n)) is not None} | inputs.extra
-    if inputs.cubes is not None:
-        given["cubes"] = files.cube_rows(inputs.cubes, ["t2m", "tp"])
-        counted.setdefault("cubes", files.cube_source_rows(inputs.cubes))
-    for name, df in given.items():
-        bronze[name] = keep(f"{name}_raw", df)
-
-    layers: dict[str, DataFrame | None] = {}
-    for name, column in (("boundaries", "lad_code"), ("upper", "ctyua_code")):
-        if name in bronze:
-            silver[name] = keep(name, areas_silver(bronze[name]))
-        layers[column] = areas_used(silver[name], name, mode, years) if name in silver else None
-    if "cubes" in bronze:
-        silver["cubes"] = keep("weather", weather_cells(bronze["cubes"]))
-    if "holidays" in bronze:
-        days = bronze["holidays"].withColumn("day_key", clean.row_key("division", F.coalesce(F.col("holiday_date").cast("string"), F.lit(""))))
-        silver["holidays"] = keep("holidays", days.withColumn("date_valid", F.col("holiday_date").isNotNull()))
-    events = events_silver(bronze["events"], missing, inputs.manifest)
-    silver["events"] = keep("events", enriched(events, layers, silver.get("cubes"), silver.get("holidays"), mode))
-    silver["vehicles"] = keep("vehicles", vehicles_silver(bronze["vehicles"], silver["events"]))
-    if "casualties" in bronze:
-        silver["casualties"] = keep("casualties", casualties_silver(bronze["casualties"], silver["events"], silver["vehicles"], missing))
-    silver["counts"] = keep("counts", with_areas(counts_silver(bronze["counts"]), layers, "count_key", mode, vintages.mid_year("year")))
-    if inputs.codebook is not None:
-        coded = ["severity", *(f.name for f in inputs.manifest if f.kind == "coded" and f.name in silver["events"].columns)]
-        keep("events_labelled", decode.labelled(silver["events"], inputs.codebook, coded))
-
-    plan = [(spec, rules) for spec, rules in PLAN if spec.source_id in silver]
-    names = lambda found: spark.createDataFrame([(n,) for n in found], "source_id string")
-    excused = spark.createDataFrame(list(inputs.exempt.items()), "source_id string, reason string")
-    left = [r.source_id for r in audit.undecided(names(given), names(spec.source_id for spec, _ in plan), excused).collect()]  # of the names above
-    if left:
-        raise audit.CoverageError(f"neither audited nor exempt: {sorted(left)}")
-    ledger = files.united([audit.ledger(silver[spec.source_id], spec.source_id, spec.key, rules) for spec, rules in plan if rules])
-    files.write_audit(ledger, f"{path}/data_quality_log", [spec.source_id for spec, _ in plan])
-    written["data_quality_log"] = spark.read.parquet(f"{path}/data_quality_log")
-    apart = {n: keep(f"{n}_quarantine", df) for n, df in inputs.quarantine.items()}
-    tables = lambda n: audit.SourceTables(bronze[n], silver[n], written["data_quality_log"], apart.get(n), counted.get(n))
-    keep("ingest_report", files.united(audit.run_checks([(spec, tables(spec.source_id)) for spec, _ in plan], ceiling)))
-    keep("completeness", decode.completeness(silver["events"], ["easting", "datetime_local", "severity", "lad_code", "temperature_c"], "events"))
-    keep("build_meta", audit.provenance(spark, "0.1.0", 1, {"years": list(years), "mode": mode}))
-    return written
+    return contract.run(spark, sources_of(inputs), path, {"years": list(years), "mode": mode}, inputs.codebook, missing, ceiling)
 
 
 def exposure_rates(tables: dict[str, DataFrame], year: int) -> DataFrame:

@@ -10,6 +10,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quarry.functions.civil_time import hour_key
+from quarry.functions.clean import Field
+from quarry.operators.vintages import chained
 from quarry.sources import places
 
 BAD = "_bad"
@@ -67,7 +70,7 @@ def without_header(lines: DataFrame) -> DataFrame:
 def csv_records(lines: DataFrame, header: bool = True) -> DataFrame:
     """(file, line, value): records, joined again where quotes hold line ends; blank ones and headers left out.
 
-    Lines of records of one line are not moved to make records, only to be counted; lines of others meet by record.
+    Lines are moved once, to be counted by split; after that only records that lie across splits are.
     """
     known = places.running(lines.withColumn("quotes", places.occurrences(F.col("value"), '"')), opened=F.col("quotes"), line=F.lit(1))
     known = known.withColumn("begins", F.col("opened") % 2 == 0).withColumn("ends", (F.col("opened") + F.col("quotes")) % 2 == 0)
@@ -75,7 +78,7 @@ def csv_records(lines: DataFrame, header: bool = True) -> DataFrame:
     alone = known.filter("begins and ends").select("file", "line", "value")
     parts = places.running(known.filter("not (begins and ends)"), record=F.col("begins").cast("int"))
     parts = parts.withColumn("record", F.col("record") + F.col("begins").cast("int"))
-    whole = parts.groupBy("file", "record").agg(F.sort_array(F.collect_list(F.struct("line", "value"))).alias("parts"))
+    whole = places.gathered(parts, "record", F.col("begins"), F.col("ends"), "line", "value")
     whole = whole.select("file", F.col("parts")[0]["line"].alias("line"), F.array_join(F.transform("parts", lambda p: p["value"]), "\n").alias("value"))
     rows = alone.unionByName(whole).select("file", "line", tidy("value").alias("value")).filter("length(trim(value)) > 0")
     return rows.filter("line > 1") if header else rows
@@ -151,10 +154,10 @@ def features_of(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     after = F.col("depth") + F.col("opens") - F.col("ended").cast("int")
     deep = deep.withColumn("last", F.col("ended") & (after == 1)).filter("opens > 0 or depth > 1")
     told = places.running(deep, number=F.col("last").cast("int"))
-    whole = told.groupBy("file", "number").agg(F.max("last").alias("last"), F.sort_array(F.collect_list(F.struct("block", "seq", "depth", "value"))).alias("parts"))
+    whole = places.gathered(told, "number", F.col("depth") <= 1, F.col("last"), "depth", "value")
     text = F.concat(F.array_join(F.transform("parts", lambda p: p["value"]), "}"), F.lit("}"))
     text = F.when(F.col("parts")[0]["depth"] == 0, F.regexp_replace(text, BEFORE_BRACE + r"\{", "")).otherwise(text)
-    cut = whole.filter("last").select("file", F.regexp_replace(text, BEFORE_BRACE, "").alias("feature"))
+    cut = whole.filter("ended").select("file", F.regexp_replace(text, BEFORE_BRACE, "").alias("feature"))
     return cut.filter(F.get_json_object("feature", "$.type") == "Feature")
 
 
@@ -223,6 +226,37 @@ def lookup(spark: SparkSession, path: str) -> DataFrame:
     return rows
 
 
+def manifest(spark: SparkSession, path: str) -> dict[str, list[Field]]:
+    """Columns to clean, by table, from a CSV of table, column, kind and dtype; a table's column must stand once.
+
+    A numeric column without a type is an integer. Manifests are read whole by the driver: MOST_FIELDS rows at most.
+    """
+    rows = spark.read.option("header", True).csv(path).limit(MOST_FIELDS + 1).collect()
+    if len(rows) > MOST_FIELDS:
+        raise ValueError(f"manifest of more than {MOST_FIELDS} columns")
+    out: dict[str, list[Field]] = {}
+    for r in rows:
+        if r["kind"] not in KINDS:
+            raise ValueError(f"unknown kind {r['kind']} of {r['table']}.{r['column']}")
+        fields = out.setdefault(r["table"], [])
+        if any(f.name.lower() == r["column"].lower() for f in fields):
+            raise ValueError(f"column listed twice: {r['table']}.{r['column']}")
+        fields.append(Field(r["column"], r["kind"], (r["dtype"] or "int").lower() if r["kind"] == "numeric" else "string"))
+    return out
+
+
+def editions(spark: SparkSession, path: str) -> DataFrame:
+    """(source_id, label, source_file, code_col, name_col, valid_from, valid_to) from a JSON registry: a list of editions for each source, chained."""
+    entry = "struct<label: string, source_file: string, code_col: string, name_col: string, valid_from: string>"
+    rows = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", f"map<string, array<{entry}>>")).alias("source_id", "list"))
+    listed = rows.select("source_id", F.inline("list")).withColumn("valid_from", F.col("valid_from").cast("date"))
+    return chained(listed)
+
+
+MOST_FIELDS = 10_000
+KINDS = ("identity", "geo", "datetime", "coded", "numeric", "text")
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new path in the folder that all executors share; a session in one process may lack one and gets a temporary folder."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
@@ -258,17 +292,42 @@ def write_sorted_csv(df: DataFrame, path: str, order: Sequence[str]) -> None:
 
 
 def write_months(df: DataFrame, path: str, time: str) -> None:
-    """Grid rows by year and month, ordered in time within each file."""
+    """Grid rows by year and month, ordered in time within each file; months that `df` does not hold stay as they are."""
     rows = df.withColumn("year", F.year(time)).withColumn("month", F.month(time))
-    rows.repartition("year", "month").sortWithinPartitions("year", "month", time).write.mode("overwrite").partitionBy("year", "month").parquet(path)
+    ordered = rows.repartition("year", "month").sortWithinPartitions("year", "month", time)
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(path)
 
 
 def merge_months(months: Sequence[DataFrame], metrics: Sequence[str], path: str) -> None:
     """Monthly cubes as one grid on the time axis, whichever name it has in each: cells by year and month, ordered in time.
 
-    The table is replaced as a whole; months that share an hour keep the cells of both.
+    The months given replace those of the table, others stay; months that share an hour keep the cells of both.
     """
     if not months:
         raise ValueError("no months to merge")
     axis = lambda c: next(n for n in ("times", "valid_time", "time") if n in c.columns)
     write_months(united([cube_rows(c, metrics, axis(c)) for c in months]), path, "time_utc")
+
+
+CELL = ("lat_idx", "lon_idx", "hour")
+
+
+def write_grid(cells: DataFrame, table: str, path: str, buckets: int) -> None:
+    """Cells (lat_idx, lon_idx, datetime_local, metrics) as a table in buckets of cell and hour, by year and month.
+
+    A stamp then deals the points to the buckets and leaves the grid, far larger, where it lies. If the table exists, the months given
+    replace its own, and others stay; its columns must be the same.
+    """
+    spark = cells.sparkSession
+    rows = cells.withColumn("hour", hour_key(F.col("datetime_local"))).withColumn("year", F.year("datetime_local")).withColumn("month", F.month("datetime_local"))
+    dealt = rows.repartition(buckets, *CELL)
+    if not spark.catalog.tableExists(table):
+        dealt.write.partitionBy("year", "month").bucketBy(buckets, *CELL).sortBy(*CELL).option("path", path).saveAsTable(table)
+        return
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        dealt.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(mode, before)

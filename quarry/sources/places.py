@@ -47,5 +47,18 @@ def numbered(rows: DataFrame, some: DataFrame) -> DataFrame:
     return some.join(starts, ["file", "block"], "left").withColumn("line", F.col("_before") + F.col("seq") - F.col("_first") + 1).drop("_first", "_before")
 
 
+def gathered(rows: DataFrame, key: str, first: Column, last: Column, *columns: str) -> DataFrame:
+    """(file, key, ended, parts): rows of one key of a file, in order, as an array of structs of block, seq and columns.
+
+    first and last tell the rows that begin and end what the key stands for. After `running` the rows of a split are together, and
+    what begins and ends in one is gathered there; only what lies across splits is moved again.
+    """
+    inner = rows.groupBy("file", "block", key).agg(F.max(first).alias("_first"), F.max(last).alias("ended"), F.sort_array(F.collect_list(F.struct("block", "seq", *columns))).alias("parts"))
+    whole = inner.filter("_first and ended").select("file", key, "ended", "parts")
+    across = inner.filter("not (_first and ended)").groupBy("file", key)
+    across = across.agg(F.max("ended").alias("ended"), F.sort_array(F.flatten(F.collect_list("parts"))).alias("parts"))
+    return whole.unionByName(across)
+
+
 def occurrences(text: Column, mark: str) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(mark)))

@@ -1,3 +1,4 @@
+import json
 from datetime import date, datetime
 
 import pytest
@@ -6,7 +7,8 @@ from pyspark.sql import functions as F
 
 from quarry.functions.clean import Field, gold
 from quarry.operators import audit
-from quarry.plans import build
+from quarry.plans import build, contract
+from quarry.sources import files
 
 EVENT = "accident_index string, easting string, northing string, date string, time string, road_name string, accident_severity string"
 AREA = "area_code string, valid_from date, valid_to date, polygons array<array<array<struct<x: double, y: double>>>>"
@@ -44,6 +46,10 @@ def test_build_is_complete_enriched_and_repeatable(spark, tmp_path):
     assert t["data_quality_log"].count() == len(log)
     assert gold(t["vehicles"], ["link_valid"]).count() == 100
     assert t["build_meta"].count() == 1 and t["ingest_report"].count() == 6
+    complete = {(r.tbl, r.col): (r.n_total, r.n_missing) for r in t["completeness"].collect()}
+    assert complete["events", "easting"] == (61, 1) and complete["vehicles", "direction_to"] == (101, 0) and complete["counts", "volume"] == (26, 0)
+    rejects = {(r.source_id, r.flag): r.n_rejected for r in t["reject_report"].collect()}
+    assert rejects["events", "geom_valid"] == 1 and rejects["vehicles", "link_valid"] == 1
     rates = build.exposure_rates(t, 2023).collect()
     assert [(x.road_name, x.lad_code, x.n_points) for x in rates] == []  # counted in the new edition, events in the old one
     snap = build.build(spark, inputs(spark), str(tmp_path / "snap"), [2023], "snapshot", ceiling=0.1)
@@ -55,7 +61,141 @@ def test_build_is_complete_enriched_and_repeatable(spark, tmp_path):
 def test_build_stops_and_leaves_no_provenance(spark, tmp_path):
     with pytest.raises(audit.RejectRateError):
         build.build(spark, inputs(spark, bad_severity=20), str(tmp_path), [2023], "temporal", ceiling=0.1)
-    assert not (tmp_path / "build_meta").exists()
+    assert contract.published(spark, str(tmp_path)) == {} and not list((tmp_path / "builds").iterdir())
+
+
+def test_a_rebuild_that_fails_changes_nothing(spark, tmp_path):
+    path = str(tmp_path)
+    first = build.build(spark, inputs(spark), path, [2023], ceiling=0.1)
+    meta, name = first["build_meta"].collect(), contract.current(spark, path)
+    with pytest.raises(audit.RejectRateError):
+        build.build(spark, inputs(spark, bad_severity=20), path, [2023], ceiling=0.1)
+    now = contract.published(spark, path)
+    assert contract.current(spark, path) == name and now["build_meta"].collect() == meta
+    assert now["events"].filter("not severity_valid").count() == 0 == now["data_quality_log"].filter("rule_id = 'event_severity'").count()
+    build.build(spark, inputs(spark, bad_severity=2), path, [2023], ceiling=0.1)
+    assert contract.current(spark, path) != name and first["events"].count() == 61  # who reads the build before can read on
+    assert contract.published(spark, path)["events"].filter("not severity_valid").count() == 2
+    build.build(spark, inputs(spark), path, [2023], ceiling=0.1)
+    assert len(list((tmp_path / "builds").iterdir())) == contract.KEPT_BUILDS
+
+
+def signals(spark, rows=40, bad=1):
+    """A source that the package knows nothing of."""
+    raw = spark.createDataFrame([(str(k), "x" if k < bad else str(k), f"c{k}") for k in range(rows)], "id string, phase string, event string")
+    rule = audit.Rule("signal_phase", "phase_valid", "phase", "phase_raw", "no usable phase")
+    spec = audit.SourceSpec("signals", "id", (audit.Dimension("phase_valid", ("signal_phase",)),))
+
+    def silver(bronze):
+        value = F.col("phase").try_cast("int")
+        return bronze.select("id", "event", F.col("phase").alias("phase_raw"), value.alias("phase"), value.isNotNull().alias("phase_valid"))
+
+    def make(context):
+        events = context.silver("events")
+        near = (lambda b: silver(b).join(events.select(F.col("event_id").alias("event"), "lad_code"), "event", "left")) if events is not None else silver
+        return contract.SourceResult(raw, near, source_rows=spark.range(1).select(F.lit(rows).cast("long").alias("n")), cleaned={"phase": "numeric"})
+
+    return contract.Source("signals", make, spec, (rule,), needs=("events",))
+
+
+def test_a_users_source_is_built_and_audited_like_the_others(spark, tmp_path):
+    made = inputs(spark)
+    made.sources = [signals(spark)]
+    t = build.build(spark, made, str(tmp_path), [2023], ceiling=0.1)
+    assert t["signals"].filter("lad_code = 'E02'").count() == 40
+    assert [(r.source_row_key, r.raw_value) for r in t["data_quality_log"].filter("source_id = 'signals'").collect()] == [("0", "x")]
+    assert {r.source_id: r.source_rows for r in t["ingest_report"].collect()}["signals"] == 40
+    assert t["completeness"].filter("tbl = 'signals'").first().n_missing == 1
+    made.sources = [signals(spark, bad=20)]
+    with pytest.raises(audit.RejectRateError, match="signals"):
+        build.build(spark, made, str(tmp_path), [2023], ceiling=0.1)
+    good = signals(spark)
+    lost = contract.Source("signals", lambda c: contract.SourceResult(good.make(c).bronze, lambda b: good.make(c).silver(b).limit(5)), good.spec, good.rules)
+    with pytest.raises(audit.ConservationError, match="signals"):
+        contract.run(spark, [lost], str(tmp_path / "alone"), ceiling=0.1)
+
+
+def test_counts_come_from_the_passes_that_write(spark, tmp_path):
+    source = signals(spark)
+    plain = contract.Source("signals", lambda c: contract.SourceResult(source.make(c).bronze, source.make(c).silver, cleaned={"phase": "numeric"}), source.spec)
+    context = contract.Context(spark, {})
+    spark.sparkContext.setJobGroup("observed", "one source")
+    _, counts, _ = contract.build_source(plain, context, str(tmp_path / "one"))
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("observed")
+    spark.sparkContext.setJobGroup("", "")
+    assert (counts.bronze, counts.silver["n"], counts.silver["rejected_phase_valid"], counts.silver["present_phase"]) == (40, 40, 1, 39)
+    reads = 2  # each table read back looks at one file's footer for its columns
+    assert len(jobs) <= 2 + reads
+
+
+def test_sources_declared_wrongly(spark, tmp_path):
+    s = signals(spark)
+    with pytest.raises(ValueError, match="twice"):
+        contract.run(spark, [s, s], str(tmp_path))
+    with pytest.raises(audit.MissingColumn):
+        bare = contract.Source("signals", lambda c: contract.SourceResult(s.make(c).bronze, lambda b: b.drop("phase")), s.spec)
+        contract.run(spark, [bare], str(tmp_path))
+
+
+MANIFEST = """table,column,kind,dtype
+events,road_type,coded,INTEGER
+events,longitude,numeric,DOUBLE
+events,gone,coded,INTEGER
+vehicles,vehicle_type,coded,INTEGER
+vehicles,age_of_driver,numeric,
+vehicles,generic_make_model,text,
+casualties,sex_of_casualty,coded,INTEGER
+casualties,age_of_casualty,numeric,INTEGER
+"""
+
+
+def test_all_tables_are_cleaned_labelled_and_reported_by_manifest(spark, tmp_path):
+    (tmp_path / "m.csv").write_text(MANIFEST)
+    made = inputs(spark)
+    made.manifest = files.manifest(spark, str(tmp_path / "m.csv"))
+    assert [f.type for f in made.manifest["vehicles"]] == ["string", "int", "string"]
+    made.events = made.events.withColumns({"road_type": F.lit("6"), "longitude": F.lit("-1.25")})
+    extra = {"vehicle_type": F.lit("9"), "age_of_driver": F.when(F.col("vehicle_reference") == "0", "-1").otherwise("44"), "generic_make_model": F.lit("-1"), "collision_year": F.lit("2023"), "collision_ref_no": F.lit("r")}
+    made.vehicles = made.vehicles.withColumns(extra)
+    made.casualties = spark.createDataFrame([(f"c{i}", "0", "1", "3", "1", "x" if i else "30") for i in range(60)], "accident_index string, vehicle_reference string, casualty_reference string, casualty_severity string, sex_of_casualty string, age_of_casualty string")
+    book = [("vehicle_type", "9", "Car", False), ("sex_of_casualty", "1", "Male", False), ("road_type", "1", "Roundabout", False), ("direction_to", "3", "East", False)]
+    made.codebook = made.codebook.union(spark.createDataFrame(book, made.codebook.schema))
+    with pytest.warns(UserWarning, match="events.road_type=61"):
+        t = build.build(spark, made, str(tmp_path / "a"), [2023], ceiling=0.1)
+    v = t["vehicles_labelled"].filter("vehicle_key = 'c1|0'").first()
+    assert (v.vehicle_type_label, v.direction_to_label, v.age_of_driver, v.generic_make_model, v.event_year, v.event_reference) == ("Car", "East", None, "-1", "2023", "r")
+    c = t["casualties_labelled"].filter("casualty_key = 'c0|0|1'").first()
+    assert (c.sex_of_casualty_label, c.age_of_casualty, c.severity) == ("Male", 30, 3)
+    e = t["events"].first()
+    assert (e.road_type, e.longitude, e.gone) == (6, -1.25, None)
+    complete = {(r.tbl, r.col): (r.kind, r.n_missing) for r in t["completeness"].collect()}
+    assert complete["vehicles", "age_of_driver"] == ("numeric", 60) and complete["casualties", "age_of_casualty"] == ("numeric", 59) and complete["events", "gone"] == ("coded", 61)
+    assert {(r.tbl, r.variable): r.n_undecoded for r in t["undecoded"].collect()}["events", "road_type"] == 61
+    assert not list((tmp_path / "a").glob("builds/*/*_labelled"))  # labels are decoded when read, not stored
+    (tmp_path / "m.csv").write_text("table,column,kind,dtype\na,x,coded,\na,X,text,\n")
+    with pytest.raises(ValueError, match="twice"):
+        files.manifest(spark, str(tmp_path / "m.csv"))
+
+
+def test_traffic_counts_keep_every_volume_with_its_text(spark):
+    columns = ["count_point_id", "year", "road_name", "easting", "northing", "link_length_km", "all_motor_vehicles", "pedal_cycles", "LGVs", "region_name"]
+    raw = spark.createDataFrame([("7", "2023", "A1", "1", "2", "1.5", "100", "x", "3", "North"), ("y", "2023", "A1", "1", "2", "", "-4", "", "", None)], ", ".join(f"{c} string" for c in columns))
+    a, b = build.counts_silver(raw).collect()
+    assert (a.count_key, a.count_point_id, a.volume_raw, a.volume, a.volume_valid, a.pedal_cycles_raw, a.pedal_cycles, a.lgvs, a.all_hgvs, a.region_name, a.road_type) == ("7|2023", 7, "100", 100, True, "x", None, 3, None, "North", None)
+    assert (b.count_key, b.count_point_id, b.count_point_id_raw, b.volume, b.volume_valid, b.link_length_km) == ("y|2023", None, "y", -4, False, None)
+
+
+def test_years_before_all_editions_are_warned_of(spark, tmp_path):
+    made = inputs(spark)
+    with pytest.warns(UserWarning, match="boundaries: years from 2009, but the earliest edition begins on 2010-01-01"):
+        build.build(spark, made, str(tmp_path), [2009, 2023], "temporal", ceiling=0.1)
+
+
+def test_registry_of_editions(spark, tmp_path):
+    edition = lambda label, day: {"label": label, "source_file": f"{label}.geojson", "code_col": "CD", "name_col": "NM", "valid_from": day}
+    (tmp_path / "e.json").write_text(json.dumps({"lad": [edition("b", "2021-04-01"), edition("a", "2019-04-01")], "upper": [edition("u", "2020-01-01")]}, indent=1))
+    rows = {(r.source_id, r.label): r.valid_to for r in files.editions(spark, str(tmp_path / "e.json")).collect()}
+    assert rows == {("lad", "a"): date(2021, 4, 1), ("lad", "b"): None, ("upper", "u"): None}
 
 
 def test_build_from_files_stops_at_lost_and_malformed_lines(spark, tmp_path):
@@ -106,7 +246,7 @@ def test_build_stops_at_a_source_nobody_decided_on(spark, tmp_path):
     made.extra = {"signals": spark.range(3)}
     with pytest.raises(audit.CoverageError, match="signals"):
         build.build(spark, made, str(tmp_path / "a"), [2023], ceiling=0.1)
-    assert not (tmp_path / "a" / "build_meta").exists()
+    assert contract.published(spark, str(tmp_path / "a")) == {}
     made.exempt = made.exempt | {"signals": "kept as read"}
     assert build.build(spark, made, str(tmp_path / "b"), [2023], ceiling=0.1)["signals_raw"].count() == 3
 

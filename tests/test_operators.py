@@ -213,3 +213,48 @@ def test_months_merge_whatever_their_time_axis_is_called(spark, tmp_path):
     assert sorted((r.month, r.time_utc.day, r.lon, r.t) for r in got.collect()) == [(1, 9, 1.0, 1.0), (1, 9, 2.0, 2.0), (2, 1, 1.0, 7.0), (2, 1, 2.0, 8.0), (2, 3, 1.0, 5.0), (2, 3, 2.0, 6.0)]
     in_file = spark.read.parquet(str(tmp_path / "grid" / "year=2023" / "month=2")).coalesce(1).collect()
     assert [r.time_utc for r in in_file] == sorted(r.time_utc for r in in_file)
+
+
+def cells_of(spark, month, value):
+    rows = [(500 + k % 7, -10 + k % 5, datetime(2023, month, 1 + k % 28, k % 24), value + k) for k in range(400)]
+    return spark.createDataFrame(rows, "lat_idx int, lon_idx int, datetime_local timestamp_ntz, t double")
+
+
+def test_a_grid_in_buckets_is_not_moved_and_months_replace_their_own(spark, tmp_path):
+    table, path = "grid_of_test", tmp_path / "grid"
+    spark.sql(f"drop table if exists {table}")
+    january, february = cells_of(spark, 1, 0.0), cells_of(spark, 2, 100.0)
+    files.write_grid(january.union(february), table, str(path), 8)
+    kept = {f: f.stat().st_mtime_ns for f in path.glob("year=2023/month=1/*.parquet")}
+    files.write_grid(cells_of(spark, 2, 900.0), table, str(path), 8)
+    assert kept and kept == {f: f.stat().st_mtime_ns for f in path.glob("year=2023/month=1/*.parquet")}
+    grid = spark.table(table)
+    assert grid.count() == 800 and grid.filter("month = 2").agg(F.min("t")).first()[0] == 900.0
+    points = spark.createDataFrame([(k, 50.0 + k % 7 / 10, -1.0 + k % 5 / 10, datetime(2023, 1, 1 + k % 28, k % 24, 31), False) for k in range(60)], "id int, lat double, lon double, datetime_local timestamp_ntz, time_imputed boolean")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stamped = stamps.with_weather(points, grid, ["t"])
+        plain = stamps.with_weather(points, january, ["t"])
+        moved = [line for line in stamped._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in line]
+        assert len(moved) == 1 and "hashpartitioning(_lat" in moved[0]  # the points
+        assert sorted((r.id, r.t) for r in stamped.collect()) == sorted((r.id, r.t) for r in plain.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql(f"drop table {table}")
+
+
+def test_merged_months_leave_others_alone(spark, tmp_path):
+    cube = lambda m, v: spark.createDataFrame([([datetime(2023, m, 3)], [50.0], [1.0], [v])], "times array<timestamp_ntz>, lats array<double>, lons array<double>, t array<double>")
+    path = str(tmp_path / "grid")
+    files.merge_months([cube(1, 1.0), cube(2, 2.0)], ["t"], path)
+    kept = {f: f.stat().st_mtime_ns for f in (tmp_path / "grid").glob("year=2023/month=1/*.parquet")}
+    files.merge_months([cube(2, 5.0)], ["t"], path)
+    assert kept == {f: f.stat().st_mtime_ns for f in (tmp_path / "grid").glob("year=2023/month=1/*.parquet")}
+    assert sorted((r.month, r.t) for r in spark.read.parquet(path).collect()) == [(1, 1.0), (2, 5.0)]
+
+
+def test_a_codebook_without_bound_is_refused(spark):
+    book = spark.range(decode.MOST_CODES + 1).select(F.lit("road").alias("variable"), F.col("id").cast("string").alias("code"), F.lit("x").alias("label"), F.lit(False).alias("is_missing"))
+    with pytest.raises(Exception, match="codebook of more than"):
+        decode.labelled(spark.createDataFrame([(6,)], "road int"), book, ["road"]).collect()
