@@ -231,6 +231,40 @@ def linked_passages(spark, rows):
     return {(r.doc_id, r.other_id) for r in passages.near_passages(docs(spark, rows)).collect()}
 
 
+def changed(rnd, p, n):
+    q = list(p)
+    for _ in range(n):
+        i = rnd.randrange(len(q))
+        q[i : i + rnd.randrange(2)] = [f"other{rnd.randrange(99999)}"] * rnd.randrange(2)  # replaced, put in, left out, or as it was
+    return q
+
+
+def test_recall_of_near_passages_by_length_and_place_of_change(spark):
+    rnd = random.Random(9)
+    new = lambda n: [f"w{rnd.randrange(90000)}" for _ in range(n)]
+    grams = lambda w: {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+    rows, kind = [], {}
+
+    def plant(name, p, q):
+        a, b = grams(p), grams(q)
+        if min(len(p), len(q)) >= 50 and len(a & b) >= 0.75 * len(a | b):
+            kind[len(rows) + 1, len(rows)] = name
+            rows.extend([(len(rows), " ".join(new(40) + p + new(30))), (len(rows) + 1, " ".join(new(25) + q + new(60)))])
+
+    for at in [*range(50)] * 2:
+        p = new(50)
+        plant(f"50 words, word {at // 10 * 10}", p, p[:at] + ["other"] + p[at + 1 :])
+    for n in (50, 60, 100, 300):
+        for changes in (1, 2, 3):
+            for _ in range(25):
+                p = new(n)
+                plant(f"{n} words, {changes} changes", p, changed(rnd, p, changes))
+    got = linked_passages(spark, rows)
+    assert got <= set(kind)
+    planted, found = Counter(kind.values()), Counter(kind[x] for x in got)
+    assert len(planted) >= 15 and all(found[k] >= 0.9 * n for k, n in planted.items())
+
+
 def test_passages_meet_every_earlier_holder(spark):
     rnd = random.Random(21)
     rows, wanted = [], set()

@@ -290,3 +290,26 @@ def test_fingerprint_rate_is_generalised_jaccard(spark):
     n = 300
     row = fingerprint.signatures(pair, ["k"], n).first()
     assert abs(sum(row[f"s{i}"] == row[f"e_s{i}"] for i in range(n)) / n - true) < 0.1
+
+
+def test_pii_of_long_texts_with_many_spans(spark):
+    import time
+
+    call = "phone +44 20 7946 09"
+    texts = ["".join(f"{call}{k % 90 + 10}, word {k} a.b{k}@mail.example.org; " for k in range(n)) for n in (300, 3000, 24_000)]
+    plain = [base_spans(t) for t in texts]
+    rows = docs(spark, list(enumerate(texts)))
+    start = time.perf_counter()
+    got = {r.doc_id: r for r in pii.digest(rows).collect()}
+    assert time.perf_counter() - start < 60  # 48,000 spans in 1.4 million characters
+    for k, spans in enumerate(plain):
+        assert got[k].n_phone == sum(s.startswith("phone") for s in spans) and got[k].n_email == sum(s.startswith("email") for s in spans)
+        assert got[k].base_sha256 == hashlib.sha256(",".join(spans).encode()).hexdigest()
+        assert set(got[k].scores.split(",")) == {"0.9", "0.8"}  # every phone has its word near, no address has
+
+
+def test_context_is_seen_across_the_pages_of_a_text(spark):
+    word = "card 4539 1488 0343 6467"
+    rows = [(k, "é" * (pii.PAGE * 2 - 40 + k) + word) for k in range(60)] + [(100 + k, "é" * (pii.PAGE - 40 + k) + "4539 1488 0343 6467" + "-" * 12 + "visa") for k in range(60)]
+    got = {r.doc_id: r.scores for r in pii.digest(docs(spark, rows)).collect()}
+    assert got == {i: "0.9" for i, _ in rows}
