@@ -2,7 +2,8 @@
 
 Everything is a DataFrame expression. Offsets are code points, ends exclusive. Patterns are written so
 that a long run of one character class costs linear time: possessive repeats, and a match may begin
-inside a run only where the previous match ended.
+inside a run only where the previous match ended. Offsets of many matches are summed up in runs of RUN_SIZE, and
+context words are looked for in a page of the text, so that neither costs the number of matches times the length.
 """
 
 from __future__ import annotations
@@ -44,34 +45,50 @@ BONUS, FORM, WINDOW, THRESHOLD = 0.2, 0.3, 32, 0.5
 Span = "struct<start:int,stop:int,said:string>"
 
 
+#: Matches whose offsets are summed up at a time, and characters of a page.
+RUN_SIZE = 128
+PAGE = 2048
+
+
+def totals(lengths: Column) -> Column:
+    """Sums of all entries before each. An array grows by a copy per entry, so only short ones are made this way."""
+    grown = F.aggregate(lengths, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), lambda a, n: F.struct((a["at"] + n).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")))
+    return grown["out"]
+
+
+def offsets(lengths: Column) -> Column:
+    """totals() of a long array: within runs of RUN_SIZE, then over the runs."""
+    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(lengths), F.lit(1)), F.lit(RUN_SIZE)), lambda i: F.slice(lengths, i, F.lit(RUN_SIZE)))
+    inner = F.transform(runs, lambda run: F.struct(totals(run).alias("own"), F.aggregate(run, F.lit(0), lambda a, n: a + n).alias("all")))
+    both = lambda x: F.zip_with(x, totals(F.transform(x, lambda r: r["all"])), lambda r, base: F.transform(r["own"], lambda n: n + base))
+    return F.flatten(F.element_at(F.transform(F.array(inner), both), 1))  # the runs are made once, not for each mention
+
+
 def found(text: Column, pattern: str) -> Column:
     """All leftmost, non-overlapping matches with their offsets: gaps and matches alternate, so lengths add up."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), F.length)
-    pairs = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"))
-    step = lambda acc, x: F.struct(
-        (acc["at"] + x["gap"] + F.length(x["hit"])).alias("at"),
-        F.concat(
-            acc["out"],
-            F.array(
-                F.struct(
-                    (acc["at"] + x["gap"]).alias("start"),
-                    (acc["at"] + x["gap"] + F.length(x["hit"])).alias("stop"),
-                    x["hit"].alias("said"),
-                )
-            ),
-        ).alias("out"),
-    )
+
+    def spans(x: Column) -> Column:
+        lengths = F.zip_with(F.slice(x["gaps"], F.lit(1), F.size(x["hits"])), x["hits"], lambda gap, hit: gap + F.length(hit))
+        starts = F.zip_with(offsets(lengths), F.slice(x["gaps"], F.lit(1), F.size(x["hits"])), lambda at, gap: at + gap)
+        return F.zip_with(starts, x["hits"], lambda at, hit: F.struct(at.alias("start"), (at + F.length(hit)).alias("stop"), hit.alias("said")))
+
     none = F.array().cast(f"array<{Span}>")
-    return F.when(
-        F.size(hits) > 0,
-        F.aggregate(
-            F.filter(pairs, lambda x: x["hit"].isNotNull()),
-            F.struct(F.lit(0).alias("at"), none.alias("out")),
-            step,
-            lambda acc: acc["out"],
-        ),
-    ).otherwise(none)
+    once = lambda x: F.when(F.size(x["hits"]) > 0, spans(x)).otherwise(none)
+    return F.element_at(F.transform(F.array(F.struct(hits.alias("hits"), gaps.alias("gaps"))), once), 1)
+
+
+def pages(text: Column) -> Column:
+    """The text in pages of PAGE characters, each with WINDOW characters of its neighbours at both ends; the first lacks those before."""
+    first = lambda k: F.greatest(k * PAGE - WINDOW, F.lit(0))
+    return F.transform(F.sequence(F.lit(0), F.floor(F.length(text) / PAGE).cast("int")), lambda k: F.substring(text, first(k) + 1, (k + 1) * PAGE + WINDOW - first(k)))
+
+
+def part(pages_: Column, start: Column, length: Column) -> Column:
+    """`length` characters, WINDOW at most, from `start` on, out of the page in which they begin."""
+    k = F.floor(start / PAGE).cast("int")
+    return F.substring(F.get(pages_, k), start - F.greatest(k * PAGE - WINDOW, F.lit(0)) + 1, length)
 
 
 def digits(said: Column) -> Column:
@@ -127,15 +144,16 @@ def confirmed(kind: str, text: Column) -> Column:
     return F.when(text.rlike(SECRET), found(text, SECRET)).otherwise(none)
 
 
-def scored(kind: str, spans: Column, text: Column) -> Column:
+def scored(kind: str, spans: Column, pages_: Column) -> Column:
     """Adds kind and score: the kind's prior, more if a context word stands within WINDOW characters on either side.
 
     A credential in a published form scores more too; any other run of characters needs a context word.
     """
 
     def one(s: Column) -> Column:
-        before = F.substring(text, F.greatest(s["start"] - WINDOW + 1, F.lit(1)), F.least(s["start"], F.lit(WINDOW)))
-        after = F.substring(text, s["stop"] + 1, F.lit(WINDOW))
+        reach = F.least(s["start"], F.lit(WINDOW))
+        before = part(pages_, s["start"] - reach, reach)
+        after = part(pages_, s["stop"], F.lit(WINDOW))
         near = F.lower(F.concat(before, F.lit("\n"), after))
         score = F.lit(PRIOR[kind]) + F.when(near.rlike(CONTEXT[kind]), BONUS).otherwise(0.0)
         if kind == "secret":
@@ -155,8 +173,13 @@ def pii_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     rows = docs.select(F.col(key).alias("doc_id"), whole(text).alias("body"))
     for kind in BASE_KINDS + ADDED_KINDS:
         rows = rows.withColumn(kind, confirmed(kind, F.col("body")))
-    each = [scored(k, F.col(k), F.col("body")) for k in BASE_KINDS]
-    each += [F.filter(scored(k, F.col(k), F.col("body")), lambda s: s["score"] >= THRESHOLD) for k in ADDED_KINDS]
+    some = F.lit(False)
+    for kind in BASE_KINDS + ADDED_KINDS:
+        some = some | (F.size(kind) > 0)
+    # A generator, so that spans and pages are made once and not for each mention.
+    rows = rows.select("doc_id", F.inline(F.array(F.struct(*BASE_KINDS, *ADDED_KINDS, "body")))).withColumn("pages", F.when(some, pages(F.col("body"))))
+    each = [scored(k, F.col(k), F.col("pages")) for k in BASE_KINDS]
+    each += [F.filter(scored(k, F.col(k), F.col("pages")), lambda s: s["score"] >= THRESHOLD) for k in ADDED_KINDS]
     return rows.select("doc_id", F.concat(*each).alias("spans"))
 
 
