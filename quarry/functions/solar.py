@@ -1,4 +1,7 @@
-"""Solar elevation and azimuth by the equations of the NOAA calculator, as staged columns."""
+"""Solar elevation and azimuth by the equations of the NOAA calculator, as staged columns.
+
+Fixed values: all coefficients below are those that the calculator publishes.
+"""
 
 from __future__ import annotations
 

@@ -15,7 +15,7 @@ from quarry.functions.clean import Field
 from quarry.functions.geo import grid_to_degrees, grid_to_degrees_stages
 from quarry.functions.solar import solar_position
 from quarry.operators import audit, decode, spatial, stamps, vintages
-from quarry.plans import inputs
+from quarry.plans import contract, inputs
 from quarry.plans.inputs import duck, relation
 from quarry.sources import files
 
@@ -152,7 +152,7 @@ def gold_view(spark, sf_dir):
 
 
 @query("""select distinct lower(trim(p_brand)) variable, code, trim(p_type) label, code = '-1' or lower(trim(p_type)) in
-  ('data missing or out of range', 'unknown', 'not known', 'undefined', 'code deprecated') is_missing
+  (""" + ", ".join(f"'{x}'" for x in decode.MISSING_LABELS) + """) is_missing
   from (select p_brand, p_type, case when p_size % 13 = 0 then '-1' when p_size % 11 = 0 then 'n' else cast(p_size as varchar) end code from part) where try_cast(code as integer) is not null""")
 def codebook_from_codelist(spark, sf_dir):
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
@@ -680,15 +680,21 @@ def csv_quarantine(spark, sf_dir):
     return files.united([loaded, bad.select(F.col("raw_text").alias("line"), F.lit(False).alias("loaded"))])
 
 
+def documents_as_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Write the documents as quoted CSV without a header, every eleventh short of a column."""
+    quoted = F.concat(F.lit('"'), F.replace(F.coalesce("text", F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    fields = F.when(F.col("doc_id") % 11 == 0, F.concat_ws(",", "doc_id", quoted)).otherwise(F.concat_ws(",", "doc_id", quoted, F.coalesce("source", F.lit(""))))
+    path = files.scratch(spark, "csv")
+    spark.read.parquet(f"{sf_dir}/documents.parquet").select(fields.alias("value")).write.text(path)
+    return path
+
+
 @query("""with d as (select doc_id, coalesce(text, '') t, coalesce(source, '') s from documents)
   select doc_id::varchar doc_id, doc_id % 11 <> 0 loaded, case when doc_id % 11 <> 0 then s end source, len(t) - len(replace(t, chr(10), '')) n_breaks,
   sha256(case when doc_id % 11 <> 0 then t else doc_id || ',"' || replace(t, '"', '""') || '"' end) text_sha256 from d""")
 def csv_records_of_documents(spark, sf_dir):
     """Documents written as quoted CSV, with their own line ends and quotes, and read back; every eleventh lacks a column and is set apart as it stands."""
-    quoted = F.concat(F.lit('"'), F.replace(F.coalesce("text", F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
-    fields = F.when(F.col("doc_id") % 11 == 0, F.concat_ws(",", "doc_id", quoted)).otherwise(F.concat_ws(",", "doc_id", quoted, F.coalesce("source", F.lit(""))))
-    path = files.scratch(spark, "csv")
-    spark.read.parquet(f"{sf_dir}/documents.parquet").select(fields.alias("value")).write.text(path)
+    path = documents_as_csv(spark, sf_dir)
     good, bad = files.csv_bronze(spark, [path], "documents", multi_line=True, names=["doc_id", "text", "source"])
     breaks = lambda c: (F.length(c) - F.length(F.replace(c, F.lit("\n"), F.lit("")))).cast("long")
     text = F.coalesce("text", F.lit(""))
@@ -719,6 +725,107 @@ def geojson_features_of_vectors(spark, sf_dir):
     return rows.select("area_code", "area_name", F.size(points).cast("long").alias("n_points"), F.round(total).alias("total"))
 
 
+@query("""with d as (select doc_id, length(coalesce(text, '')) n, coalesce(source, '') s from documents), good as (select * from d where doc_id % 11 <> 0),
+  l as (select l.*, l.doc_id in (select doc_id from good) link from labels l)
+  select 'documents' source_id, 'source_rows' what, count(*) n from d union all select 'documents', 'bronze_rows', count(*) from good union all select 'documents', 'quarantine_rows', count(*) from d where doc_id % 11 = 0
+  union all select 'documents', 'ledger:document_short', count(*) from good where n < 400 having count(*) > 0 union all select 'documents', 'rejected:length_valid', count(*) from good where n < 400
+  union all select 'documents', 'ledger:document_first_source', count(*) from good where s = 'src0' having count(*) > 0
+  union all select 'labels', 'source_rows', count(*) from labels union all select 'labels', 'bronze_rows', count(*) from labels union all select 'labels', 'quarantine_rows', 0
+  union all select 'labels', 'rejected:link_valid', count(*) from l where not link union all select 'labels', 'ledger:label_orphan', count(*) from l where not link having count(*) > 0
+  union all select 'labels', 'rejected:toxic_valid', count(*) from l where toxic is null or toxic = 1 union all select 'labels', 'ledger:label_toxic', count(*) from l where toxic is null or toxic = 1 having count(*) > 0
+  union all select 'labels', 'missing:quality', count(*) from l where quality is null union all select 'documents', 'missing:n_chars', 0""")
+def audited_build_of_documents(spark, sf_dir):
+    """A whole build from files: documents read from quoted CSV, with labels as child rows; what its ledger and reports say."""
+    path = documents_as_csv(spark, sf_dir)
+
+    def documents(context):
+        good, bad = files.csv_bronze(spark, [path], "documents", multi_line=True, names=["doc_id", "text", "source"])
+        n = F.length(F.coalesce("text", F.lit("")))
+        silver = lambda b: b.select("doc_id", n.alias("n_chars"), F.coalesce("source", F.lit("")).alias("source"), (n >= 400).alias("length_valid"), F.coalesce(F.col("source") == "src0", F.lit(False)).alias("first_source"))
+        return contract.SourceResult(good, silver, bad, files.csv_source_rows(spark, [path], multi_line=True, header=False), {"n_chars": "numeric"})
+
+    def labels(context):
+        raw = spark.read.parquet(f"{sf_dir}/labels.parquet")
+        text = raw.select(*(F.col(c).cast("string").alias(c) for c in ("doc_id", "quality", "toxic")))
+        toxic = clean.coded("toxic", ["1"])
+        keyed = lambda b: b.select("doc_id", clean.numeric("quality").alias("quality"), F.col("toxic").alias("toxic_raw"), toxic.alias("toxic"), toxic.isNotNull().alias("toxic_valid"))
+        return contract.SourceResult(text, lambda b: stamps.with_link(keyed(b), context.silver("documents"), "doc_id", "doc_id"), cleaned={"quality": "numeric"})
+
+    short = audit.Rule("document_short", "length_valid", "text", "n_chars", "short of 400 characters")
+    web = audit.Rule("document_first_source", "first_source", "source", "source", "of the first source", warn=True)
+    orphan = audit.Rule("label_orphan", "link_valid", "doc_id", "doc_id", "no such document")
+    bad = audit.Rule("label_toxic", "toxic_valid", "toxic", "toxic_raw", "toxic")
+    sources = [
+        contract.Source("documents", documents, audit.SourceSpec("documents", "doc_id", (audit.Dimension("length_valid", ("document_short",), 1.0),), 0.5), (short, web)),
+        contract.Source("labels", labels, audit.SourceSpec("labels", "doc_id", (audit.Dimension("link_valid", ("label_orphan",), 1.0), audit.Dimension("toxic_valid", ("label_toxic",), 1.0))), (orphan, bad), ("documents",)),
+    ]
+    t = contract.run(spark, sources, files.scratch(spark, "build"), {"tables": "documents, labels"})
+    counts = t["ingest_report"].unpivot(["source_id"], ["source_rows", "bronze_rows", "quarantine_rows"], "what", "n")
+    logged = t["data_quality_log"].groupBy("source_id", F.concat(F.lit("ledger:"), "rule_id").alias("what")).agg(F.count("*").alias("n"))
+    rejected = t["reject_report"].select("source_id", F.concat(F.lit("rejected:"), "flag").alias("what"), F.col("n_rejected").alias("n"))
+    missing = t["completeness"].select(F.col("tbl").alias("source_id"), F.concat(F.lit("missing:"), "col").alias("what"), F.col("n_missing").alias("n"))
+    return files.united([counts, logged, rejected, missing])
+
+
+@query("""select month, count(*) n, sum(round(v::double * 1000)::bigint * case when month = 3 then 2 else 1 end)::bigint total, min(day) first_day from (
+  select vec_id % 12 + 1 as month, 1 + vec_id % 28 as day, unnest(embedding) v from embeddings where len(embedding) = 64) group by month""")
+def months_of_vectors(spark, sf_dir):
+    """Vectors as cubes of eight hours, merged into a grid by month; the third month comes again, doubled, and replaces its own."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").filter("size(embedding) = 64")
+    start = F.make_timestamp_ntz(F.lit(2023), (F.col("vec_id") % 12 + 1).cast("int"), (1 + F.col("vec_id") % 28).cast("int"), F.lit(0), F.lit(0), F.lit(0))
+    cubes = vectors.select(
+        F.sequence(start, start + F.expr("interval 7 hours"), F.expr("interval 1 hour")).alias("valid_time"),
+        F.array(F.lit(50.0), F.lit(50.1)).alias("lats"),
+        F.array(*(F.lit(k / 10) for k in range(4))).alias("lons"),
+        F.transform("embedding", lambda x: F.round(x.cast("double") * 1000).cast("long")).alias("v"),
+    )
+    path = files.scratch(spark, "grid")
+    files.merge_months([cubes.withColumnRenamed("valid_time", "times"), cubes.limit(0)], ["v"], path)
+    third = cubes.filter("month(valid_time[0]) = 3").withColumn("v", F.transform("v", lambda x: x * 2))
+    files.merge_months([third], ["v"], path)
+    rows = spark.read.parquet(path).withColumn("month", F.col("month").cast("long"))
+    return rows.groupBy("month").agg(F.count("*").alias("n"), F.sum("v").alias("total"), F.min(F.dayofmonth("time_utc")).cast("long").alias("first_day"))
+
+
+@query("""select lower(trim(p_brand)) variable, cast(p_size as varchar) code, min(trim(p_type)) as "label", p_size % 7 = 0 is_missing from part group by 1, 2, 4""")
+def lookup_of_parts(spark, sf_dir):
+    """A code list written as CSV in order, and loaded again as a lookup: codes as text, is_missing as a boolean, each code once."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    listed = part.groupBy(F.lower(F.trim("p_brand")).alias("variable"), F.col("p_size").cast("string").alias("code"), (F.col("p_size") % 7 == 0).alias("is_missing"))
+    listed = listed.agg(F.min(F.trim("p_type")).alias("label")).select("variable", "code", "label", "is_missing")
+    path = files.scratch(spark, "codes")
+    files.write_sorted_csv(listed, path, ["variable", "code"])
+    return files.lookup(spark, path)
+
+
+@query("""select 'nation-' || c_nationkey source_id, 'segment-' || c_mktsegment rule_id, count(*) + case when c_nationkey % 3 = 0 then 1000 else 0 end n
+  from customer where c_nationkey % 3 = 0 or c_nationkey % 5 <> 0 group by c_nationkey, c_mktsegment""")
+def audit_rows_rewritten(spark, sf_dir):
+    """Shared audit rows of 25 sources, some of which are built again: a third get new rows, a fifth lose theirs, the rest keep what they had."""
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    rows = customer.groupBy("c_nationkey", "c_mktsegment").agg(F.count("*").alias("n"))
+    rows = rows.select("c_nationkey", F.concat(F.lit("nation-"), "c_nationkey").alias("source_id"), F.concat(F.lit("segment-"), "c_mktsegment").alias("rule_id"), "n")
+    path = files.scratch(spark, "audit")
+    files.write_audit(rows.drop("c_nationkey"), path)
+    again = rows.filter("c_nationkey % 3 = 0").withColumn("n", F.col("n") + 1000)
+    files.write_audit(again.drop("c_nationkey"), path, [f"nation-{k}" for k in range(25) if k % 3 == 0 or k % 5 == 0])
+    return spark.read.schema("rule_id string, n long, source_id string").parquet(path).select("source_id", "rule_id", "n")
+
+
+WEATHER_CELLS = f"""cells as (select round(lat * 10)::int ca, round(lon * 10)::int cb, date_trunc('hour', {LONDON.format('time_utc')}) ch, min(tp * 1000) cp from grid group by all)"""
+
+
+@query(with_({"ev": inputs.PLACED_EVENTS, "grid": inputs.GRID}, f""", {SUN_SQL}, {WEATHER_CELLS}
+  select user_id % 10 as grp, count(*) n, round(sum(solar_elevation), 3) elevation_sum from sun join cells on ca = round(lat * 10)::int and cb = round(lon * 10)::int and ch = date_trunc('hour', {LONDON.format('ts')})
+  where cp < 60 and solar_elevation between 0 and 15 and solar_azimuth between 45 and 135 group by 1""").replace("\n,", ",", 1))
+def low_eastern_sun_in_dry_weather(spark, sf_dir):
+    """Events under a low sun in the east while the weather grid says that little rain fell, by group of users."""
+    grid = relation(spark, sf_dir, inputs.GRID).select(clean.grid_index("lat").alias("lat_idx"), clean.grid_index("lon").alias("lon_idx"), to_local("time_utc").alias("datetime_local"), clean.measured("tp", scale=1000.0).alias("precipitation_mm"))
+    low = sun(spark, sf_dir).filter(F.col("solar_elevation").between(0, 15) & F.col("solar_azimuth").between(45, 135)).withColumn("datetime_local", to_local("ts"))
+    dry = stamps.with_weather(low, grid, ["precipitation_mm"]).filter("precipitation_mm < 60")
+    return dry.groupBy((F.col("user_id") % 10).alias("grp")).agg(F.count("*").alias("n"), F.round(F.sum("solar_elevation"), 3).alias("elevation_sum"))
+
+
 @query("""select '0.1.0' "version", 1 schema_version, '{"mode": "snapshot", "years": [1995, 2001]}' parameters, count(*) n_orders from orders""")
 def provenance_row(spark, sf_dir):
     """Versions and parameters, with the number of rows they stand for; all but the time of the build."""
