@@ -322,7 +322,8 @@ def sample(docs: DataFrame, labels: DataFrame, labelled: int):
     ids = docs.select("doc_id").distinct()
     mark = F.xxhash64("doc_id", F.lit("sample"))
     known = ids.join(judged, "doc_id").select("doc_id", good.cast("int").alias("label")).orderBy(mark, "doc_id").limit(labelled)
-    rows = docs.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"])
+    one = F.min(F.struct("text", "source", "lang", "n_chars")).alias("row")  # of rows that repeat a doc_id the first in order
+    rows = docs.join(F.broadcast(known), "doc_id").groupBy("doc_id", "label").agg(one).select("doc_id", "label", "row.*")
     others = docs.withColumn("label", F.lit(-1)).select("doc_id", "label", "text", "source", "lang", "n_chars")
     type_ = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {type_}, label int, text binary, meta binary"
@@ -354,8 +355,8 @@ def classified(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) ->
     Good documents are those labelled of quality 1 and not toxic. Null text, source and language count as
     empty, a null length as that of the text. Labels of documents that are not there, or without a quality,
     count for nothing; of several labels of one document the worse holds. Without labels of both classes
-    everything is kept with score 1. Repeated rows are scored again, and without a label take part again; an empty
-    table gives an empty result.
+    everything is kept with score 1. Repeated rows are scored again, and without a label take part again; of those with one
+    the first in order of text, source, lang and n_chars is learnt from. An empty table gives an empty result.
     Only doc_id, text, source, lang and n_chars are read.
     """
     docs = docs.select("doc_id", "text", "source", "lang", F.col("n_chars").cast("long").alias("n_chars"))

@@ -142,18 +142,23 @@ def lookup(rows: DataFrame, key: str, cascade: Cascade) -> DataFrame:
     return keyed.withColumn("listed", is_listed(F.col(key), cascade, [F.col(x) for x in levels])).drop("seg", *levels)
 
 
-def judged(pages: DataFrame, listed_words=LISTED_WORDS, rules=RULES) -> DataFrame:
+def judged(pages: DataFrame, listed_words=LISTED_WORDS, rules=RULES, listed: DataFrame | None = None) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict.
 
-    The universe is every host of the table; listed are hosts that hold one of the words. The rule decides
-    where one fits, the cascade elsewhere. A null url, or one without `://`, has empty host and path and is
+    The universe is every host of the table; listed are hosts that hold one of the words, and those of the column `host` of
+    `listed`, a table of any size in which nulls and repeats count for nothing and A-Z are as a-z. The list meets the distinct hosts once, when the
+    filter is built; pages are judged by its bits. The rule decides where one fits, the cascade elsewhere. A null url, or one without `://`, has empty host and path and is
     judged like any key; repeated rows are judged again; an empty table gives none. Only page_id and url are read.
     """
     host, path = split_url()
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
     marked = reduce(lambda a, b: a | b, (F.contains(F.col("key"), F.lit(w)) for w in listed_words))
-    universe = rows.select(F.col("host").alias("key")).distinct().select("key", marked.alias("listed"))
-    cascade = build(universe)
+    hosts = rows.select(F.col("host").alias("key")).distinct()
+    if listed is not None:
+        named = listed.select(F.translate("host", UPPER, LOWER).alias("key")).filter("key is not null").distinct().withColumn("named", F.lit(True))
+        hosts = hosts.join(named, "key", "left")
+        marked = marked | F.coalesce("named", F.lit(False))
+    cascade = build(hosts.select("key", marked.alias("listed")))
     rule, verdict = ruled(F.col("host"), F.col("path"), rules)
     said = F.coalesce(verdict, F.when(F.col("listed"), "block").otherwise("allow"))
     return lookup(rows, "host", cascade).select("page_id", "host", "path", rule.alias("rule"), said.alias("verdict"))

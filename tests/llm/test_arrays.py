@@ -324,7 +324,25 @@ def test_cartesian_windows():
         assert doc[a] == doc[b] == doc[m] and value[a : b + 1].min() == value[m]
 
 
-def test_classifier_on_held_out_labels(spark):
+def test_classifier_on_labels_it_has_not_seen(spark):
+    sf = DATA.replace("sf0.001", "sf0.1")
+    labels = table(spark, sf, "labels")
+    seen = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    scored = cotraining.classified(table(spark, sf, "documents"), labels.filter(seen))
+    unseen = scored.join(labels.filter(~seen), "doc_id").toPandas()
+    good = (unseen.quality == 1) & (unseen.toxic == 0)
+    assert len(unseen) > 1500 and unseen.kept[good].mean() > 0.97 and unseen.kept[~good].mean() < 0.35
+
+
+def test_classifier_learns_the_same_whatever_the_order_of_repeated_rows(spark):
+    rnd = random.Random(12)
+    rows = [(k % 60, " ".join(rnd.choices(["fine", "words", "here"] if k % 2 else ["BUY!", "NOW!", "$$$"], k=20))) for k in range(180)]
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(60)], "doc_id long, quality int, toxic int")
+    parts = [cotraining.sample(docs(spark, r).repartition(n), labels, 100) for r, n in ((rows, 1), (rows[::-1], 5))]
+    assert (parts[0][0].feature == parts[1][0].feature).all() and (parts[0][1].rows == parts[1][1].rows).all()
+
+
+def test_classifier_on_its_own_labels(spark):
     sf = DATA.replace("sf0.001", "sf0.01")
     scored = cotraining.classified(table(spark, sf, "documents"), table(spark, sf, "labels")).toPandas()
     truth = table(spark, sf, "labels").toPandas()

@@ -313,3 +313,13 @@ def test_context_is_seen_across_the_pages_of_a_text(spark):
     rows = [(k, "é" * (pii.PAGE * 2 - 40 + k) + word) for k in range(60)] + [(100 + k, "é" * (pii.PAGE - 40 + k) + "4539 1488 0343 6467" + "-" * 12 + "visa") for k in range(60)]
     got = {r.doc_id: r.scores for r in pii.digest(docs(spark, rows)).collect()}
     assert got == {i: "0.9" for i, _ in rows}
+
+
+def test_url_list_as_a_table(spark):
+    rnd = random.Random(8)
+    hosts = [f"h{rnd.randrange(10**9)}.org" for _ in range(3000)] + ["spam.org", ""]
+    pages = spark.createDataFrame([(k, f"http://{h}/a" if h else None, "x") for k, h in enumerate(hosts)], "page_id long, url string, host string")
+    chosen = rnd.sample(hosts[:3000], 700)
+    listed = spark.createDataFrame([(h.upper(), 1) for h in [*chosen, *chosen[:50], "not.met.org"]] + [(None, 1)], "host string, key int")
+    got = {r.host: r.verdict for r in url_filter.judged(pages, listed=listed).collect()}
+    assert got == {h: "block" if h in {*chosen, "spam.org"} else "allow" for h in hosts}
