@@ -25,7 +25,8 @@ from quarry.llm.wordscan import NON_WORDS, Words, batches, byte_table, texts_of
 
 WINDOW = 13
 BLOCK = 8
-TABLE_BITS = 20
+#: Slots of a shift table: twice the blocks of its patterns or more, so that most slots keep the full shift, between these powers of two.
+TABLE_BITS = (16, 25)
 LANE = 2048
 PATTERN_BYTES = 32 << 20
 TABLE = byte_table(NON_WORDS)
@@ -50,9 +51,10 @@ class Band:
     def __init__(self, patterns: list[bytes]):
         self.least = min(map(len, patterns))
         self.block = 8 if self.least >= 16 else 4 if self.least >= 8 else 2
-        self.bits = np.uint64(64 - TABLE_BITS)
         top = self.least - self.block + 1
-        self.shift = np.full(1 << TABLE_BITS, top, dtype=np.int16 if top < 32000 else np.int32)
+        bits = min(max((2 * top * len(patterns) - 1).bit_length(), TABLE_BITS[0]), TABLE_BITS[1])
+        self.bits = np.uint64(64 - bits)
+        self.shift = np.full(1 << bits, top, dtype=np.int16 if top < 32000 else np.int32)
         self.patterns = patterns
         heads = np.frombuffer(b"".join(p[: self.least] for p in patterns), dtype=np.uint8).reshape(-1, self.least)
         for at in range(top):

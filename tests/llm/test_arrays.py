@@ -97,6 +97,21 @@ def test_substrings_of_nothing_and_of_repeated_rows(spark):
     assert [r.n_removed for r in substring.deduplicated(docs(spark, [(1, "q" * 80), (1, "q" * 80)])).collect()] == [0, 0]
 
 
+@pytest.mark.parametrize("n", [20, 2_000, 60_000])
+def test_shift_tables_grow_with_their_patterns(n):
+    rnd = random.Random(n)
+    patterns = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz ", k=70)).encode() for _ in range(n)]
+    band = decontaminate.Band(patterns)
+    text = np.frombuffer("".join(rnd.choices("abcdefghijklmnopqrstuvwxyz ", k=200_000)).encode(), np.uint8)
+    moves = band.shift[band.slot(decontaminate.block_words(text, band.block))]
+    assert moves.mean() > 0.6 * (band.least - band.block + 1)  # most places are skipped, however many patterns there are
+    planted = text.copy()
+    for k, at in enumerate(range(50, 150_000, 9_000)):
+        planted[at : at + 70] = np.frombuffer(patterns[k % n], np.uint8)
+    found = {(int(s), int(p)) for starts, which in band.search(planted) for s, p in zip(starts, which)}
+    assert found == {(at, k % n) for k, at in enumerate(range(50, 150_000, 9_000))}
+
+
 def brute_contamination(rows, items):
     split = lambda s: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", ascii_lower(s or ""))
     windows = {}
