@@ -567,22 +567,18 @@ def exposure_rate(spark, sf_dir):
 
 
 @query(sun_sql(""", v as (select *, 1 + user_id % 8 code from sun), d as (select s.event_id, o.event_id other_id, round(180 - abs(abs(s.solar_azimuth - (o.code * 45) % 360) - 180), 3) off_axis,
-  round(s.solar_elevation, 3) elevation from sun s join v o on s.user_id = o.user_id and s.event_id <> o.event_id where s.solar_elevation between 0 and 10 and o.event_id % 4 = 0)
+  round(s.solar_elevation, 3) elevation from sun s join v o on s.user_id = o.user_id and s.event_id <> o.event_id where s.solar_elevation between 0 and 10)
   select * from d where off_axis <= 30 order by off_axis, event_id, other_id limit 200"""))
 def glare_pairs(spark, sf_dir):
-    """Low sun within 30 degrees of another event's heading; the 200 closest."""
-    low = sun(spark, sf_dir).filter(F.col("solar_elevation").between(0, 10)).select("event_id", "user_id", "solar_azimuth", "solar_elevation")
-    heading = relation(spark, sf_dir, inputs.PLACED_EVENTS).filter("event_id % 4 = 0").select(F.col("event_id").alias("other_id"), "user_id", clean.bearing(1 + F.col("user_id") % 8).alias("heading"))
-    pairs = low.join(heading, "user_id").filter("event_id <> other_id")
-    off = F.round(clean.angle_between(F.col("solar_azimuth"), F.col("heading")), 3)
-    return pairs.select("event_id", "other_id", off.alias("off_axis"), F.round("solar_elevation", 3).alias("elevation")).filter("off_axis <= 30").orderBy("off_axis", "event_id", "other_id").limit(200)
+    """Low sun within 30 degrees of another event's heading; the 200 closest of all."""
+    return glare_pairs_of_all_events(spark, sf_dir)
 
 
 @query(sun_sql(""", v as (select *, 1 + user_id % 8 code from sun), d as (select s.event_id, o.event_id other_id, round(180 - abs(abs(s.solar_azimuth - (o.code * 45) % 360) - 180), 3) off_axis,
   round(s.solar_elevation, 3) elevation from sun s join v o on s.user_id = o.user_id and s.event_id <> o.event_id where s.solar_elevation between 0 and 10)
   select * from d where off_axis <= 30 order by off_axis, event_id, other_id limit 200"""))
 def glare_pairs_of_all_events(spark, sf_dir):
-    """As glare_pairs, over the headings of all events.
+    """Low sun within 30 degrees of another event's heading, over the headings of all events; the 200 closest.
 
     A heading is that of the user, so the 200 closest pairs are among those of the 200 closest events that have
     another event of their user; only these are joined.
