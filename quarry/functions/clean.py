@@ -135,6 +135,15 @@ def count_field(c: str | Column, name: str) -> list[Column]:
     return [col(c).alias(f"{name}_raw"), value.alias(name), F.coalesce(value >= 0, F.lit(False)).alias(f"{name}_valid")]
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows, with every column made once: a filter on a derived flag looks at the flag and does not repeat what made it.
+
+    For derived columns that are filtered before they are written. Repeated expressions grow methods beyond what the JVM compiles.
+    Not for tables that are read, whose filters should reach the scan.
+    """
+    return df.select(F.inline(F.array(F.struct(*(F.col(f"`{c}`") for c in df.columns)))))
+
+
 def gold(df: DataFrame, flags: Sequence[str]) -> DataFrame:
     """Rows of which all flags are TRUE; a null flag leaves the row out, no flags keep all."""
     return df.filter(reduce(lambda a, b: a & b, (F.col(f) for f in flags), F.lit(True)))

@@ -50,7 +50,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders cleaned like events with a place, a time and a code."""
-    return raw_orders(spark, sf_dir).withColumnRenamed("prio_raw", "prio").transform(_silver)
+    return clean.settled(raw_orders(spark, sf_dir).withColumnRenamed("prio_raw", "prio").transform(_silver))
 
 
 def _silver(raw: DataFrame) -> DataFrame:
