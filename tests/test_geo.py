@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quarry.functions.civil_time import epoch_seconds
 from quarry.functions.geo import degrees_to_grid, edges_of, grid_to_degrees
 from quarry.functions.solar import solar_position
-from quarry.operators import spatial, vintages
+from quarry.operators import shapes, spatial, vintages
 
 POLYGON = "array<array<array<struct<x: double, y: double>>>>"
 AREA = f"area_code string, valid_from date, valid_to date, polygons {POLYGON}"
@@ -126,6 +126,27 @@ def test_a_long_ring_is_judged_without_comparing_all_its_sides(spark):
     assert {r.area_code: r.geom_faults for r in spatial.boundary_validity(spark.createDataFrame(rows, AREA)).collect()} == {"good": [], "bent": ["crossing"]}
 
 
+def test_shapes_within_their_rows_are_judged_like_by_joins(spark):
+    rnd = random.Random(31)
+
+    def ring(n, far):
+        x, y = rnd.randrange(8), rnd.randrange(8)
+        points = [(float(x + rnd.randrange(-far, far + 1)), float(y + rnd.randrange(-far, far + 1))) for _ in range(n)]
+        return [*points, points[0]] if rnd.random() < 0.9 else points
+
+    rows = [(k, None, None, shape) for k, (shape, _) in SHAPES.items()]
+    rows += [(f"random {k}", None, None, [[ring(rnd.randrange(2, 7), rnd.choice((1, 4))) for _ in range(rnd.randrange(1, 4))] for _ in range(rnd.randrange(1, 3))]) for k in range(300)]
+    rows += [(f"squares {k}", None, None, [[square(rnd.randrange(6), rnd.randrange(6), rnd.randrange(1, 7)) for _ in range(rnd.randrange(1, 4))] for _ in range(rnd.randrange(1, 4))]) for k in range(300)]
+    rows += [("flat", None, None, [[[(0.0, 1.0), (4.0, 1.0), (8.0, 1.0), (0.0, 1.0)], [(1.0, 1.0), (2.0, 1.0), (3.0, 1.0), (1.0, 1.0)]]])]
+    df = spark.createDataFrame(rows, AREA)
+    got, joined, both = ({r.area_code: r.geom_faults for r in shapes.with_validity(df, "area_code", few=n).collect()} for n in (shapes.FEW, 0, 12))
+    assert got == joined == both and len(got) == len(rows)
+    assert len({tuple(f) for f in got.values()}) >= 8
+    few = df.select("area_code", shapes.sound_rings(F.col("polygons")).alias("_sound"))
+    plan = shapes.faults_of_few(few)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan  # nothing is dealt out
+
+
 def random_areas(spark, rnd, n=40):
     rows = []
     for k in range(n):
