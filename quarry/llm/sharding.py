@@ -61,19 +61,17 @@ def smallest(edges, atomic, largest, shards: int) -> tuple[int, int]:
 
 
 def ranged(groups: DataFrame, ranges: list[tuple[int, int, int]]) -> list:
-    """Sums over parts of hash ranges (first, last, width); at most one row per part."""
+    """Sums over parts of hash ranges (first, last, width), in order; at most one row per part.
+
+    The few rows are sorted here: an ORDER BY would sample and deal them out once more in every pass.
+    """
     pieces = [
         F.when(F.col("h").between(lo, hi), F.concat_ws(":", F.lit(str(k)), F.floor((F.col("h").cast("decimal(38,0)") - F.lit(lo).cast("decimal(38,0)")) / F.lit(w).cast("decimal(38,0)")).cast("string")))
         for k, (lo, hi, w) in enumerate(ranges)
     ]
-    return (
-        groups.withColumn("node", F.coalesce(*pieces))
-        .filter("node is not null")
-        .groupBy("node")
-        .agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.sum("bytes").alias("bytes"), F.max("bytes").alias("largest"), F.count("*").alias("n"))
-        .orderBy("lo")
-        .collect()
-    )
+    found = groups.withColumn("node", F.coalesce(*pieces)).filter("node is not null").groupBy("node")
+    found = found.agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.sum("bytes").alias("bytes"), F.max("bytes").alias("largest"), F.count("*").alias("n"))
+    return sorted(found.collect(), key=lambda r: r.lo)
 
 
 def merged(parts: list[tuple], reach: set[int], split: set[int], finer: list[tuple]) -> list[tuple]:

@@ -219,6 +219,16 @@ def test_sums_that_reach_the_driver_are_bounded(spark, monkeypatch):
     assert max(len(s) for s in seen[1:]) <= 80 and len(seen) > 2
 
 
+def test_a_pass_over_hash_ranges_deals_its_sums_out_once(spark):
+    groups = spark.range(3000).select(F.xxhash64("id").alias("h"), F.lit(1).cast("long").alias("bytes"))
+    spark.sparkContext.setJobGroup("ranged", "one pass")
+    got = sharding.ranged(groups, [(sharding.LOW, -1, 1 << 58), (0, sharding.HIGH, 1 << 58)])
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("ranged")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 2 and sum(r.n for r in got) == 3000  # the exchange and what is collected
+    assert [r.lo for r in got] == sorted(r.lo for r in got) and len(got) == 64
+
+
 def test_shards(spark):
     rows = [(i, None if i % 7 == 0 else f"é{i % 90}" * (i % 13)) for i in range(500)] + [(3, "é3" * 3)]
     got = sharding.sharded(docs(spark, rows)).collect()
