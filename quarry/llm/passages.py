@@ -7,9 +7,9 @@ length give compact windows (first, minimum, last): all sequences that begin in
 
 1. A census tells which tokens other documents have too. Only stretches of which 27 of 46 tokens in a row are
    such can hold a passage; windows are made of these. Of equal texts one stands for all.
-2. Windows of one min-hash are joined with those of a representative: a hot min-hash costs a row per document, not
-   a pair of rows per pair. What no passage covers then meets more representatives, by stages, and in the end every
-   earlier document that holds its min-hash and is not of its class yet.
+2. A stretch whose tokens in common stand word for word in an earlier document is a copy: it gives one link, at a
+   similarity of 1, and the earlier stretch stands for it. All other windows of one min-hash are joined, every document
+   with every earlier one.
 3. Per pair of documents the aligned windows are joined as intervals: where NEED functions or more cover a
    stretch of the least length, it is a candidate passage.
 4. A candidate stays if the shingle sets of both sides have a Jaccard of 0.75 or more. Shingles are compared by
@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.census import Ledger, blocks_of, census, ordered, picked
-from quarry.llm.components import components
 from quarry.llm.ngram_join import SIZE, TABLE
 from quarry.llm.storage import removed, saved
 from quarry.llm.substring import window_minimum
@@ -35,7 +34,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 LEAST = WORDS - SIZE + 1
 FUNCTIONS = 6
 NEED = 3
-LEADS = (1, 8, 64)  # representatives of a min-hash in each round
 SIMILARITY = 0.75
 DENSE = 27
 MARGIN = LEAST // 4
@@ -134,15 +132,17 @@ def sections(shared: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def all_windows(value: np.ndarray, doc: np.ndarray, begin: np.ndarray, shared: np.ndarray):
-    """Keys, texts and packed windows of all functions, of the stretches that can hold a passage.
+    """Keys, texts, packed windows and stretches of all functions, and first and last common token of the stretches that can hold a passage.
 
     Tokens that no other document has are larger than all others: without them two passages are never less alike.
     """
     start, stop = sections(shared, doc)
+    at = np.flatnonzero(shared)
+    core = at[np.searchsorted(at, start)] if len(start) else start, at[np.searchsorted(at, stop) - 1] + 1 if len(start) else stop
     sizes = stop - start
     at = np.arange(sizes.sum()) + np.repeat(start - (np.cumsum(sizes) - sizes), sizes)
     frame = Frame(np.repeat(np.arange(len(sizes)), sizes))
-    keys, docs, packed = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    keys, docs, packed, within = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for f in range(FUNCTIONS):
         h = mix(value[at] ^ mix(np.full(1, f + 1, np.uint64)))
         h[~shared[at]] = np.uint64(MOST)
@@ -152,7 +152,21 @@ def all_windows(value: np.ndarray, doc: np.ndarray, begin: np.ndarray, shared: n
         keys.append(mix(h[c] + np.uint64(f)))
         docs.append(own)
         packed.append((f << 59) | ((at[c] - begin[own]) << 28) | ((c - a) << 14) | (b - c))
-    return np.concatenate(keys), np.concatenate(docs), np.concatenate(packed)
+        within.append(frame.doc[c])
+    return *map(np.concatenate, (keys, docs, packed, within)), core
+
+
+def contents(value: np.ndarray, begin: np.ndarray, doc: np.ndarray, core: tuple) -> np.ndarray:
+    """What the cores of stretches hold, by 64 bits: their tokens in order, and how much text is left around, as far as passages reach."""
+    start, stop = core
+    total = np.zeros(len(start), np.uint64)
+    sizes = stop - start
+    at = np.arange(sizes.sum()) + np.repeat(start - (np.cumsum(sizes) - sizes), sizes)
+    if len(at):
+        placed = mix(value[at] + mix((at - np.repeat(start, sizes)).astype(np.uint64)))
+        total = np.add.reduceat(placed, np.cumsum(sizes) - sizes)
+    room = [np.minimum(x, LEAST).astype(np.uint64) for x in (start - begin[doc], begin[doc + 1] - stop)]
+    return mix(total + mix(sizes.astype(np.uint64) * np.uint64(1 << 16) + room[0] * np.uint64(1 << 8) + room[1]))
 
 
 def unpacked(w: np.ndarray):
@@ -179,7 +193,7 @@ def spaced(keys: np.ndarray, doc: np.ndarray, place: np.ndarray, value: np.ndarr
     return ~run | (slot != np.concatenate([[0], slot[:-1]]))
 
 
-CANDIDATES = "doc_id long, keys array<long>, windows array<long>, tokens binary"
+CANDIDATES = "doc_id long, keys array<long>, windows array<long>, parts array<int>, cores array<struct<start: long, n: long, content: long>>, tokens binary"
 
 
 def shared_windows(table, answer, buckets: int):
@@ -190,10 +204,14 @@ def shared_windows(table, answer, buckets: int):
     value, of = tokens(texts)
     begin = np.searchsorted(of, np.arange(len(texts) + 1))
     shared = Ledger(value, of, buckets).told(answer) >= 2
-    keys, doc, packed = all_windows(value, of, begin, shared)
-    order = np.lexsort((packed, keys, doc))
+    keys, doc, packed, within, core = all_windows(value, of, begin, shared)
+    holder = of[core[0]]
+    content = contents(value, begin, holder, core).view(np.int64)
+    cores = [(core[0] - begin[holder]).tolist(), (core[1] - core[0]).tolist(), content.tolist()]
+    first = np.searchsorted(holder, np.arange(len(texts) + 1))
+    order = np.lexsort((within, packed, keys, doc))
     # where stretches were cut a window may come twice
-    same = (packed[order][1:] == packed[order][:-1]) & (doc[order][1:] == doc[order][:-1])
+    same = (packed[order][1:] == packed[order][:-1]) & (doc[order][1:] == doc[order][:-1]) & (within[order][1:] == within[order][:-1])
     order = order[np.concatenate([[True], ~same])] if len(order) else order
     order = order[spaced(keys[order], doc[order], begin[doc[order]] + unpacked(packed[order])[1], value)]
     cuts = np.searchsorted(doc[order], np.arange(len(texts) + 1))
@@ -201,9 +219,12 @@ def shared_windows(table, answer, buckets: int):
     for i in np.flatnonzero(np.diff(cuts)).tolist():
         own = order[cuts[i] : cuts[i + 1]]
         own_tokens = (value[begin[i] : begin[i + 1]] >> np.uint64(32)).astype(np.uint32)
-        out.append((int(ids[i]), keys[own].view(np.int64), packed[own], own_tokens.tobytes()))
-    types = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
-    return pa.table({n: pa.array([r[k] for r in out], t) for k, (n, t) in enumerate(zip(("doc_id", "keys", "windows", "tokens"), types))})
+        own_cores = [dict(zip(("start", "n", "content"), x)) for x in zip(*(c[first[i] : first[i + 1]] for c in cores))]
+        out.append((int(ids[i]), keys[own].view(np.int64), packed[own], (within[own] - first[i]).astype(np.int32), own_cores, own_tokens.tobytes()))
+    core_type = pa.struct([(n, pa.int64()) for n in ("start", "n", "content")])
+    types = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(core_type), pa.binary())
+    names = ("doc_id", "keys", "windows", "parts", "cores", "tokens")
+    return pa.table({n: pa.array([r[k] for r in out], t) for k, (n, t) in enumerate(zip(names, types))})
 
 
 def stretches(mine, theirs) -> list[tuple]:
@@ -322,22 +343,6 @@ def verified_pairs(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return both.select("doc_id", "other_id", "start", "other_start", "x", "y").mapInArrow(verify, RESULT)
 
 
-def passages_with(each: DataFrame, own: DataFrame, lead: DataFrame, found: DataFrame) -> DataFrame:
-    """Passages of the documents of `own` with the representative of each min-hash."""
-    theirs = each.select("key", F.col("doc_id").alias("other_id"), F.col("win").alias("other"))
-    pairs = own.join(lead, "key").filter("doc_id > other_id").join(theirs, ["key", "other_id"])
-    pairs = pairs.groupBy("doc_id", "other_id").agg(F.collect_list(F.struct("win", "other")).alias("pairs")).filter(F.size("pairs") >= NEED)
-    return verified_pairs(pairs, found)
-
-
-def uncovered(each: DataFrame, passages: DataFrame) -> DataFrame:
-    """Windows whose minimum lies more than MARGIN away from every passage found so far."""
-    place = F.expr("shiftright(win, 28) & 2147483647")
-    ranges = passages.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n_words")).alias("ranges"))
-    within = F.exists("ranges", lambda r: (place >= r["start"] - MARGIN) & (place <= r["start"] + r["n_words"] - SIZE + MARGIN))
-    return each.join(ranges, "doc_id", "left").filter(~F.coalesce(within, F.lit(False))).select("doc_id", "key", "win")
-
-
 def meeting(tables):
     """Pairs of windows of one min-hash, for pairs of documents that have enough of them."""
     for batch in tables:
@@ -358,31 +363,30 @@ def meeting(tables):
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(others, pa.int64()), lists], ["doc_id", "other_id", "pairs"])
 
 
-def residual(each: DataFrame, own: DataFrame, passages: DataFrame, found: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
-    """Passages of uncovered windows with every earlier document that holds their min-hash, and tables to remove.
+def copies_of(found: DataFrame) -> DataFrame:
+    """(doc_id, part, start, n, other_id, other_start, n): stretches that stand word for word in an earlier place, with the first such place.
 
-    Documents that passages join already, directly or by others, are of one class and need no further pair.
+    Cores shorter than a passage are none: what lies around them decides whether they are part of one.
     """
-    label = components(passages.select("doc_id", "other_id"), "doc_id", "other_id")
-    of = lambda rows, key, name: rows.join(label.select(F.col("node").alias(key), F.col("component").alias(name)), key, "left").withColumn(name, F.coalesce(name, key))
-    mine = of(own.select("doc_id", "key", F.expr("shiftright(win, 59)").alias("f")).distinct(), "doc_id", "class")
-    holders = of(each.select("key", F.col("doc_id").alias("other_id")).distinct(), "other_id", "other_class")
-    pairs = mine.join(holders, "key").filter("doc_id > other_id and class <> other_class").groupBy("doc_id", "other_id")
+    cores = found.select("doc_id", F.posexplode("cores").alias("part", "core")).select("doc_id", "part", "core.*").filter(F.col("n") >= LEAST)
+    first = cores.groupBy("content", "n").agg(F.min(F.struct("doc_id", "start")).alias("f"))
+    met = cores.join(first, ["content", "n"]).filter(F.struct("doc_id", "start") > F.col("f"))
+    return met.select("doc_id", "part", "start", "n", F.col("f.doc_id").alias("other_id"), F.col("f.start").alias("other_start"))
+
+
+def pairs_met(found: DataFrame, copies: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Passages of every two documents that hold enough min-hashes in common, without stretches that are copies; and tables to remove."""
+    left = F.collect_set("part").alias("copied")
+    kept = found.join(copies.groupBy("doc_id").agg(left), "doc_id", "left")
+    x = F.filter(F.arrays_zip("keys", "windows", "parts"), lambda w: ~F.coalesce(F.array_contains("copied", w["parts"]), F.lit(False)))
+    kept = saved(kept.select("doc_id", x.alias("x")).filter(F.size("x") > 0).select("doc_id", F.col("x.keys").alias("keys"), F.col("x.windows").alias("windows")), "sides")
+    each = kept.select("doc_id", F.explode(F.arrays_zip("keys", "windows")).alias("x")).select("doc_id", F.col("x.keys").alias("key"), F.expr("shiftright(x.windows, 59)").alias("f")).distinct()
+    pairs = each.join(each.select("key", F.col("doc_id").alias("other_id")), "key").filter("doc_id > other_id").groupBy("doc_id", "other_id")
     pairs = pairs.agg(F.expr("bit_count(bit_or(shiftleft(1, int(f))))").alias("n"))
-    pairs = saved(pairs.filter(F.col("n") >= NEED).select("doc_id", "other_id"), "untried")
-    sides = own.groupBy("doc_id").agg(F.collect_list(F.struct("key", "win")).alias("x")).select("doc_id", F.col("x.key").alias("keys"), F.col("x.win").alias("windows"))
-    others = found.select(F.col("doc_id").alias("other_id"), F.col("keys").alias("other_keys"), F.col("windows").alias("other_windows"))
-    met = pairs.join(sides, "doc_id").join(others, "other_id").mapInArrow(meeting, "doc_id long, other_id long, pairs array<struct<win: long, other: long>>")
-    return verified_pairs(met, found), [pairs, label]
-
-
-def widest(passages: DataFrame, more: DataFrame) -> DataFrame:
-    """Both, without passages that lie within one of `more` of the same two documents."""
-    a, b = passages.alias("a"), more.alias("b")
-    within = (F.col("a.doc_id") == F.col("b.doc_id")) & (F.col("a.other_id") == F.col("b.other_id"))
-    for start, n in (("start", "n_words"), ("other_start", "other_n_words")):
-        within &= (F.col(f"b.{start}") <= F.col(f"a.{start}")) & (F.col(f"b.{start}") + F.col(f"b.{n}") >= F.col(f"a.{start}") + F.col(f"a.{n}"))
-    return a.join(b, within, "left_anti").unionByName(more).distinct()
+    pairs = saved(pairs.filter(F.col("n") >= NEED).select("doc_id", "other_id"), "pairs")
+    others = kept.select(F.col("doc_id").alias("other_id"), F.col("keys").alias("other_keys"), F.col("windows").alias("other_windows"))
+    met = pairs.join(kept, "doc_id").join(others, "other_id").mapInArrow(meeting, "doc_id long, other_id long, pairs array<struct<win: long, other: long>>")
+    return verified_pairs(met, found).distinct(), [pairs, kept]
 
 
 def near_passages(docs: DataFrame) -> DataFrame:
@@ -390,10 +394,9 @@ def near_passages(docs: DataFrame) -> DataFrame:
 
     doc_id, other_id (a smaller doc_id), start and n_words of the passage in either, counted in words, and the Jaccard
     of their shingles. A document without such a passage gives no row; a text that equals an earlier one, word
-    limits included, gives one row for the whole of it. Every passage is linked to at least one earlier document
-    that holds it, if there is one: the least doc_id of each min-hash is tried first, then the least of each of 8 and
-    of 64 parts of its holders, by hash, for windows that no passage found so far covers (give or take MARGIN
-    words), and what is left meets all earlier holders that are not linked to it through others already.
+    limits included, gives one row for the whole of it. Every two documents that hold near copies are linked, with one exception, which
+    the links tell: a stretch that stands word for word in an earlier document is linked to the first that has it, at a
+    similarity of 1, and its further links are those of that document's stretch.
     Null, empty and short texts have no passage, nor have rows without doc_id; of rows that repeat a doc_id none is
     linked to another, and of their texts the first in order is searched. An empty table gives an empty result.
     doc_id is an integer; only it and text are read.
@@ -407,19 +410,12 @@ def near_passages(docs: DataFrame) -> DataFrame:
     both = answers.unionByName(chosen, allowMissingColumns=True)
     found = dealt.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(lambda table, answer: shared_windows(table, answer, buckets), CANDIDATES)
     found = saved(found, "windows")
-    each = found.select("doc_id", F.explode(F.arrays_zip("keys", "windows")).alias("x")).select("doc_id", F.col("x.keys").alias("key"), F.col("x.windows").alias("win"))
-    passages, own, spent = None, each, [found]
-    for parts in LEADS:
-        part = F.pmod(F.xxhash64("doc_id"), F.lit(parts))
-        lead = each.groupBy("key", part.alias("part")).agg(F.min("doc_id").alias("other_id")).drop("part")
-        new = saved(passages_with(each, own, lead, found), "passages")
-        passages = new if passages is None else passages.unionByName(new)
-        own = saved(uncovered(each, passages), "uncovered")
-        spent += [new, own]
-    more, pairs = residual(each, own, passages, found)
-    more = saved(more, "passages")
-    passages = saved(widest(passages, more), "passages")
-    removed(more, *pairs, *spent)
+    same = saved(copies_of(found), "copies")
+    more, spent = pairs_met(found, same)
+    size = (F.col("n") + SIZE - 1).alias("n_words")
+    linked = same.filter("doc_id > other_id").select("doc_id", "other_id", "start", size, "other_start", size.alias("other_n_words"), F.lit(1.0).alias("similarity"))
+    passages = saved(more.unionByName(linked), "passages")
+    removed(found, same, *spent)
     zero, whole = F.lit(0).cast("long"), F.col("n").cast("long")
     copies = rows.join(classes, ["n", "h1", "h2"]).filter("doc_id > first")
     copies = copies.select("doc_id", F.col("first").alias("other_id"), zero.alias("start"), whole.alias("n_words"), zero.alias("other_start"), whole.alias("other_n_words"), F.lit(1.0).alias("similarity"))

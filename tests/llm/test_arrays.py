@@ -304,6 +304,41 @@ def test_passages_after_an_earlier_copy_in_the_document(spark):
     assert len(both) >= 7
 
 
+def test_every_two_documents_with_near_copies_are_linked(spark):
+    rnd = random.Random(41)
+    rows, wanted = [], set()
+
+    def link(group):
+        wanted.update((i, j) for i in group for j in group if i > j)
+
+    for k in range(5):  # near copies of one passage, each changed at another place: all of them are pairs
+        p = words(rnd, 120, 90000).split()
+        for j in range(4):
+            q = p[: 25 * j + 10] + [f"other{k}x{j}"] + p[25 * j + 11 :]
+            rows.append((100 * k + j, words(rnd, 50, 90000) + " " + " ".join(q) + " " + words(rnd, 40, 90000)))
+        link(range(100 * k, 100 * k + 4))
+    for k in range(5):  # an earlier passage overlaps the one that another document has
+        p = words(rnd, 90, 90000).split()
+        rows.append((1000 + 10 * k, words(rnd, 50, 90000) + " " + " ".join(p[:60])))
+        rows.append((1001 + 10 * k, words(rnd, 50, 90000) + " " + " ".join(p[30:])))
+        rows.append((1002 + 10 * k, " ".join(p) + " " + words(rnd, 40, 90000)))
+        wanted.update({(1002 + 10 * k, 1000 + 10 * k), (1002 + 10 * k, 1001 + 10 * k)})
+    assert linked_passages(spark, rows) == wanted
+
+
+def test_word_for_word_copies_are_linked_to_the_first_and_near_ones_to_it(spark):
+    rnd = random.Random(42)
+    p = words(rnd, 80, 90000).split()
+    near = p[:40] + ["other"] + p[41:]
+    rows = [(k, words(rnd, 50, 90000) + " " + " ".join(p) + " " + words(rnd, 50, 90000)) for k in range(30)]
+    rows += [(30 + k, words(rnd, 50, 90000) + " " + " ".join(near) + " " + words(rnd, 50, 90000)) for k in range(30)]
+    got = passages.near_passages(docs(spark, rows)).collect()
+    same = {(r.doc_id, r.other_id) for r in got if r.similarity == 1}
+    assert same == {(k, 0) for k in range(1, 30)} | {(30 + k, 30) for k in range(1, 30)}  # members and their first
+    assert {(r.doc_id, r.other_id) for r in got if r.similarity < 1} == {(30, 0)}  # the firsts of both
+    assert all((r.start, r.n_words, r.other_start) == (50, 80, 50) for r in got if r.similarity == 1)
+
+
 def test_passages_of_runs(spark):
     rows = [(k, words(random.Random(k), 60, 9000) + " same" * (3000 + k)) for k in range(3)]
     assert {(1, 0), (2, 0)} <= linked_passages(spark, rows)
