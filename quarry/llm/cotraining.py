@@ -36,6 +36,7 @@ NAME_SIZE = 128
 RATIOS = 8
 META_SIZE = 2 * NAME_SIZE + RATIOS
 CLEAN_KEPT = 0.99
+SLICE = 1 << 16
 WORDS_TABLE, RAW_TABLE = byte_table(NON_WORDS), byte_table(BLANKS, lower=False)
 CLASS = np.zeros(256, dtype=np.uint8)  # 0 other, 1 lower, 2 upper, 3 digit, 4 punctuation, 5 blank, 6 line end
 CLASS[33:127] = 4
@@ -98,6 +99,14 @@ def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def summed(to: np.ndarray, at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of values[at] by `to`, added in order, SLICE entries at a time: the driver holds no further copy of all entries."""
+    out = np.zeros(n)
+    for k in range(0, len(to), SLICE):
+        np.add.at(out, to[k : k + SLICE], values[at[k : k + SLICE]].astype(np.float64, copy=False))
+    return out
+
+
 class Sparse:
     """Rows of feature numbers, each present or not; features of few rows are left out when fitting."""
 
@@ -107,10 +116,10 @@ class Sparse:
         self.n, self.size = len(rows), TEXT_SIZE
 
     def times(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, w[self.feature], minlength=self.n)
+        return summed(self.row, self.feature, w, self.n)
 
     def back(self, r: np.ndarray) -> np.ndarray:
-        return np.bincount(self.feature, r[self.row], minlength=self.size)
+        return summed(self.feature, self.row, r, self.size)
 
     def norms(self) -> np.ndarray:
         return np.bincount(self.row, minlength=self.n)
@@ -327,12 +336,12 @@ def sample(docs: DataFrame, labels: DataFrame, labelled: int):
     others = docs.withColumn("label", F.lit(-1)).select("doc_id", "label", "text", "source", "lang", "n_chars")
     type_ = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {type_}, label int, text binary, meta binary"
-    found = rows.mapInArrow(packed, schema).collect()
-    found.sort(key=lambda r: r.doc_id)
-    text = Sparse([np.frombuffer(r.text, np.int32) for r in found])
-    meta = Dense(np.array([np.frombuffer(r.meta, np.float32) for r in found]).reshape(len(found), META_SIZE))
-    without = docs.sparkSession.sparkContext.broadcast(pa.array([r.doc_id for r in found], docs_type(type_)))
-    return text, meta, np.array([r.label for r in found], dtype=np.int64), others.mapInArrow(lambda t: packed(t, without), schema)
+    found = rows.mapInArrow(packed, schema).toArrow().sort_by("doc_id").combine_chunks()
+    parts = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for x in found.column(name)]
+    text = Sparse(parts("text", np.int32))
+    meta = Dense(np.array(parts("meta", np.float32)).reshape(len(found), META_SIZE))
+    without = docs.sparkSession.sparkContext.broadcast(pa.array(found.column("doc_id").to_pylist(), docs_type(type_)))
+    return text, meta, np.array(found.column("label").to_pylist(), dtype=np.int64), others.mapInArrow(lambda t: packed(t, without), schema)
 
 
 def score(tables, shared):

@@ -238,7 +238,7 @@ def stretches(mine, theirs) -> list[tuple]:
     edge = np.flatnonzero(np.concatenate([[True], np.diff(shift[order]) > 8]))
     for i, j in zip(edge, np.append(edge[1:], len(order))):
         part = order[i:j]
-        if len(np.unique(f[part])) < NEED:
+        if j - i < NEED or len(np.unique(f[part])) < NEED:
             continue
         lo, hi = c[part] - left[part], c[part] + right[part] + 1
         base, top = int(lo.min()), int(hi.max())

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -450,3 +451,16 @@ def test_pipeline_stages(spark):
                 assert ids == {i for i, (_, c) in groups.items() if c == i}
             before = after
     assert after.count() == before.count()
+
+
+def test_sums_over_the_labelled_sample_copy_few_entries():
+    rnd = np.random.default_rng(3)
+    x = cotraining.Sparse([rnd.integers(0, cotraining.TEXT_SIZE, 1500).astype(np.int32) for _ in range(2000)])
+    w, r = rnd.normal(size=x.size), rnd.normal(size=x.n)
+    tracemalloc.start()
+    back, times = x.back(r), x.times(w)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(back, np.bincount(x.feature, r[x.row], minlength=x.size))
+    assert np.array_equal(times, np.bincount(x.row, w[x.feature], minlength=x.n))
+    assert most < 8e6  # 3 million entries are 24 MB
