@@ -394,8 +394,8 @@ def near_passages(docs: DataFrame) -> DataFrame:
 
     doc_id, other_id (a smaller doc_id), start and n_words of the passage in either, counted in words, and the Jaccard
     of their shingles. A document without such a passage gives no row; a text that equals an earlier one, word
-    limits included, gives one row for the whole of it. Every two documents that hold near copies are linked, with one exception, which
-    the links tell: a stretch that stands word for word in an earlier document is linked to the first that has it, at a
+    limits included, gives one row for the whole of it. Every two documents whose near copies have NEED min-hashes in common are linked (at a
+    Jaccard of exactly 0.75 about 4 in 100 have fewer), with one exception, which the links tell: a stretch that stands word for word in an earlier document is linked to the first that has it, at a
     similarity of 1, and its further links are those of that document's stretch.
     Null, empty and short texts have no passage, nor have rows without doc_id; of rows that repeat a doc_id none is
     linked to another, and of their texts the first in order is searched. An empty table gives an empty result.
