@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.storage import removed, saved
@@ -60,6 +60,11 @@ def smallest(edges, atomic, largest, shards: int) -> tuple[int, int]:
     return may, must
 
 
+def spread_for(spark: SparkSession, n: int) -> int:
+    """Partitions for n rows as narrow as here: a session with many shuffle partitions would cut them into tiny tasks and files."""
+    return max(spark.sparkContext.defaultParallelism, math.ceil(n / SLOT_ROWS))
+
+
 def ranged(groups: DataFrame, ranges: list[tuple[int, int, int]]) -> list:
     """Sums over parts of hash ranges (first, last, width), in order; at most one row per part.
 
@@ -71,7 +76,7 @@ def ranged(groups: DataFrame, ranges: list[tuple[int, int, int]]) -> list:
     ]
     found = groups.withColumn("node", F.coalesce(*pieces)).filter("node is not null").groupBy("node")
     found = found.agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.sum("bytes").alias("bytes"), F.max("bytes").alias("largest"), F.count("*").alias("n"))
-    return sorted(found.collect(), key=lambda r: r.lo)
+    return sorted(found.coalesce(spread_for(groups.sparkSession, 0)).collect(), key=lambda r: r.lo)
 
 
 def merged(parts: list[tuple], reach: set[int], split: set[int], finer: list[tuple]) -> list[tuple]:
@@ -132,14 +137,14 @@ def shard_of(h: Column, cuts: list[int]) -> Column:
     return n
 
 
-def slots(rows: DataFrame, key: str = "doc_id", tie: str = "h") -> DataFrame:
-    """Adds `slot`, gapless from 0 within `shard`: rows are numbered in small lots, lots get offsets."""
-    n = rows.count()
+def slots(rows: DataFrame, n: int, key: str = "doc_id", tie: str = "h") -> DataFrame:
+    """Adds `slot`, gapless from 0 within `shard`: the n rows are numbered in small lots, lots get offsets."""
     lots = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / SLOT_ROWS))
     lotted = rows.withColumn("lot", F.pmod(F.xxhash64(key), F.lit(lots)).cast("int"))
-    counts = lotted.groupBy("shard", "lot").agg(F.count("*").alias("n"))
+    few = spread_for(rows.sparkSession, lots * SHARDS)
+    counts = lotted.groupBy("shard", "lot").agg(F.count("*").alias("n")).coalesce(few)
     before = F.expr("sum(n) over (partition by shard order by lot rows between unbounded preceding and 1 preceding)")
-    offsets = counts.select("shard", "lot", F.coalesce(before, F.lit(0)).cast("long").alias("offset"))
+    offsets = counts.select("shard", "lot", F.coalesce(before, F.lit(0)).cast("long").alias("offset")).coalesce(few)
     number = F.expr(f"row_number() over (partition by shard, lot order by {key}, {tie})")
     return lotted.join(offsets, ["shard", "lot"]).withColumn("slot", number.cast("long") - 1 + F.col("offset")).drop("lot", "offset")
 
@@ -159,10 +164,12 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         F.xxhash64(body).alias("h"),
     )
     rows = saved(rows, "sizes")
-    groups = saved(rows.groupBy("h").agg(F.sum("size").alias("bytes")), "groups")
+    n = rows.count()
+    few = spread_for(docs.sparkSession, n)
+    groups = saved(rows.groupBy("h").agg(F.sum("size").alias("bytes")).coalesce(few), "groups")
     _, cuts = cut_points(groups, shards)
     removed(groups)
-    placed = slots(rows.withColumn("shard", shard_of(F.col("h"), cuts)))
+    placed = slots(rows.withColumn("shard", shard_of(F.col("h"), cuts)), n).coalesce(few)
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), "slot", F.lit(None).cast("int").alias("grown_shard")
     )

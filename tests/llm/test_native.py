@@ -244,6 +244,25 @@ def test_shards(spark):
     assert sharding.sharded(docs(spark, [])).count() == 0
 
 
+def test_shards_of_few_rows_are_dealt_to_few_tasks(spark):
+    rows = [(i, f"text {i % 150}") for i in range(200)]
+    keys = {"spark.sql.shuffle.partitions": "97", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        found = sharding.sharded(docs(spark, rows))
+        assert found.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+        got = found.collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    for shard in range(8):
+        slots = sorted(r.slot for r in got if r.shard == shard)
+        assert slots == list(range(len(slots)))
+    assert len(got) == 200
+
+
 def edited_of(rows):
     order = sorted(rows, key=lambda r: -r[0])
     out = {}
