@@ -18,6 +18,8 @@ length give compact windows (first, minimum, last): all sequences that begin in
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.census import Ledger, blocks_of, census, ordered, picked
 from quarry.llm.ngram_join import SIZE, TABLE
-from quarry.llm.storage import removed, saved
+from quarry.llm.storage import removed, saved, spread
 from quarry.llm.substring import window_minimum
 from quarry.llm.wordscan import Words, batches, mix
 
@@ -227,140 +229,220 @@ def shared_windows(table, answer, buckets: int):
     return pa.table({n: pa.array([r[k] for r in out], t) for k, (n, t) in enumerate(zip(names, types))})
 
 
-def stretches(mine, theirs) -> list[tuple]:
-    """Candidates (start, stop, other start, other stop) in tokens, for one pair of documents."""
+def stretches(pair: np.ndarray, mine: np.ndarray, theirs: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Candidates (pair, start, stop, other start, other stop) in tokens, for many pairs of documents at once.
+
+    pair: number of the pair of documents to which a pair of windows belongs.
+    """
     f, c, left, right = unpacked(mine)
     _, c2, left2, right2 = unpacked(theirs)
     left, right, shift = np.minimum(left, left2), np.minimum(right, right2), c2 - c
-    found: list[tuple] = []
-    order = np.lexsort((c, shift))
+    order = np.lexsort((c, shift, pair))
     # windows of one alignment, give or take a few words put in or left out, are judged together
-    edge = np.flatnonzero(np.concatenate([[True], np.diff(shift[order]) > 8]))
-    for i, j in zip(edge, np.append(edge[1:], len(order))):
-        part = order[i:j]
-        if j - i < NEED or len(np.unique(f[part])) < NEED:
-            continue
-        lo, hi = c[part] - left[part], c[part] + right[part] + 1
-        base, top = int(lo.min()), int(hi.max())
-        depth = np.zeros(top - base + 1, dtype=np.int16)
-        for g in np.unique(f[part]):
-            own_f = f[part] == g
-            marks = np.zeros(top - base + 1, dtype=np.int32)
-            np.add.at(marks, lo[own_f] - base, 1)
-            np.add.at(marks, hi[own_f] - base, -1)
-            depth += np.cumsum(marks) > 0
-        edges = np.flatnonzero(np.diff(np.concatenate([[False], depth >= NEED, [False]]).astype(np.int8)))
-        for s, e in zip((edges[::2] + base).tolist(), (edges[1::2] + base).tolist()):
-            if e - s < LEAST:
-                continue
-            inside = part[(c[part] >= s) & (c[part] < e)]
-            if not len(inside):
-                continue
-            first, last = inside[np.argmin(c[inside])], inside[np.argmax(c[inside])]
-            s2, e2 = s + int(shift[first]), e + int(shift[last])
-            found.append((max(0, s - MARGIN), e + MARGIN, max(0, s2 - MARGIN), e2 + MARGIN))
-    return found
-
-
-def grown(start: int, stop: int, n: int) -> tuple[int, int]:
-    """The stretch widened to the length of a passage, to the left first, as far as n tokens allow."""
-    lacking = max(0, LEAST - (stop - start))
-    left = min(start, lacking)
-    return start - left, min(n, stop + lacking - left)
-
-
-def judged(x: np.ndarray, y: np.ndarray) -> list[tuple]:
-    """The widest stretches of a candidate that are similar enough: what is not splits at its widest gap.
-
-    x, y: all tokens of both sides. A stretch reaches from its first to its last token in common, and further by tokens that are
-    not, where it would be too short for a passage: a word changed near an end leaves none in common beyond it.
-    Gives its start and stop on either side, and the similarity.
+    edge = np.ones(len(order), dtype=bool)
+    edge[1:] = (np.diff(pair[order]) != 0) | (np.diff(shift[order]) > 8)
+    group = np.cumsum(edge) - 1
+    if len(order):
+        enough = np.bitwise_count(np.bitwise_or.reduceat(1 << f[order], np.flatnonzero(edge))) >= NEED
+        order, group = order[enough[group]], group[enough[group]]
+    if not len(order):
+        return (np.zeros(0, np.int64),) * 5
+    f, c, shift, pair, lo, hi = f[order], c[order], shift[order], pair[order], (c - left)[order], (c + right + 1)[order]
+    # what the windows of one function cover counts once
+    by = np.lexsort((lo, f, group))
+    cell = group[by] * FUNCTIONS + f[by]
+    cell = np.cumsum(np.concatenate([[0], np.diff(cell) != 0])) << 32
+    start, stop = cell + lo[by], np.maximum.accumulate(cell + hi[by])
+    new = np.concatenate([[True], start[1:] > stop[:-1]])
+    ends = np.append(np.flatnonzero(new)[1:] - 1, len(by) - 1)
+    own = group[by][new] << 32
+    at = np.concatenate([own + (start - cell)[new], own + (stop - cell)[ends]])
+    at, inverse = np.unique(at, return_inverse=True)
+    depth = np.cumsum(np.bincount(inverse, np.repeat([1, -1], len(own)), len(at)).astype(np.int64)) >= NEED
+    turns = np.flatnonzero(np.diff(np.concatenate([[False], depth]).astype(np.int8)))  # every group ends at a depth of 0
+    s, e = at[turns[::2]], at[turns[1::2]]
+    s, e = (x[e - s >= LEAST] for x in (s, e))
+    by = np.lexsort((shift, c, group))
+    place = (group[by] << 32) + c[by]
+    first, last = np.searchsorted(place, s), np.searchsorted(place, e) - 1
+    some = first <= last
+    s, e, first, last = s[some], e[some], by[first[some]], by[np.searchsorted(place, place[last[some]])]
+    s, e = s & (MOST >> 32), e & (MOST >> 32)
+    return pair[first], np.maximum(0, s - MARGIN), e + MARGIN, np.maximum(0, s + shift[first] - MARGIN), e + shift[last] + MARGIN
+
+
+def grown(start: np.ndarray, stop: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches widened to the length of a passage, to the left first, as far as n tokens allow."""
+    lacking = np.maximum(0, LEAST - (stop - start))
+    left = np.minimum(start, lacking)
+    return start - left, np.minimum(n, stop + lacking - left)
+
+
+def ragged(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places from start to stop of every range, and the number of the range."""
+    sizes = np.maximum(stop - start, 0)
+    own = np.repeat(np.arange(len(sizes)), sizes)
+    return np.arange(len(own)) + (start - (np.cumsum(sizes) - sizes))[own], own
+
+
+class Tokens:
+    """Tokens of one side of many candidates: their order by candidate and value, and where each came before."""
+
+    def __init__(self, texts: list[np.ndarray]):
+        sizes = np.array([len(t) for t in texts], dtype=np.int64)
+        self.begin, self.sizes = np.cumsum(sizes) - sizes, sizes
+        self.of = np.repeat(np.arange(len(texts)), sizes)
+        self.key = (self.of.astype(np.uint64) << np.uint64(32)) | np.concatenate(texts).astype(np.uint64)
+        self.order = np.argsort(self.key, kind="stable")
+        self.sorted = self.key[self.order]
+        new = np.ones(len(self.sorted), dtype=bool)
+        new[1:] = self.sorted[1:] != self.sorted[:-1]
+        self.group = np.cumsum(new) - 1
+        self.nth, self.before = np.empty(len(new), np.int64), np.full(len(new), -1)
+        self.nth[self.order] = np.arange(len(new)) - np.flatnonzero(new)[self.group]
+        again = np.flatnonzero(~new)
+        self.before[self.order[again]] = self.order[again - 1]
+        #: values that stand in a range for the first time in the candidate: never more than the range has
+        self.fresh = np.concatenate([[0], np.cumsum(self.before < 0)])
+
+    def kinds(self, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the distinct values of ranges, and the range of each."""
+        at, own = ragged(start, stop)
+        first = self.before[at] < start[own]
+        return at[first], own[first]
+
+
+def judged(xs: list[np.ndarray], ys: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """The widest stretches of candidates that are similar enough: what is not splits at its widest gap.
+
+    xs, ys: all tokens of both sides, none empty. A stretch reaches from its first to its last token in common, and further by tokens that
+    are not, where it would be too short for a passage: a word changed near an end leaves none in common beyond it.
+    Gives the number of the candidate, start and stop on either side, and the similarity. All open stretches of all candidates take a step at
+    once; where the places in common are too few for the similarity, whatever they hold, they are not compared.
     """
-    sorted_x, sorted_y = np.argsort(x, kind="stable"), np.argsort(y, kind="stable")
-    nth = np.empty(len(x), dtype=np.int64)  # a token that comes again meets the next place of its like
-    nth[sorted_x] = np.arange(len(x)) - np.searchsorted(x[sorted_x], x[sorted_x])
-    at, to = np.searchsorted(y[sorted_y], x), np.searchsorted(y[sorted_y], x, "right")
-    hit = np.flatnonzero(at < to)
-    place = sorted_y[np.minimum(at + nth, to - 1)[hit]]
-    out, open_ = [], [(0, len(hit))]
-    while open_:
-        i, j = open_.pop()
-        if j - i < LEAST // 2:
-            continue
-        s, e = grown(int(hit[i]), int(hit[j - 1]) + 1, len(x))
-        s2, e2 = grown(int(place[i]), int(place[j - 1]) + 1, len(y))
-        if e - s >= LEAST and e2 - s2 >= LEAST:
-            u, v = np.unique(x[s:e]), np.unique(y[s2:e2])
-            common = len(np.intersect1d(u, v, assume_unique=True))
-            share = common / (len(u) + len(v) - common)
-            if share >= SIMILARITY:
-                out.append((s, e, s2, e2, share))
-                continue
-        gaps = np.maximum(np.diff(hit[i:j]), np.abs(np.diff(place[i:j])))
-        k = i + 1 + int(np.argmax(gaps))
-        open_ += [(i, k), (k, j)]
-    return out
+    x, y = Tokens(xs), Tokens(ys)
+    lo, hi = np.empty(len(x.key), np.int64), np.empty(len(x.key), np.int64)
+    lo[x.order], hi[x.order] = np.searchsorted(y.sorted, x.sorted), np.searchsorted(y.sorted, x.sorted, "right")
+    met = lo < hi
+    hit = np.flatnonzero(met)
+    place = y.order[np.minimum(lo + x.nth, hi - 1)[hit]]  # a token that comes again meets the next place of its like
+    hits = np.concatenate([[0], np.cumsum(met)])
+    spot = (y.group << 32) + y.order
+    # the widest gap of a range, and of equal ones the first, from tables over powers of two
+    gap = np.maximum(np.diff(hit), np.abs(np.diff(place)))
+    tables = [(gap << 32) + (len(gap) - np.arange(len(gap)))]
+    i, j = hits[x.begin], hits[x.begin + x.sizes]
+    while 1 << len(tables) < int((j - i).max(initial=0)):
+        w = 1 << len(tables) - 1
+        tables.append(np.maximum(tables[-1][:-w], tables[-1][w:]))
+    out = [[] for _ in range(6)]
+    while True:
+        keep = j - i >= LEAST // 2
+        i, j = i[keep], j[keep]
+        if not len(i):
+            return tuple(np.concatenate([np.zeros(0, t), *v]) for v, t in zip(out, [np.int64] * 5 + [np.float64]))
+        own = x.of[hit[i]]
+        s, e = grown(hit[i] - x.begin[own], hit[j - 1] + 1 - x.begin[own], x.sizes[own])
+        s2, e2 = grown(place[i] - y.begin[own], place[j - 1] + 1 - y.begin[own], y.sizes[own])
+        p, q, p2, q2 = s + x.begin[own], e + x.begin[own], s2 + y.begin[own], e2 + y.begin[own]
+        long = np.flatnonzero((e - s >= LEAST) & (e2 - s2 >= LEAST))
+        most, least = hits[q[long]] - hits[p[long]], x.fresh[q[long]] - x.fresh[p[long]] + y.fresh[q2[long]] - y.fresh[p2[long]]
+        long = long[7 * most >= 3 * least]
+        (u, of_u), (_, of_v) = x.kinds(p[long], q[long]), y.kinds(p2[long], q2[long])
+        there = met[u]
+        u, of_c = u[there], of_u[there]
+        next_ = np.searchsorted(spot, (y.group[lo[u]] << 32) + p2[long][of_c])
+        next_ok = next_ < hi[u]
+        of_c = of_c[next_ok][y.order[next_[next_ok]] < q2[long][of_c[next_ok]]]
+        n, n2, common = (np.bincount(k, minlength=len(long)) for k in (of_u, of_v, of_c))
+        share = common / np.maximum(1, n + n2 - common)
+        good = share >= SIMILARITY
+        for v, found in zip(out, (own[long], s[long], e[long], s2[long], e2[long], share)):
+            v.append(found[good])
+        open_ = np.ones(len(i), dtype=bool)
+        open_[long[good]] = False
+        i, j = i[open_], j[open_]
+        level = np.frexp((j - i - 1).astype(float))[1] - 1
+        cut = np.empty(len(i), dtype=np.int64)
+        for k in np.unique(level).tolist():
+            at = np.flatnonzero(level == k)
+            cut[at] = np.maximum(tables[k][i[at]], tables[k][j[at] - 1 - (1 << k)])
+        cut = len(gap) - (cut & (MOST >> 32)) + 1
+        i, j = np.concatenate([i, cut]), np.concatenate([cut, j])
 
 
 RESULT = "doc_id long, other_id long, start long, n_words long, other_start long, other_n_words long, similarity double"
 
 
-STRETCHES = "doc_id long, other_id long, start long, stop long, other_start long, other_stop long"
-
+#: Pairs of windows that are looked at together, and tokens of both sides
+WINDOW_PAIRS, BOTH_SIDES = 1 << 19, 1 << 19
+#: Bytes of documents, and pairs of these, that a cell holds
+CELL_BYTES, CELL_PAIRS = 32 << 20, 50_000
+TURN_BYTES = 1 << 29
+
+
+def candidates(rows: np.ndarray, others: np.ndarray, keys: pa.ListArray, windows: pa.ListArray) -> tuple[np.ndarray, ...]:
+    """Candidate stretches (pair, start, stop, other start, other stop) of pairs of documents, given as rows of the lists; keys are in order."""
+    begin, k, w = keys.offsets.to_numpy(), keys.values.to_numpy().view(np.uint64), windows.values.to_numpy()
+    at = windows.offsets.to_numpy()
+    mine, theirs, number, out, total = [], [], [], [[] for _ in range(5)], 0
+    for n, (i, j) in enumerate(zip(rows.tolist(), others.tolist())):
+        own, other = k[begin[i] : begin[i + 1]], k[begin[j] : begin[j + 1]]
+        lo = np.searchsorted(other, own)
+        times = np.searchsorted(other, own, "right") - lo
+        some = np.flatnonzero(times)
+        times = times[some]
+        to = np.arange(times.sum()) + np.repeat(lo[some] - (np.cumsum(times) - times), times)
+        mine.append(w[at[i] + np.repeat(some, times)]), theirs.append(w[at[j] + to]), number.append(np.full(len(to), n))
+        total += len(to)
+        if total >= WINDOW_PAIRS or n + 1 == len(rows):
+            for v, found in zip(out, stretches(*map(np.concatenate, (number, mine, theirs)))):
+                v.append(found)
+            mine, theirs, number, total = [], [], [], 0
+    return tuple(np.concatenate([np.zeros(0, np.int64), *v]) for v in out)
+
+
+def verified(pairs: pa.Table, members: pa.Table) -> pa.Table:
+    """Passages of the pairs of documents of a cell. members: doc_id, keys, windows and tokens of each document that stands in a pair."""
+    members = members.combine_chunks().sort_by("doc_id").combine_chunks()
+    known, ids, others = (t.column(c).to_numpy() for t, c in ((members, "doc_id"), (pairs, "doc_id"), (pairs, "other_id")))
+    rows, other_rows = np.searchsorted(known, ids), np.searchsorted(known, others)
+    keys, windows, held = (members.column(c).chunk(0) for c in ("keys", "windows", "tokens"))
+    pair, start, stop, other_start, other_stop = candidates(rows, other_rows, keys, windows)
+    held = [np.frombuffer(t.as_buffer(), np.uint32) for t in held]
+    sizes = np.array([len(t) for t in held])
+    stop, other_stop = np.minimum(stop, sizes[rows[pair]]), np.minimum(other_stop, sizes[other_rows[pair]])
+    whole = np.flatnonzero((start < stop) & (other_start < other_stop))
+    out = [[np.zeros(0, np.int64)] for _ in range(6)] + [[np.zeros(0)]]
+    for a, b in batches((stop - start + other_stop - other_start)[whole].tolist(), BOTH_SIDES):
+        part = whole[a:b]
+        xs = [held[i][s:e] for i, s, e in zip(rows[pair[part]].tolist(), start[part].tolist(), stop[part].tolist())]
+        ys = [held[i][s:e] for i, s, e in zip(other_rows[pair[part]].tolist(), other_start[part].tolist(), other_stop[part].tolist())]
+        own, s, e, s2, e2, share = judged(xs, ys)
+        own = part[own]
+        for v, x in zip(out, (ids[pair[own]], others[pair[own]], start[own] + s, e - s + SIZE - 1, other_start[own] + s2, e2 - s2 + SIZE - 1, share)):
+            v.append(x)
+    names = ["doc_id", "other_id", "start", "n_words", "other_start", "other_n_words", "similarity"]
+    return pa.table({n: np.concatenate(v) for n, v in zip(names, out)})
 
-def proposed(tables):
-    """Candidate stretches of pairs of documents, from pairs of their windows."""
-    names = ["doc_id", "other_id", "start", "stop", "other_start", "other_stop"]
-    for batch in tables:
-        out = []
-        lists = batch.column("pairs")
-        ends = lists.offsets.to_numpy()
-        win, other = (lists.values.field(k).to_numpy(zero_copy_only=False) for k in ("win", "other"))
-        for k, (i, j) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("other_id").to_pylist())):
-            out += [(i, j, *x) for x in stretches(win[ends[k] : ends[k + 1]], other[ends[k] : ends[k + 1]])]
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(6)], names)
 
+def verified_pairs(pairs: DataFrame, kept: DataFrame) -> list[DataFrame]:
+    """Passages of pairs of documents, in tables that together hold all.
 
-def verify(tables):
-    names = ["doc_id", "other_id", "start", "n_words", "other_start", "other_n_words", "similarity"]
-    types = [pa.int64()] * 6 + [pa.float64()]
-    for batch in tables:
-        out = []
-        for row in batch.to_pylist():
-            x, y = np.frombuffer(row["x"], np.uint32), np.frombuffer(row["y"], np.uint32)
-            for s, e, s2, e2, share in judged(x, y) if len(x) and len(y) else []:
-                out.append((row["doc_id"], row["other_id"], row["start"] + s, e - s + SIZE - 1, row["other_start"] + s2, e2 - s2 + SIZE - 1, share))
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(types)], names)
-
-
-def verified_pairs(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """Passages of pairs of documents, from pairs of their windows; of either text only the stretch travels on."""
-    candidates = pairs.mapInArrow(proposed, STRETCHES)
-    cut = lambda start, stop: F.expr(f"substring(tokens, int(4 * {start} + 1), int(4 * ({stop} - {start})))")
-    own = candidates.join(found.select("doc_id", "tokens"), "doc_id").withColumn("x", cut("start", "stop")).drop("tokens")
-    others = found.select(F.col("doc_id").alias("other_id"), "tokens")
-    both = own.join(others, "other_id").withColumn("y", cut("other_start", "other_stop")).drop("tokens")
-    return both.select("doc_id", "other_id", "start", "other_start", "x", "y").mapInArrow(verify, RESULT)
-
-
-def meeting(tables):
-    """Pairs of windows of one min-hash, for pairs of documents that have enough of them."""
-    for batch in tables:
-        ids, others, mine, theirs, ends = [], [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [0]
-        sides = [(c.offsets.to_numpy(), c.values.to_numpy(zero_copy_only=False)) for c in map(batch.column, ("keys", "windows", "other_keys", "other_windows"))]
-        for n, (i, j) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("other_id").to_pylist())):
-            k, w, k2, w2 = (v[at[n] : at[n + 1]] for at, v in sides)
-            order = np.argsort(k2, kind="stable")
-            lo, hi = np.searchsorted(k2[order], k), np.searchsorted(k2[order], k, "right")
-            times = hi - lo
-            if len(np.unique(w[times > 0] >> 59)) < NEED:
-                continue
-            to = np.arange(times.sum()) + np.repeat(lo - (np.cumsum(times) - times), times)
-            ids.append(i), others.append(j), mine.append(np.repeat(w, times)), theirs.append(w2[order[to]])
-            ends.append(ends[-1] + len(to))
-        pairs = pa.StructArray.from_arrays([pa.array(np.concatenate(mine)), pa.array(np.concatenate(theirs))], ["win", "other"])
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(others, pa.int64()), lists], ["doc_id", "other_id", "pairs"])
+    Documents are dealt to blocks, and pairs to cells of two blocks; a document goes to each cell in which it has a pair once, not once for each
+    pair. Cells are looked at in as many turns as keep what is on its way within twice the bytes of the documents kept, or TURN_BYTES.
+    """
+    size = kept.agg(F.coalesce(F.sum(16 * F.size("keys") + F.octet_length("tokens")), F.lit(0))).first()[0]
+    blocks = max(math.ceil(2 * size / CELL_BYTES), math.ceil(math.sqrt(2 * pairs.count() / CELL_PAIRS)), math.ceil(math.sqrt(2 * spread(kept.sparkSession))))
+    turns = math.ceil(size * blocks / max(TURN_BYTES, 2 * size, 1))
+    block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
+    cells = pairs.select((F.least(block("doc_id"), block("other_id")) * blocks + F.greatest(block("doc_id"), block("other_id"))).alias("cell"), "doc_id", "other_id")
+    out = []
+    for turn in range(max(1, turns)):
+        some = cells.filter(F.pmod(F.xxhash64("cell"), F.lit(turns)) == turn) if turns > 1 else cells
+        members = some.select(F.col("cell").alias("at"), F.explode(F.array("doc_id", "other_id")).alias("doc_id")).distinct().join(kept, "doc_id")
+        out.append(saved(some.groupBy("cell").cogroup(members.groupBy("at")).applyInArrow(verified, RESULT).distinct(), "passages"))
+    return out
 
 
 def copies_of(found: DataFrame) -> DataFrame:
@@ -374,19 +456,20 @@ def copies_of(found: DataFrame) -> DataFrame:
     return met.select("doc_id", "part", "start", "n", F.col("f.doc_id").alias("other_id"), F.col("f.start").alias("other_start"))
 
 
-def pairs_met(found: DataFrame, copies: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
-    """Passages of every two documents that hold enough min-hashes in common, without stretches that are copies; and tables to remove."""
+def pairs_met(found: DataFrame, copies: DataFrame) -> list[DataFrame]:
+    """Passages of every two documents that hold enough min-hashes in common, without stretches that are copies. `found` is not needed further."""
     left = F.collect_set("part").alias("copied")
     kept = found.join(copies.groupBy("doc_id").agg(left), "doc_id", "left")
     x = F.filter(F.arrays_zip("keys", "windows", "parts"), lambda w: ~F.coalesce(F.array_contains("copied", w["parts"]), F.lit(False)))
-    kept = saved(kept.select("doc_id", x.alias("x")).filter(F.size("x") > 0).select("doc_id", F.col("x.keys").alias("keys"), F.col("x.windows").alias("windows")), "sides")
+    kept = saved(kept.select("doc_id", x.alias("x"), "tokens").filter(F.size("x") > 0).select("doc_id", F.col("x.keys").alias("keys"), F.col("x.windows").alias("windows"), "tokens"), "sides")
+    removed(found)
     each = kept.select("doc_id", F.explode(F.arrays_zip("keys", "windows")).alias("x")).select("doc_id", F.col("x.keys").alias("key"), F.expr("shiftright(x.windows, 59)").alias("f")).distinct()
     pairs = each.join(each.select("key", F.col("doc_id").alias("other_id")), "key").filter("doc_id > other_id").groupBy("doc_id", "other_id")
     pairs = pairs.agg(F.expr("bit_count(bit_or(shiftleft(1, int(f))))").alias("n"))
     pairs = saved(pairs.filter(F.col("n") >= NEED).select("doc_id", "other_id"), "pairs")
-    others = kept.select(F.col("doc_id").alias("other_id"), F.col("keys").alias("other_keys"), F.col("windows").alias("other_windows"))
-    met = pairs.join(kept, "doc_id").join(others, "other_id").mapInArrow(meeting, "doc_id long, other_id long, pairs array<struct<win: long, other: long>>")
-    return verified_pairs(met, found).distinct(), [pairs, kept]
+    passages = verified_pairs(pairs, kept)
+    removed(pairs, kept)
+    return passages
 
 
 def near_passages(docs: DataFrame) -> DataFrame:
@@ -411,11 +494,13 @@ def near_passages(docs: DataFrame) -> DataFrame:
     found = dealt.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(lambda table, answer: shared_windows(table, answer, buckets), CANDIDATES)
     found = saved(found, "windows")
     same = saved(copies_of(found), "copies")
-    more, spent = pairs_met(found, same)
+    more = pairs_met(found, same)
     size = (F.col("n") + SIZE - 1).alias("n_words")
     linked = same.filter("doc_id > other_id").select("doc_id", "other_id", "start", size, "other_start", size.alias("other_n_words"), F.lit(1.0).alias("similarity"))
-    passages = saved(more.unionByName(linked), "passages")
-    removed(found, same, *spent)
+    passages = saved(linked, "passages")
+    removed(same)
+    for part in more:
+        passages = passages.unionByName(part)
     zero, whole = F.lit(0).cast("long"), F.col("n").cast("long")
     copies = rows.join(classes, ["n", "h1", "h2"]).filter("doc_id > first")
     copies = copies.select("doc_id", F.col("first").alias("other_id"), zero.alias("start"), whole.alias("n_words"), zero.alias("other_start"), whole.alias("other_n_words"), F.lit(1.0).alias("similarity"))

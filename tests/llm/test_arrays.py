@@ -340,6 +340,43 @@ def test_word_for_word_copies_are_linked_to_the_first_and_near_ones_to_it(spark)
     assert all((r.start, r.n_words, r.other_start) == (50, 80, 50) for r in got if r.similarity == 1)
 
 
+def test_passages_do_not_depend_on_cells_and_turns(spark, monkeypatch):
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for i in range(24):
+        own = list(base)
+        for _ in range(3):
+            own[rng.randrange(120)] = f"x{i}_{rng.randrange(99)}"
+        rows.append((i, " ".join([f"a{i}_{k}" for k in range(30)] + own)))
+    calls, plain = [], passages.saved
+    monkeypatch.setattr(passages, "saved", lambda df, label: calls.append(label) or plain(df, label))
+    few = sorted(passages.near_passages(docs(spark, rows)).collect())
+    assert calls.count("passages") == 2  # one turn, and the copies
+    monkeypatch.setattr(passages, "CELL_PAIRS", 5)
+    monkeypatch.setattr(passages, "TURN_BYTES", 1)
+    calls.clear()
+    many = sorted(passages.near_passages(docs(spark, rows)).collect())
+    assert calls.count("passages") > 3
+    assert few == many and len({(r.doc_id, r.other_id) for r in few}) > 200
+
+
+def test_candidates_are_judged_alike_alone_and_together():
+    rng = np.random.default_rng(8)
+    xs, ys = [], []
+    for n in range(60):
+        x = rng.integers(0, [30, 4000][n % 2], rng.integers(1, 300)).astype(np.uint32)
+        y = np.concatenate([rng.integers(0, 4000, rng.integers(1, 40)).astype(np.uint32), x])
+        y[rng.random(len(y)) < 0.1] = 9999
+        xs.append(x), ys.append(y)
+    together = sorted(zip(*(v.tolist() for v in passages.judged(xs, ys))))
+    alone = sorted((n, *r[1:]) for n in range(60) for r in zip(*(v.tolist() for v in passages.judged(xs[n : n + 1], ys[n : n + 1]))))
+    assert together == alone and len(together) > 20
+    for n, s, e, s2, e2, share in together:
+        u, v = set(xs[n][s:e].tolist()), set(ys[n][s2:e2].tolist())
+        assert share == len(u & v) / len(u | v) >= passages.SIMILARITY and min(e - s, e2 - s2) >= passages.LEAST
+
+
 def test_passages_of_runs(spark):
     rows = [(k, words(random.Random(k), 60, 9000) + " same" * (3000 + k)) for k in range(3)]
     assert {(1, 0), (2, 0)} <= linked_passages(spark, rows)
