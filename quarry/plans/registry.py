@@ -735,7 +735,7 @@ def audited_build_of_documents(spark, sf_dir):
     path = documents_as_csv(spark, sf_dir)
 
     def documents(context):
-        good, bad = files.csv_bronze(spark, [path], "documents", multi_line=True, names=["doc_id", "text", "source"])
+        good, bad = files.csv_bronze(spark, [path], "documents", multi_line=True, names=["doc_id", "text", "source"], once=True)
         n = F.length(F.coalesce("text", F.lit("")))
         silver = lambda b: b.select("doc_id", n.alias("n_chars"), F.coalesce("source", F.lit("")).alias("source"), (n >= 400).alias("length_valid"), F.coalesce(F.col("source") == "src0", F.lit(False)).alias("first_source"))
         return contract.SourceResult(good, silver, bad, files.csv_source_rows(spark, [path], multi_line=True, header=False), {"n_chars": "numeric"})

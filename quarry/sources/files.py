@@ -25,13 +25,14 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
     return [c.strip().strip('"') for c in line[0].lstrip("\ufeff").split(",")] if line else []
 
 
-def csv_bronze(spark: SparkSession, paths: Sequence[str], source_id: str, multi_line: bool = False, names: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+def csv_bronze(spark: SparkSession, paths: Sequence[str], source_id: str, multi_line: bool = False, names: Sequence[str] | None = None, once: bool = False) -> tuple[DataFrame, DataFrame]:
     """(bronze, quarantine): every column as text, files united by name; records that do not fit the header set apart.
 
     The header is the first line of each file, or `names` if files have none; later lines that repeat it are data. Blank lines
     do not count. Quarantined records keep their file and the line, from 1, on which they begin, so equal ones stay apart. A quote within a quoted
     field is doubled. multi_line: fields in quotes may hold line ends. However large a file, its splits are read by
-    many tasks; whether a line begins within quotes is told by the quotes before it.
+    many tasks; whether a line begins within quotes is told by the quotes before it. once: records of several lines are cut now and
+    kept in the shared folder, for callers that write both tables; else each table cuts them again.
     """
     good, bad = [], []
     for path in paths:
@@ -39,6 +40,10 @@ def csv_bronze(spark: SparkSession, paths: Sequence[str], source_id: str, multi_
         lines, records = csv_lines(spark, path), None
         if multi_line:
             records = csv_records(lines, names is None)
+            if once:
+                cut = scratch(spark, "records")
+                records.write.parquet(cut)
+                records = spark.read.schema(records.schema).parquet(cut)
         else:
             records = without_header(lines) if names is None else lines
             records = records.select("file", "block", "seq", tidy("value").alias("value")).filter("length(trim(value)) > 0")

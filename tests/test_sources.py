@@ -102,3 +102,15 @@ def test_features_of_one_file_in_many_splits(small_splits, tmp_path, indent):
             assert r.area_name == f["properties"]["NM"]
             assert [[[[p.x, p.y] for p in ring] for ring in poly] for poly in r.polygons] == shape
     assert places.placed(small_splits, str(tmp_path / "a.geojson"), "}").select("block").distinct().count() > 20
+
+
+def test_records_of_several_lines_are_cut_once_for_both_tables(spark, tmp_path):
+    path = tmp_path / "cut.csv"
+    path.write_text('1,"a\nb"\n2\n3,"c ""d"""\n4,"open\n')
+    tables = files.csv_bronze(spark, [str(path)], "cut", multi_line=True, names=["k", "v"], once=True)
+    plain = files.csv_bronze(spark, [str(path)], "cut", multi_line=True, names=["k", "v"])
+    path.unlink()  # both tables come from what was cut
+    good, bad = (t.collect() for t in tables)
+    assert sorted((r.k, r.v) for r in good) == [("1", "a\nb"), ("3", 'c "d"')]
+    assert sorted((r.raw_text, r.line) for r in bad) == [("2", 3), ('4,"open', 5)]
+    assert tables[0].dtypes == plain[0].dtypes and tables[1].dtypes == plain[1].dtypes
