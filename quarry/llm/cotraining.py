@@ -99,34 +99,51 @@ def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def summed(to: np.ndarray, at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """Sums of values[at] by `to`, added in order, SLICE entries at a time: the driver holds no further copy of all entries."""
-    out = np.zeros(n)
-    for k in range(0, len(to), SLICE):
-        np.add.at(out, to[k : k + SLICE], values[at[k : k + SLICE]].astype(np.float64, copy=False))
-    return out
-
-
 class Sparse:
-    """Rows of feature numbers, each present or not; features of few rows are left out when fitting."""
+    """Rows of feature numbers, each present or not; features of few rows are left out when fitting.
+
+    The features of all rows lie behind each other, and only where each row begins is held beside them. Sums go over SLICE entries at
+    a time, in order, so the driver holds no further copy of all entries.
+    """
 
     def __init__(self, rows: list[np.ndarray]):
-        self.row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows]) if rows else np.zeros(0, np.int32)
+        self.begin = np.concatenate([[0], np.cumsum([len(r) for r in rows], dtype=np.int64)])
         self.feature = np.concatenate(rows) if rows else np.zeros(0, np.int32)
         self.n, self.size = len(rows), TEXT_SIZE
 
+    @property
+    def row(self) -> np.ndarray:
+        """The row of every entry, made anew."""
+        return np.repeat(np.arange(self.n, dtype=np.int32), np.diff(self.begin))
+
+    def entries(self):
+        """Rows and features of SLICE entries after SLICE entries."""
+        for k in range(0, len(self.feature), SLICE):
+            stop = min(k + SLICE, len(self.feature))
+            lo, hi = np.searchsorted(self.begin, k, "right") - 1, np.searchsorted(self.begin, stop)
+            yield np.repeat(np.arange(lo, hi), np.diff(np.clip(self.begin[lo : hi + 1], k, stop))), self.feature[k:stop]
+
     def times(self, w: np.ndarray) -> np.ndarray:
-        return summed(self.row, self.feature, w, self.n)
+        out = np.zeros(self.n)
+        for row, feature in self.entries():
+            np.add.at(out, row, w[feature].astype(np.float64, copy=False))
+        return out
 
     def back(self, r: np.ndarray) -> np.ndarray:
-        return summed(self.feature, self.row, r, self.size)
+        out = np.zeros(self.size)
+        for row, feature in self.entries():
+            np.add.at(out, feature, r[row].astype(np.float64, copy=False))
+        return out
 
     def norms(self) -> np.ndarray:
-        return np.bincount(self.row, minlength=self.n)
+        return np.diff(self.begin)
 
     def held(self) -> np.ndarray:
         """How many rows have a feature."""
-        return np.bincount(self.feature, minlength=self.size)
+        out = np.zeros(self.size, np.int64)
+        for _, feature in self.entries():
+            out += np.bincount(feature, minlength=self.size)
+        return out
 
 
 class Dense:
@@ -262,6 +279,7 @@ def pooled(others: DataFrame, past: list, views: list, sure: float) -> list[Pool
     # added up on executors, a few partitions first, so that one row of fixed size reaches the driver
     few = rows.repartition(max(1, math.isqrt(spread(others.sparkSession)))).mapInArrow(added, "sums binary")
     row = few.repartition(1).mapInArrow(added, "sums binary").first()
+    shared.destroy()
     if row is None:
         return [None, None]
     sums = np.frombuffer(row.sums)
@@ -336,12 +354,16 @@ def sample(docs: DataFrame, labels: DataFrame, labelled: int):
     others = docs.withColumn("label", F.lit(-1)).select("doc_id", "label", "text", "source", "lang", "n_chars")
     type_ = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {type_}, label int, text binary, meta binary"
-    found = rows.mapInArrow(packed, schema).toArrow().sort_by("doc_id").combine_chunks()
-    parts = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for x in found.column(name)]
-    text = Sparse(parts("text", np.int32))
-    meta = Dense(np.array(parts("meta", np.float32)).reshape(len(found), META_SIZE))
-    without = docs.sparkSession.sparkContext.broadcast(pa.array(found.column("doc_id").to_pylist(), docs_type(type_)))
-    return text, meta, np.array(found.column("label").to_pylist(), dtype=np.int64), others.mapInArrow(lambda t: packed(t, without), schema)
+    found = rows.mapInArrow(packed, schema).toArrow()
+    order = pc.sort_indices(found.column("doc_id"))  # the order alone is sorted, the features stay where they came in
+    parts = lambda name, kind: (np.frombuffer(found.column(name)[i].as_buffer(), kind) for i in order.to_pylist())
+    text = Sparse(list(parts("text", np.int32)))
+    meta = np.zeros((len(order), META_SIZE), np.float32)
+    for own, part in zip(meta, parts("meta", np.float32)):
+        own[:] = part
+    ids, labels_of = (found.column(c).take(order) for c in ("doc_id", "label"))
+    without = docs.sparkSession.sparkContext.broadcast(pa.array(ids.to_pylist(), docs_type(type_)))
+    return text, Dense(meta), np.array(labels_of.to_pylist(), dtype=np.int64), others.mapInArrow(lambda t: packed(t, without), schema)
 
 
 def score(tables, shared):

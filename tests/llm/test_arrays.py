@@ -501,3 +501,18 @@ def test_sums_over_the_labelled_sample_copy_few_entries():
     assert np.array_equal(back, np.bincount(x.feature, r[x.row], minlength=x.size))
     assert np.array_equal(times, np.bincount(x.row, w[x.feature], minlength=x.n))
     assert most < 8e6  # 3 million entries are 24 MB
+
+
+def test_labelled_sample_is_held_once():
+    rnd = np.random.default_rng(7)
+    rows = [rnd.choice(cotraining.TEXT_SIZE, n, replace=False).astype(np.int32) for n in [1500] * 1000 + [0, 3, 0, 0] + [1500] * 1000]
+    tracemalloc.start()
+    x = cotraining.Sparse(rows)
+    kept = tracemalloc.get_traced_memory()[0]
+    held = x.held()
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    flat = np.concatenate(rows)
+    assert kept < 1.2 * flat.nbytes and most < 2 * flat.nbytes
+    assert np.array_equal(held, np.bincount(flat, minlength=x.size)) and np.array_equal(x.norms(), [len(r) for r in rows])
+    assert np.array_equal(np.concatenate([r for r, _ in x.entries()]), np.repeat(np.arange(len(rows)), [len(r) for r in rows]))
