@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.census import Ledger, blocks_of, census, ordered, picked
+from quarry.llm.components import components
 from quarry.llm.ngram_join import SIZE, TABLE
 from quarry.llm.storage import removed, saved, spread
 from quarry.llm.substring import window_minimum
@@ -430,11 +431,15 @@ def verified_pairs(pairs: DataFrame, kept: DataFrame) -> list[DataFrame]:
     """Passages of pairs of documents, in tables that together hold all.
 
     Documents are dealt to blocks, and pairs to cells of two blocks; a document goes to each cell in which it has a pair once, not once for each
-    pair. Cells are looked at in as many turns as keep what is on its way within twice the bytes of the documents kept, or TURN_BYTES.
+    pair. Cells are looked at in as many turns as keep what is on its way within twice the bytes of the documents that stand in pairs, or TURN_BYTES.
     """
-    size = kept.agg(F.coalesce(F.sum(16 * F.size("keys") + F.octet_length("tokens")), F.lit(0))).first()[0]
-    blocks = max(math.ceil(2 * size / CELL_BYTES), math.ceil(math.sqrt(2 * pairs.count() / CELL_PAIRS)), math.ceil(math.sqrt(2 * spread(kept.sparkSession))))
-    turns = math.ceil(size * blocks / max(TURN_BYTES, 2 * size, 1))
+    met = pairs.select(F.explode(F.array("doc_id", "other_id")).alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("pairs"))
+    sizes = saved(kept.select("doc_id", (16 * F.size("keys") + F.octet_length("tokens")).alias("bytes")).join(met, "doc_id"), "sizes")
+    size, ends = sizes.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.coalesce(F.sum("pairs"), F.lit(0))).first()
+    blocks = max(math.ceil(2 * size / CELL_BYTES), math.ceil(math.sqrt(ends / CELL_PAIRS)), math.ceil(math.sqrt(2 * spread(kept.sparkSession))))
+    sent = sizes.agg(F.coalesce(F.sum(F.col("bytes") * F.least("pairs", F.lit(blocks))), F.lit(0))).first()[0]
+    turns = math.ceil(sent / max(TURN_BYTES, 2 * size, 1))
+    removed(sizes)
     block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
     cells = pairs.select((F.least(block("doc_id"), block("other_id")) * blocks + F.greatest(block("doc_id"), block("other_id"))).alias("cell"), "doc_id", "other_id")
     out = []
@@ -456,34 +461,82 @@ def copies_of(found: DataFrame) -> DataFrame:
     return met.select("doc_id", "part", "start", "n", F.col("f.doc_id").alias("other_id"), F.col("f.start").alias("other_start"))
 
 
-def pairs_met(found: DataFrame, copies: DataFrame) -> list[DataFrame]:
-    """Passages of every two documents that hold enough min-hashes in common, without stretches that are copies. `found` is not needed further."""
+def sides_of(found: DataFrame, copies: DataFrame) -> DataFrame:
+    """Windows, without those of stretches that are copies, and tokens of the documents that have such. `found` is not needed further."""
     left = F.collect_set("part").alias("copied")
     kept = found.join(copies.groupBy("doc_id").agg(left), "doc_id", "left")
     x = F.filter(F.arrays_zip("keys", "windows", "parts"), lambda w: ~F.coalesce(F.array_contains("copied", w["parts"]), F.lit(False)))
     kept = saved(kept.select("doc_id", x.alias("x"), "tokens").filter(F.size("x") > 0).select("doc_id", F.col("x.keys").alias("keys"), F.col("x.windows").alias("windows"), "tokens"), "sides")
     removed(found)
-    each = kept.select("doc_id", F.explode(F.arrays_zip("keys", "windows")).alias("x")).select("doc_id", F.col("x.keys").alias("key"), F.expr("shiftright(x.windows, 59)").alias("f")).distinct()
-    pairs = each.join(each.select("key", F.col("doc_id").alias("other_id")), "key").filter("doc_id > other_id").groupBy("doc_id", "other_id")
+    return kept
+
+
+def hashes(kept: DataFrame) -> DataFrame:
+    """(doc_id, key, f): the min-hashes of every document, and their functions."""
+    return kept.select("doc_id", F.explode(F.arrays_zip("keys", "windows")).alias("x")).select("doc_id", F.col("x.keys").alias("key"), F.expr("shiftright(x.windows, 59)").alias("f")).distinct()
+
+
+def enough(pairs: DataFrame) -> DataFrame:
+    """(doc_id, other_id), the greater first, of rows of these and a function: pairs that NEED functions or more have brought."""
+    pairs = pairs.groupBy(F.greatest("doc_id", "other_id").alias("doc_id"), F.least("doc_id", "other_id").alias("other_id"))
     pairs = pairs.agg(F.expr("bit_count(bit_or(shiftleft(1, int(f))))").alias("n"))
-    pairs = saved(pairs.filter(F.col("n") >= NEED).select("doc_id", "other_id"), "pairs")
+    return saved(pairs.filter(F.col("n") >= NEED).select("doc_id", "other_id"), "pairs")
+
+
+def pairs_met(found: DataFrame, copies: DataFrame) -> list[DataFrame]:
+    """Passages of every two documents that hold enough min-hashes in common, without stretches that are copies. `found` is not needed further."""
+    kept = sides_of(found, copies)
+    each = hashes(kept)
+    pairs = enough(each.join(each.select("key", F.col("doc_id").alias("other_id")), "key").filter("doc_id > other_id"))
     passages = verified_pairs(pairs, kept)
     removed(pairs, kept)
     return passages
 
 
-def near_passages(docs: DataFrame) -> DataFrame:
-    """Links from later documents to earlier ones that hold a near copy of a passage of 50 words or more.
+def one_of(passages: list[DataFrame]) -> DataFrame:
+    out = passages[0]
+    for part in passages[1:]:
+        out = out.unionByName(part)
+    return out
 
-    doc_id, other_id (a smaller doc_id), start and n_words of the passage in either, counted in words, and the Jaccard
-    of their shingles. A document without such a passage gives no row; a text that equals an earlier one, word
-    limits included, gives one row for the whole of it. Every two documents whose near copies have NEED min-hashes in common are linked (at a
-    Jaccard of exactly 0.75 about 4 in 100 have fewer), with one exception, which the links tell: a stretch that stands word for word in an earlier document is linked to the first that has it, at a
-    similarity of 1, and its further links are those of that document's stretch.
-    Null, empty and short texts have no passage, nor have rows without doc_id; of rows that repeat a doc_id none is
-    linked to another, and of their texts the first in order is searched. An empty table gives an empty result.
-    doc_id is an integer; only it and text are read.
+
+def pairs_apart(keys: DataFrame, links: DataFrame) -> DataFrame:
+    """Pairs of documents that hold enough min-hashes in common and that no chain of links connects so far.
+
+    Only min-hashes of several such classes are looked at, and within them a document meets those of other classes alone.
+    """
+    label = F.coalesce("component", "doc_id").alias("label")
+    known = components(links, "doc_id", "other_id")
+    own = keys.join(known.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "key", "f", label)
+    several = own.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a < b").select("key")
+    own = saved(own.join(several, "key"), "apart")
+    reach = own.join(own.select("key", F.col("label").alias("to")).distinct(), "key").filter("to < label")
+    pairs = enough(reach.join(own.select("key", F.col("label").alias("to"), F.col("doc_id").alias("other_id")), ["key", "to"]).select("doc_id", "other_id", "f"))
+    removed(own)
+    return pairs
+
+
+def chained(found: DataFrame, copies: DataFrame, links: DataFrame) -> DataFrame:
+    """Passages that connect, with the `links` of copies, what the passages of all pairs would connect. `found` is not needed further.
+
+    First every document is judged with the least one of those that share its min-hashes, then with all that share enough and are not
+    connected with it yet. So the pairs within a group of near copies are as many as its documents.
     """
+    kept = sides_of(found, copies)
+    each = saved(hashes(kept), "keys")
+    many = each.groupBy("key").agg(F.min("doc_id").alias("other_id"), F.max("doc_id").alias("last")).filter("other_id < last").drop("last")
+    keys = saved(each.join(many, "key"), "keys")
+    removed(each)
+    pairs = enough(keys.filter("doc_id > other_id").select("doc_id", "other_id", "f"))
+    first = one_of(verified_pairs(pairs, kept))
+    rest = pairs_apart(keys, links.unionByName(first.select("doc_id", "other_id")))
+    passages = first.unionByName(one_of(verified_pairs(rest, kept)))
+    removed(pairs, rest, keys, kept)
+    return passages
+
+
+def searched(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """What `near_passages` and `passage_classes` begin with: windows, copies of stretches as links, all copies of stretches, copies of texts as links."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
     rows = saved(docs.select("doc_id", F.regexp_count("text", F.lit(WORD)).alias("n"), F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2")), "texts")
     classes = saved(rows.filter(F.col("n") >= WORDS).groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("first")), "classes")
@@ -494,14 +547,49 @@ def near_passages(docs: DataFrame) -> DataFrame:
     found = dealt.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(lambda table, answer: shared_windows(table, answer, buckets), CANDIDATES)
     found = saved(found, "windows")
     same = saved(copies_of(found), "copies")
-    more = pairs_met(found, same)
     size = (F.col("n") + SIZE - 1).alias("n_words")
     linked = same.filter("doc_id > other_id").select("doc_id", "other_id", "start", size, "other_start", size.alias("other_n_words"), F.lit(1.0).alias("similarity"))
-    passages = saved(linked, "passages")
-    removed(same)
-    for part in more:
-        passages = passages.unionByName(part)
     zero, whole = F.lit(0).cast("long"), F.col("n").cast("long")
     copies = rows.join(classes, ["n", "h1", "h2"]).filter("doc_id > first")
     copies = copies.select("doc_id", F.col("first").alias("other_id"), zero.alias("start"), whole.alias("n_words"), zero.alias("other_start"), whole.alias("other_n_words"), F.lit(1.0).alias("similarity"))
-    return passages.unionByName(copies)
+    return found, saved(linked, "passages"), same, copies
+
+
+def near_passages(docs: DataFrame) -> DataFrame:
+    """Links from later documents to earlier ones that hold a near copy of a passage of 50 words or more.
+
+    doc_id, other_id (a smaller doc_id), start and n_words of the passage in either, counted in words, and the Jaccard
+    of their shingles. A document without such a passage gives no row; a text that equals an earlier one, word
+    limits included, gives one row for the whole of it. Every two documents whose near copies have NEED min-hashes in common are linked (at a
+    Jaccard of exactly 0.75 about 4 in 100 have fewer), with one exception, which the links tell: a stretch that stands word for word in an earlier document is linked to the first that has it, at a
+    similarity of 1, and its further links are those of that document's stretch.
+    Null, empty and short texts have no passage, nor have rows without doc_id; of rows that repeat a doc_id none is
+    linked to another, and of their texts the first in order is searched. An empty table gives an empty result.
+    doc_id is an integer; only it and text are read.
+    """
+    found, linked, same, copies = searched(docs)
+    more = pairs_met(found, same)
+    removed(same)
+    return one_of([linked, *more, copies])
+
+
+def passage_classes(docs: DataFrame) -> DataFrame:
+    """The class of every document: all documents that links of `near_passages` connect, however many links there are between.
+
+    doc_id, class_id (the smallest doc_id that links reach, itself included), and one link of the document, null if it has none: other_id,
+    start, n_words, other_start, other_n_words and similarity, as in `near_passages`, but to a later document too. It is the first in this order
+    of those looked at: passages are judged until everything is connected, so a group of near copies costs as many pairs as it has documents
+    and not their square. Pairs that are not connected otherwise are judged all, so no link between two classes is left out.
+    Null, empty and short texts are classes of their own. One row for each doc_id; rows without one give none. An empty table gives an empty result.
+    """
+    found, linked, same, copies = searched(docs)
+    copies = saved(copies, "copies")
+    links = one_of([linked, chained(found, same, linked.select("doc_id", "other_id")), copies])
+    known = components(links.select("doc_id", "other_id").distinct(), "doc_id", "other_id")
+    names = ["other_id", "start", "n_words", "other_start", "other_n_words", "similarity"]
+    turned = links.select(F.col("other_id").alias("doc_id"), F.col("doc_id").alias("other_id"), F.col("other_start").alias("start"), F.col("other_n_words").alias("n_words"), F.col("start").alias("other_start"), F.col("n_words").alias("other_n_words"), "similarity")
+    one = links.unionByName(turned).groupBy("doc_id").agg(F.min(F.struct(*names)).alias("link"))
+    known = known.select(F.col("node").alias("doc_id"), "component").join(one, "doc_id")
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null").distinct()
+    removed(same)
+    return ids.join(known, "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("class_id"), *(F.col(f"link.{n}") for n in names))

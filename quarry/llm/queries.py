@@ -27,6 +27,11 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_near_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passage_classes(table(spark, sf_dir, "documents"))
+
+
+def near_passage_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All links behind the classes of `op5_near_passages`: in a group of near copies as many as pairs."""
     return passages.near_passages(table(spark, sf_dir, "documents"))
 
 
@@ -75,5 +80,5 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_mix_sources, op3_substring_dedup, op4_decontaminate, op5_near_passages, op6_url_filter, op7_fingerprint, op8_pii, op9_shards, op10_ngram_join, op11_sentencepiece, op12_centroids, op13_fill_in_middle)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_mix_sources, op3_substring_dedup, op4_decontaminate, op5_near_passages, op6_url_filter, op7_fingerprint, op8_pii, op9_shards, op10_ngram_join, op11_sentencepiece, op12_centroids, op13_fill_in_middle, near_passage_links)}
 ORACLE_SQL: dict[str, str] = dict(oracles.SQL)

@@ -516,3 +516,35 @@ def test_labelled_sample_is_held_once():
     assert kept < 1.2 * flat.nbytes and most < 2 * flat.nbytes
     assert np.array_equal(held, np.bincount(flat, minlength=x.size)) and np.array_equal(x.norms(), [len(r) for r in rows])
     assert np.array_equal(np.concatenate([r for r, _ in x.entries()]), np.repeat(np.arange(len(rows)), [len(r) for r in rows]))
+
+
+def test_classes_are_what_all_links_connect(spark, monkeypatch):
+    rnd = random.Random(31)
+    base = [words(rnd, 90, 3000).split() for _ in range(4)]
+
+    def near(p, changes):
+        own = list(p)
+        for _ in range(changes):
+            own[rnd.randrange(len(own))] = f"x{rnd.randrange(10**6)}"
+        return " ".join(own)
+
+    rows = [(i, near(base[0], rnd.randint(0, 2))) for i in range(60)]  # a large group of near copies
+    rows += [(100 + i, f"{near(base[1 + i % 2], 3)} {words(rnd, 60, 10**6)}") for i in range(20)]
+    rows += [(200, " ".join(base[1] + base[2])), (201, rows[3][1]), (202, rows[61][1]), (203, near(base[3], 1)), (204, near(base[3], 4)), (205, words(rnd, 80, 10**6)), (206, ""), (207, None), (None, rows[0][1])]
+    rows += [(300 + i, " ".join([*words(rnd, 30, 10**6).split(), *(base[3][i : i + 60]), *words(rnd, 30, 10**6).split()])) for i in range(0, 30, 6)]
+    rows += [(400, rows[0][1]), (400, rows[60][1])]
+    links = [(r.doc_id, r.other_id) for r in passages.near_passages(docs(spark, rows)).collect()]
+    wanted = {i: i for i, _ in rows if i is not None}
+    for _ in wanted:
+        for a, b in links:
+            wanted[a] = wanted[b] = min(wanted[a], wanted[b])
+    calls, plain = [], passages.verified_pairs
+    monkeypatch.setattr(passages, "verified_pairs", lambda pairs, kept: calls.append(pairs.count()) or plain(pairs, kept))
+    got = passages.passage_classes(docs(spark, rows)).collect()
+    assert {r.doc_id: r.class_id for r in got} == wanted and len(got) == len(wanted)
+    assert len(set(wanted.values())) < 12 and wanted[101] == wanted[100] == wanted[0] != wanted[203]
+    assert sum(calls) < len(set(links)) / 2
+    known = {frozenset(x) for x in links}
+    assert all((r.other_id is None) == (list(wanted.values()).count(r.class_id) == 1) for r in got)
+    assert all(frozenset((r.doc_id, r.other_id)) in known and r.similarity >= 0.75 and min(r.n_words, r.other_n_words) >= 50 for r in got if r.other_id is not None)
+    assert passages.passage_classes(docs(spark, [])).count() == 0
