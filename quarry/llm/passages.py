@@ -12,6 +12,8 @@ length give compact windows (first, minimum, last): all sequences that begin in
    with every earlier one.
 3. Per pair of documents the aligned windows are joined as intervals: where NEED functions or more cover a
    stretch of the least length, it is a candidate passage.
+   Shingles of one word five times over count as larger than all others in every function: a passage of nothing else is a run,
+   and runs of one word are linked to the first such.
 4. A candidate stays if the shingle sets of both sides have a Jaccard of 0.75 or more. Shingles are compared by
    32 bits of their hash; within two stretches a false match is one in millions, and adds one shingle at most.
 """
@@ -46,9 +48,9 @@ SECTION = FAR
 MOST = (1 << 64) - 1
 
 
-def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Shingle hashes in reading order, and their texts; texts of fewer words than a shingle have none."""
-    values, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shingle hashes in reading order, their texts, and which are one word five times; texts of fewer words than a shingle have none."""
+    values, docs, alike = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
     for lo, hi in batches([len(t) for t in texts]):
         words = Words(texts[lo:hi], TABLE)
         at = np.arange(max(0, len(words.doc) - SIZE + 1))
@@ -56,7 +58,10 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         if len(at):
             values.append(words.hash(words.starts[at], words.ends[at + SIZE - 1]))
             docs.append(words.doc[at] + lo)
-    return np.concatenate(values), np.concatenate(docs)
+            word = words.hash(words.starts, words.ends)
+            again = np.concatenate([[0], np.cumsum(word[1:] == word[:-1])])
+            alike.append(again[at + SIZE - 1] - again[at] == SIZE - 1)
+    return np.concatenate(values), np.concatenate(docs), np.concatenate(alike)
 
 
 def nearest_smaller(values: np.ndarray, groups: np.ndarray) -> np.ndarray:
@@ -109,7 +114,7 @@ def compact_windows(value: np.ndarray, frame: Frame):
 
 
 def token_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    return tokens(texts)
+    return tokens(texts)[:2]
 
 
 def sections(shared: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -134,10 +139,12 @@ def sections(shared: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return first, np.minimum(first + SECTION, np.repeat(stop, parts))
 
 
-def all_windows(value: np.ndarray, doc: np.ndarray, begin: np.ndarray, shared: np.ndarray):
+def all_windows(value: np.ndarray, doc: np.ndarray, begin: np.ndarray, shared: np.ndarray, alike: np.ndarray):
     """Keys, texts, packed windows and stretches of all functions, and first and last common token of the stretches that can hold a passage.
 
-    Tokens that no other document has are larger than all others: without them two passages are never less alike.
+    Tokens that no other document has are larger than all others: without them two passages are never less alike. So are those of one word
+    five times: a run of a frequent word is one token, and would be the minimum of six functions in all documents with such a run, whatever
+    stands around it. Passages that hold nothing else are `runs`.
     """
     start, stop = sections(shared, doc)
     at = np.flatnonzero(shared)
@@ -146,9 +153,10 @@ def all_windows(value: np.ndarray, doc: np.ndarray, begin: np.ndarray, shared: n
     at = np.arange(sizes.sum()) + np.repeat(start - (np.cumsum(sizes) - sizes), sizes)
     frame = Frame(np.repeat(np.arange(len(sizes)), sizes))
     keys, docs, packed, within = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    last = ~shared[at] | alike[at]
     for f in range(FUNCTIONS):
         h = mix(value[at] ^ mix(np.full(1, f + 1, np.uint64)))
-        h[~shared[at]] = np.uint64(MOST)
+        h[last] = np.uint64(MOST)
         c, a, b = compact_windows(h, frame)
         c, a, b = (x[h[c] != np.uint64(MOST)] for x in (c, a, b))
         own = doc[at[c]]
@@ -196,7 +204,18 @@ def spaced(keys: np.ndarray, doc: np.ndarray, place: np.ndarray, value: np.ndarr
     return ~run | (slot != np.concatenate([[0], slot[:-1]]))
 
 
-CANDIDATES = "doc_id long, keys array<long>, windows array<long>, parts array<int>, cores array<struct<start: long, n: long, content: long>>, tokens binary"
+def runs(value: np.ndarray, doc: np.ndarray, alike: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, stop) of the passages that are one word over and over, in tokens."""
+    new = np.ones(len(value), dtype=bool)
+    new[1:] = (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])
+    start = np.flatnonzero(new)
+    stop = np.append(start[1:], len(value))
+    keep = (stop - start >= LEAST) & alike[start]
+    return start[keep], stop[keep]
+
+
+STRETCHES = "array<struct<start: long, n: long, content: long>>"
+CANDIDATES = f"doc_id long, keys array<long>, windows array<long>, parts array<int>, cores {STRETCHES}, runs {STRETCHES}, tokens binary"
 
 
 def shared_windows(table, answer, buckets: int):
@@ -204,29 +223,31 @@ def shared_windows(table, answer, buckets: int):
     ids, texts = ordered(table)
     keep = np.flatnonzero(picked(ids, answer))
     ids, texts = ids[keep], [texts[i] for i in keep]
-    value, of = tokens(texts)
+    value, of, alike = tokens(texts)
     begin = np.searchsorted(of, np.arange(len(texts) + 1))
     shared = Ledger(value, of, buckets).told(answer) >= 2
-    keys, doc, packed, within, core = all_windows(value, of, begin, shared)
-    holder = of[core[0]]
-    content = contents(value, begin, holder, core).view(np.int64)
-    cores = [(core[0] - begin[holder]).tolist(), (core[1] - core[0]).tolist(), content.tolist()]
-    first = np.searchsorted(holder, np.arange(len(texts) + 1))
+    keys, doc, packed, within, core = all_windows(value, of, begin, shared, alike)
+    first = np.searchsorted(of[core[0]], np.arange(len(texts) + 1))
     order = np.lexsort((within, packed, keys, doc))
     # where stretches were cut a window may come twice
     same = (packed[order][1:] == packed[order][:-1]) & (doc[order][1:] == doc[order][:-1]) & (within[order][1:] == within[order][:-1])
     order = order[np.concatenate([[True], ~same])] if len(order) else order
     order = order[spaced(keys[order], doc[order], begin[doc[order]] + unpacked(packed[order])[1], value)]
     cuts = np.searchsorted(doc[order], np.arange(len(texts) + 1))
+    run = runs(value, of, alike & shared)
+    held = []
+    for (start, stop), content in ((core, contents(value, begin, of[core[0]], core)), (run, value[run[0]])):
+        at = np.searchsorted(of[start], np.arange(len(texts) + 1))
+        rows = [dict(zip(("start", "n", "content"), x)) for x in zip((start - begin[of[start]]).tolist(), (stop - start).tolist(), content.view(np.int64).tolist())]
+        held.append([rows[i:j] for i, j in zip(at[:-1].tolist(), at[1:].tolist())])
     out = []
-    for i in np.flatnonzero(np.diff(cuts)).tolist():
+    for i in np.flatnonzero(np.diff(first)).tolist():
         own = order[cuts[i] : cuts[i + 1]]
         own_tokens = (value[begin[i] : begin[i + 1]] >> np.uint64(32)).astype(np.uint32)
-        own_cores = [dict(zip(("start", "n", "content"), x)) for x in zip(*(c[first[i] : first[i + 1]] for c in cores))]
-        out.append((int(ids[i]), keys[own].view(np.int64), packed[own], (within[own] - first[i]).astype(np.int32), own_cores, own_tokens.tobytes()))
-    core_type = pa.struct([(n, pa.int64()) for n in ("start", "n", "content")])
-    types = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(core_type), pa.binary())
-    names = ("doc_id", "keys", "windows", "parts", "cores", "tokens")
+        out.append((int(ids[i]), keys[own].view(np.int64), packed[own], (within[own] - first[i]).astype(np.int32), held[0][i], held[1][i], own_tokens.tobytes()))
+    part = pa.list_(pa.struct([(n, pa.int64()) for n in ("start", "n", "content")]))
+    types = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), part, part, pa.binary())
+    names = ("doc_id", "keys", "windows", "parts", "cores", "runs", "tokens")
     return pa.table({n: pa.array([r[k] for r in out], t) for k, (n, t) in enumerate(zip(names, types))})
 
 
@@ -461,6 +482,15 @@ def copies_of(found: DataFrame) -> DataFrame:
     return met.select("doc_id", "part", "start", "n", F.col("f.doc_id").alias("other_id"), F.col("f.start").alias("other_start"))
 
 
+def runs_of(found: DataFrame) -> DataFrame:
+    """Links of passages that are one word over and over, to the first document with one of that word."""
+    each = found.select("doc_id", F.explode("runs").alias("run")).select("doc_id", "run.*")
+    first = each.groupBy("content").agg(F.min(F.struct("doc_id", "start", "n")).alias("f"))
+    met = each.join(first, "content").filter(F.col("doc_id") > F.col("f.doc_id"))
+    size = lambda c: (F.col(c) + SIZE - 1).alias("n_words")
+    return met.select("doc_id", F.col("f.doc_id").alias("other_id"), "start", size("n"), F.col("f.start").alias("other_start"), size("f.n").alias("other_n_words"), F.lit(1.0).alias("similarity"))
+
+
 def sides_of(found: DataFrame, copies: DataFrame) -> DataFrame:
     """Windows, without those of stretches that are copies, and tokens of the documents that have such. `found` is not needed further."""
     left = F.collect_set("part").alias("copied")
@@ -552,7 +582,7 @@ def searched(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFram
     zero, whole = F.lit(0).cast("long"), F.col("n").cast("long")
     copies = rows.join(classes, ["n", "h1", "h2"]).filter("doc_id > first")
     copies = copies.select("doc_id", F.col("first").alias("other_id"), zero.alias("start"), whole.alias("n_words"), zero.alias("other_start"), whole.alias("other_n_words"), F.lit(1.0).alias("similarity"))
-    return found, saved(linked, "passages"), same, copies
+    return found, saved(linked.unionByName(runs_of(found)).distinct(), "passages"), same, copies
 
 
 def near_passages(docs: DataFrame) -> DataFrame:
@@ -562,7 +592,7 @@ def near_passages(docs: DataFrame) -> DataFrame:
     of their shingles. A document without such a passage gives no row; a text that equals an earlier one, word
     limits included, gives one row for the whole of it. Every two documents whose near copies have NEED min-hashes in common are linked (at a
     Jaccard of exactly 0.75 about 4 in 100 have fewer), with one exception, which the links tell: a stretch that stands word for word in an earlier document is linked to the first that has it, at a
-    similarity of 1, and its further links are those of that document's stretch.
+    similarity of 1, and its further links are those of that document's stretch. So it is with a run of one word, 50 times or more, whatever the lengths.
     Null, empty and short texts have no passage, nor have rows without doc_id; of rows that repeat a doc_id none is
     linked to another, and of their texts the first in order is searched. An empty table gives an empty result.
     doc_id is an integer; only it and text are read.

@@ -548,3 +548,21 @@ def test_classes_are_what_all_links_connect(spark, monkeypatch):
     assert all((r.other_id is None) == (list(wanted.values()).count(r.class_id) == 1) for r in got)
     assert all(frozenset((r.doc_id, r.other_id)) in known and r.similarity >= 0.75 and min(r.n_words, r.other_n_words) >= 50 for r in got if r.other_id is not None)
     assert passages.passage_classes(docs(spark, [])).count() == 0
+
+
+def test_runs_of_one_word_make_no_pairs_but_long_ones_are_linked(spark, monkeypatch):
+    rnd = random.Random(51)
+    around = lambda n, k: f"{words(rnd, n, 10**6)}{' of' * k} {words(rnd, n, 10**6)}"
+    rows = [(i, around(40, 42)) for i in range(30)]  # runs too short for a passage, in texts that have nothing else in common
+    rows += [(100 + i, around(40, 50 + i)) for i in range(6)] + [(200 + i, "by " * (60 - i)) for i in range(3)]
+    rows += [(300, f"{words(rnd, 60, 10**6)} of by {'at ' * 49}"), (301, f"{words(rnd, 60, 10**6)} {'at ' * 49}")]
+    same = words(rnd, 12, 10**6)
+    rows += [(400 + i, f"{words(rnd, 50, 10**6)} {same}{' of' * (34 + i)} {same} {words(rnd, 50, 10**6)}") for i in range(2)]
+    calls, plain = [], passages.verified_pairs
+    monkeypatch.setattr(passages, "verified_pairs", lambda pairs, kept: calls.append(pairs.count()) or plain(pairs, kept))
+    links = passages.near_passages(docs(spark, rows)).collect()
+    assert {(r.doc_id, r.other_id) for r in links} == {(100 + i, 100) for i in range(1, 6)} | {(201, 200), (202, 200), (401, 400)}
+    assert {(r.doc_id, r.start, r.n_words, r.other_start, r.other_n_words) for r in links if 100 < r.doc_id < 300} == {(100 + i, 40, 50 + i, 40, 50) for i in range(1, 6)} | {(200 + i, 0, 60 - i, 0, 60) for i in (1, 2)}
+    got = {r.doc_id: r.class_id for r in passages.passage_classes(docs(spark, rows)).collect()}
+    assert got == {i: {1: 100, 2: 200}.get(i // 100, 400 if i == 401 else i) for i, _ in rows}
+    assert sum(calls) <= 6
