@@ -24,7 +24,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.census import Ledger, blocks_of, census, ordered, picked
@@ -502,8 +502,15 @@ def sides_of(found: DataFrame, copies: DataFrame) -> DataFrame:
 
 
 def hashes(kept: DataFrame) -> DataFrame:
-    """(doc_id, key, f): the min-hashes of every document, and their functions."""
-    return kept.select("doc_id", F.explode(F.arrays_zip("keys", "windows")).alias("x")).select("doc_id", F.col("x.keys").alias("key"), F.expr("shiftright(x.windows, 59)").alias("f")).distinct()
+    """(doc_id, key, f): the min-hashes of every document, and their functions; those of a document lie together by key."""
+    first = F.filter(F.arrays_zip("keys", "windows"), lambda x, i: (i == 0) | (x["keys"] != F.get("keys", i - 1)))
+    return kept.select("doc_id", F.explode(first).alias("x")).select("doc_id", F.col("x.keys").alias("key"), F.expr("shiftright(x.windows, 59)").alias("f"))
+
+
+def ends(rows: DataFrame, column: str) -> DataFrame:
+    """Rows of those keys that hold several values of the column, with the least of these."""
+    same = Window.partitionBy("key")
+    return rows.withColumns({"least": F.min(column).over(same), "last": F.max(column).over(same)}).filter("least < last").drop("last")
 
 
 def enough(pairs: DataFrame) -> DataFrame:
@@ -538,8 +545,7 @@ def pairs_apart(keys: DataFrame, links: DataFrame) -> DataFrame:
     label = F.coalesce("component", "doc_id").alias("label")
     known = components(links, "doc_id", "other_id")
     own = keys.join(known.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "key", "f", label)
-    several = own.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a < b").select("key")
-    own = saved(own.join(several, "key"), "apart")
+    own = saved(ends(own, "label").drop("least"), "apart")
     reach = own.join(own.select("key", F.col("label").alias("to")).distinct(), "key").filter("to < label")
     pairs = enough(reach.join(own.select("key", F.col("label").alias("to"), F.col("doc_id").alias("other_id")), ["key", "to"]).select("doc_id", "other_id", "f"))
     removed(own)
@@ -553,10 +559,7 @@ def chained(found: DataFrame, copies: DataFrame, links: DataFrame) -> DataFrame:
     connected with it yet. So the pairs within a group of near copies are as many as its documents.
     """
     kept = sides_of(found, copies)
-    each = saved(hashes(kept), "keys")
-    many = each.groupBy("key").agg(F.min("doc_id").alias("other_id"), F.max("doc_id").alias("last")).filter("other_id < last").drop("last")
-    keys = saved(each.join(many, "key"), "keys")
-    removed(each)
+    keys = saved(ends(hashes(kept), "doc_id").withColumnRenamed("least", "other_id"), "keys")
     pairs = enough(keys.filter("doc_id > other_id").select("doc_id", "other_id", "f"))
     first = one_of(verified_pairs(pairs, kept))
     rest = pairs_apart(keys, links.unionByName(first.select("doc_id", "other_id")))

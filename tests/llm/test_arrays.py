@@ -566,3 +566,12 @@ def test_runs_of_one_word_make_no_pairs_but_long_ones_are_linked(spark, monkeypa
     got = {r.doc_id: r.class_id for r in passages.passage_classes(docs(spark, rows)).collect()}
     assert got == {i: {1: 100, 2: 200}.get(i // 100, 400 if i == 401 else i) for i, _ in rows}
     assert sum(calls) <= 6
+
+
+def test_min_hashes_of_documents_are_told_apart_without_a_shuffle(spark):
+    rows = [(1, [5, 5, 7, 7, 7, 9], [f << 59 | k for k, f in enumerate([0, 0, 3, 3, 3, 0])]), (2, [-4, 5], [1 << 59, 7]), (3, [8], [5 << 59])]
+    got = passages.hashes(spark.createDataFrame(rows, "doc_id long, keys array<long>, windows array<long>"))
+    assert sorted((r.doc_id, r.key, r.f) for r in got.collect()) == [(1, 5, 0), (1, 7, 3), (1, 9, 0), (2, -4, 1), (2, 5, 0), (3, 8, 5)]
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    several = passages.ends(got, "doc_id").collect()
+    assert sorted((r.key, r.doc_id, r.least) for r in several) == [(5, 1, 1), (5, 2, 1)]
